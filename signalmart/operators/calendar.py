@@ -1,8 +1,10 @@
 """Calendar enrichment: market events and global holidays.
 
-Calendars are dimensions: a few rows per market per year. They are joined
-with a broadcast only after their size has been checked; above the bound the
-join stays a shuffle join (AQE may still pick a broadcast from runtime size).
+Calendars are dimensions: a few rows per market per year. By default the
+join is left to the planner, whose broadcast threshold is itself a size
+check (exact for inline VALUES tables, file size for seeds, runtime size
+under AQE). `broadcast=True` forces a broadcast, but only after counting
+the side against a row bound; above it the join stays a shuffle join.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ def guard_calendar(cal: DataFrame, keys: list[str], name_col: str = "event_name"
 
 
 def join_calendar(df: DataFrame, cal: DataFrame, on: dict[str, str], flag_name: str,
-                  keep: list[str] = (), max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                  keep: list[str] = (), broadcast: bool = False,
+                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left join `df` to `cal` on {fact column: calendar column} and add a
     0/1 match flag. Calendar key columns are typed before the join, so the
     condition is a plain equi-join on columns (no cast inside the key)."""
@@ -52,7 +55,8 @@ def join_calendar(df: DataFrame, cal: DataFrame, on: dict[str, str], flag_name:
     marker = f"_{flag_name}_hit"
     side = cal.select(*[F.col(c).alias(f"_k_{c}") for c in right_keys],
                       F.lit(1).alias(marker), *keep)
-    side = bounded_broadcast(side, max_rows)
+    if broadcast:
+        side = bounded_broadcast(side, max_rows)
     cond = [F.col(l) == F.col(f"_k_{r}") for l, r in on.items()]
     joined = df.join(side, cond, "left")
     return (joined.withColumn(flag_name, F.coalesce(F.col(marker), F.lit(0)).cast("int"))

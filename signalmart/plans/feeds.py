@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 from signalmart.functions.columns import trunc_hour, utc_to_local
-from signalmart.operators.calendar import bounded_broadcast
 from signalmart.operators.dedupe import latest_per_key
-from signalmart.sources.raw import read_table
+from signalmart.sources.raw import local_table, read_table
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: market dimension and calendars for the event-type markets
@@ -56,19 +55,21 @@ BACKFILL_DAYS = 7
 
 
 def markets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_MARKETS, S.MARKETS_DDL)
+    return local_table(spark, EVENT_MARKETS, S.MARKETS_DDL)
 
 
 def event_calendar(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EVENT_CALENDAR, S.CALENDAR_EVENTS_DDL)
+    return local_table(spark, EVENT_CALENDAR, S.CALENDAR_EVENTS_DDL)
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(HOLIDAYS, S.HOLIDAYS_DDL)
+    return local_table(spark, HOLIDAYS, S.HOLIDAYS_DDL)
 
 
 def _with_zone(events: DataFrame, spark: SparkSession) -> DataFrame:
-    dim = bounded_broadcast(markets(spark).select("market", "icao", "tz"))
+    """Attach the market's zone. The market dimension is an inline table of
+    known size, so the planner broadcasts it; the fact side is not moved."""
+    dim = markets(spark).select("market", "icao", "tz")
     return events.join(dim, events["event_type"] == dim["market"], "inner")
 
 

@@ -62,6 +62,35 @@ def read_partitioned(spark: SparkSession, root: str, schema: StructType,
     return df
 
 
+def sql_literal(v) -> str:
+    """Python value -> Spark SQL literal (for small fixed dimension tables)."""
+    import datetime as _dt
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    if isinstance(v, _dt.datetime):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(v, _dt.date):
+        return f"DATE '{v.isoformat()}'"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A fixed dimension table as an inline VALUES relation.
+
+    The planner sees its exact (tiny) size, so joins against it become
+    broadcast joins through the size threshold, with no job to measure it.
+    """
+    schema = StructType.fromDDL(ddl)
+    names = [f.name for f in schema.fields]
+    body = ", ".join("(" + ", ".join(sql_literal(v) for v in r) + ")" for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(names)})")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_seed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Header CSV seed with an explicit schema (dates typed at read)."""
     return (spark.read.schema(ddl).option("header", "true")
