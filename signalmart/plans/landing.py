@@ -30,13 +30,24 @@ def raw_flights_text(feed: DataFrame) -> DataFrame:
     )
 
 
+def extraction_runs(feed: DataFrame) -> list[DataFrame]:
+    """Split the feed into the two hourly pulls that landed it: rows
+    extracted in the first half of an hour came with the earlier pull, the
+    rest with the later one. Every row lands exactly once; the natural keys
+    of the two runs overlap, as with the real overlapping pull windows."""
+    early = F.minute("extracted_at_utc") < 30
+    return [feed.filter(early), feed.filter(~early)]
+
+
 def landed_flights(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the landed raw flights table for `sf_dir` (written on first use)."""
+    """Path of the landed raw flights table for `sf_dir` (written on first
+    use): one append per extraction run, so each dt folder holds a file per
+    run and a stream over the folder sees the runs as separate files."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         events = feeds.load_events(spark, sf_dir)
-        raw = raw_flights_text(feeds.arrivals_feed(spark, events))
         path = work_dir(spark, "raw-flights")
-        land_raw(raw, path, S.FLIGHTS_COLUMNS)
+        for run in extraction_runs(feeds.arrivals_feed(spark, events)):
+            land_raw(raw_flights_text(run), path, S.FLIGHTS_COLUMNS, mode="append")
         _LANDED[key] = path
     return _LANDED[key]

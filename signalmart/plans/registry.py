@@ -674,3 +674,49 @@ def dq_suite(spark, sf_dir):
     checks += [Q.accepted_values(m, "demand_pressure", S.ACCEPTED_LABELS, "gold"),
                Q.warmup_window(m), Q.reconcile(m)]
     return Q.suite(checks)
+
+
+# ---------------------------------------------------------------------------
+# 2.11 streaming (availableNow over the landed raw files)
+# ---------------------------------------------------------------------------
+from signalmart.session import work_dir  # noqa: E402
+from signalmart.streaming import ingest as K  # noqa: E402
+
+_SILVER_COLS = ["market", "icao24", "callsign", "departure_airport", "arrival_ts_utc",
+                "arrival_date_local", "arrival_hour_local"]
+
+
+@register("stream_ingest", O.with_ctes("""
+    SELECT market, icao24, callsign, departure_airport, arrival_ts_utc,
+           arrival_date_local, arrival_hour_local, extracted_at_utc
+    FROM arrivals_feed""", O.FEEDS))
+def stream_ingest(spark, sf_dir):
+    """K1: raw files streamed (availableNow, several files per micro-batch)
+    into a typed, dt-partitioned table; equals the batch typed projection."""
+    out = work_dir(spark, "stream-ingest")
+    t = K.ingest(spark, landing.landed_flights(spark, sf_dir), f"{out}/table",
+                 f"{out}/_checkpoint", max_files=16)
+    return t.select(*S.FLIGHTS_COLUMNS)
+
+
+@register("stream_upsert", O.with_ctes("SELECT * FROM flights", O.FEEDS))
+def stream_upsert(spark, sf_dir):
+    """K2: freshest-wins upsert across micro-batches (the two extraction
+    runs overlap on natural keys); equals the batch dedupe."""
+    out = work_dir(spark, "stream-upsert")
+    t = K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver",
+                 f"{out}/_checkpoint", max_files=16)
+    return t.select(*_SILVER_COLS)
+
+
+@register("stream_tumbling", O.with_ctes("""
+    SELECT date_trunc('day', arrival_ts_utc) AS window_start,
+           date_trunc('day', arrival_ts_utc) + INTERVAL 1 DAY AS window_end,
+           market, count(*) AS rows
+    FROM arrivals_feed GROUP BY ALL""", O.FEEDS))
+def stream_tumbling(spark, sf_dir):
+    """K3: per-market arrival rows in one-day tumbling event-time windows,
+    state kept across micro-batches."""
+    out = work_dir(spark, "stream-tumbling")
+    return K.tumbling_counts(spark, landing.landed_flights(spark, sf_dir), f"{out}/counts",
+                             f"{out}/_checkpoint", max_files=16)
