@@ -25,9 +25,18 @@ def clean_code(c) -> Column:
 
 
 def typed(c: str, sql_type: str | None, tolerant: bool = False) -> Column:
-    """Cast a raw string column; `tolerant` turns malformed values into NULL."""
+    """Cast a raw string column; `tolerant` turns malformed values into NULL.
+
+    sql_type None keeps the text as is; "text:trim" trims and turns '' into
+    NULL; "text:blank" only turns '' into NULL; anything else is a SQL type
+    (blank -> NULL, then cast).
+    """
     if sql_type is None:
         return F.col(c).alias(c)
+    if sql_type == "text:trim":
+        return blank_to_null(c).alias(c)
+    if sql_type == "text:blank":
+        return blank_to_null(c, trim=False).alias(c)
     src = F.nullif(F.trim(F.col(c)), F.lit(""))
     return (src.try_cast(sql_type) if tolerant else src.cast(sql_type)).alias(c)
 

@@ -28,14 +28,53 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def plan(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Memoise a *logical plan* (DataFrame object) per session and dataset.
+
+    DataFrames are immutable plans, so sharing one object between queries
+    changes nothing in what runs; it only saves rebuilding (and re-analysing)
+    the same plan through the Python API for every query. Nothing is
+    cached in memory: each action still reads the tables.
+    """
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
+def _events(spark, sf_dir):
+    return plan(spark, sf_dir, "events", lambda: feeds.load_events(spark, sf_dir))
+
+
+def _flights(spark, sf_dir):
+    return plan(spark, sf_dir, "silver_flights",
+                lambda: feeds.silver_flights(spark, _events(spark, sf_dir)))
+
+
+def _weather(spark, sf_dir):
+    return plan(spark, sf_dir, "silver_weather",
+                lambda: feeds.silver_weather(spark, _events(spark, sf_dir)))
+
+
 def _inputs(spark: SparkSession, sf_dir: str):
-    ev = feeds.load_events(spark, sf_dir)
-    return (feeds.silver_flights(spark, ev), feeds.silver_weather(spark, ev),
-            feeds.event_calendar(spark), feeds.holidays(spark))
+    return (_flights(spark, sf_dir), _weather(spark, sf_dir),
+            _calendar(spark), _holidays(spark))
+
+
+def _calendar(spark):
+    return plan(spark, "", "calendar", lambda: feeds.event_calendar(spark))
+
+
+def _holidays(spark):
+    return plan(spark, "", "holidays", lambda: feeds.holidays(spark))
 
 
 def mart(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return marts.daily_signals(*_inputs(spark, sf_dir), **kw)
+    name = "mart:" + ",".join(f"{k}={v}" for k, v in sorted(kw.items()))
+    return plan(spark, sf_dir, name, lambda: marts.daily_signals(*_inputs(spark, sf_dir), **kw))
 
 
 @register("daily_signals", O.mart_sql("SELECT * FROM mart"))
@@ -66,10 +105,6 @@ from signalmart.sources.raw import (  # noqa: E402
 _M = O.mart_sql
 
 
-def _events(spark, sf_dir):
-    return feeds.load_events(spark, sf_dir)
-
-
 # ---------------------------------------------------------------------------
 # 2.1 scans, sources, sinks (landed CSV read back)
 # ---------------------------------------------------------------------------
@@ -187,7 +222,7 @@ def iso_slice(spark, sf_dir):
     parallel arrays of ISO 'yyyy-MM-ddTHH:mm' times and values), read back
     by zipping the arrays and slicing the ISO strings. A document holds one
     market-day, so at most 25 hours."""
-    wx = feeds.silver_weather(spark, _events(spark, sf_dir))
+    wx = _weather(spark, sf_dir)
     h = F.array_sort(F.collect_list(F.struct(
         F.date_format("observed_at_local", "yyyy-MM-dd'T'HH:mm").alias("time"),
         F.col("temp_f"), F.col("precip_mm"), F.col("wind_kmh"))))
@@ -291,13 +326,13 @@ def string_clean(spark, sf_dir):
 @register("latest_per_key", O.with_ctes("SELECT * FROM flights", O.FEEDS))
 def latest_per_key_q(spark, sf_dir):
     """Freshest extraction per (market, icao24, arrival)."""
-    return feeds.silver_flights(spark, _events(spark, sf_dir))
+    return _flights(spark, sf_dir)
 
 
 @register("latest_weather", O.with_ctes("SELECT * FROM weather", O.FEEDS))
 def latest_weather(spark, sf_dir):
     """freshest extraction per (market, local hour) of the weather feed."""
-    return feeds.silver_weather(spark, _events(spark, sf_dir))
+    return _weather(spark, sf_dir)
 
 
 @register("layer_counts", O.with_ctes("""
@@ -328,7 +363,7 @@ def layer_counts(spark, sf_dir):
     FROM daily_wx"""))
 def weather_flags(spark, sf_dir):
     """Heat, pool and rain flags on daily weather."""
-    wx = daily_weather(feeds.silver_weather(spark, _events(spark, sf_dir)))
+    wx = daily_weather(_weather(spark, sf_dir))
     return R.with_flags(wx, R.weather_flag_predicates()).select(
         "market", "observed_date_local", "temp_max_f", "precip_total_mm",
         "is_extreme_heat", "is_pool_weather", "is_rain")
@@ -374,7 +409,7 @@ def fact_left_join(spark, sf_dir):
 
 
 def _daily(spark, sf_dir):
-    return marts.daily_arrivals(feeds.silver_flights(spark, _events(spark, sf_dir)))
+    return plan(spark, sf_dir, "daily", lambda: marts.daily_arrivals(_flights(spark, sf_dir)))
 
 
 @register("calendar_join", _M("""
@@ -389,8 +424,8 @@ def calendar_join(spark, sf_dir):
     """Plain left joins to the market-event calendar (two
     keys) and the holiday calendar (date only), with match flags. Without
     the guard, two events on one market-day give two rows."""
-    d = marts.with_calendar(_daily(spark, sf_dir), feeds.event_calendar(spark),
-                            feeds.holidays(spark), guard=False)
+    d = marts.with_calendar(_daily(spark, sf_dir), _calendar(spark),
+                            _holidays(spark), guard=False)
     return d.select("market", "arrival_date_local", "arrivals", "is_major_event",
                     "event_name", "is_holiday")
 
@@ -406,8 +441,8 @@ def calendar_join(spark, sf_dir):
 def calendar_guard(spark, sf_dir):
     """The calendar collapsed to one row per key first, so the join
     keeps one row per market-day (names sorted and joined)."""
-    d = marts.with_calendar(_daily(spark, sf_dir), feeds.event_calendar(spark),
-                            feeds.holidays(spark), guard=True)
+    d = marts.with_calendar(_daily(spark, sf_dir), _calendar(spark),
+                            _holidays(spark), guard=True)
     return d.select("market", "arrival_date_local", "arrivals", "is_major_event",
                     "event_name", "is_holiday")
 
@@ -426,7 +461,7 @@ def daily_count(spark, sf_dir):
            precip_total_mm, wind_max_kmh FROM daily_wx"""))
 def daily_stats(spark, sf_dir):
     """Daily max/min temperature, rounded precip total and wind."""
-    return daily_weather(feeds.silver_weather(spark, _events(spark, sf_dir)))
+    return daily_weather(_weather(spark, sf_dir))
 
 
 @register("hourly_curve", _M("""
@@ -434,7 +469,7 @@ def daily_stats(spark, sf_dir):
     FROM flights GROUP BY ALL"""))
 def hourly_curve(spark, sf_dir):
     """Arrivals per market, local day and local hour."""
-    return marts.hourly_curve(feeds.silver_flights(spark, _events(spark, sf_dir)))
+    return marts.hourly_curve(_flights(spark, sf_dir))
 
 
 @register("trailing_baseline", f"""
@@ -563,9 +598,7 @@ def _dup_sql(name, keys, src, ignore_nulls=False):
 
 
 def _unique_checks(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    fl, wx = feeds.silver_flights(spark, ev), feeds.silver_weather(spark, ev)
-    m = marts.daily_signals(fl, wx, feeds.event_calendar(spark), feeds.holidays(spark))
+    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), mart(spark, sf_dir)
     return [Q.unique(fl, S.FLIGHTS_KEY, "silver_flights"),
             Q.unique(wx, S.WEATHER_KEY, "silver_weather"),
             Q.unique(m, ["daily_key"], "gold", ignore_nulls=True)]
@@ -594,9 +627,7 @@ _NOT_NULL = {
 
 
 def _not_null_checks(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    fl, wx = feeds.silver_flights(spark, ev), feeds.silver_weather(spark, ev)
-    m = marts.daily_signals(fl, wx, feeds.event_calendar(spark), feeds.holidays(spark))
+    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), mart(spark, sf_dir)
     tables = {"gold": m, "silver_flights": fl, "silver_weather": wx,
               "hourly_curve": marts.hourly_curve(fl)}
     return [Q.not_null(tables[t], cols, t) for t, (_, cols) in _NOT_NULL.items()]
@@ -662,9 +693,7 @@ _RECONCILE_SQL = _chk("gold.drivers_reconcile",
     O.FEEDS, O.MART, _HOURLY_CTE))
 def dq_suite(spark, sf_dir):
     """Every check in one DataFrame (one row per check)."""
-    ev = _events(spark, sf_dir)
-    fl, wx = feeds.silver_flights(spark, ev), feeds.silver_weather(spark, ev)
-    m = marts.daily_signals(fl, wx, feeds.event_calendar(spark), feeds.holidays(spark))
+    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), mart(spark, sf_dir)
     tables = {"gold": m, "silver_flights": fl, "silver_weather": wx,
               "hourly_curve": marts.hourly_curve(fl)}
     checks = [Q.unique(fl, S.FLIGHTS_KEY, "silver_flights"),
