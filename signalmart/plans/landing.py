@@ -51,3 +51,27 @@ def landed_flights(spark: SparkSession, sf_dir: str) -> str:
             land_raw(raw_flights_text(run), path, S.FLIGHTS_COLUMNS, mode="append")
         _LANDED[key] = path
     return _LANDED[key]
+
+
+def raw_weather_text(feed: DataFrame) -> DataFrame:
+    """Typed weather feed -> the raw text columns (+ dt = local date)."""
+    return feed.select(
+        "market",
+        F.date_format("observed_at_local", S.RAW_TS_FORMAT).alias("observed_at_local"),
+        F.col("observed_date_local").cast("string").alias("observed_date_local"),
+        F.col("hour_local").cast("string").alias("hour_local"),
+        *[F.col(c).cast("string").alias(c) for c in ("temp_f", "precip_mm", "wind_kmh")],
+        F.date_format("extracted_at_utc", EXTRACTED_FORMAT).alias("extracted_at_utc"),
+        F.col("observed_date_local").cast("string").alias(S.PARTITION_COLUMN),
+    )
+
+
+def landed_weather(spark: SparkSession, sf_dir: str) -> str:
+    """Path of the landed raw weather table for `sf_dir` (written on first use)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "weather")
+    if key not in _LANDED:
+        events = feeds.load_events(spark, sf_dir)
+        path = work_dir(spark, "raw-weather")
+        land_raw(raw_weather_text(feeds.weather_feed(spark, events)), path, S.WEATHER_COLUMNS)
+        _LANDED[key] = path
+    return _LANDED[key]

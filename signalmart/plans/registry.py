@@ -749,3 +749,21 @@ def stream_tumbling(spark, sf_dir):
     out = work_dir(spark, "stream-tumbling")
     return K.tumbling_counts(spark, landing.landed_flights(spark, sf_dir), f"{out}/counts",
                              f"{out}/_checkpoint", max_files=16)
+
+
+# ---------------------------------------------------------------------------
+# 2.1 A7/A8/A10-A12: the full medallion build over landed raw files
+# ---------------------------------------------------------------------------
+from signalmart.plans import medallion  # noqa: E402
+
+
+@register("medallion_gold", O.mart_sql("SELECT * FROM mart"))
+def medallion_gold(spark, sf_dir):
+    """Raw CSV (flights and weather) -> bronze tables -> silver views ->
+    gold table, in the shared folder; returns the written gold table."""
+    root = work_dir(spark, "warehouse")
+    db = "signalmart_" + root.rsplit("-", 1)[-1]
+    medallion.build(spark, landing.landed_flights(spark, sf_dir),
+                    landing.landed_weather(spark, sf_dir), _calendar(spark),
+                    _holidays(spark), root, database=db)
+    return medallion.gold(spark, db)
