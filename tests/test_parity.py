@@ -31,3 +31,12 @@ def test_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and len(df.columns) == 21
+
+
+@pytest.mark.parametrize("name", ["local_time", "daily_signals", "backfill_windows",
+                                  "time_slice", "stream_tumbling", "csv_roundtrip"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    from signalmart.session import session_conf
+    with session_conf(spark, spark__sql__session__timeZone="America/New_York"):
+        r = compare(spark, name, QUERIES[name], ORACLE[name], SF_SMALL, con)
+    assert r.get("exact") and r["spark_rows"] == r["oracle_rows"], r
