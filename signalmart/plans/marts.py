@@ -42,10 +42,14 @@ def daily_arrivals(flights: DataFrame) -> DataFrame:
     return rollup_counts(flights, DAY, "arrivals")
 
 
+def weather_stats(weather: DataFrame) -> DataFrame:
+    """Daily weather per market-day, keyed like the arrivals rollup."""
+    return daily_weather(weather, ("market", "observed_date_local"),
+                         date_alias="arrival_date_local")
+
+
 def with_weather(daily: DataFrame, weather: DataFrame) -> DataFrame:
-    wx = daily_weather(weather, ("market", "observed_date_local"),
-                       date_alias="arrival_date_local")
-    return daily.join(wx, DAY, "left")
+    return daily.join(weather_stats(weather), DAY, "left")
 
 
 def with_calendar(df: DataFrame, calendar: DataFrame, holidays: DataFrame,
@@ -94,7 +98,19 @@ def finish(df: DataFrame, extra: list[str] = ()) -> DataFrame:
 def daily_signals(flights: DataFrame, weather: DataFrame, calendar: DataFrame,
                   holidays: DataFrame, rules: list[R.Rule] | None = None,
                   points_name: str | None = None, keep_window: bool = False) -> DataFrame:
-    daily = with_weather(daily_arrivals(flights), weather)
+    return signals_from_rollups(daily_arrivals(flights), weather_stats(weather), calendar,
+                                holidays, rules, points_name, keep_window)
+
+
+def signals_from_rollups(daily: DataFrame, wx_stats: DataFrame, calendar: DataFrame,
+                         holidays: DataFrame, rules: list[R.Rule] | None = None,
+                         points_name: str | None = None, keep_window: bool = False) -> DataFrame:
+    """The mart from the two daily rollups (arrivals; weather stats), each
+    one row per market-day. Everything from here on runs on the daily grain,
+    so an incremental job only has to keep the rollups current."""
+    daily = daily.select(*DAY, "arrivals").join(
+        wx_stats.select(*DAY, "temp_max_f", "temp_min_f", "precip_total_mm", "wind_max_kmh"),
+        DAY, "left")
     daily = with_calendar(daily, calendar, holidays)
     out = scored(daily, rules, points_name)
     extra = ([points_name] if points_name else []) + (["days_in_window"] if keep_window else [])

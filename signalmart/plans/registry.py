@@ -767,3 +767,38 @@ def medallion_gold(spark, sf_dir):
                     landing.landed_weather(spark, sf_dir), _calendar(spark),
                     _holidays(spark), root, database=db)
     return medallion.gold(spark, db)
+
+
+# ---------------------------------------------------------------------------
+# K2 + I10: incremental path - streams keep daily rollups current, the mart
+# is scored from the rollups (daily grain only)
+# ---------------------------------------------------------------------------
+from signalmart.plans.medallion import WEATHER_FRESHEST  # noqa: E402
+
+
+def _arrivals_rollup(merged):
+    return rollup_counts(merged, ["market", "arrival_date_local", S.PARTITION_COLUMN], "arrivals")
+
+
+def _weather_rollup(merged):
+    return daily_weather(merged, ("market", "observed_date_local", S.PARTITION_COLUMN),
+                         date_alias=None).withColumnRenamed("observed_date_local",
+                                                            "arrival_date_local")
+
+
+@register("stream_daily_signals", O.mart_sql("SELECT * FROM mart"))
+def stream_daily_signals(spark, sf_dir):
+    """Both feeds streamed through the freshest-wins upsert; each
+    micro-batch also recomputes the daily rollups of the days it touched;
+    the mart is then scored from the two rollup tables."""
+    out = work_dir(spark, "stream-mart")
+    K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver_flights",
+             f"{out}/_ck_flights", max_files=16, rollup=_arrivals_rollup,
+             rollup_table=f"{out}/daily_arrivals")
+    K.upsert(spark, landing.landed_weather(spark, sf_dir), f"{out}/silver_weather",
+             f"{out}/_ck_weather", keys=S.WEATHER_KEY, order=WEATHER_FRESHEST,
+             types=S.WEATHER_TYPES, schema=S.RAW_WEATHER_SCHEMA, max_files=16,
+             rollup=_weather_rollup, rollup_table=f"{out}/daily_weather")
+    daily = spark.read.parquet(f"{out}/daily_arrivals")
+    wx = spark.read.parquet(f"{out}/daily_weather")
+    return marts.signals_from_rollups(daily, wx, _calendar(spark), _holidays(spark))

@@ -59,7 +59,8 @@ FLIGHTS_FRESHEST = ["extracted_at_utc", "callsign", "departure_airport", "arriva
 
 
 def upsert_batch(table: str, keys: list[str], order: list[str],
-                 partition_col: str = S.PARTITION_COLUMN):
+                 partition_col: str = S.PARTITION_COLUMN,
+                 rollup=None, rollup_table: str | None = None):
     """foreachBatch function: merge a micro-batch into `table`, freshest wins.
 
     Only the dt partitions the batch touches are read and rewritten. The
@@ -68,6 +69,11 @@ def upsert_batch(table: str, keys: list[str], order: list[str],
     merged rows are checkpointed (reliable, shared folder) before the
     partitions they came from are overwritten, so the write never reads
     the files it replaces.
+
+    With `rollup` (a DataFrame -> DataFrame aggregate keeping `dt`) the
+    same touched partitions of `rollup_table` are recomputed from the
+    merged rows, so a daily rollup stays current without re-reading any
+    untouched day: late data for an old day rewrites that day only.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -86,17 +92,23 @@ def upsert_batch(table: str, keys: list[str], order: list[str],
         (merged.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(table))
+        if rollup is not None:
+            (rollup(merged).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic")
+             .partitionBy(partition_col).parquet(rollup_table))
     return merge
 
 
 def upsert(spark: SparkSession, src: str, table: str, checkpoint: str,
            keys: list[str] = S.FLIGHTS_KEY, order: list[str] = FLIGHTS_FRESHEST,
            types: dict = S.FLIGHTS_TYPES, schema: StructType = S.RAW_FLIGHTS_SCHEMA,
-           max_files: int | None = 1) -> DataFrame:
-    """K2: stream raw files into a freshest-wins silver table."""
+           max_files: int | None = 1, rollup=None, rollup_table: str | None = None) -> DataFrame:
+    """K2: stream raw files into a freshest-wins silver table (and keep an
+    optional per-dt rollup table current)."""
     s = typed_projection(raw_stream(spark, src, schema, max_files), types,
                          keep=(S.PARTITION_COLUMN,))
-    q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order))
+    q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, rollup=rollup,
+                                                 rollup_table=rollup_table))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

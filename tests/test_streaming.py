@@ -63,3 +63,24 @@ def test_stream_tumbling_counts(spark, tmp_dir):
     out = K.tumbling_counts(spark, f"{tmp_dir}/raw", f"{tmp_dir}/c", f"{tmp_dir}/ck", max_files=1)
     got = [(r.window_start.day, r.market, r.rows) for r in out.orderBy("window_start").collect()]
     assert got == [(12, "LAS", 3), (13, "LAS", 1)]
+
+
+def test_rollup_follows_late_data_for_old_day(spark, tmp_dir):
+    from signalmart.operators.rollups import rollup_counts
+    root = f"{tmp_dir}/raw"
+    _fixture(root)
+
+    def rollup(merged):
+        return rollup_counts(merged, ["market", "arrival_date_local", "dt"], "arrivals")
+
+    def run():
+        K.upsert(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/ck", max_files=1,
+                 rollup=rollup, rollup_table=f"{tmp_dir}/daily")
+        return rows(spark.read.parquet(f"{tmp_dir}/daily"), "dt", "arrivals")
+
+    assert run() == [("2026-08-12", 2), ("2026-08-13", 1)]
+    day13 = sorted(os.listdir(f"{tmp_dir}/daily/dt=2026-08-13"))
+    _land(root, "2026-08-12", "late", [
+        _line("d", "2026-08-12 23:00:00", "2026-08-12", 16, "2026-08-14 09:00:00")])
+    assert run() == [("2026-08-12", 3), ("2026-08-13", 1)]
+    assert sorted(os.listdir(f"{tmp_dir}/daily/dt=2026-08-13")) == day13  # untouched day
