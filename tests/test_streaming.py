@@ -76,7 +76,8 @@ def test_rollup_follows_late_data_for_old_day(spark, tmp_dir):
     def run():
         K.upsert(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/ck", max_files=1,
                  rollup=rollup, rollup_table=f"{tmp_dir}/daily")
-        return rows(spark.read.parquet(f"{tmp_dir}/daily"), "dt", "arrivals")
+        return [(str(d), n) for d, n in rows(spark.read.parquet(f"{tmp_dir}/daily"),
+                                              "dt", "arrivals")]
 
     assert run() == [("2026-08-12", 2), ("2026-08-13", 1)]
     day13 = sorted(os.listdir(f"{tmp_dir}/daily/dt=2026-08-13"))
