@@ -270,9 +270,9 @@ def time_slice(spark, sf_dir):
     with `now` = the latest event time (a scalar subquery, pushed to the
     scan as a filter)."""
     ev = _events(spark, sf_dir)
-    now = ev.select(F.max("ts")).scalar()
-    begin = now - F.make_dt_interval(hours=F.lit(feeds.LAG_HOURS + feeds.LOOKBACK_HOURS))
-    end = now - F.make_dt_interval(hours=F.lit(feeds.LAG_HOURS))
+    # one scalar subquery: the window end; the start is a fixed offset from it
+    end = ev.select(F.max("ts") - F.make_dt_interval(hours=F.lit(feeds.LAG_HOURS))).scalar()
+    begin = end - F.make_dt_interval(hours=F.lit(feeds.LOOKBACK_HOURS))
     return ev.filter((F.col("ts") >= begin) & (F.col("ts") < end)) \
              .select("event_id", "event_type", "ts")
 
