@@ -101,13 +101,14 @@ def land_raw(df: DataFrame, path: str, columns: list[str],
              partition_col: str = S.PARTITION_COLUMN, mode: str = "overwrite") -> None:
     """Write rows as headerless CSV, one folder per partition value.
 
-    With spark.sql.sources.partitionOverwriteMode=dynamic an overwrite
-    replaces only the partitions present in `df`, so re-landing a day is
-    idempotent and other days are untouched.
+    The overwrite is a dynamic partition overwrite (set on the writer, not
+    left to the session default): it replaces only the partitions present
+    in `df`, so re-landing a day is idempotent and other days are untouched.
     """
     out = df.select(*[F.col(c).cast("string").alias(c) for c in columns],
                     F.col(partition_col).cast("string").alias(partition_col))
     (out.write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic")
      .option("header", "false")
      .partitionBy(partition_col)
      .csv(path))

@@ -48,7 +48,10 @@ def test_landing_is_idempotent_and_prunes(spark, tmp_dir):
         S.FLIGHTS_COLUMNS + ["dt"])
     path = f"{tmp_dir}/landed"
     land_raw(df, path, S.FLIGHTS_COLUMNS)
-    land_raw(df.filter(F.col("dt") == "2026-08-12"), path, S.FLIGHTS_COLUMNS)  # re-land one day
+    from signalmart.session import session_conf
+    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
+        # re-land one day; the other days survive whatever the session default
+        land_raw(df.filter(F.col("dt") == "2026-08-12"), path, S.FLIGHTS_COLUMNS)
     full = read_partitioned(spark, path, S.RAW_FLIGHTS_SCHEMA)
     assert rows(full, "dt") == [("2026-08-11",), ("2026-08-12",), ("2026-08-13",)]
     pruned = read_partitioned(spark, path, S.RAW_FLIGHTS_SCHEMA, "2026-08-12", "2026-08-12")
