@@ -34,7 +34,7 @@ def not_null(df: DataFrame, columns: list[str], table: str) -> DataFrame:
 
 
 def unique(df: DataFrame, keys: list[str], table: str, ignore_nulls: bool = False) -> DataFrame:
-    """Number of key values that occur more than once (dbt-style: with
+    """Number of key values that occur more than once (as column tests usually do: with
     ignore_nulls, rows with a NULL key are not tested)."""
     src = df
     if ignore_nulls:

@@ -1,4 +1,4 @@
-"""The shared test tables seen as the pipeline's feeds.
+"""The shared test tables seen as the feeds of the signal.
 
 The arrivals and weather feeds of a real deployment are landed CSV files.
 Here they are derived by Spark from the `events` table, so every query's

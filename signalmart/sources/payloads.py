@@ -1,6 +1,6 @@
 """Landed API payloads (JSON, one document per line) -> raw feed rows.
 
-The extractors of the original pipeline normalised payloads in a Python
+Extractors commonly normalise such payloads in a Python
 loop on one machine. Here the landed documents are the input of a Spark
 job: `from_json` with an explicit schema, then `explode` (arrays of
 objects) or `inline(arrays_zip(...))` (parallel arrays), all JVM-side.
@@ -16,6 +16,9 @@ from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType,
 from signalmart import schemas as S
 from signalmart.functions.columns import clean_code, epoch_to_utc, utc_to_local
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES: payload field names, exactly as the source APIs return them
+# ---------------------------------------------------------------------------
 ARRIVAL_RECORD = StructType([
     StructField("lastSeen", LongType()),
     StructField("icao24", StringType()),

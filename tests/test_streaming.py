@@ -85,3 +85,12 @@ def test_rollup_follows_late_data_for_old_day(spark, tmp_dir):
         _line("d", "2026-08-12 23:00:00", "2026-08-12", 16, "2026-08-14 09:00:00")])
     assert run() == [("2026-08-12", 3), ("2026-08-13", 1)]
     assert sorted(os.listdir(f"{tmp_dir}/daily/dt=2026-08-13")) == day13  # untouched day
+
+
+def test_stream_hourly_windows(spark, tmp_dir):
+    _fixture(f"{tmp_dir}/raw")
+    out = K.tumbling_counts(spark, f"{tmp_dir}/raw", f"{tmp_dir}/c", f"{tmp_dir}/ck",
+                            every="1 hour", max_files=2)
+    got = [(r.window_start.day, r.window_start.hour, r.rows)
+           for r in out.orderBy("window_start").collect()]
+    assert got == [(12, 20, 2), (12, 21, 1), (13, 10, 1)]
