@@ -1,0 +1,3 @@
+"""Structured Streaming paths: ingest, freshest-wins upsert, tumbling counts."""
+
+from signalmart.streaming.ingest import ingest, raw_stream, tumbling_counts, upsert  # noqa: F401
