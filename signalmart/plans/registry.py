@@ -10,10 +10,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from signalmart.plans import feeds
-from signalmart.plans import marts
+from signalmart import schemas as S
+from signalmart.functions.columns import (
+    blank_to_null, clean_code, epoch_to_utc, format_ts, utc_to_local, weekend_flag)
+from signalmart.operators import alerts as A
+from signalmart.operators import quality as Q
+from signalmart.operators import rules as R
+from signalmart.operators.baseline import pct_vs_baseline, trailing_baseline
+from signalmart.operators.dedupe import key_copy_counts
+from signalmart.operators.rollups import daily_weather, rollup_counts
+from signalmart.plans import feeds, landing, marts, medallion
 from signalmart.plans import oracle as O
+from signalmart.plans.medallion import WEATHER_FRESHEST
+from signalmart.session import work_dir
+from signalmart.sources import payloads as P
+from signalmart.sources.raw import read_partitioned, read_raw, read_table, typed_projection
+from signalmart.streaming import ingest as K
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,25 +97,6 @@ def daily_signals(spark, sf_dir):
     return mart(spark, sf_dir)
 
 
-# ---------------------------------------------------------------------------
-# helpers
-# ---------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from signalmart import schemas as S  # noqa: E402
-from signalmart.functions.columns import (  # noqa: E402
-    blank_to_null, clean_code, epoch_to_utc, format_ts, utc_to_local, weekend_flag)
-from signalmart.operators import alerts as A  # noqa: E402
-from signalmart.operators import quality as Q  # noqa: E402
-from signalmart.operators import rules as R  # noqa: E402
-from signalmart.operators.baseline import pct_vs_baseline, trailing_baseline  # noqa: E402
-from signalmart.operators.dedupe import key_copy_counts  # noqa: E402
-from signalmart.operators.rollups import daily_weather, rollup_counts  # noqa: E402
-from signalmart.plans import landing  # noqa: E402
-from signalmart.sources import payloads as P  # noqa: E402
-from signalmart.sources.raw import (  # noqa: E402
-    read_partitioned, read_raw, read_table, typed_projection)
-
 _M = O.mart_sql
 
 
@@ -708,8 +703,6 @@ def dq_suite(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # 2.11 streaming (availableNow over the landed raw files)
 # ---------------------------------------------------------------------------
-from signalmart.session import work_dir  # noqa: E402
-from signalmart.streaming import ingest as K  # noqa: E402
 
 _SILVER_COLS = ["market", "icao24", "callsign", "departure_airport", "arrival_ts_utc",
                 "arrival_date_local", "arrival_hour_local"]
@@ -754,7 +747,6 @@ def stream_tumbling(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # 2.1 A7/A8/A10-A12: the full medallion build over landed raw files
 # ---------------------------------------------------------------------------
-from signalmart.plans import medallion  # noqa: E402
 
 
 @register("medallion_gold", O.mart_sql("SELECT * FROM mart"))
@@ -773,7 +765,6 @@ def medallion_gold(spark, sf_dir):
 # K2 + I10: incremental path - streams keep daily rollups current, the mart
 # is scored from the rollups (daily grain only)
 # ---------------------------------------------------------------------------
-from signalmart.plans.medallion import WEATHER_FRESHEST  # noqa: E402
 
 
 def _arrivals_rollup(merged):
