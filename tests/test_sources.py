@@ -108,3 +108,13 @@ def test_weather_payload_parallel_arrays(spark):
     got = rows(out, "observed_date_local", "hour_local", "temp_f", "precip_mm")
     import datetime as dt
     assert got == [(dt.date(2026, 7, 17), 13, 101.2, 0.0), (dt.date(2026, 7, 17), 14, 103.0, None)]
+
+
+def test_payload_files_read_as_json_lines(spark, tmp_dir):
+    docs = [json.dumps([{"lastSeen": 1783987500 + i, "icao24": f"a{i}"}]) for i in range(3)]
+    _write(f"{tmp_dir}/landing/LAS/pull_1.json", "\n".join(docs) + "\n")
+    lines = P.read_json_lines(spark, f"{tmp_dir}/landing/*/*.json")
+    lines = lines.withColumn("market", F.regexp_extract("source_file", r"/landing/(\w+)/", 1))
+    out = P.arrival_rows(lines, "payload", "market", F.lit("America/Los_Angeles"),
+                         F.lit("2026-07-13 06:00:00"))
+    assert rows(out, "market", "icao24") == [("LAS", "a0"), ("LAS", "a1"), ("LAS", "a2")]
