@@ -66,34 +66,51 @@ def holidays(spark: SparkSession) -> DataFrame:
     return local_table(spark, HOLIDAYS, S.HOLIDAYS_DDL)
 
 
-def _with_zone(events: DataFrame, spark: SparkSession) -> DataFrame:
-    """Attach the market's zone. The market dimension is an inline table of
-    known size, so the planner broadcasts it; the fact side is not moved."""
-    dim = markets(spark).select("market", "icao", "tz")
-    return events.join(dim, events["event_type"] == dim["market"], "inner")
+def _with_zone(df: DataFrame, spark: SparkSession, on: str = "event_type") -> DataFrame:
+    """Attach the market's zone and airport. The market dimension is an
+    inline table of known size, so the planner broadcasts it; the fact side
+    is not moved."""
+    dim = markets(spark).select(F.col("market").alias("_m"), "icao", "tz")
+    return df.join(dim, df[on] == dim["_m"], "inner").drop("_m")
+
+
+def _arrival_core(events: DataFrame) -> DataFrame:
+    """What the natural key and the freshness order need, nothing more."""
+    return events.select(
+        F.col("event_type").alias("market"),
+        F.col("user_id").cast("string").alias("icao24"),
+        trunc_hour(F.col("ts")).alias("arrival_ts_utc"),
+        F.col("ts").alias("extracted_at_utc"),
+        F.col("event_id").alias("extraction_id"),
+        F.col("props"),
+    )
 
 
-def arrivals_feed(spark: SparkSession, events: DataFrame) -> DataFrame:
-    """Typed raw arrivals (bronze after typing): one row per extraction."""
-    e = _with_zone(events.select("event_id", "ts", "user_id", "event_type", "props"), spark)
-    arrival = trunc_hour(F.col("ts"))
-    local = utc_to_local(arrival, F.col("tz"))
+def _arrival_derive(spark: SparkSession, core: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Derived columns: market-local date/hour, callsign, airport."""
+    e = _with_zone(core, spark, on="market")
+    local = utc_to_local(F.col("arrival_ts_utc"), F.col("tz"))
     return e.select(
         F.col("market"),
-        F.col("user_id").cast("string").alias("icao24"),
+        F.col("icao24"),
         F.concat(F.upper("market"), F.get_json_object("props", "$.k")).alias("callsign"),
         F.col("icao").alias("departure_airport"),
-        arrival.alias("arrival_ts_utc"),
+        F.col("arrival_ts_utc"),
         F.to_date(local).alias("arrival_date_local"),
         F.hour(local).alias("arrival_hour_local"),
-        F.col("ts").alias("extracted_at_utc"),
-        F.col("event_id").alias("extraction_id"),
+        *keep,
     )
 
 
+def arrivals_feed(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Typed raw arrivals (bronze after typing): one row per extraction."""
+    return _arrival_derive(spark, _arrival_core(events), keep=("extracted_at_utc", "extraction_id"))
+
+
 def weather_feed(spark: SparkSession, events: DataFrame) -> DataFrame:
     """Typed raw hourly weather: one row per extraction."""
     e = _with_zone(events.select("event_id", "ts", "event_type", "value"), spark)
+    e = e.withColumnRenamed("event_type", "market")
     local = utc_to_local(F.col("ts"), F.col("tz"))
     return e.select(
         F.col("market"),
@@ -112,7 +129,12 @@ FRESHEST = ["extracted_at_utc", "extraction_id"]
 
 
 def silver_flights(spark: SparkSession, events: DataFrame) -> DataFrame:
-    return latest_per_key(arrivals_feed(spark, events), S.FLIGHTS_KEY, FRESHEST, drop=FRESHEST)
+    """Freshest extraction per arrival. The dedupe runs on the narrow core
+    columns; the zone lookup, local date/hour and callsign are derived after
+    it, once per surviving arrival instead of once per extraction, and the
+    shuffle does not carry them."""
+    core = latest_per_key(_arrival_core(events), S.FLIGHTS_KEY, FRESHEST, drop=FRESHEST)
+    return _arrival_derive(spark, core)
 
 
 def silver_weather(spark: SparkSession, events: DataFrame) -> DataFrame:
