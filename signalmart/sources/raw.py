@@ -123,3 +123,18 @@ def typed_projection(raw: DataFrame, types: dict[str, str | None],
     instead of failing the job.
     """
     return raw.select(*[typed(c, t, tolerant) for c, t in types.items()], *keep)
+
+
+def reject_counts(raw: DataFrame, types: dict[str, str | None]) -> DataFrame:
+    """Per typed column, how many non-blank raw values fail the cast.
+
+    One aggregate pass (count_if per column), for loads that run with
+    `typed_projection(tolerant=True)` and must report what they dropped.
+    """
+    checks = []
+    for c, t in types.items():
+        if t is None or t.startswith("text:"):
+            continue
+        src = F.nullif(F.trim(F.col(c)), F.lit(""))
+        checks.append(F.count_if(src.isNotNull() & src.try_cast(t).isNull()).alias(c))
+    return raw.agg(*checks)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.sources import payloads as P
 from signalmart.sources.raw import (land_raw, local_table, read_partitioned, read_raw,
-                                    read_seed, typed_projection)
+                                    read_seed, reject_counts, typed_projection)
 from tests.conftest import plan_text, rows
 
 LINE = "LAS,a1b2c3,{cs},{dep},2026-08-13 16:05:00,2026-08-13,9,2026-08-13 17:00:00"
@@ -39,6 +39,8 @@ def test_malformed_number_raises_or_is_tolerated(spark, tmp_dir):
         typed_projection(raw, S.WEATHER_TYPES).collect()
     r = typed_projection(raw, S.WEATHER_TYPES, tolerant=True).first()
     assert r.temp_f is None and r.precip_mm == 0.1
+    rej = reject_counts(raw, S.WEATHER_TYPES).first()
+    assert rej.temp_f == 1 and rej.precip_mm == 0 and rej.observed_at_local == 0
 
 
 def test_landing_is_idempotent_and_prunes(spark, tmp_dir):
