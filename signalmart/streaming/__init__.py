@@ -1,3 +1,2 @@
-"""Structured Streaming paths: ingest, freshest-wins upsert, tumbling counts."""
-
-from signalmart.streaming.ingest import ingest, raw_stream, tumbling_counts, upsert  # noqa: F401
+"""Structured Streaming paths (see streaming/ingest.py): ingest, freshest-wins
+upsert with rollup maintenance, tumbling counts."""
