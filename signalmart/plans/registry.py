@@ -318,6 +318,17 @@ def string_clean(spark, sf_dir):
                        blank_to_null("p_type", trim=False).alias("type"))
 
 
+@register("text_clean", """
+    SELECT conv_id, turn, nullif(trim(role), '') AS role,
+           nullif(trim(replace(trim(coalesce(text, '')), ',', '')), '') AS text_clean
+    FROM conversations""")
+def text_clean(spark, sf_dir):
+    """B7/C3 on whole conversation texts: strip, drop commas, blank -> NULL."""
+    conv = read_table(spark, sf_dir, "conversations")
+    return conv.select("conv_id", "turn", blank_to_null("role").alias("role"),
+                       blank_to_null(clean_code("text")).alias("text_clean"))
+
+
 @register("latest_per_key", O.with_ctes("SELECT * FROM flights", O.FEEDS))
 def latest_per_key_q(spark, sf_dir):
     """Freshest extraction per (market, icao24, arrival)."""
