@@ -52,9 +52,10 @@ def get_spark(master: str | None = None, app: str = "signalmart",
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only in local mode."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:  # already set (Spark has appended its per-application folder)
+        return current
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError(
@@ -62,7 +63,6 @@ def checkpoint_root(spark: SparkSession) -> str:
                 "executor can reach (HDFS, S3, ...) before running signalmart jobs")
         root = tempfile.mkdtemp(prefix="signalmart-ckpt-")
     sc.setCheckpointDir(root)
-    # Spark appends a per-application uuid folder to the configured dir.
     return sc.getCheckpointDir() or root
 
 

@@ -13,7 +13,6 @@ replayed micro-batch rewrites the same result (the upsert is idempotent).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -80,15 +79,9 @@ def upsert_batch(table: str, keys: list[str], order: list[str],
         days = [r[0] for r in batch.select(partition_col).distinct().collect()]
         if not days:
             return
-        merged = batch
-        try:
-            old = (spark.read.schema(batch.schema).parquet(table)
-                   .filter(F.col(partition_col).isin(days)))
-            merged = old.unionByName(batch)
-        except AnalysisException as e:  # first batch: no table yet
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-        merged = latest_per_key(merged, keys, order).checkpoint(eager=True)
+        old = (spark.read.schema(batch.schema).parquet(table)
+               .filter(F.col(partition_col).isin(days)))
+        merged = latest_per_key(old.unionByName(batch), keys, order).checkpoint(eager=True)
         (merged.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(table))
@@ -107,6 +100,9 @@ def upsert(spark: SparkSession, src: str, table: str, checkpoint: str,
     optional per-dt rollup table current)."""
     s = typed_projection(raw_stream(spark, src, schema, max_files), types,
                          keep=(S.PARTITION_COLUMN,))
+    # create the (empty) table once; "ignore" leaves an existing table alone
+    (spark.createDataFrame([], s.schema).write.mode("ignore")
+     .partitionBy(S.PARTITION_COLUMN).parquet(table))
     q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, rollup=rollup,
                                                  rollup_table=rollup_table))
          .option("checkpointLocation", checkpoint)

@@ -120,3 +120,11 @@ def test_payload_files_read_as_json_lines(spark, tmp_dir):
     out = P.arrival_rows(lines, "payload", "market", F.lit("America/Los_Angeles"),
                          F.lit("2026-07-13 06:00:00"))
     assert rows(out, "market", "icao24") == [("LAS", "a0"), ("LAS", "a1"), ("LAS", "a2")]
+
+
+def test_work_dirs_share_one_checkpoint_root(spark):
+    from signalmart.session import checkpoint_root, work_dir
+    root = checkpoint_root(spark)
+    a, b = work_dir(spark, "x"), work_dir(spark, "x")
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0] == root.rstrip("/")
+    assert checkpoint_root(spark) == root
