@@ -3,7 +3,8 @@
     build(spark, raw_flights, raw_weather, calendar, holidays, root)
 
 * bronze: the raw text, partitioned by dt, written as a table (A7/A8)
-* silver: typed + freshest-wins views over bronze (staging = view, A11)
+* silver: typed + freshest-wins, written once as dt-partitioned tables
+          (or, with silver_as="view", views inlined into each mart, A11)
 * gold:   daily signals and hourly curve written as tables (mart = table)
 
 Every table lives under `root` in the shared folder and is registered in
@@ -41,7 +42,8 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 
 
 def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: DataFrame,
-          holidays: DataFrame, root: str, database: str = "signalmart") -> dict:
+          holidays: DataFrame, root: str, database: str = "signalmart",
+          silver_as: str = "table") -> dict:
     """Rebuild every layer; returns row counts per layer."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_db'")
     root = root.rstrip("/")
@@ -56,30 +58,42 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
                      [S.PARTITION_COLUMN])
         counts[f"bronze_{kind}"] = obs.get["rows"]
 
-    # silver: views (typed, deduped); they inline into the gold plan
+    # silver: typed + deduped. As tables (default) the dedupe, the largest
+    # shuffle of the build, runs once and both marts read its output; as
+    # views it is inlined into (and repeated by) every mart that uses it.
     bf = spark.table(f"{database}.bronze_flights")
     bw = spark.table(f"{database}.bronze_weather")
-    silver_flights = latest_per_key(typed_projection(bf, S.FLIGHTS_TYPES), S.FLIGHTS_KEY,
-                                    FLIGHTS_FRESHEST, drop=["extracted_at_utc"])
-    silver_weather = latest_per_key(typed_projection(bw, S.WEATHER_TYPES), S.WEATHER_KEY,
-                                    WEATHER_FRESHEST, drop=["extracted_at_utc"])
-    silver_flights.createOrReplaceTempView("silver_flights")
-    silver_weather.createOrReplaceTempView("silver_weather")
-
-    # gold: tables. The silver observations ride on the gold write, so the
-    # silver row counts need no pass of their own.
-    sf_counted, obs_sf = _observed(silver_flights, "silver_flights")
-    sw_counted, obs_sw = _observed(silver_weather, "silver_weather")
-    gold, obs_g = _observed(marts.daily_signals(sf_counted, sw_counted, calendar, holidays),
-                            "gold_daily")
+    silver = {
+        "flights": latest_per_key(typed_projection(bf, S.FLIGHTS_TYPES, keep=(S.PARTITION_COLUMN,)),
+                                  S.FLIGHTS_KEY, FLIGHTS_FRESHEST, drop=["extracted_at_utc"]),
+        "weather": latest_per_key(typed_projection(bw, S.WEATHER_TYPES, keep=(S.PARTITION_COLUMN,)),
+                                  S.WEATHER_KEY, WEATHER_FRESHEST, drop=["extracted_at_utc"]),
+    }
+    for kind, df in silver.items():
+        if silver_as == "table":
+            counted, obs = _observed(df, f"silver_{kind}")
+            _write_table(counted, f"{database}.silver_{kind}", f"{root}/silver_{kind}",
+                         [S.PARTITION_COLUMN])
+            counts[f"silver_{kind}"] = obs.get["rows"]
+            silver[kind] = spark.table(f"{database}.silver_{kind}")
+        silver[kind] = silver[kind].drop(S.PARTITION_COLUMN)
+        silver[kind].createOrReplaceTempView(f"silver_{kind}")
+
+    # gold: tables
+    sf, sw = silver["flights"], silver["weather"]
+    if silver_as != "table":  # count silver on the gold write, no extra pass
+        sf, obs_sf = _observed(sf, "silver_flights")
+        sw, obs_sw = _observed(sw, "silver_weather")
+    gold, obs_g = _observed(marts.daily_signals(sf, sw, calendar, holidays), "gold_daily")
     _write_table(gold, f"{database}.gold_daily_signals", f"{root}/gold_daily_signals")
-    curve, obs_h = _observed(marts.hourly_curve(silver_flights), "gold_hourly")
+    curve, obs_h = _observed(marts.hourly_curve(silver["flights"]), "gold_hourly")
     _write_table(curve, f"{database}.gold_hourly_arrival_curve",
                  f"{root}/gold_hourly_arrival_curve")
     counts["gold_daily"] = obs_g.get["rows"]
     counts["gold_hourly"] = obs_h.get["rows"]
-    counts["silver_flights"] = obs_sf.get["rows"]
-    counts["silver_weather"] = obs_sw.get["rows"]
+    if silver_as != "table":
+        counts["silver_flights"] = obs_sf.get["rows"]
+        counts["silver_weather"] = obs_sw.get["rows"]
     counts["flights_duplicates_removed"] = counts["bronze_flights"] - counts["silver_flights"]
     counts["weather_duplicates_removed"] = counts["bronze_weather"] - counts["silver_weather"]
     return counts

@@ -762,7 +762,7 @@ def stream_tumbling(spark, sf_dir):
 
 @register("medallion_gold", O.mart_sql("SELECT * FROM mart"))
 def medallion_gold(spark, sf_dir):
-    """Raw CSV (flights and weather) -> bronze tables -> silver views ->
+    """Raw CSV (flights and weather) -> bronze tables -> silver tables ->
     gold table, in the shared folder; returns the written gold table."""
     root = work_dir(spark, "warehouse")
     db = "signalmart_" + root.rsplit("-", 1)[-1]

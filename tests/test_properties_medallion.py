@@ -86,3 +86,6 @@ def test_medallion_build_counts_and_tables(spark, tmp_dir):
     assert g.arrivals == 2 and g.temp_max_f == 101.0 and g.is_extreme_heat == 0  # freshest wins
     assert g.demand_pressure == "WARMUP"
     assert spark.table("silver_flights").filter("icao24 = 'a'").first().callsign == "CS2"
+    again = medallion.build(spark, fl, wx, cal, hol, f"{tmp_dir}/wh2", database="sm_test_v",
+                            silver_as="view")
+    assert again == counts
