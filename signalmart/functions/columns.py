@@ -74,12 +74,8 @@ def flag(predicate: Column) -> Column:
     return F.coalesce(predicate, F.lit(False)).cast("int")
 
 
-def round_half_up(c, scale: int = 1) -> Column:
-    """Round a double half-up on its decimal form (Spark's `round`)."""
-    return F.round(col(c), scale)
-
-
-def exact_sum(c, scale: int, precision: int = 38) -> Column:
-    """Sum a money-like double exactly (as decimal), so the result does not
-    depend on the order partial sums are combined in."""
-    return F.sum(col(c).cast(f"decimal({min(precision, 18)},{scale})"))
+def exact_sum(c, scale: int, precision: int = 18) -> Column:
+    """Sum a money-like double exactly (as decimal(precision, scale)), so the
+    result does not depend on the order partial sums are combined in. The
+    sum widens to decimal(precision + 10, scale)."""
+    return F.sum(col(c).cast(f"decimal({precision},{scale})"))
