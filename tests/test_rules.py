@@ -122,3 +122,17 @@ def test_hourly_curve(spark):
                                 ("LAS", D(2026, 8, 1), 6)],
                                "market string, arrival_date_local date, arrival_hour_local int")
     assert rows(marts.hourly_curve(fl), "arrival_hour_local", "arrivals") == [(5, 2), (6, 1)]
+
+
+def test_daily_precip_rounds_before_the_rain_threshold(spark):
+    from signalmart.operators.rollups import daily_weather
+    wx = spark.createDataFrame(
+        [("LAS", D(2026, 8, 1), 70.0, p, 5.0) for p in (0.65, 0.65, 0.64)] +
+        [("LAS", D(2026, 8, 2), 70.0, p, 5.0) for p in (0.65, 0.65, 0.65)],
+        "market string, observed_date_local date, temp_f double, precip_mm double, "
+        "wind_kmh double")
+    daily = daily_weather(wx)
+    flags = R.with_flags(daily, R.weather_flag_predicates())
+    got = [(r.observed_date_local.day, r.precip_total_mm, r.is_rain)
+           for r in flags.orderBy("observed_date_local").collect()]
+    assert got == [(1, 1.9, 0), (2, 2.0, 1)]    # 1.94 -> no rain, 1.95 -> rain
