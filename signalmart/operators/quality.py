@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 
-CHECK_SCHEMA = "check string, bad_rows bigint, passed boolean"
-
-
 def _result(df: DataFrame, name: str, bad: Column) -> DataFrame:
     return df.agg(bad.cast("long").alias("bad_rows")).select(
         F.lit(name).alias("check"), F.col("bad_rows"),

@@ -48,10 +48,6 @@ def weather_stats(weather: DataFrame) -> DataFrame:
                          date_alias="arrival_date_local")
 
 
-def with_weather(daily: DataFrame, weather: DataFrame) -> DataFrame:
-    return daily.join(weather_stats(weather), DAY, "left")
-
-
 def with_calendar(df: DataFrame, calendar: DataFrame, holidays: DataFrame,
                   guard: bool = True) -> DataFrame:
     """Event flag/name per market-day and the global holiday flag.
