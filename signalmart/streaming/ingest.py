@@ -116,26 +116,52 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
                     ts_col: str = "arrival_ts_utc", keys: tuple[str, ...] = ("market",),
                     every: str = "1 day", types: dict = S.FLIGHTS_TYPES,
                     schema: StructType = S.RAW_FLIGHTS_SCHEMA,
-                    max_files: int | None = 1) -> DataFrame:
+                    max_files: int | None = 1, late_tolerance: str | None = None) -> DataFrame:
     """K3: counts per key in tumbling event-time windows.
 
-    The state is one counter per (window, key), i.e. markets x days, so
-    complete mode is cheap and no late file is ever dropped, whatever order
-    the files arrive in. Each micro-batch overwrites the sink with the full
-    current result (idempotent on replay).
+    Default (late_tolerance=None): complete mode. The state is one counter
+    per (window, key), i.e. markets x days, so keeping all of it is cheap and
+    no late file is ever dropped, whatever order the files arrive in. Each
+    micro-batch overwrites the sink with the full current result (idempotent
+    on replay).
+
+    late_tolerance="4 hours" (a live stream with bounded lateness): event
+    time gets a watermark, a window is appended to the sink once the
+    watermark passes its end and its state is dropped; rows later than the
+    tolerance are not counted, and windows still open when the stream stops
+    stay in the checkpointed state until later data closes them.
     """
     s = typed_projection(raw_stream(spark, src, schema, max_files), types)
-    counts = (s.groupBy(F.window(ts_col, every).alias("w"), *keys)
-              .agg(F.count(F.lit(1)).alias("rows"))
-              .select(F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"), *keys, "rows"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
-
-    q = (counts.writeStream.outputMode("complete").foreachBatch(write)
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True)
-         .start())
-    _finish(q)
+    if late_tolerance is None:
+        counts = (s.groupBy(F.window(ts_col, every).alias("w"), *keys)
+                  .agg(F.count(F.lit(1)).alias("rows"))
+                  .select(F.col("w.start").alias("window_start"),
+                          F.col("w.end").alias("window_end"), *keys, "rows"))
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(sink)
+
+        q = (counts.writeStream.outputMode("complete").foreachBatch(write)
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start())
+        _finish(q)
+        return spark.read.parquet(sink)
+
+    # Watermarks need an instant type: read the UTC wall clock as a UTC
+    # instant (session zone pinned to UTC for this query only).
+    from signalmart.session import session_conf
+    with session_conf(spark, spark__sql__session__timeZone="UTC"):
+        ev = s.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
+        counts = (ev.withWatermark("_event_time", late_tolerance)
+                  .groupBy(F.window("_event_time", every).alias("w"), *keys)
+                  .agg(F.count(F.lit(1)).alias("rows"))
+                  .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                          F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+                          *keys, "rows"))
+        q = (counts.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True)
+             .start(sink))
+        _finish(q)
     return spark.read.parquet(sink)

@@ -94,3 +94,20 @@ def test_stream_hourly_windows(spark, tmp_dir):
     got = [(r.window_start.day, r.window_start.hour, r.rows)
            for r in out.orderBy("window_start").collect()]
     assert got == [(12, 20, 2), (12, 21, 1), (13, 10, 1)]
+
+
+def test_stream_watermark_finalises_closed_windows(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    _land(root, "2026-08-12", "f1", [
+        _line("a", "2026-08-12 20:00:00", "2026-08-12", 13, "x"),
+        _line("b", "2026-08-12 21:00:00", "2026-08-12", 14, "x")])
+    _land(root, "2026-08-13", "f2", [
+        _line("c", "2026-08-13 10:00:00", "2026-08-13", 3, "x")])
+    _land(root, "2026-08-14", "f3", [
+        _line("d", "2026-08-14 09:00:00", "2026-08-14", 2, "x")])
+    out = K.tumbling_counts(spark, root, f"{tmp_dir}/c", f"{tmp_dir}/ck", max_files=1,
+                            late_tolerance="2 hours")
+    got = sorted((r.window_start.day, r.rows) for r in out.collect())
+    # days 12 and 13 are closed by the watermark (latest event 14th 09:00 - 2h);
+    # day 14 is still open, so it is not emitted yet
+    assert got == [(12, 2), (13, 1)]
