@@ -23,13 +23,16 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
 from signalmart.plans import marts
-from signalmart.sources.raw import read_raw, typed_projection
+from signalmart.sources.raw import read_raw, salted_by_partition, typed_projection
 from signalmart.streaming.ingest import FLIGHTS_FRESHEST
 
 WEATHER_FRESHEST = ["extracted_at_utc", "temp_f", "precip_mm", "wind_kmh"]
 
 
-def _write_table(df: DataFrame, name: str, path: str, partition_by: list[str] = ()) -> None:
+def _write_table(df: DataFrame, name: str, path: str, partition_by: list[str] = (),
+                 salt_buckets: int | None = None) -> None:
+    if partition_by and salt_buckets:
+        df = salted_by_partition(df, partition_by[0], salt_buckets)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -43,8 +46,10 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 
 def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: DataFrame,
           holidays: DataFrame, root: str, database: str = "signalmart",
-          silver_as: str = "table") -> dict:
-    """Rebuild every layer; returns row counts per layer."""
+          silver_as: str = "table", salt_buckets: int | None = None) -> dict:
+    """Rebuild every layer; returns row counts per layer. `salt_buckets`
+    bounds the files per dt of the partitioned tables (see
+    sources.raw.salted_by_partition)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_db'")
     root = root.rstrip("/")
 
@@ -55,7 +60,7 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
         bronze, obs = _observed(read_raw(spark, f"{path.rstrip('/')}/dt=*/*.csv", schema),
                                 f"bronze_{kind}")
         _write_table(bronze, f"{database}.bronze_{kind}", f"{root}/bronze_{kind}",
-                     [S.PARTITION_COLUMN])
+                     [S.PARTITION_COLUMN], salt_buckets)
         counts[f"bronze_{kind}"] = obs.get["rows"]
 
     # silver: typed + deduped. As tables (default) the dedupe, the largest
@@ -73,7 +78,7 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
         if silver_as == "table":
             counted, obs = _observed(df, f"silver_{kind}")
             _write_table(counted, f"{database}.silver_{kind}", f"{root}/silver_{kind}",
-                         [S.PARTITION_COLUMN])
+                         [S.PARTITION_COLUMN], salt_buckets)
             counts[f"silver_{kind}"] = obs.get["rows"]
             silver[kind] = spark.table(f"{database}.silver_{kind}")
         silver[kind] = silver[kind].drop(S.PARTITION_COLUMN)

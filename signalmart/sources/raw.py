@@ -97,16 +97,33 @@ def read_seed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
             .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
+def salted_by_partition(df: DataFrame, partition_col: str, salt_buckets: int) -> DataFrame:
+    """Repartition so each value of `partition_col` is spread over
+    `salt_buckets` tasks (salt = hash of the whole row): a partitioned write
+    then makes at most `salt_buckets` files per value, and a day holding a
+    third of the data still spreads over `salt_buckets` writers instead of
+    landing in one task. Costs one shuffle of the rows being written."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
+    return df.repartition(F.col(partition_col), salt)
+
+
 def land_raw(df: DataFrame, path: str, columns: list[str],
-             partition_col: str = S.PARTITION_COLUMN, mode: str = "overwrite") -> None:
+             partition_col: str = S.PARTITION_COLUMN, mode: str = "overwrite",
+             salt_buckets: int | None = None) -> None:
     """Write rows as headerless CSV, one folder per partition value.
 
     The overwrite is a dynamic partition overwrite (set on the writer, not
     left to the session default): it replaces only the partitions present
     in `df`, so re-landing a day is idempotent and other days are untouched.
+
+    By default every task writes a file for each partition value it holds
+    (fine for time-ordered input, where a task spans a day or two). For
+    unordered input pass `salt_buckets` to bound the files per value.
     """
     out = df.select(*[F.col(c).cast("string").alias(c) for c in columns],
                     F.col(partition_col).cast("string").alias(partition_col))
+    if salt_buckets:
+        out = salted_by_partition(out, partition_col, salt_buckets)
     (out.write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("header", "false")

@@ -128,3 +128,17 @@ def test_work_dirs_share_one_checkpoint_root(spark):
     a, b = work_dir(spark, "x"), work_dir(spark, "x")
     assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0] == root.rstrip("/")
     assert checkpoint_root(spark) == root
+
+
+def test_salted_landing_bounds_files_per_day(spark, tmp_dir):
+    import glob
+    df = spark.range(4000, numPartitions=16).select(
+        *[F.lit("x").alias(c) for c in S.FLIGHTS_COLUMNS[:-1]],
+        F.col("id").cast("string").alias("extracted_at_utc"),
+        F.when(F.col("id") < 3000, "2026-08-01").otherwise("2026-08-02").alias("dt"))
+    land_raw(df, f"{tmp_dir}/plain", S.FLIGHTS_COLUMNS)
+    land_raw(df, f"{tmp_dir}/salted", S.FLIGHTS_COLUMNS, salt_buckets=3)
+    per_day = lambda p: [len(glob.glob(f"{p}/dt={d}/*.csv")) for d in ("2026-08-01", "2026-08-02")]
+    assert max(per_day(f"{tmp_dir}/salted")) <= 3 < max(per_day(f"{tmp_dir}/plain"))
+    back = read_partitioned(spark, f"{tmp_dir}/salted", S.RAW_FLIGHTS_SCHEMA)
+    assert back.count() == 4000                       # nothing dropped
