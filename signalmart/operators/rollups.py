@@ -35,3 +35,29 @@ def daily_weather(df: DataFrame, keys=("market", "observed_date_local"),
     if date_alias:
         out = out.withColumnRenamed(keys[-1], date_alias)
     return out
+
+
+# Decomposable form of daily_weather, for rollups kept per partition of a
+# table (e.g. per (day, key bucket)): partial results combine exactly, and
+# rounding happens once, on the combined value.
+
+def weather_partials(df: DataFrame, keys) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        F.max("temp_f").alias("temp_max_f"),
+        F.min("temp_f").alias("temp_min_f"),
+        exact_sum("precip_mm", 6).alias("precip_sum"),
+        F.max("wind_kmh").alias("wind_max"),
+    )
+
+
+def weather_from_partials(partials: DataFrame, keys) -> DataFrame:
+    return partials.groupBy(*keys).agg(
+        F.max("temp_max_f").alias("temp_max_f"),
+        F.min("temp_min_f").alias("temp_min_f"),
+        F.round(F.sum("precip_sum"), 1).cast("double").alias("precip_total_mm"),
+        F.round(F.max("wind_max"), 1).alias("wind_max_kmh"),
+    )
+
+
+def counts_from_partials(partials: DataFrame, keys, name: str = "arrivals") -> DataFrame:
+    return partials.groupBy(*keys).agg(F.sum(name).cast("long").alias(name))

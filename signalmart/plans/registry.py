@@ -20,7 +20,9 @@ from signalmart.operators import quality as Q
 from signalmart.operators import rules as R
 from signalmart.operators.baseline import pct_vs_baseline, trailing_baseline
 from signalmart.operators.dedupe import key_copy_counts
-from signalmart.operators.rollups import daily_weather, rollup_counts
+from signalmart.operators.rollups import (
+    counts_from_partials, daily_weather, rollup_counts, weather_from_partials,
+    weather_partials)
 from signalmart.plans import feeds, landing, marts, medallion
 from signalmart.plans import oracle as O
 from signalmart.plans.medallion import WEATHER_FRESHEST
@@ -778,29 +780,36 @@ def medallion_gold(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+_PART = [S.PARTITION_COLUMN, K.BUCKET_COLUMN]
+STREAM_BUCKETS = 2  # per-day key buckets; size to ~1 GB per (day, bucket) at scale
+
+
 def _arrivals_rollup(merged):
-    return rollup_counts(merged, ["market", "arrival_date_local", S.PARTITION_COLUMN], "arrivals")
+    return rollup_counts(merged, ["market", "arrival_date_local", *_PART], "arrivals")
 
 
 def _weather_rollup(merged):
-    return daily_weather(merged, ("market", "observed_date_local", S.PARTITION_COLUMN),
-                         date_alias=None).withColumnRenamed("observed_date_local",
-                                                            "arrival_date_local")
+    return weather_partials(merged, ["market", "observed_date_local", *_PART])
 
 
 @register("stream_daily_signals", O.mart_sql("SELECT * FROM mart"))
 def stream_daily_signals(spark, sf_dir):
-    """Both feeds streamed through the freshest-wins upsert; each
-    micro-batch also recomputes the daily rollups of the days it touched;
-    the mart is then scored from the two rollup tables."""
+    """Both feeds streamed through the freshest-wins upsert into silver
+    tables partitioned by (dt, key bucket); each micro-batch rewrites only
+    the partitions it touches and recomputes their partial daily rollups;
+    the mart combines the partials per market-day and is scored from them."""
     out = work_dir(spark, "stream-mart")
     K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver_flights",
              f"{out}/_ck_flights", max_files=16, rollup=_arrivals_rollup,
-             rollup_table=f"{out}/daily_arrivals")
+             rollup_table=f"{out}/daily_arrivals", buckets=STREAM_BUCKETS)
     K.upsert(spark, landing.landed_weather(spark, sf_dir), f"{out}/silver_weather",
              f"{out}/_ck_weather", keys=S.WEATHER_KEY, order=WEATHER_FRESHEST,
              types=S.WEATHER_TYPES, schema=S.RAW_WEATHER_SCHEMA, max_files=16,
-             rollup=_weather_rollup, rollup_table=f"{out}/daily_weather")
-    daily = spark.read.parquet(f"{out}/daily_arrivals")
-    wx = spark.read.parquet(f"{out}/daily_weather")
+             rollup=_weather_rollup, rollup_table=f"{out}/daily_weather",
+             buckets=STREAM_BUCKETS)
+    daily = counts_from_partials(spark.read.parquet(f"{out}/daily_arrivals"),
+                                 ["market", "arrival_date_local"])
+    wx = weather_from_partials(spark.read.parquet(f"{out}/daily_weather"),
+                               ["market", "observed_date_local"]) \
+        .withColumnRenamed("observed_date_local", "arrival_date_local")
     return marts.signals_from_rollups(daily, wx, _calendar(spark), _holidays(spark))

@@ -57,53 +57,76 @@ def ingest(spark: SparkSession, src: str, sink: str, checkpoint: str,
 FLIGHTS_FRESHEST = ["extracted_at_utc", "callsign", "departure_airport", "arrival_hour_local"]
 
 
+BUCKET_COLUMN = "key_bucket"
+
+
 def upsert_batch(table: str, keys: list[str], order: list[str],
-                 partition_col: str = S.PARTITION_COLUMN,
+                 partition_cols: list[str] = (S.PARTITION_COLUMN,),
                  rollup=None, rollup_table: str | None = None):
     """foreachBatch function: merge a micro-batch into `table`, freshest wins.
 
-    Only the dt partitions the batch touches are read and rewritten. The
-    touched-dt list is collected to the driver: one value per day present
-    in the batch, bounded by the batch's date span, not by its rows. The
-    merged rows are checkpointed (reliable, shared folder) before the
-    partitions they came from are overwritten, so the write never reads
+    Only the partitions the batch touches (dt, or dt x key bucket) are read
+    and rewritten. Their list is collected to the driver: one row per
+    (day, bucket) present in the batch, bounded by days x buckets, not by
+    rows. The merged rows are checkpointed (reliable, shared folder) before
+    the partitions they came from are overwritten, so the write never reads
     the files it replaces.
 
-    With `rollup` (a DataFrame -> DataFrame aggregate keeping `dt`) the
-    same touched partitions of `rollup_table` are recomputed from the
-    merged rows, so a daily rollup stays current without re-reading any
-    untouched day: late data for an old day rewrites that day only.
+    With `rollup` (a DataFrame -> DataFrame aggregate keeping the partition
+    columns) the same partitions of `rollup_table` are recomputed from the
+    merged rows: late data for an old day rewrites that day's (bucket of
+    the) rollup only.
     """
+    cols = list(partition_cols)
+
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        days = [r[0] for r in batch.select(partition_col).distinct().collect()]
-        if not days:
+        touched = batch.select(*cols).distinct().collect()
+        if not touched:
             return
-        old = (spark.read.schema(batch.schema).parquet(table)
-               .filter(F.col(partition_col).isin(days)))
+        cond = None
+        for t in touched:
+            one = None
+            for c in cols:
+                eq = F.col(c) == F.lit(t[c])
+                one = eq if one is None else one & eq
+            cond = one if cond is None else cond | one
+        old = spark.read.schema(batch.schema).parquet(table).filter(cond)
         merged = latest_per_key(old.unionByName(batch), keys, order).checkpoint(eager=True)
         (merged.write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(table))
+         .partitionBy(*cols).parquet(table))
         if rollup is not None:
             (rollup(merged).write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(partition_col).parquet(rollup_table))
+             .partitionBy(*cols).parquet(rollup_table))
     return merge
 
 
 def upsert(spark: SparkSession, src: str, table: str, checkpoint: str,
            keys: list[str] = S.FLIGHTS_KEY, order: list[str] = FLIGHTS_FRESHEST,
            types: dict = S.FLIGHTS_TYPES, schema: StructType = S.RAW_FLIGHTS_SCHEMA,
-           max_files: int | None = 1, rollup=None, rollup_table: str | None = None) -> DataFrame:
+           max_files: int | None = 1, rollup=None, rollup_table: str | None = None,
+           buckets: int | None = None) -> DataFrame:
     """K2: stream raw files into a freshest-wins silver table (and keep an
-    optional per-dt rollup table current)."""
+    optional rollup table current).
+
+    buckets=B also partitions the table by a hash bucket of the natural key
+    (`key_bucket`), so a batch with a few late rows for an old day rewrites
+    only their buckets of that day, not the whole day. The bucket is a
+    function of the key, so freshest-wins inside a bucket is complete.
+    """
     s = typed_projection(raw_stream(spark, src, schema, max_files), types,
                          keep=(S.PARTITION_COLUMN,))
+    cols = [S.PARTITION_COLUMN]
+    if buckets:
+        s = s.withColumn(BUCKET_COLUMN,
+                         F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)))
+        cols.append(BUCKET_COLUMN)
     # create the (empty) table once; "ignore" leaves an existing table alone
     (spark.createDataFrame([], s.schema).write.mode("ignore")
-     .partitionBy(S.PARTITION_COLUMN).parquet(table))
-    q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, rollup=rollup,
+     .partitionBy(*cols).parquet(table))
+    q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, cols, rollup=rollup,
                                                  rollup_table=rollup_table))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)

@@ -111,3 +111,24 @@ def test_stream_watermark_finalises_closed_windows(spark, tmp_dir):
     # days 12 and 13 are closed by the watermark (latest event 14th 09:00 - 2h);
     # day 14 is still open, so it is not emitted yet
     assert got == [(12, 2), (13, 1)]
+
+
+def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    import glob
+    root, table = f"{tmp_dir}/raw", f"{tmp_dir}/silver"
+    _land(root, "2026-08-12", "run1", [
+        _line(f"k{i}", "2026-08-12 20:00:00", "2026-08-12", 13, "2026-08-12 21:00:00")
+        for i in range(40)])
+    first = K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1, buckets=4)
+    assert first.count() == 40
+    before = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/dt=2026-08-12/key_bucket=*")}
+    assert len(before) == 4
+    # a fresher copy of one key arrives late
+    _land(root, "2026-08-12", "late", [
+        _line("k7", "2026-08-12 20:00:00", "2026-08-12", 13, "2026-08-13 09:00:00", "LATE")])
+    out = K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1, buckets=4)
+    assert out.count() == 40
+    assert rows(out.filter("icao24 = 'k7'"), "callsign") == [("LATE",)]
+    after = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/dt=2026-08-12/key_bucket=*")}
+    changed = [p for p in before if before[p] != after[p]]
+    assert len(changed) == 1                     # only k7's bucket was rewritten
