@@ -800,11 +800,11 @@ def stream_daily_signals(spark, sf_dir):
     the mart combines the partials per market-day and is scored from them."""
     out = work_dir(spark, "stream-mart")
     K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver_flights",
-             f"{out}/_ck_flights", max_files=16, rollup=_arrivals_rollup,
+             f"{out}/_ck_flights", max_files=32, rollup=_arrivals_rollup,
              rollup_table=f"{out}/daily_arrivals", buckets=STREAM_BUCKETS)
     K.upsert(spark, landing.landed_weather(spark, sf_dir), f"{out}/silver_weather",
              f"{out}/_ck_weather", keys=S.WEATHER_KEY, order=WEATHER_FRESHEST,
-             types=S.WEATHER_TYPES, schema=S.RAW_WEATHER_SCHEMA, max_files=16,
+             types=S.WEATHER_TYPES, schema=S.RAW_WEATHER_SCHEMA, max_files=32,
              rollup=_weather_rollup, rollup_table=f"{out}/daily_weather",
              buckets=STREAM_BUCKETS)
     daily = counts_from_partials(spark.read.parquet(f"{out}/daily_arrivals"),
