@@ -136,3 +136,27 @@ def test_daily_precip_rounds_before_the_rain_threshold(spark):
     got = [(r.observed_date_local.day, r.precip_total_mm, r.is_rain)
            for r in flags.orderBy("observed_date_local").collect()]
     assert got == [(1, 1.9, 0), (2, 2.0, 1)]    # 1.94 -> no rain, 1.95 -> rain
+
+
+def test_reproduces_the_published_sample_row(spark):
+    """The reference publishes one parity row: LAS 2026-08-13, 725 arrivals,
+    WARMUP, drivers 'arrivals +29.4% vs 7-day (+2); rain (+1)'. Inputs built
+    to match it: three earlier observed days (560, 561, 560 arrivals, so the
+    window is still warming up) and 2.4 mm of rain on the day."""
+    fl = []
+    for day, n in ((10, 560), (11, 561), (12, 560), (13, 725)):
+        for i in range(n):
+            fl.append(("LAS", f"a{i}", dt.datetime(2026, 8, day, 12), D(2026, 8, day), 5))
+    flights = spark.createDataFrame(fl, "market string, icao24 string, arrival_ts_utc "
+                                        "timestamp_ntz, arrival_date_local date, "
+                                        "arrival_hour_local int")
+    wx = spark.createDataFrame([("LAS", D(2026, 8, 13), 95.0, 1.2, 20.0),
+                                ("LAS", D(2026, 8, 13), 97.0, 1.2, 22.0)],
+                               "market string, observed_date_local date, temp_f double, "
+                               "precip_mm double, wind_kmh double")
+    m = marts.daily_signals(flights, wx, spark.createDataFrame([], S.CALENDAR_EVENTS_DDL),
+                            spark.createDataFrame([], S.HOLIDAYS_DDL))
+    r = m.filter("arrival_date_local = DATE'2026-08-13'").first()
+    assert (r.daily_key, r.arrivals, r.demand_pressure) == ("LAS|2026-08-13", 725, "WARMUP")
+    assert r.arrivals_vs_7day_avg_pct == 29.4 and r.pressure_score == 3
+    assert r.score_drivers == "arrivals +29.4% vs 7-day (+2); rain (+1)"
