@@ -132,3 +132,13 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     after = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/dt=2026-08-12/key_bucket=*")}
     changed = [p for p in before if before[p] != after[p]]
     assert len(changed) == 1                     # only k7's bucket was rewritten
+
+
+def test_restart_on_same_checkpoint_changes_nothing(spark, tmp_dir):
+    import glob
+    root, table = f"{tmp_dir}/raw", f"{tmp_dir}/silver"
+    _fixture(root)
+    first = rows(K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1))
+    files = sorted(glob.glob(f"{table}/dt=*/*.parquet"))
+    again = rows(K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1))
+    assert again == first and sorted(glob.glob(f"{table}/dt=*/*.parquet")) == files
