@@ -701,13 +701,8 @@ _RECONCILE_SQL = _chk("gold.drivers_reconcile",
     O.FEEDS, O.MART, _HOURLY_CTE))
 def dq_suite(spark, sf_dir):
     """Every check in one DataFrame (one row per check)."""
-    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), mart(spark, sf_dir)
-    tables = {"gold": m, "silver_flights": fl, "silver_weather": wx,
-              "hourly_curve": marts.hourly_curve(fl)}
-    checks = [Q.unique(fl, S.FLIGHTS_KEY, "silver_flights"),
-              Q.unique(wx, S.WEATHER_KEY, "silver_weather"),
-              Q.unique(m, ["daily_key"], "gold", ignore_nulls=True)]
-    checks += [Q.not_null(tables[t], cols, t) for t, (_, cols) in _NOT_NULL.items()]
+    m = mart(spark, sf_dir)
+    checks = _unique_checks(spark, sf_dir) + _not_null_checks(spark, sf_dir)
     checks += [Q.accepted_values(m, "demand_pressure", S.ACCEPTED_LABELS, "gold"),
                Q.warmup_window(m), Q.reconcile(m)]
     return Q.suite(checks)
