@@ -41,8 +41,9 @@ def extraction_runs(feed: DataFrame) -> list[DataFrame]:
 
 def landed_flights(spark: SparkSession, sf_dir: str) -> str:
     """Path of the landed raw flights table for `sf_dir` (written on first
-    use): one append per extraction run, so each dt folder holds a file per
-    run and a stream over the folder sees the runs as separate files."""
+    use). Both extraction runs land in one job, each as its own branch of a
+    union, so each dt folder holds a file per run and a stream over the
+    folder sees the runs as separate files."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         events = feeds.load_events(spark, sf_dir)
