@@ -32,12 +32,24 @@ DEFAULT_CONF = {
 }
 
 
+def _master_from_launcher() -> bool:
+    """True when spark-submit (or a running context) already decides the
+    master: then we must not override it with a local one."""
+    from pyspark import SparkContext
+    return SparkContext._active_spark_context is not None or \
+        "PYSPARK_GATEWAY_PORT" in os.environ
+
+
 def get_spark(master: str | None = None, app: str = "signalmart",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library defaults."""
-    master = master or os.environ.get("SIGNALMART_MASTER", "local[*]")
-    b = SparkSession.builder.master(master).appName(app)
+    master = master or os.environ.get("SIGNALMART_MASTER")
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    elif not _master_from_launcher():
+        b = b.master("local[*]")  # plain `python` run with nothing configured
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
