@@ -775,6 +775,18 @@ def medallion_gold(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 
+@register("stream_tumbling_hourly", O.with_ctes("""
+    SELECT date_trunc('hour', arrival_ts_utc) AS window_start,
+           date_trunc('hour', arrival_ts_utc) + INTERVAL 1 HOUR AS window_end,
+           market, count(*) AS rows
+    FROM arrivals_feed GROUP BY ALL""", O.FEEDS))
+def stream_tumbling_hourly(spark, sf_dir):
+    """K3 (hourly): per-market arrival rows in one-hour tumbling windows."""
+    out = work_dir(spark, "stream-tumbling-hourly")
+    return K.tumbling_counts(spark, landing.landed_flights(spark, sf_dir), f"{out}/counts",
+                             f"{out}/_checkpoint", every="1 hour", max_files=16)
+
+
 _PART = [S.PARTITION_COLUMN, K.BUCKET_COLUMN]
 STREAM_BUCKETS = 2  # per-day key buckets; size to ~1 GB per (day, bucket) at scale
 
