@@ -142,3 +142,11 @@ def test_salted_landing_bounds_files_per_day(spark, tmp_dir):
     assert max(per_day(f"{tmp_dir}/salted")) <= 3 < max(per_day(f"{tmp_dir}/plain"))
     back = read_partitioned(spark, f"{tmp_dir}/salted", S.RAW_FLIGHTS_SCHEMA)
     assert back.count() == 4000                       # nothing dropped
+
+
+def test_local_table_literals_round_trip(spark):
+    import datetime as dt
+    data = [(dt.date(2026, 1, 1), "New Year's Day"), (dt.date(2026, 2, 2), "a\\b 'c' \"d\""),
+            (dt.date(2026, 3, 3), None)]
+    got = rows(local_table(spark, data, S.HOLIDAYS_DDL))
+    assert got == rows(spark.createDataFrame(data, S.HOLIDAYS_DDL))
