@@ -47,9 +47,9 @@ def main(argv):
             continue
         head, full = tree(fn(spark, sf_dir))
         c = lambda pat: len(re.findall(pat, head))
-        scans = re.findall(r"Location: \w+ \[[^\]]*/([\w.]+)\]\n(?:.*\n)*?ReadSchema: (struct<[^>]*>)",
+        scans = re.findall(r"Location: \w+ \[[^\]]*/([\w.]+)\]\n(?:.*\n)*?ReadSchema: struct<(.*)>\n",
                            full)
-        scan_txt = "; ".join(f"{t}: {s.replace('struct<', '').rstrip('>')}" for t, s in scans)
+        scan_txt = "; ".join(f"{t}: {s}" for t, s in scans)
         print(f"| {name} | {c(r'(?<![A-Za-z])Exchange \(')} | {c(r'BroadcastExchange \(')} | "
               f"{c(r'SortMergeJoin')} | {len(re.findall(r'row_number\(\), 1, Partial', full))} | "
               f"{c(r'HashAggregate')} | {c(r' Window \(')} | {c(r'Subquery')} | "
