@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from signalmart.llm import exact_dedup
+from signalmart.llm import exact_dedup, minhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,14 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register("op1_minhash_near_dedup")
+def op1_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate components of whole texts at a similarity of 0.85."""
+    marked = minhash.near_groups(table(spark, sf_dir, "documents"), percent=85)
+    return marked.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @register("op4_exact_dedup", """
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
