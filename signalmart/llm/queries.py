@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from signalmart.llm import exact_dedup, minhash
+from signalmart.llm import benchmark_scan, exact_dedup, minhash
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +41,37 @@ def op4_exact_dedup(spark, sf_dir):
     marked = exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
     return marked.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
                          F.col("digest").alias("text_sha256"))
+
+
+@register("op10_benchmark_decontamination", """
+    WITH d AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+        FROM documents),
+    b AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') AS w
+        FROM benchmark),
+    grams AS (
+        SELECT DISTINCT item, k, list_slice(w, s, s + k - 1) AS gram
+        FROM (SELECT item, w, least(len(w), 13) AS k, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS s
+              FROM b WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT k FROM grams),
+    places AS (
+        SELECT doc_id, k, s, list_slice(w, s, s + k - 1) AS gram
+        FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, sizes WHERE len(w) >= k)),
+    hits AS (SELECT doc_id, s, p.k, item FROM places p JOIN grams g ON p.k = g.k AND p.gram = g.gram),
+    covered AS (SELECT doc_id, count(DISTINCT x) AS n_hit
+                FROM (SELECT doc_id, unnest(range(s, s + k)) AS x FROM hits) GROUP BY doc_id),
+    named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+              FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""")
+def op10_benchmark_decontamination(spark, sf_dir):
+    """Words of each document inside a test window, and the items hit."""
+    marked = benchmark_scan.mark_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                           carry=["doc_id"])
+    return marked.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
