@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from signalmart.llm import benchmark_scan, exact_dedup, minhash
+from signalmart.llm import benchmark_scan, exact_dedup, minhash, toxicity
+from signalmart.llm.common import remainder, text_column
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -75,3 +76,18 @@ def op10_benchmark_decontamination(spark, sf_dir):
                                            carry=["doc_id"])
     return marked.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                          F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def toxicity_model(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(table(spark, sf_dir, "documents"), labels, remainder(labels["doc_id"], 5) != 0)
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    """Toxicity score of every document; a fifth of the ids is held out."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", (remainder(docs["doc_id"], 5) == 0).alias("held_out"),
+                        toxicity.scored(text_column(docs, "text"), toxicity_model(spark, sf_dir)).alias("s"))
+    return found.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
+                        "s.neighbours", "s.terms")
