@@ -3,11 +3,16 @@ DataFrame, and DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from signalmart.llm import benchmark_scan, exact_dedup, minhash, toxicity
+from signalmart.llm import benchmark_scan, exact_dedup, minhash, sentence_pieces, toxicity
 from signalmart.llm.common import remainder, text_column
 
+#: A public SentencePiece model; the environment names another.
+PIECES = os.environ.get("SIGNALMART_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -91,3 +96,20 @@ def op8_toxicity(spark, sf_dir):
                         toxicity.scored(text_column(docs, "text"), toxicity_model(spark, sf_dir)).alias("s"))
     return found.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
                         "s.neighbours", "s.terms")
+
+
+def piece_rows(docs, model, carry):
+    """``carry`` columns, ids and exact of each document."""
+    return docs.select(*carry, sentence_pieces.encoded(text_column(docs, "text"), model).alias("e")).select(
+        *carry, F.col("e.ids").alias("ids"), F.col("e.exact").alias("exact"))
+
+
+@register("op6_sentence_pieces")
+def op6_sentence_pieces(spark, sf_dir):
+    """Pieces of every document and the text they decode to."""
+    model = sentence_pieces.read_model(PIECES)
+    docs = table(spark, sf_dir, "documents")
+    coded = piece_rows(docs, model, ["doc_id"])
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "exact",
+                        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(sentence_pieces.decoded(F.col("ids"), model).cast("binary"), 256).alias("decoded_sha256"))
