@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from signalmart.llm import benchmark_scan, exact_dedup, minhash, sentence_pieces, toxicity
+from signalmart.llm import benchmark_scan, exact_dedup, minhash, quality, sentence_pieces, toxicity
 from signalmart.llm.common import remainder, text_column
 
 #: A public SentencePiece model; the environment names another.
@@ -113,3 +113,13 @@ def op6_sentence_pieces(spark, sf_dir):
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "exact",
                         F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").cast("binary"), 256).alias("ids_sha256"),
                         F.sha2(sentence_pieces.decoded(F.col("ids"), model).cast("binary"), 256).alias("decoded_sha256"))
+
+
+@register("op2_quality")
+def op2_quality(spark, sf_dir):
+    """Quality score of every document; a third of the ids is held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels, remainder(labels["doc_id"], 3) != 1)
+    found = docs.select("doc_id", (remainder(docs["doc_id"], 3) == 1).alias("held_out"),
+                        quality.scored(text_column(docs, "text"), model).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
