@@ -1,8 +1,8 @@
 """Quality by nearest-neighbour voting among labelled latent-semantic vectors.
 
 A text's terms are its lower-cased words and its three-byte sequences as they
-stand (case, punctuation and repetition show there), hashed into a fixed
-number of buckets. Inverse document frequencies are counted over the whole
+stand, hashed into a fixed number of buckets, and a few style terms (levels
+of repetition, capitals, signs). Inverse document frequencies are counted over the whole
 corpus. A bounded sample of labelled rows gives the latent space (truncated
 SVD of its TF-IDF matrix) and the labelled vectors, which are broadcast.
 Every document is folded into the space and its cosines with all labelled
@@ -27,12 +27,28 @@ from pyspark.sql import functions as F
 from signalmart.llm.common import stored, text_column, text_groups, utf8_parts
 from signalmart.llm.shingles import word_hashes
 
-BUCKETS = 4096   # half for words, half for byte sequences
+#: Hash buckets of words and of byte sequences, and those of the style terms.
+WORDS, BYTES, STYLE = 2048, 2048, 55
+BUCKETS = WORDS + BYTES + STYLE
+_BLOCKS = (slice(0, WORDS), slice(WORDS, WORDS + BYTES), slice(WORDS + BYTES, BUCKETS))
 #: Bounds of the model: labelled rows per class, rows the space is fitted on.
 EXAMPLES, FITTED = 4_000, 2_000
 DIMENSIONS, NEIGHBOURS, SHARPNESS = 48, 15, 6
 _GROUP = 1 << 19
-_HALF = BUCKETS // 2
+_KIND = np.zeros(256, np.int64)  # 1 small letter, 2 capital, 3 white space, 4 other ASCII but digits
+_KIND[97:123], _KIND[65:91], _KIND[[9, 10, 11, 12, 13, 32]] = 1, 2, 3
+_KIND[[b for b in range(33, 127) if not chr(b).isalnum()]] = 4
+
+
+def style(text: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Five terms: shares of words that repeat the one before, of distinct
+    words, of capitals, of white space and of other signs, each as one of
+    eleven levels that are finer near 0."""
+    kinds = np.bincount(_KIND[text], minlength=5)
+    n = max(1, len(words))
+    shares = np.array([np.count_nonzero(words[1:] == words[:-1]) / n, len(np.unique(words)) / n,
+                       kinds[2] / max(1, kinds[1] + kinds[2]), kinds[3] / len(text), kinds[4] / len(text)])
+    return np.arange(5) * 11 + np.floor(10 * np.sqrt(shares)).astype(np.int64)
 
 
 def term_matrix(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -43,13 +59,14 @@ def term_matrix(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(text) == 0:
             continue
         words = word_hashes(text)
-        out[i, :_HALF] = np.bincount((words >> np.uint64(40)).astype(np.int64) % _HALF, minlength=_HALF)
+        out[i, :WORDS] = np.bincount((words >> np.uint64(40)).astype(np.int64) % WORDS, minlength=WORDS)
+        out[i, WORDS + BYTES + style(text, words)] = 1
         if len(text) > 2:
             for at in range(0, len(text) - 2, _GROUP):  # a long text in pieces
                 part = text[at:at + _GROUP + 2].astype(np.uint32)
                 code = (part[:-2] * np.uint32(65_599) + part[1:-1]) * np.uint32(65_599) + part[2:]
                 code = (code * np.uint32(2_654_435_761)) >> np.uint32(16)
-                out[i, _HALF:] += np.bincount(code % _HALF, minlength=_HALF)
+                out[i, WORDS:WORDS + BYTES] += np.bincount(code % BYTES, minlength=BYTES)
     return out
 
 
@@ -76,11 +93,11 @@ class Model:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of (1 + ln tf) * idf of length 1, words and byte sequences with
-    equal shares."""
+    """Rows of (1 + ln tf) * idf , with words, byte sequences and style
+    terms each of length 1."""
     out = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0).astype(np.float32) * idf
-    for half in (out[:, :_HALF], out[:, _HALF:]):
-        half /= np.maximum(np.sqrt((half ** 2).sum(axis=1, keepdims=True)), 1e-9)
+    for block in _BLOCKS:
+        out[:, block] /= np.maximum(np.sqrt((out[:, block] ** 2).sum(axis=1, keepdims=True)), 1e-9)
     return out
 
 
