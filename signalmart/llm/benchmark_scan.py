@@ -2,10 +2,12 @@
 
 Every benchmark item gives its windows of 13 consecutive words (an item of
 fewer words is one window). The hashes of the distinct windows form the set
-that is broadcast; its size is bounded before it is: above ``BROADCAST_ROWS``
-windows the same join runs as a shuffle join. Each document's token windows
-are scanned against the set where they lie, a hit is verified on the words
-themselves, and only verified hits are shuffled.
+that is broadcast, 8 MB at most. The windows themselves, against which hits
+are verified, are broadcast up to ``BROADCAST_ROWS``; beyond that the same
+join runs as a shuffle join. Each document's token windows
+are scanned against the set where they lie (a bit set over each window's
+first, middle and last word), a hit is verified on all its words, and only
+verified hits are shuffled.
 
 Built-in functions only, no Python runs on the executors.
 
@@ -50,6 +52,40 @@ def item_windows(items: DataFrame, text: str = "text", item_id: str = "item_id")
             .withColumn("hash", F.xxhash64("window")))
 
 
+def probe(words: Column, start: Column | int, size: int) -> Column:
+    """A hash of a window's first, middle and last word."""
+    return F.xxhash64(*[F.get(words, F.lit(start) + k) for k in sorted({0, (size - 1) // 2, size - 1})])
+
+
+def _bits(count: int) -> int:
+    """Size of the hash set: 64 bits a window or more, a power of two, 2^26
+    (8 MB) at most; a fuller set only lets more candidates through."""
+    return 1 << min(26, max(12, (64 * count - 1).bit_length()))
+
+
+def hash_set(windows: DataFrame, count: int) -> Column:
+    """The windows' probes as a bit set, an array of 64-bit words: one value
+    that a scalar subquery ships to every task."""
+    size = _bits(count)
+    spot = None
+    for k in range(1, WINDOW + 1):
+        one = windows.filter(F.col("length") == k).select(probe(F.col("window"), 0, k).alias("h"))
+        spot = one if spot is None else spot.unionByName(one)
+    spot = spot.select(F.col("h").bitwiseAND(F.lit(size - 1)).alias("h"))
+    held = spot.select(F.shiftright("h", 6).alias("at"), F.expr("shiftleft(1L, CAST(h & 63 AS INT))").alias("bit")) \
+        .groupBy("at").agg(F.bit_or("bit").alias("bits"))
+    every = windows.sparkSession.range(size // 64).withColumnRenamed("id", "at").join(held, "at", "left")
+    whole = every.agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
+                      .alias("a")).select(F.col("a.bits"))
+    return whole.scalar()
+
+
+def in_set(bits: str, h: Column) -> Column:
+    spot = h.bitwiseAND(F.size(bits).cast("long") * 64 - 1)
+    word = F.get(bits, F.shiftright(spot, 6).cast("int"))
+    return F.getbit(word, spot.bitwiseAND(F.lit(63))) == 1
+
+
 def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
@@ -61,22 +97,24 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", item_text: str =
     ``n_hit`` (words in them) and ``items`` (sorted as strings)."""
     windows = stored(item_windows(items, item_text, item_id), "windows")
     lengths = windows.groupBy("length").count().collect()  # 13 rows at most
-    few = sum(r["count"] for r in lengths) <= BROADCAST_ROWS
-    test = F.broadcast(windows) if few else windows
+    count = sum(r["count"] for r in lengths)
+    test = F.broadcast(windows) if count <= BROADCAST_ROWS else windows
 
     whole = text_column(docs, text)
-    words = docs.select(text_key(whole).alias("key"), words_of(whole).alias("words"))
+    bits = hash_set(windows, count)
+    words = docs.select(text_key(whole).alias("key"), words_of(whole).alias("words"), bits.alias("bits"))
 
-    def windows_of(size: int) -> Column:
+    def candidates(size: int) -> Column:
         starts = F.when(F.size("words") >= size, F.sequence(F.lit(0), F.size("words") - size))
+        starts = F.filter(starts, lambda i: in_set("bits", probe(F.col("words"), i, size)))
         return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.struct(
             i.alias("start"), F.lit(size).alias("length"), F.slice("words", i + 1, size).alias("window")))
 
     sizes = sorted(r["length"] for r in lengths) or [WINDOW]
     each = words.select("key", F.explode(
-        windows_of(sizes[0]) if len(sizes) == 1 else F.flatten(F.array(*map(windows_of, sizes)))).alias("w"))
+        candidates(sizes[0]) if len(sizes) == 1 else F.flatten(F.array(*map(candidates, sizes)))).alias("w"))
     each = each.select("key", "w.*").withColumn("hash", F.xxhash64("window"))
-    # the hash finds the candidates, equal words make the hit
+    # equal words make the hit
     hits = each.join(test, ["hash", "length", "window"]).select("key", "start", "length", "items")
     hits = hits.groupBy("key", "start", "length").agg(F.first("items").alias("items"))
 
