@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from signalmart.llm import benchmark_scan, exact_dedup, minhash, quality, sentence_pieces, toxicity
+from signalmart.llm import benchmark_scan, exact_dedup, minhash, quality, repeated_spans, sentence_pieces, toxicity
 from signalmart.llm.common import remainder, text_column
 
 #: A public SentencePiece model; the environment names another.
@@ -123,3 +123,12 @@ def op2_quality(spark, sf_dir):
     found = docs.select("doc_id", (remainder(docs["doc_id"], 3) == 1).alias("held_out"),
                         quality.scored(text_column(docs, "text"), model).alias("score"))
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@register("op7_suffix_array_dedup")
+def op7_suffix_array_dedup(spark, sf_dir):
+    """Bytes of each document covered by a 200-byte string that repeats."""
+    found = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
+                        F.when(F.col("kept").isNull(), F.col("whole_sha256"))
+                        .otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
