@@ -7,7 +7,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from signalmart.llm import benchmark_scan, exact_dedup, minhash, quality, repeated_spans, sentence_pieces, toxicity
+from signalmart.llm import (
+    benchmark_scan, exact_dedup, license_scan, minhash, quality, repeated_spans, sentence_pieces, site_lines, toxicity)
 from signalmart.llm.common import remainder, text_column
 
 #: A public SentencePiece model; the environment names another.
@@ -132,3 +133,61 @@ def op7_suffix_array_dedup(spark, sf_dir):
     return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans",
                         F.when(F.col("kept").isNull(), F.col("whole_sha256"))
                         .otherwise(F.sha2("kept", 256)).alias("kept_sha256"))
+
+
+_LINES_SQL = f"""
+    WITH p AS (
+        SELECT row_number() OVER () AS r, page_id,
+            lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)) AS host,
+            list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+                coalesce(html, ''), '{site_lines.HIDDEN}', '', 'g'), '{site_lines.BLOCK}', chr(10), 'g'),
+                '{site_lines.TAG}', '', 'g'), '[ \\t\\r\\f]+', ' ', 'g'), chr(10)), lambda x: trim(x)),
+                lambda x: x <> '') AS lines
+        FROM pages),
+    c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p) GROUP BY ALL),
+    t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+    b AS (SELECT host, line FROM c JOIN t USING (host) WHERE n >= {site_lines.LEAST_PAGES} AND n > pages * {site_lines.RATIO}),
+    e AS (SELECT r, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS k FROM p),
+    s AS (SELECT r, count(*) AS n, string_agg(line, chr(10) ORDER BY k) AS text
+          FROM e ANTI JOIN b USING (host, line) GROUP BY r)
+    SELECT page_id, host, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped,
+           sha256(coalesce(text, '')) AS kept_sha256
+    FROM p LEFT JOIN s USING (r)"""
+
+
+@register("op3_site_lines", _LINES_SQL)
+def op3_site_lines(spark, sf_dir):
+    """Pages without the lines that are boilerplate on their host."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = site_lines.drop_site_lines(pages, site_lines.html_text(pages["html"]), pages["url"])
+    return found.select("row.page_id", "host", "n_lines", "n_dropped",
+                        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def _canonical_sql(text: str) -> str:
+    out = f"lower({text})"
+    for spelling, same in license_scan.SPELLINGS:
+        out = f"replace({out}, '{spelling}', '{same}')"
+    return (f"list_filter(list_transform(string_split(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)), "
+            f"lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(x, '{license_scan.COPYRIGHT_LINE}'))")
+
+
+def _license_sql() -> str:
+    known = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in license_scan.KNOWN)
+    return f"""
+    WITH known(license, text) AS (VALUES {known}),
+    k AS (SELECT array_to_string({_canonical_sql("text")}, ' ') AS canonical, min(license) AS license FROM known GROUP BY 1),
+    d AS (SELECT row_number() OVER () AS r, doc_id, {_canonical_sql("coalesce(text, '')")} AS lines FROM documents),
+    n AS (SELECT r, count(DISTINCT license) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS ids
+          FROM (SELECT r, unnest(list_distinct(lines)) AS line FROM d) JOIN k ON line = canonical GROUP BY r)
+    SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest, license, CAST(coalesce(n, 0) AS BIGINT) AS n_notices,
+           coalesce(ids, '') AS notices
+    FROM d LEFT JOIN k ON canonical = array_to_string(lines, ' ') LEFT JOIN n USING (r)"""
+
+
+@register("op9_license_scan", _license_sql())
+def op9_license_scan(spark, sf_dir):
+    """The known licence each document is, and the notices it holds."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"), license_scan.default_known(spark), carry=["doc_id"])
+    return found.select("row.doc_id", "digest", "license", F.size("notices").cast("long").alias("n_notices"),
+                        F.array_join("notices", ",").alias("notices"))
