@@ -8,8 +8,8 @@ import os
 from pyspark.sql import functions as F
 
 from signalmart.llm import (
-    benchmark_scan, exact_dedup, license_scan, minhash, quality, repeated_spans, sentence_pieces, site_lines, toxicity)
-from signalmart.llm.common import remainder, text_column
+    benchmark_scan, exact_dedup, license_scan, minhash, quality, repeated_spans, sentence_pieces, site_lines, toxicity, warc)
+from signalmart.llm.common import remainder, stored, text_column
 
 #: A public SentencePiece model; the environment names another.
 PIECES = os.environ.get("SIGNALMART_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -191,3 +191,12 @@ def op9_license_scan(spark, sf_dir):
     found = license_scan.scan(table(spark, sf_dir, "documents"), license_scan.default_known(spark), carry=["doc_id"])
     return found.select("row.doc_id", "digest", "license", F.size("notices").cast("long").alias("n_notices"),
                         F.array_join("notices", ",").alias("notices"))
+
+
+@register("op5_warc_fixity")
+def op5_warc_fixity(spark, sf_dir):
+    """Pages as WARC records in two replicas, one of them damaged: the
+    records that the audit finds."""
+    first = stored(warc.archived(table(spark, sf_dir, "pages")), "replica")
+    second = stored(warc.damaged(first), "replica")
+    return warc.audit(first, second)
