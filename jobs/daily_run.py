@@ -4,6 +4,7 @@
         --flights s3://.../raw/flights --weather s3://.../raw/weather \\
         --events s3://.../seeds/events.csv --holidays s3://.../seeds/holidays.csv \\
         --out s3://.../warehouse
+    spark-submit --py-files signalmart.zip jobs/daily_run.py update --flights s3://.../raw/flights ... --out s3://.../warehouse
     spark-submit --py-files signalmart.zip jobs/daily_run.py check --out s3://.../warehouse
     spark-submit --py-files signalmart.zip jobs/daily_run.py alert --out s3://.../warehouse
 

@@ -2,13 +2,19 @@
 
   python -m signalmart normalize --kind arrivals --payloads DIR --markets CSV --out RAW
   python -m signalmart build  --flights RAW --weather RAW --events CSV --holidays CSV --out DIR
+  python -m signalmart update --flights RAW --weather RAW --events CSV --holidays CSV --out DIR
   python -m signalmart check  --out DIR       # quality suite, exit 1 on any failure
   python -m signalmart alert  --out DIR       # latest-day digest; lists HIGH markets
 
-`normalize` turns landed API payloads (JSON lines under <dir>/<market>/...)
-into headerless raw CSV under dt= folders. `build` writes bronze, silver and
-gold tables under --out (a shared folder on a cluster) and prints the layer
-row counts. `check` and `alert` read the written tables.
+`normalize` turns landed API payloads (JSON lines in <dir>/<market>/<pull>)
+into headerless raw CSV under dt= and pull= folders. A payload's pull time is
+the UTC stamp in its file's name (yyyyMMddTHHmmss) or else the file's time, and
+its file names the pull, so a repeated run replaces what it landed before.
+Documents it can't use (malformed, unknown market) go to <out>_rejects and are
+counted. `build` rebuilds bronze, silver and gold tables under --out (a shared
+folder on a cluster) and prints the layer row counts. `update` takes in only
+the raw files that are new since its last run and rescores the gold table.
+`check` and `alert` read the written tables.
 """
 
 from __future__ import annotations
@@ -22,9 +28,9 @@ from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 from signalmart.operators import alerts as A
-from signalmart.operators.calendar import bounded_broadcast
 from signalmart.operators import quality as Q
-from signalmart.plans import medallion
+from signalmart.plans import incremental, marts, medallion
+from signalmart.session import session_conf
 from signalmart.sources import payloads as P
 from signalmart.sources.raw import land_raw, read_seed
 
@@ -38,33 +44,74 @@ def _session(spark: SparkSession | None) -> SparkSession:
     return get_spark()
 
 
-def _market_from_path(col: str = "source_file"):
-    return F.regexp_extract(F.col(col), r"/([^/]+)/[^/]+$", 1)
+#: FIXED VALUE: a UTC stamp in a payload's file name.
+_STAMP = r"(\d{8})T?(\d{6})"
+
+
+def _documents(spark: SparkSession, payloads: str):
+    """Payload documents with market, pull time and extraction id."""
+    docs = P.read_json_lines(spark, payloads.rstrip("/"))
+    name = F.regexp_extract("source_file", r"([^/]+)$", 1)
+    day, time = F.regexp_extract(name, _STAMP, 1), F.regexp_extract(name, _STAMP, 2)
+    stamp = F.try_to_timestamp(F.concat(day, time), F.lit("yyyyMMddHHmmss"))
+    pulled = F.coalesce(stamp.cast("timestamp_ntz"),
+                        F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("file_time").cast("timestamp_ntz")))
+    market = F.regexp_extract(F.col("source_file"), r"/([^/]+)/[^/]+$", 1)
+    return docs.select(
+        "payload", "source_file", market.alias("market"),
+        F.date_format(pulled, S.RAW_TS_FORMAT).alias("extracted_at"),
+        F.concat_ws("/", market, name).alias(S.EXTRACTION_COLUMN),
+        F.concat_ws("-", market, F.regexp_replace(name, r"[^A-Za-z0-9]+", "_")).alias(S.PULL_COLUMN))
 
 
 def normalize(spark: SparkSession, kind: str, payloads: str, markets_csv: str, out: str) -> int:
-    docs = P.read_json_lines(spark, f"{payloads.rstrip('/')}/*/*")
-    docs = docs.withColumn("market", _market_from_path()).withColumn(
-        "extracted_at", F.date_format(F.current_timestamp(), S.RAW_TS_FORMAT))
+    docs = _documents(spark, payloads)
+    bad = P.rejects(docs, "payload", P.ARRIVALS_PAYLOAD if kind == "arrivals" else P.WEATHER_PAYLOAD)
+    bad = bad.withColumn("reason", F.lit("malformed document"))
     if kind == "arrivals":
-        dim = read_seed(spark, markets_csv, S.MARKETS_DDL).select(
-            F.col("market").alias("_m"), "tz")
-        # a seed file of unknown size: broadcast only after a row-count check
-        docs = docs.join(bounded_broadcast(dim), docs["market"] == dim["_m"])
-        rows = P.arrival_rows(docs, "payload", "market", "tz", "extracted_at")
+        dim = read_seed(spark, markets_csv, S.MARKETS_DDL).select(F.col("market").alias("_m"), "tz")
+        docs = docs.join(dim, docs["market"] == dim["_m"], "left").drop("_m")
+        bad = bad.unionByName(docs.filter("tz IS NULL").drop("tz").withColumn("reason", F.lit("unknown market")))
+        rows = P.arrival_rows(docs.filter("tz IS NOT NULL"), "payload", "market", "tz", "extracted_at")
         cols, dt_col = S.FLIGHTS_COLUMNS, "arrival_date_local"
     else:
         rows = P.weather_rows(docs, "payload", "market", "extracted_at")
         cols, dt_col = S.WEATHER_COLUMNS, "observed_date_local"
-    land_raw(rows.withColumn(S.PARTITION_COLUMN, F.col(dt_col)), out, cols, mode="append")
+    land_raw(rows.withColumn(S.PARTITION_COLUMN, F.col(dt_col)), out, [*cols, S.EXTRACTION_COLUMN],
+             (S.PARTITION_COLUMN, S.PULL_COLUMN))
+    bad.write.mode("overwrite").parquet(f"{out.rstrip('/')}_rejects")
+    counts = spark.read.schema(bad.schema).parquet(f"{out.rstrip('/')}_rejects").groupBy("reason").count().collect()
+    for r in counts:  # a row per reason
+        print(f"{r['count']} documents left out: {r['reason']}")
     return 0
 
 
+def _schemas(plain: bool) -> dict:
+    return {"flights_schema": S.PLAIN_FLIGHTS_SCHEMA if plain else S.RAW_FLIGHTS_SCHEMA,
+            "weather_schema": S.PLAIN_WEATHER_SCHEMA if plain else S.RAW_WEATHER_SCHEMA}
+
+
+def _seeds(spark: SparkSession, events: str, holidays: str):
+    return read_seed(spark, events, S.CALENDAR_EVENTS_DDL), read_seed(spark, holidays, S.HOLIDAYS_DDL)
+
+
 def build(spark: SparkSession, flights: str, weather: str, events: str, holidays: str,
-          out: str) -> dict:
-    cal = read_seed(spark, events, S.CALENDAR_EVENTS_DDL)
-    hol = read_seed(spark, holidays, S.HOLIDAYS_DDL)
-    return medallion.build(spark, flights, weather, cal, hol, out, database=DB)
+          out: str, plain: bool = False) -> dict:
+    return medallion.build(spark, flights, weather, *_seeds(spark, events, holidays), out, database=DB,
+                           **_schemas(plain))
+
+
+def update(spark: SparkSession, flights: str, weather: str, events: str, holidays: str,
+           out: str, plain: bool = False) -> dict:
+    """New raw files only: silver and rollups by upsert, then the gold table
+    from the rollups."""
+    out = out.rstrip("/")
+    incremental.refresh(spark, flights, weather, out, **_schemas(plain))
+    gold = incremental.signals(spark, out, *_seeds(spark, events, holidays))
+    gold.write.mode("overwrite").parquet(f"{out}/gold_daily_signals")
+    marts.hourly_curve(incremental.silver(spark, out, "flights")).write.mode("overwrite").parquet(
+        f"{out}/gold_hourly_arrival_curve")
+    return {"gold_daily": spark.read.parquet(f"{out}/gold_daily_signals").count()}
 
 
 def _attach(spark: SparkSession, out: str) -> None:
@@ -78,8 +125,7 @@ def _attach(spark: SparkSession, out: str) -> None:
 
 def check(spark: SparkSession, out: str) -> list:
     _attach(spark, out)
-    fl = spark.read.parquet(f"{out.rstrip('/')}/silver_flights")
-    wx = spark.read.parquet(f"{out.rstrip('/')}/silver_weather")
+    fl, wx = (incremental.silver(spark, out.rstrip("/"), k) for k in ("flights", "weather"))
     gold = spark.table(f"{DB}.gold_daily_signals")
     curve = spark.table(f"{DB}.gold_hourly_arrival_curve")
     checks = [Q.unique(fl, S.FLIGHTS_KEY, "silver_flights"),
@@ -103,6 +149,7 @@ def alert(spark: SparkSession, out: str) -> dict:
     if not digest:
         print("No mart rows found.")
         return {"high": [], "digest": None}
+    print(digest[0].subject)
     print(digest[0].digest)
     print(("HIGH: " + ", ".join(high)) if high else "No HIGH market today.")
     return {"high": high, "digest": digest[0].digest}
@@ -116,9 +163,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     n.add_argument("--payloads", required=True)
     n.add_argument("--markets")
     n.add_argument("--out", required=True)
-    b = sub.add_parser("build")
-    for a in ("--flights", "--weather", "--events", "--holidays", "--out"):
-        b.add_argument(a, required=True)
+    for name in ("build", "update"):
+        b = sub.add_parser(name)
+        for a in ("--flights", "--weather", "--events", "--holidays", "--out"):
+            b.add_argument(a, required=True)
+        b.add_argument("--plain-raw", action="store_true", help="raw files without an extraction id")
+        b.add_argument("--file-bytes", help="target size of table files, e.g. 256m")
     for name in ("check", "alert"):
         sub.add_parser(name).add_argument("--out", required=True)
     args = ap.parse_args(argv)
@@ -127,9 +177,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if args.kind == "arrivals" and not args.markets:
             ap.error("--markets is required for arrivals")
         return normalize(spark, args.kind, args.payloads, args.markets, args.out)
-    if args.cmd == "build":
-        print(json.dumps(build(spark, args.flights, args.weather, args.events, args.holidays,
-                               args.out)))
+    if args.cmd in ("build", "update"):
+        run = build if args.cmd == "build" else update
+        size = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": args.file_bytes} if args.file_bytes else {}
+        with session_conf(spark, **size):
+            print(json.dumps(run(spark, args.flights, args.weather, args.events, args.holidays,
+                                 args.out, args.plain_raw)))
         return 0
     if args.cmd == "check":
         try:

@@ -19,9 +19,18 @@ def blank_to_null(c, trim: bool = True) -> Column:
     return F.nullif(F.trim(c) if trim else c, F.lit(""))
 
 
+# FIXED VALUE: white space of any kind (ASCII, control separators, Unicode).
+WHITE = r"[\x09-\x0D\x1C-\x20\x{85}\p{Z}]+"
+
+
+def strip(c) -> Column:
+    """Without the white space at either end."""
+    return F.regexp_replace(col(c), f"^{WHITE}|{WHITE}$", "")
+
+
 def clean_code(c) -> Column:
     """Strip and drop commas so the value is safe in a delimited file; NULL -> ''."""
-    return F.regexp_replace(F.trim(F.coalesce(col(c), F.lit(""))), ",", "")
+    return F.replace(strip(F.coalesce(col(c), F.lit(""))), F.lit(","), F.lit(""))
 
 
 def typed(c: str, sql_type: str | None, tolerant: bool = False) -> Column:

@@ -7,14 +7,8 @@ from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 
-ALERT_COLUMNS = ["market", "arrival_date_local", "arrivals", "arrivals_vs_7day_avg_pct",
-                 "demand_pressure", "event_name", "score_drivers", "interpretation"]
-RECENT_COLUMNS = ["market", "arrival_date_local", "arrivals", "pressure_score",
-                  "demand_pressure", "score_drivers"]
-
-
 def latest_snapshot(mart: DataFrame, date_col: str = "arrival_date_local",
-                    columns: list[str] = tuple(ALERT_COLUMNS)) -> DataFrame:
+                    columns: list[str] = tuple(S.ALERT_COLUMNS)) -> DataFrame:
     """All markets' rows on the *global* latest date (a market whose feed
     lags that day is absent), ordered by market.
 
@@ -37,33 +31,38 @@ def _fmt_pct(c):
 
 
 def digest_line():
-    """One line per market: label, counts, deviation, drivers."""
+    """Two lines per market: label, counts, deviation and drivers, then what
+    the label means."""
     return F.concat(
         F.col("market"), F.lit(": "), F.col("demand_pressure"),
         F.lit(" | "), F.col("arrivals").cast("string"), F.lit(" arrivals, "),
         _fmt_pct("arrivals_vs_7day_avg_pct"), F.lit("% vs trailing avg | why: "),
-        F.col("score_drivers"))
+        F.col("score_drivers"), F.lit("\n  "), F.coalesce("interpretation", F.lit("")))
 
 
-def alert_digest(snapshot: DataFrame, date_col: str = "arrival_date_local") -> DataFrame:
-    """One text row per day: header, one line per market (sorted), footer.
+def alert_digest(rows: DataFrame, date_col: str = "arrival_date_local") -> DataFrame:
+    """One message per day: a subject that names the HIGH markets, and a text
+    of header, two lines per market (sorted) and footer.
 
     The group is the markets of one day, so it is bounded by the market
     dimension, not by the fact data.
     """
     lines = F.array_sort(F.collect_list(F.struct(F.col("market"), digest_line().alias("line"))))
-    g = snapshot.groupBy(date_col).agg(
-        F.count(F.lit(1)).alias("markets"),
-        F.count_if(F.col("demand_pressure") == "HIGH").alias("high_markets"),
-        lines.alias("_lines"))
+    high = F.array_sort(F.collect_list(F.when(F.col("demand_pressure") == "HIGH", F.col("market"))))
+    g = rows.groupBy(date_col).agg(
+        F.count(F.lit(1)).alias("markets"), high.alias("_high"), lines.alias("_lines"))
     body = F.array_join(F.transform("_lines", lambda s: s["line"]), "\n")
-    text = F.concat(F.lit("Demand signals for "), F.col(date_col).cast("string"),
-                    F.lit("\n"), body, F.lit("\n"), F.lit(S.DIGEST_FOOTER))
-    return g.select(date_col, "markets", "high_markets", text.alias("digest"))
+    day = F.col(date_col).cast("string")
+    subject = F.concat(F.lit("Demand signals "), day, F.lit(": "),
+                       F.when(F.size("_high") > 0, F.concat(F.lit("HIGH in "), F.array_join("_high", ", ")))
+                       .otherwise(F.lit("no HIGH market")))
+    text = F.concat(F.lit("Demand signals for "), day, F.lit("\n"), body, F.lit("\n"), F.lit(S.DIGEST_FOOTER))
+    return g.select(date_col, "markets", F.size("_high").cast("long").alias("high_markets"),
+                    subject.alias("subject"), text.alias("digest"))
 
 
 def top_recent(mart: DataFrame, n: int = 10) -> DataFrame:
     """Most recent market-days first (top-n: TakeOrderedAndProject, one
     partial top-n per task, no full sort)."""
     return (mart.orderBy(F.col("arrival_date_local").desc(), F.col("market"))
-            .select(*RECENT_COLUMNS).limit(n))
+            .select(*S.RECENT_COLUMNS).limit(n))

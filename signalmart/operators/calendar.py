@@ -1,10 +1,9 @@
 """Calendar enrichment: market events and global holidays.
 
-Calendars are dimensions: a few rows per market per year. By default the
-join is left to the planner, whose broadcast threshold is itself a size
-check (exact for inline VALUES tables, file size for seeds, runtime size
-under AQE). `broadcast=True` forces a broadcast, but only after counting
-the side against a row bound; above it the join stays a shuffle join.
+Calendars are dimensions: a few rows per market per year. The join is left to
+the planner, whose broadcast threshold is a size check (exact for inline
+VALUES tables, file size for seeds, runtime size under AQE); above it the
+join is a shuffle join.
 """
 
 from __future__ import annotations
@@ -14,21 +13,6 @@ from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 
-# Broadcast bound for dimension tables (rows). A calendar row is < 100 bytes,
-# so this keeps a broadcast under ~20 MB on every executor.
-MAX_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint `df` only if it has at most `max_rows` rows.
-
-    The check reads at most max_rows + 1 rows (a LIMIT job), so it is cheap
-    for a small side and bounded for a large one.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def guard_calendar(cal: DataFrame, keys: list[str], name_col: str = "event_name",
                    sep: str = S.CALENDAR_NAME_SEPARATOR) -> DataFrame:
     """One row per calendar key, so the join cannot fan out the fact grain.
@@ -46,8 +30,7 @@ def guard_calendar(cal: DataFrame, keys: list[str], name_col: str = "event_name"
 
 
 def join_calendar(df: DataFrame, cal: DataFrame, on: dict[str, str], flag_name: str,
-                  keep: list[str] = (), broadcast: bool = False,
-                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                  keep: list[str] = ()) -> DataFrame:
     """Left join `df` to `cal` on {fact column: calendar column} and add a
     0/1 match flag. Calendar key columns are typed before the join, so the
     condition is a plain equi-join on columns (no cast inside the key)."""
@@ -55,8 +38,6 @@ def join_calendar(df: DataFrame, cal: DataFrame, on: dict[str, str], flag_name:
     marker = f"_{flag_name}_hit"
     side = cal.select(*[F.col(c).alias(f"_k_{c}") for c in right_keys],
                       F.lit(1).alias(marker), *keep)
-    if broadcast:
-        side = bounded_broadcast(side, max_rows)
     cond = [F.col(l) == F.col(f"_k_{r}") for l, r in on.items()]
     joined = df.join(side, cond, "left")
     return (joined.withColumn(flag_name, F.coalesce(F.col(marker), F.lit(0)).cast("int"))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 
+
 def _result(df: DataFrame, name: str, bad: Column) -> DataFrame:
     return df.agg(bad.cast("long").alias("bad_rows")).select(
         F.lit(name).alias("check"), F.col("bad_rows"),
@@ -67,20 +68,36 @@ def driver_points_from_text(text: str | Column = "score_drivers") -> Column:
                        lambda acc, x: acc + x)
 
 
-def reconcile_rows(mart: DataFrame) -> DataFrame:
-    """Per market-day: score, points read back from the drivers text and
-    whether they agree (NULL on either side disagrees)."""
-    pts = driver_points_from_text("score_drivers")
+def reconcile_rows(mart: DataFrame, points: str = "driver_points") -> DataFrame:
+    """Per market-day: score, sum of the points of the rules that fired (an
+    array column of the gold table) and whether they agree (NULL on either
+    side disagrees)."""
+    pts = F.aggregate(F.col(points), F.lit(0), lambda acc, x: acc + x)
     return mart.select("daily_key", "pressure_score", pts.alias("driver_points"),
                        F.coalesce(F.col("pressure_score") == pts, F.lit(False))
                        .alias("reconciled"))
 
 
-def reconcile(mart: DataFrame) -> DataFrame:
-    rows = reconcile_rows(mart)
+def reconcile(mart: DataFrame, points: str = "driver_points") -> DataFrame:
+    rows = reconcile_rows(mart, points)
     return _result(rows, "gold.drivers_reconcile", F.count_if(~F.col("reconciled")))
 
 
+def text_points(mart: DataFrame) -> DataFrame:
+    """A report, not a check: rows whose drivers *text* reads as other points
+    than the score (an event may have '(+3)' in its name)."""
+    pts = driver_points_from_text("score_drivers")
+    return mart.filter(~F.coalesce(F.col("pressure_score") == pts, F.lit(False))).select(
+        "daily_key", "pressure_score", pts.alias("text_points"), "score_drivers")
+
+
+def known_markets(df: DataFrame, markets: DataFrame, table: str) -> DataFrame:
+    """Rows whose market is NULL or missing from the market dimension."""
+    per = df.groupBy("market").agg(F.count(F.lit(1)).alias("n"))
+    return _result(per.join(markets.select("market").distinct(), "market", "left_anti"),
+                   f"{table}.known_market", F.coalesce(F.sum("n"), F.lit(0)))
+
+
 def suite(checks: list[DataFrame]) -> DataFrame:
     out = checks[0]
     for c in checks[1:]:

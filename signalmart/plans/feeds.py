@@ -69,9 +69,11 @@ def holidays(spark: SparkSession) -> DataFrame:
 def _with_zone(df: DataFrame, spark: SparkSession, on: str = "event_type") -> DataFrame:
     """Attach the market's zone and airport. The market dimension is an
     inline table of known size, so the planner broadcasts it; the fact side
-    is not moved."""
+    is not moved. Rows of a market that the dimension lacks stay, without an
+    airport and with UTC as their local time; the quality suite counts them."""
     dim = markets(spark).select(F.col("market").alias("_m"), "icao", "tz")
-    return df.join(dim, df[on] == dim["_m"], "inner").drop("_m")
+    out = df.join(dim, df[on] == dim["_m"], "left").drop("_m")
+    return out.withColumn("tz", F.coalesce("tz", F.lit("UTC")))
 
 
 def _arrival_core(events: DataFrame) -> DataFrame:
@@ -125,7 +127,7 @@ def weather_feed(spark: SparkSession, events: DataFrame) -> DataFrame:
     )
 
 
-FRESHEST = ["extracted_at_utc", "extraction_id"]
+FRESHEST = S.FRESHEST
 
 
 def silver_flights(spark: SparkSession, events: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
-"""Raw-zone landing of the derived feeds (headerless CSV under dt= folders).
+"""Tables derived once from a dataset: the raw-zone landing of the feeds
+(headerless CSV under dt= and pull= folders) and the gold mart.
 
-A landed copy is written once per Spark application and dataset into the
-shared checkpoint folder, then read back by the ingest queries.
+A derived table is written to the shared checkpoint folder and read by every
+query that needs it. It belongs to the listing of the files it came from
+(paths, sizes, times): if files are added or changed, it is written anew.
 """
 
 from __future__ import annotations
@@ -12,70 +14,67 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.plans import feeds
 from signalmart.session import work_dir
-from signalmart.sources.raw import land_raw
+from signalmart.sources.raw import land_raw, rebalanced
 
 EXTRACTED_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-_LANDED: dict[tuple, str] = {}
+_WRITTEN: dict[tuple, str] = {}
 
 
-def raw_flights_text(feed: DataFrame) -> DataFrame:
-    """Typed arrivals feed -> the raw text columns (+ dt = local date)."""
+def listing(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a folder's files from another: their number
+    and a sum over their paths, sizes and times. No content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.xxhash64("path", "length", "modificationTime")
+    return tuple(files.agg(F.count(F.lit(1)), F.sum(name % 1_000_000_007)).first())
+
+
+def written_once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Path of a table that `write(path)` derives from the events table."""
+    key = (spark.sparkContext.applicationId, sf_dir, name,
+           listing(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    if key not in _WRITTEN:
+        path = work_dir(spark, name)
+        write(path)
+        _WRITTEN[key] = path
+    return _WRITTEN[key]
+
+
+def _raw_text(feed: DataFrame, columns: list[str], date_column: str) -> DataFrame:
+    """Typed feed -> raw text columns, extraction id, dt (local date), pull."""
+    def text(c: str):
+        kind = dict(feed.dtypes)[c]
+        if c == "extracted_at_utc":
+            return F.date_format(c, EXTRACTED_FORMAT)
+        return F.date_format(c, S.RAW_TS_FORMAT) if kind.startswith("timestamp") else F.col(c).cast("string")
+
+    # the feed landed in two hourly pulls: the first half hour's and the rest
+    pull = F.when(F.minute("extracted_at_utc") < 30, "early").otherwise("late")
     return feed.select(
-        "market", "icao24", "callsign", "departure_airport",
-        F.date_format("arrival_ts_utc", S.RAW_TS_FORMAT).alias("arrival_ts_utc"),
-        F.col("arrival_date_local").cast("string").alias("arrival_date_local"),
-        F.col("arrival_hour_local").cast("string").alias("arrival_hour_local"),
-        F.date_format("extracted_at_utc", EXTRACTED_FORMAT).alias("extracted_at_utc"),
-        F.col("arrival_date_local").cast("string").alias(S.PARTITION_COLUMN),
-    )
+        *[text(c).alias(c) for c in columns],
+        F.lpad(F.col("extraction_id").cast("string"), 20, "0").alias(S.EXTRACTION_COLUMN),
+        F.col(date_column).cast("string").alias(S.PARTITION_COLUMN), pull.alias(S.PULL_COLUMN))
 
 
-def extraction_runs(feed: DataFrame) -> list[DataFrame]:
-    """Split the feed into the two hourly pulls that landed it: rows
-    extracted in the first half of an hour came with the earlier pull, the
-    rest with the later one. Every row lands exactly once; the natural keys
-    of the two runs overlap, as with the real overlapping pull windows."""
-    early = F.minute("extracted_at_utc") < 30
-    return [feed.filter(early), feed.filter(~early)]
+def _land(feed: DataFrame, columns: list[str], date_column: str, path: str) -> None:
+    land_raw(_raw_text(feed, columns, date_column), path, [*columns, S.EXTRACTION_COLUMN],
+             (S.PARTITION_COLUMN, S.PULL_COLUMN))
 
 
 def landed_flights(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the landed raw flights table for `sf_dir` (written on first
-    use). Both extraction runs land in one job, each as its own branch of a
-    union, so each dt folder holds a file per run and a stream over the
-    folder sees the runs as separate files."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        events = feeds.load_events(spark, sf_dir)
-        path = work_dir(spark, "raw-flights")
-        early, late = extraction_runs(feeds.arrivals_feed(spark, events))
-        # one job; each run is its own branch of the union, so its rows land
-        # in their own files
-        land_raw(raw_flights_text(early).unionByName(raw_flights_text(late)), path,
-                 S.FLIGHTS_COLUMNS, mode="append")
-        _LANDED[key] = path
-    return _LANDED[key]
-
-
-def raw_weather_text(feed: DataFrame) -> DataFrame:
-    """Typed weather feed -> the raw text columns (+ dt = local date)."""
-    return feed.select(
-        "market",
-        F.date_format("observed_at_local", S.RAW_TS_FORMAT).alias("observed_at_local"),
-        F.col("observed_date_local").cast("string").alias("observed_date_local"),
-        F.col("hour_local").cast("string").alias("hour_local"),
-        *[F.col(c).cast("string").alias(c) for c in ("temp_f", "precip_mm", "wind_kmh")],
-        F.date_format("extracted_at_utc", EXTRACTED_FORMAT).alias("extracted_at_utc"),
-        F.col("observed_date_local").cast("string").alias(S.PARTITION_COLUMN),
-    )
+    """Path of the landed raw flights table of `sf_dir`."""
+    return written_once(spark, sf_dir, "raw-flights", lambda path: _land(
+        feeds.arrivals_feed(spark, feeds.load_events(spark, sf_dir)), S.FLIGHTS_COLUMNS,
+        "arrival_date_local", path))
 
 
 def landed_weather(spark: SparkSession, sf_dir: str) -> str:
-    """Path of the landed raw weather table for `sf_dir` (written on first use)."""
-    key = (spark.sparkContext.applicationId, sf_dir, "weather")
-    if key not in _LANDED:
-        events = feeds.load_events(spark, sf_dir)
-        path = work_dir(spark, "raw-weather")
-        land_raw(raw_weather_text(feeds.weather_feed(spark, events)), path, S.WEATHER_COLUMNS)
-        _LANDED[key] = path
-    return _LANDED[key]
+    """Path of the landed raw weather table of `sf_dir`."""
+    return written_once(spark, sf_dir, "raw-weather", lambda path: _land(
+        feeds.weather_feed(spark, feeds.load_events(spark, sf_dir)), S.WEATHER_COLUMNS,
+        "observed_date_local", path))
+
+
+def stored_gold(spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    """The daily mart as a written table (what alerts and checks read)."""
+    path = written_once(spark, sf_dir, "gold", lambda to: rebalanced(build()).write.parquet(to))
+    return spark.read.parquet(path)

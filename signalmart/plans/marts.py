@@ -10,7 +10,7 @@ Physical shape (see tests/test_plans.py):
   weather --(same)--> daily weather stats
   daily LEFT JOIN daily weather on (market, date): both sides are already
           hash-partitioned on that key, so the join adds no exchange
-  LEFT JOIN calendars: broadcast after a size check
+  LEFT JOIN calendars: broadcast when the planner finds them small enough
   Window(market) over daily rows (tiny: one row per market-day)
 """
 
@@ -28,15 +28,6 @@ from signalmart.operators.rollups import daily_weather, rollup_counts
 
 DAY = ["market", "arrival_date_local"]
 
-DAILY_COLUMNS = [
-    "daily_key", "market", "arrival_date_local", "arrivals", "trailing_7day_avg",
-    "arrivals_vs_7day_avg_pct", "temp_max_f", "temp_min_f", "precip_total_mm",
-    "wind_max_kmh", "is_weekend", "is_holiday", "is_major_event", "event_name",
-    "is_extreme_heat", "is_pool_weather", "is_rain", "pressure_score",
-    "demand_pressure", "score_drivers", "interpretation",
-]
-HOURLY_COLUMNS = ["market", "arrival_date_local", "arrival_hour_local", "arrivals"]
-
 
 def daily_arrivals(flights: DataFrame) -> DataFrame:
     return rollup_counts(flights, DAY, "arrivals")
@@ -88,7 +79,7 @@ def finish(df: DataFrame, extra: list[str] = ()) -> DataFrame:
                    F.col("arrival_date_local").cast("string"))
     return (df.withColumn("daily_key", key)
             .withColumn("trailing_7day_avg", F.round("trailing_7day_avg", 1))
-            .select(*DAILY_COLUMNS, *extra))
+            .select(*S.DAILY_COLUMNS, *extra))
 
 
 def daily_signals(flights: DataFrame, weather: DataFrame, calendar: DataFrame,
@@ -115,4 +106,4 @@ def signals_from_rollups(daily: DataFrame, wx_stats: DataFrame, calendar: DataFr
 
 def hourly_curve(flights: DataFrame) -> DataFrame:
     return rollup_counts(flights, ["market", "arrival_date_local", "arrival_hour_local"],
-                         "arrivals").select(*HOURLY_COLUMNS)
+                         "arrivals").select(*S.HOURLY_COLUMNS)

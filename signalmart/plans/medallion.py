@@ -23,16 +23,14 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
 from signalmart.plans import marts
-from signalmart.sources.raw import read_raw, salted_by_partition, typed_projection
-from signalmart.streaming.ingest import FLIGHTS_FRESHEST
+from signalmart.sources.raw import CORRUPT_COLUMN, read_raw, rebalanced, typed_projection
 
-WEATHER_FRESHEST = ["extracted_at_utc", "temp_f", "precip_mm", "wind_kmh"]
+GOLD_COLUMNS = [*S.DAILY_COLUMNS, "driver_points"]
 
 
-def _write_table(df: DataFrame, name: str, path: str, partition_by: list[str] = (),
-                 salt_buckets: int | None = None) -> None:
-    if partition_by and salt_buckets:
-        df = salted_by_partition(df, partition_by[0], salt_buckets)
+def _write_table(df: DataFrame, name: str, path: str, partition_by: list[str] = ()) -> None:
+    if partition_by:
+        df = rebalanced(df, *partition_by)
     w = df.write.mode("overwrite").format("parquet").option("path", path)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -46,22 +44,28 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 
 def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: DataFrame,
           holidays: DataFrame, root: str, database: str = "signalmart",
-          silver_as: str = "table", salt_buckets: int | None = None) -> dict:
-    """Rebuild every layer; returns row counts per layer. `salt_buckets`
-    bounds the files per dt of the partitioned tables (see
-    sources.raw.salted_by_partition)."""
+          silver_as: str = "table", flights_schema=S.RAW_FLIGHTS_SCHEMA,
+          weather_schema=S.RAW_WEATHER_SCHEMA) -> dict:
+    """Rebuild every layer; returns row counts per layer, and per raw feed
+    the number of lines with too few or too many fields (they stay in bronze,
+    cut or filled with NULLs). The seeds are written as tables too."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}/_db'")
     root = root.rstrip("/")
 
     # bronze: faithful string copy + dt recovered from the file path
     counts = {}
-    for kind, path, schema in (("flights", raw_flights, S.RAW_FLIGHTS_SCHEMA),
-                               ("weather", raw_weather, S.RAW_WEATHER_SCHEMA)):
-        bronze, obs = _observed(read_raw(spark, f"{path.rstrip('/')}/dt=*/*.csv", schema),
-                                f"bronze_{kind}")
+    for name, seed in (("calendar_events", calendar), ("holidays", holidays)):
+        _write_table(seed, f"{database}.seed_{name}", f"{root}/seed_{name}")
+    calendar, holidays = (spark.table(f"{database}.seed_{n}") for n in ("calendar_events", "holidays"))
+    for kind, path, schema in (("flights", raw_flights, flights_schema),
+                               ("weather", raw_weather, weather_schema)):
+        obs = Observation(f"bronze_{kind}")
+        bronze = read_raw(spark, path, schema, corrupt=True).observe(
+            obs, F.count(F.lit(1)).alias("rows"), F.count(CORRUPT_COLUMN).alias("malformed")).drop(CORRUPT_COLUMN)
         _write_table(bronze, f"{database}.bronze_{kind}", f"{root}/bronze_{kind}",
-                     [S.PARTITION_COLUMN], salt_buckets)
+                     [S.PARTITION_COLUMN])
         counts[f"bronze_{kind}"] = obs.get["rows"]
+        counts[f"malformed_{kind}"] = obs.get["malformed"]
 
     # silver: typed + deduped. As tables (default) the dedupe, the largest
     # shuffle of the build, runs once and both marts read its output; as
@@ -70,15 +74,15 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
     bw = spark.table(f"{database}.bronze_weather")
     silver = {
         "flights": latest_per_key(typed_projection(bf, S.FLIGHTS_TYPES, keep=(S.PARTITION_COLUMN,)),
-                                  S.FLIGHTS_KEY, FLIGHTS_FRESHEST, drop=["extracted_at_utc"]),
+                                  S.FLIGHTS_KEY, S.FRESHEST, drop=S.FRESHEST),
         "weather": latest_per_key(typed_projection(bw, S.WEATHER_TYPES, keep=(S.PARTITION_COLUMN,)),
-                                  S.WEATHER_KEY, WEATHER_FRESHEST, drop=["extracted_at_utc"]),
+                                  S.WEATHER_KEY, S.FRESHEST, drop=S.FRESHEST),
     }
     for kind, df in silver.items():
         if silver_as == "table":
             counted, obs = _observed(df, f"silver_{kind}")
             _write_table(counted, f"{database}.silver_{kind}", f"{root}/silver_{kind}",
-                         [S.PARTITION_COLUMN], salt_buckets)
+                         [S.PARTITION_COLUMN])
             counts[f"silver_{kind}"] = obs.get["rows"]
             silver[kind] = spark.table(f"{database}.silver_{kind}")
         silver[kind] = silver[kind].drop(S.PARTITION_COLUMN)
@@ -89,7 +93,8 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
     if silver_as != "table":  # count silver on the gold write, no extra pass
         sf, obs_sf = _observed(sf, "silver_flights")
         sw, obs_sw = _observed(sw, "silver_weather")
-    gold, obs_g = _observed(marts.daily_signals(sf, sw, calendar, holidays), "gold_daily")
+    gold, obs_g = _observed(marts.daily_signals(sf, sw, calendar, holidays,
+                                                points_name="driver_points"), "gold_daily")
     _write_table(gold, f"{database}.gold_daily_signals", f"{root}/gold_daily_signals")
     curve, obs_h = _observed(marts.hourly_curve(silver["flights"]), "gold_hourly")
     _write_table(curve, f"{database}.gold_hourly_arrival_curve",
@@ -105,5 +110,6 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
 
 
 def gold(spark: SparkSession, database: str = "signalmart") -> DataFrame:
-    """The written daily-signals table (for alerts and the quality suite)."""
+    """The written daily-signals table (for alerts and the quality suite),
+    with the points of each fired rule as an array (`driver_points`)."""
     return spark.table(f"{database}.gold_daily_signals")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmart import schemas as S
@@ -20,12 +20,9 @@ from signalmart.operators import quality as Q
 from signalmart.operators import rules as R
 from signalmart.operators.baseline import pct_vs_baseline, trailing_baseline
 from signalmart.operators.dedupe import key_copy_counts
-from signalmart.operators.rollups import (
-    counts_from_partials, daily_weather, rollup_counts, weather_from_partials,
-    weather_partials)
-from signalmart.plans import feeds, landing, marts, medallion
+from signalmart.operators.rollups import daily_weather
+from signalmart.plans import feeds, incremental, landing, marts, medallion
 from signalmart.plans import oracle as O
-from signalmart.plans.medallion import WEATHER_FRESHEST
 from signalmart.session import work_dir
 from signalmart.sources import payloads as P
 from signalmart.sources.raw import read_partitioned, read_raw, read_table, typed_projection
@@ -44,53 +41,35 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_PLANS: dict[tuple, DataFrame] = {}
-
-
-def plan(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """Memoise a *logical plan* (DataFrame object) per session and dataset.
-
-    DataFrames are immutable plans, so sharing one object between queries
-    changes nothing in what runs; it only saves rebuilding (and re-analysing)
-    the same plan through the Python API for every query. Nothing is
-    cached in memory: each action still reads the tables.
-    """
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def _events(spark, sf_dir):
-    return plan(spark, sf_dir, "events", lambda: feeds.load_events(spark, sf_dir))
+    return feeds.load_events(spark, sf_dir)
 
 
 def _flights(spark, sf_dir):
-    return plan(spark, sf_dir, "silver_flights",
-                lambda: feeds.silver_flights(spark, _events(spark, sf_dir)))
+    return feeds.silver_flights(spark, _events(spark, sf_dir))
 
 
 def _weather(spark, sf_dir):
-    return plan(spark, sf_dir, "silver_weather",
-                lambda: feeds.silver_weather(spark, _events(spark, sf_dir)))
-
-
-def _inputs(spark: SparkSession, sf_dir: str):
-    return (_flights(spark, sf_dir), _weather(spark, sf_dir),
-            _calendar(spark), _holidays(spark))
+    return feeds.silver_weather(spark, _events(spark, sf_dir))
 
 
 def _calendar(spark):
-    return plan(spark, "", "calendar", lambda: feeds.event_calendar(spark))
+    return feeds.event_calendar(spark)
 
 
 def _holidays(spark):
-    return plan(spark, "", "holidays", lambda: feeds.holidays(spark))
+    return feeds.holidays(spark)
 
 
 def mart(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    name = "mart:" + ",".join(f"{k}={v}" for k, v in sorted(kw.items()))
-    return plan(spark, sf_dir, name, lambda: marts.daily_signals(*_inputs(spark, sf_dir), **kw))
+    return marts.daily_signals(_flights(spark, sf_dir), _weather(spark, sf_dir),
+                               _calendar(spark), _holidays(spark), **kw)
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as a written table with `driver_points`: what alerts and
+    checks read, as a deployment reads its stored gold table."""
+    return landing.stored_gold(spark, sf_dir, lambda: mart(spark, sf_dir, points_name="driver_points"))
 
 
 @register("daily_signals", O.mart_sql("SELECT * FROM mart"))
@@ -115,15 +94,16 @@ _RAW_TEXT_SQL = """
     FROM arrivals_feed"""
 
 
-def _raw_glob(spark, sf_dir):
-    return landing.landed_flights(spark, sf_dir) + "/dt=*/*.csv"
+def _raw(spark, sf_dir):
+    return read_raw(spark, landing.landed_flights(spark, sf_dir), S.RAW_FLIGHTS_SCHEMA)
 
 
 @register("csv_roundtrip", O.with_ctes(_RAW_TEXT_SQL, O.FEEDS))
 def csv_roundtrip(spark, sf_dir):
-    """Land the feed as headerless CSV per dt, read it back
-    with an explicit all-string schema and the dt recovered from the path."""
-    return read_raw(spark, _raw_glob(spark, sf_dir), S.RAW_FLIGHTS_SCHEMA)
+    """Land the feed as headerless CSV per dt and pull, read it
+    back with an explicit all-string schema and the dt recovered from the
+    path."""
+    return _raw(spark, sf_dir).select(*S.FLIGHTS_COLUMNS, S.PARTITION_COLUMN)
 
 
 @register("typed_projection", O.with_ctes("""
@@ -132,8 +112,7 @@ def csv_roundtrip(spark, sf_dir):
     FROM arrivals_feed""", O.FEEDS))
 def typed_projection_q(spark, sf_dir):
     """Raw strings -> silver types (blank -> NULL first)."""
-    return typed_projection(read_raw(spark, _raw_glob(spark, sf_dir), S.RAW_FLIGHTS_SCHEMA),
-                            S.FLIGHTS_TYPES)
+    return typed_projection(_raw(spark, sf_dir), S.FLIGHTS_TYPES).select(*S.FLIGHTS_COLUMNS)
 
 
 @register("path_partition", O.with_ctes("""
@@ -143,8 +122,7 @@ def typed_projection_q(spark, sf_dir):
 def path_partition(spark, sf_dir):
     """A4/H7: dt cut from each file path by regex, checked against the
     column it was derived from."""
-    raw = read_raw(spark, _raw_glob(spark, sf_dir), S.RAW_FLIGHTS_SCHEMA)
-    return raw.groupBy("dt").agg(
+    return _raw(spark, sf_dir).groupBy("dt").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("dt") == F.col("arrival_date_local")).alias("rows_matching_local_date"))
 
@@ -159,7 +137,7 @@ PRUNE_FROM, PRUNE_TO = "2024-01-08", "2024-01-14"
     GROUP BY ALL""", O.FEEDS))
 def partition_prune(spark, sf_dir):
     """One week of a dt-partitioned table; only its folders are
-    listed and read (PartitionFilters on dt)."""
+    named in the path, listed and read."""
     df = read_partitioned(spark, landing.landed_flights(spark, sf_dir), S.RAW_FLIGHTS_SCHEMA,
                           PRUNE_FROM, PRUNE_TO)
     return df.groupBy("dt", "market").agg(F.count(F.lit(1)).alias("rows"))
@@ -201,12 +179,10 @@ def json_extract(spark, sf_dir):
            CAST(unnest(embedding) AS DOUBLE) AS x
     FROM embeddings""")
 def array_zip(spark, sf_dir):
-    """B2: parallel arrays -> rows: each vector zipped with its positions,
-    then inline(arrays_zip(...)) (one row per element)."""
+    """B2: array -> rows, one per element with its position; an empty or
+    missing vector gives none."""
     emb = read_table(spark, sf_dir, "embeddings")
-    z = emb.select("vec_id", "label", F.inline(F.arrays_zip(
-        F.sequence(F.lit(0), F.size("embedding") - 1).alias("idx"),
-        F.col("embedding").alias("x"))))
+    z = emb.select("vec_id", "label", F.posexplode("embedding").alias("idx", "x"))
     return z.select("vec_id", "label", F.col("idx").cast("long").alias("idx"),
                     F.col("x").cast("double").alias("x"))
 
@@ -232,7 +208,7 @@ def iso_slice(spark, sf_dir):
             ).alias("hourly"))).alias("payload")))
     rows = P.weather_rows(docs, "payload", "market", F.lit(None).cast("string"))
     return typed_projection(rows, {k: v for k, v in S.WEATHER_TYPES.items()
-                                   if k != "extracted_at_utc"})
+                                   if k not in S.FRESHEST})
 
 
 @register("local_time", O.with_ctes(f"""
@@ -258,56 +234,61 @@ def local_time(spark, sf_dir):
                     F.hour(loc).alias("arrival_hour_local"))
 
 
+def _latest(ev: DataFrame, what) -> Column:
+    """The greatest value as a literal. Two scalar subqueries over one table
+    would be merged into a struct, whose fields no scan takes as a filter; a
+    pull window is known before its job starts anyway."""
+    row = ev.agg(F.max(what).alias("x"))
+    return F.lit(row.first()[0]).cast(row.schema["x"].dataType)
+
+
+def _between(ev: DataFrame, begin: Column, end: Column) -> DataFrame:
+    return ev.filter((F.col("ts") >= begin) & (F.col("ts") < end))
+
+
 @register("time_slice", f"""
     SELECT event_id, event_type, ts FROM events
     WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL {feeds.LAG_HOURS + feeds.LOOKBACK_HOURS} HOUR
       AND ts <  (SELECT max(ts) FROM events) - INTERVAL {feeds.LAG_HOURS} HOUR""")
 def time_slice(spark, sf_dir):
     """The extractor's pull window [now - lag - lookback, now - lag),
-    with `now` = the latest event time (a scalar subquery, pushed to the
-    scan as a filter)."""
+    with `now` = the latest event time."""
     ev = _events(spark, sf_dir)
-    # one scalar subquery: the window end; the start is a fixed offset from it
-    end = ev.select(F.max("ts") - F.make_dt_interval(hours=F.lit(feeds.LAG_HOURS))).scalar()
-    begin = end - F.make_dt_interval(hours=F.lit(feeds.LOOKBACK_HOURS))
-    return ev.filter((F.col("ts") >= begin) & (F.col("ts") < end)) \
-             .select("event_id", "event_type", "ts")
+    now = _latest(ev, F.col("ts"))
+    return _between(ev, now - F.make_dt_interval(hours=F.lit(feeds.LAG_HOURS + feeds.LOOKBACK_HOURS)),
+                    now - F.make_dt_interval(hours=F.lit(feeds.LAG_HOURS))) \
+        .select("event_id", "event_type", "ts")
 
 
 @register("backfill_windows", f"""
     WITH days AS (
       SELECT CAST(d AS DATE) AS day FROM generate_series(
-        (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL {feeds.BACKFILL_DAYS - 1} DAY,
-        (SELECT max(CAST(ts AS DATE)) FROM events), INTERVAL 1 DAY) AS g(d))
+        (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL {feeds.BACKFILL_DAYS} DAY,
+        (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 1 DAY, INTERVAL 1 DAY) AS g(d))
     SELECT CAST(d.day AS TIMESTAMP) AS window_begin,
            CAST(d.day AS TIMESTAMP) + INTERVAL 86400 SECOND AS window_end,
            e.event_type AS market, count(*) AS rows
     FROM days d JOIN events e ON CAST(e.ts AS DATE) = d.day
     GROUP BY ALL""")
 def backfill_windows(spark, sf_dir):
-    """The last N days as one-day UTC windows [00:00, +86400 s). The
-    windows are whole days, so the range condition is an equi-join on the
-    event's UTC date; the window table has N rows."""
+    """The N days before the latest one as one-day UTC windows [00:00,
+    +86400 s). The windows are whole days, so an event's window follows from
+    its date."""
     ev = _events(spark, sf_dir)
-    last = ev.select(F.max(F.to_date("ts"))).scalar()
-    days = (spark.range(1)
-            .select(F.explode(F.sequence(F.date_sub(last, feeds.BACKFILL_DAYS - 1), last))
-                    .alias("day")))
-    begin = F.col("day").cast("timestamp_ntz")
-    win = days.select(F.col("day"), begin.alias("window_begin"),
-                      F.timestamp_add("SECOND", F.lit(86400), begin).alias("window_end"))
-    j = ev.select(F.to_date("ts").alias("day"), F.col("event_type").alias("market")) \
-          .join(win, "day")
-    return j.groupBy("window_begin", "window_end", "market").agg(
-        F.count(F.lit(1)).alias("rows"))
+    today = _latest(ev, F.to_date("ts"))
+    week = _between(ev, F.date_sub(today, feeds.BACKFILL_DAYS).cast("timestamp_ntz"), today.cast("timestamp_ntz"))
+    begin = F.to_date("ts").cast("timestamp_ntz")
+    return week.groupBy(begin.alias("window_begin"),
+                        F.timestamp_add("SECOND", F.lit(86400), begin).alias("window_end"),
+                        F.col("event_type").alias("market")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---------------------------------------------------------------------------
 # 2.3 projections, cleaning, flags
 # ---------------------------------------------------------------------------
-@register("string_clean", """
+@register("string_clean", f"""
     SELECT p_partkey,
-           nullif(trim(replace(trim(coalesce(p_name, '')), ',', '')), '') AS name_clean,
+           nullif(trim(replace({O.strip("coalesce(p_name, '')")}, ',', '')), '') AS name_clean,
            nullif(trim(p_brand), '') AS brand,
            nullif(p_type, '') AS type
     FROM part""")
@@ -320,9 +301,9 @@ def string_clean(spark, sf_dir):
                        blank_to_null("p_type", trim=False).alias("type"))
 
 
-@register("text_clean", """
+@register("text_clean", f"""
     SELECT conv_id, turn, nullif(trim(role), '') AS role,
-           nullif(trim(replace(trim(coalesce(text, '')), ',', '')), '') AS text_clean
+           nullif(trim(replace({O.strip("coalesce(text, '')")}, ',', '')), '') AS text_clean
     FROM conversations""")
 def text_clean(spark, sf_dir):
     """B7/C3 on whole conversation texts: strip, drop commas, blank -> NULL."""
@@ -363,12 +344,12 @@ def layer_counts(spark, sf_dir):
 
 
 @register("weather_flags", O.mart_sql("""
-    SELECT market, wx_date AS observed_date_local, temp_max_f, precip_total_mm,
+    SELECT market, observed_date_local, temp_max_f, precip_total_mm,
       CASE WHEN temp_max_f >= 108 THEN 1 ELSE 0 END AS is_extreme_heat,
       CASE WHEN temp_max_f BETWEEN 85 AND 104 AND coalesce(precip_total_mm, 0) < 0.5
            THEN 1 ELSE 0 END AS is_pool_weather,
       CASE WHEN coalesce(precip_total_mm, 0) >= 2 THEN 1 ELSE 0 END AS is_rain
-    FROM daily_wx"""))
+    FROM wx_day"""))
 def weather_flags(spark, sf_dir):
     """Heat, pool and rain flags on daily weather."""
     wx = daily_weather(_weather(spark, sf_dir))
@@ -417,7 +398,7 @@ def fact_left_join(spark, sf_dir):
 
 
 def _daily(spark, sf_dir):
-    return plan(spark, sf_dir, "daily", lambda: marts.daily_arrivals(_flights(spark, sf_dir)))
+    return marts.daily_arrivals(_flights(spark, sf_dir))
 
 
 @register("calendar_join", _M("""
@@ -444,8 +425,9 @@ def calendar_join(spark, sf_dir):
            c.event_name,
            CASE WHEN h.holiday_date IS NOT NULL THEN 1 ELSE 0 END AS is_holiday
     FROM daily d
-    LEFT JOIN cal_g c ON d.market = c.market AND d.arrival_date_local = c.event_date
-    LEFT JOIN hol_g h ON d.arrival_date_local = h.holiday_date"""))
+    LEFT JOIN (SELECT market, day AS event_date, event_name FROM event_day) c
+      ON d.market = c.market AND d.arrival_date_local = c.event_date
+    LEFT JOIN (SELECT DISTINCT holiday_date FROM hol) h ON d.arrival_date_local = h.holiday_date"""))
 def calendar_guard(spark, sf_dir):
     """The calendar collapsed to one row per key first, so the join
     keeps one row per market-day (names sorted and joined)."""
@@ -465,8 +447,8 @@ def daily_count(spark, sf_dir):
 
 
 @register("daily_stats", _M("""
-    SELECT market, wx_date AS observed_date_local, temp_max_f, temp_min_f,
-           precip_total_mm, wind_max_kmh FROM daily_wx"""))
+    SELECT market, observed_date_local, temp_max_f, temp_min_f,
+           precip_total_mm, wind_max_kmh FROM wx_day"""))
 def daily_stats(spark, sf_dir):
     """Daily max/min temperature, rounded precip total and wind."""
     return daily_weather(_weather(spark, sf_dir))
@@ -501,7 +483,7 @@ def trailing_baseline_q(spark, sf_dir):
            CASE WHEN trailing_7day_avg > 0 THEN
              {O.rnd('(arrivals - trailing_7day_avg) / trailing_7day_avg * 100')} END
              AS arrivals_vs_7day_avg_pct
-    FROM trail"""))
+    FROM base"""))
 def pct_vs_baseline_q(spark, sf_dir):
     """Deviation from the trailing average, guarded and rounded."""
     t = trailing_baseline(_daily(spark, sf_dir), ["market"], "arrival_date_local", "arrivals")
@@ -535,7 +517,7 @@ def band_label(spark, sf_dir):
 
 @register("driver_text", _M("SELECT daily_key, pressure_score, event_name, score_drivers FROM mart"))
 def driver_text(spark, sf_dir):
-    """Every fired rule with its points, '; '-joined."""
+    """Every fired rule with its points, '; '-joined."""
     return mart(spark, sf_dir).select("daily_key", "pressure_score", "event_name",
                                       "score_drivers")
 
@@ -550,37 +532,56 @@ def interpretation(spark, sf_dir):
 # 2.7 / 2.9 alerts
 # ---------------------------------------------------------------------------
 _ALERT_SQL = f"""
-    SELECT {', '.join(A.ALERT_COLUMNS)} FROM mart
+    SELECT {', '.join(S.ALERT_COLUMNS)} FROM mart
     WHERE arrival_date_local = (SELECT max(arrival_date_local) FROM mart)"""
 
 
 @register("latest_snapshot", _M(_ALERT_SQL))
 def latest_snapshot(spark, sf_dir):
     """Every market's row on the global latest date."""
-    return A.latest_snapshot(mart(spark, sf_dir))
+    return A.latest_snapshot(gold(spark, sf_dir))
 
 
 @register("alert_rows", _M(f"SELECT * FROM ({_ALERT_SQL}) WHERE demand_pressure = 'HIGH'"))
 def alert_rows(spark, sf_dir):
     """HIGH rows of the snapshot (none = no alert)."""
-    return A.alert_rows(A.latest_snapshot(mart(spark, sf_dir)))
+    return A.alert_rows(A.latest_snapshot(gold(spark, sf_dir)))
 
 
 _DIGEST_LINE = ("market || ': ' || demand_pressure || ' | ' || CAST(arrivals AS VARCHAR) "
                 "|| ' arrivals, ' || coalesce(CAST(arrivals_vs_7day_avg_pct AS VARCHAR), 'n/a') "
-                "|| '% vs trailing avg | why: ' || score_drivers")
+                "|| '% vs trailing avg | why: ' || score_drivers || chr(10) || '  ' || interpretation")
 
 
-@register("alert_digest", _M(f"""
+def _digest_sql(rows: str) -> str:
+    return f"""
     SELECT arrival_date_local, count(*) AS markets,
            count(*) FILTER (WHERE demand_pressure = 'HIGH') AS high_markets,
+           'Demand signals ' || CAST(arrival_date_local AS VARCHAR) || ': ' || coalesce('HIGH in '
+             || string_agg(market, ', ' ORDER BY market) FILTER (WHERE demand_pressure = 'HIGH'), 'no HIGH market')
+             AS subject,
            'Demand signals for ' || CAST(arrival_date_local AS VARCHAR) || chr(10)
              || string_agg({_DIGEST_LINE}, chr(10) ORDER BY market) || chr(10)
              || {O.q(S.DIGEST_FOOTER)} AS digest
-    FROM ({_ALERT_SQL}) GROUP BY arrival_date_local"""))
+    FROM ({rows}) GROUP BY arrival_date_local"""
+
+
+@register("alert_digest", _M(_digest_sql(_ALERT_SQL)))
 def alert_digest(spark, sf_dir):
-    """The alert message as one row per day."""
-    return A.alert_digest(A.latest_snapshot(mart(spark, sf_dir)))
+    """The latest day's message, with its subject."""
+    return A.alert_digest(A.latest_snapshot(gold(spark, sf_dir)))
+
+
+@register("alert_history", _M(f"SELECT {', '.join(S.ALERT_COLUMNS)} FROM mart WHERE demand_pressure = 'HIGH'"))
+def alert_history(spark, sf_dir):
+    """I13 over every day: the rows that raised an alert."""
+    return A.alert_rows(gold(spark, sf_dir).select(*S.ALERT_COLUMNS))
+
+
+@register("digest_history", _M(_digest_sql("SELECT * FROM mart")))
+def digest_history(spark, sf_dir):
+    """I14 over every day: one message per day, all markets of the day."""
+    return A.alert_digest(gold(spark, sf_dir))
 
 
 @register("top_recent", _M("""
@@ -588,7 +589,7 @@ def alert_digest(spark, sf_dir):
     FROM mart ORDER BY arrival_date_local DESC, market LIMIT 10"""))
 def top_recent(spark, sf_dir):
     """Ten most recent market-days (a top-k report)."""
-    return A.top_recent(mart(spark, sf_dir))
+    return A.top_recent(gold(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -606,7 +607,7 @@ def _dup_sql(name, keys, src, ignore_nulls=False):
 
 
 def _unique_checks(spark, sf_dir):
-    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), mart(spark, sf_dir)
+    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), gold(spark, sf_dir)
     return [Q.unique(fl, S.FLIGHTS_KEY, "silver_flights"),
             Q.unique(wx, S.WEATHER_KEY, "silver_weather"),
             Q.unique(m, ["daily_key"], "gold", ignore_nulls=True)]
@@ -635,7 +636,7 @@ _NOT_NULL = {
 
 
 def _not_null_checks(spark, sf_dir):
-    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), mart(spark, sf_dir)
+    fl, wx, m = _flights(spark, sf_dir), _weather(spark, sf_dir), gold(spark, sf_dir)
     tables = {"gold": m, "silver_flights": fl, "silver_weather": wx,
               "hourly_curve": marts.hourly_curve(fl)}
     return [Q.not_null(tables[t], cols, t) for t, (_, cols) in _NOT_NULL.items()]
@@ -662,7 +663,7 @@ _ACCEPTED_SQL = _chk("gold.accepted.demand_pressure",
 @register("dq_accepted", _M(_ACCEPTED_SQL))
 def dq_accepted(spark, sf_dir):
     """Labels come from the accepted set (NULL is a failure)."""
-    return Q.accepted_values(mart(spark, sf_dir), "demand_pressure", S.ACCEPTED_LABELS, "gold")
+    return Q.accepted_values(gold(spark, sf_dir), "demand_pressure", S.ACCEPTED_LABELS, "gold")
 
 
 _WARMUP_SQL = _chk("gold.warmup_first_days", f"""count(*) FILTER (WHERE
@@ -675,36 +676,59 @@ _WARMUP_SQL = _chk("gold.warmup_first_days", f"""count(*) FILTER (WHERE
 @register("dq_warmup", _M(_WARMUP_SQL))
 def dq_warmup(spark, sf_dir):
     """WARMUP covers exactly each market's first seven days."""
-    return Q.warmup_window(mart(spark, sf_dir))
+    return Q.warmup_window(gold(spark, sf_dir))
 
 
-_POINTS_SQL = ("list_sum(list_transform(regexp_extract_all(score_drivers, '\\(\\+(\\d+)\\)', 1), "
-               "lambda x: CAST(x AS INTEGER)))")
+_POINTS_SQL = "(SELECT points FROM totals t WHERE t.market = m.market AND t.arrival_date_local = m.arrival_date_local)"
 
 
 @register("driver_reconcile", _M(f"""
-    SELECT daily_key, pressure_score, CAST(coalesce({_POINTS_SQL}, 0) AS INTEGER) AS driver_points,
+    SELECT daily_key, pressure_score, coalesce({_POINTS_SQL}, 0) AS driver_points,
            coalesce(pressure_score = coalesce({_POINTS_SQL}, 0), false) AS reconciled
-    FROM mart"""))
+    FROM mart m"""))
 def driver_reconcile(spark, sf_dir):
-    """Points read back from the drivers text match the score."""
-    return Q.reconcile_rows(mart(spark, sf_dir))
+    """The points of the rules that fired (kept as an array in the
+    gold table) add up to the score."""
+    return Q.reconcile_rows(gold(spark, sf_dir))
+
+
+_TEXT_POINTS_SQL = ("list_sum(list_transform(regexp_extract_all(score_drivers, '\\(\\+(\\d+)\\)', 1), "
+                    "lambda x: CAST(x AS INTEGER)))")
+
+
+@register("driver_text_points", _M(f"""
+    SELECT daily_key, pressure_score, CAST(coalesce({_TEXT_POINTS_SQL}, 0) AS INTEGER) AS text_points
+    FROM mart"""))
+def driver_text_points(spark, sf_dir):
+    """Points read back from the drivers text, a report beside the
+    check (an event's name may hold such a mark itself)."""
+    return gold(spark, sf_dir).select("daily_key", "pressure_score",
+                                      Q.driver_points_from_text("score_drivers").alias("text_points"))
 
 
 _RECONCILE_SQL = _chk("gold.drivers_reconcile",
                       f"count(*) FILTER (WHERE NOT coalesce(pressure_score = coalesce({_POINTS_SQL}, 0), false))",
-                      "mart")
+                      "mart m")
+_KNOWN_SQL = _chk("silver_flights.known_market",
+                  "count(*) FILTER (WHERE market IS NULL OR market NOT IN (SELECT market FROM markets))", "flights")
+
+
+@register("dq_known_market", _M(_KNOWN_SQL))
+def dq_known_market(spark, sf_dir):
+    """Arrivals of markets that the dimension lacks are counted; they
+    stay in every table."""
+    return Q.known_markets(_flights(spark, sf_dir), feeds.markets(spark), "silver_flights")
 
 
 @register("dq_suite", O.with_ctes(" UNION ALL ".join(
-    _UNIQUE_SQL + _NOT_NULL_SQL + [_ACCEPTED_SQL, _WARMUP_SQL, _RECONCILE_SQL]),
+    _UNIQUE_SQL + _NOT_NULL_SQL + [_ACCEPTED_SQL, _WARMUP_SQL, _RECONCILE_SQL, _KNOWN_SQL]),
     O.FEEDS, O.MART, _HOURLY_CTE))
 def dq_suite(spark, sf_dir):
     """Every check in one DataFrame (one row per check)."""
-    m = mart(spark, sf_dir)
+    m = gold(spark, sf_dir)
     checks = _unique_checks(spark, sf_dir) + _not_null_checks(spark, sf_dir)
     checks += [Q.accepted_values(m, "demand_pressure", S.ACCEPTED_LABELS, "gold"),
-               Q.warmup_window(m), Q.reconcile(m)]
+               Q.warmup_window(m), Q.reconcile(m), dq_known_market(spark, sf_dir)]
     return Q.suite(checks)
 
 
@@ -721,21 +745,19 @@ _SILVER_COLS = ["market", "icao24", "callsign", "departure_airport", "arrival_ts
            arrival_date_local, arrival_hour_local, extracted_at_utc
     FROM arrivals_feed""", O.FEEDS))
 def stream_ingest(spark, sf_dir):
-    """K1: raw files streamed (availableNow, several files per micro-batch)
+    """K1: raw files streamed (availableNow, micro-batches of a byte size)
     into a typed, dt-partitioned table; equals the batch typed projection."""
     out = work_dir(spark, "stream-ingest")
-    t = K.ingest(spark, landing.landed_flights(spark, sf_dir), f"{out}/table",
-                 f"{out}/_checkpoint", max_files=16)
+    t = K.ingest(spark, landing.landed_flights(spark, sf_dir), f"{out}/table", f"{out}/_checkpoint")
     return t.select(*S.FLIGHTS_COLUMNS)
 
 
 @register("stream_upsert", O.with_ctes("SELECT * FROM flights", O.FEEDS))
 def stream_upsert(spark, sf_dir):
-    """K2: freshest-wins upsert across micro-batches (the two extraction
-    runs overlap on natural keys); equals the batch dedupe."""
+    """K2: freshest-wins upsert of the landed files (the two pulls overlap on
+    natural keys); equals the batch dedupe."""
     out = work_dir(spark, "stream-upsert")
-    t = K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver",
-                 f"{out}/_checkpoint", max_files=16)
+    t = K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver", f"{out}/_checkpoint")
     return t.select(*_SILVER_COLS)
 
 
@@ -749,7 +771,25 @@ def stream_tumbling(spark, sf_dir):
     state kept across micro-batches."""
     out = work_dir(spark, "stream-tumbling")
     return K.tumbling_counts(spark, landing.landed_flights(spark, sf_dir), f"{out}/counts",
-                             f"{out}/_checkpoint", max_files=16)
+                             f"{out}/_checkpoint")
+
+
+TOLERANCE = "36 hours"
+
+
+@register("stream_tumbling_watermark", O.with_ctes("""
+    SELECT * FROM (
+        SELECT date_trunc('day', arrival_ts_utc) AS window_start,
+               date_trunc('day', arrival_ts_utc) + INTERVAL 1 DAY AS window_end,
+               market, count(*) AS rows
+        FROM arrivals_feed GROUP BY 1, 2, 3)
+    WHERE window_end <= (SELECT max(arrival_ts_utc) FROM arrivals_feed) - INTERVAL 36 HOUR""", O.FEEDS))
+def stream_tumbling_watermark(spark, sf_dir):
+    """K3 for a live stream: daily windows are written once the watermark has
+    passed them, and their state is dropped."""
+    out = work_dir(spark, "stream-watermark")
+    return K.tumbling_counts(spark, landing.landed_flights(spark, sf_dir), f"{out}/counts",
+                             f"{out}/_checkpoint", late_tolerance=TOLERANCE)
 
 
 # ---------------------------------------------------------------------------
@@ -766,7 +806,7 @@ def medallion_gold(spark, sf_dir):
     medallion.build(spark, landing.landed_flights(spark, sf_dir),
                     landing.landed_weather(spark, sf_dir), _calendar(spark),
                     _holidays(spark), root, database=db)
-    return medallion.gold(spark, db)
+    return medallion.gold(spark, db).select(*S.DAILY_COLUMNS)
 
 
 # ---------------------------------------------------------------------------
@@ -784,39 +824,17 @@ def stream_tumbling_hourly(spark, sf_dir):
     """K3 (hourly): per-market arrival rows in one-hour tumbling windows."""
     out = work_dir(spark, "stream-tumbling-hourly")
     return K.tumbling_counts(spark, landing.landed_flights(spark, sf_dir), f"{out}/counts",
-                             f"{out}/_checkpoint", every="1 hour", max_files=16)
-
-
-_PART = [S.PARTITION_COLUMN, K.BUCKET_COLUMN]
-STREAM_BUCKETS = 2  # per-day key buckets; size to ~1 GB per (day, bucket) at scale
-
-
-def _arrivals_rollup(merged):
-    return rollup_counts(merged, ["market", "arrival_date_local", *_PART], "arrivals")
-
-
-def _weather_rollup(merged):
-    return weather_partials(merged, ["market", "observed_date_local", *_PART])
+                             f"{out}/_checkpoint", every="1 hour")
 
 
 @register("stream_daily_signals", O.mart_sql("SELECT * FROM mart"))
 def stream_daily_signals(spark, sf_dir):
     """Both feeds streamed through the freshest-wins upsert into silver
-    tables partitioned by (dt, key bucket); each micro-batch rewrites only
-    the partitions it touches and recomputes their partial daily rollups;
-    the mart combines the partials per market-day and is scored from them."""
+    tables partitioned by (dt, key bucket); each micro-batch writes a new
+    version of only the partitions it touches and of their partial daily
+    rollups; the mart combines the partials per market-day and is scored from
+    them."""
     out = work_dir(spark, "stream-mart")
-    K.upsert(spark, landing.landed_flights(spark, sf_dir), f"{out}/silver_flights",
-             f"{out}/_ck_flights", max_files=32, rollup=_arrivals_rollup,
-             rollup_table=f"{out}/daily_arrivals", buckets=STREAM_BUCKETS)
-    K.upsert(spark, landing.landed_weather(spark, sf_dir), f"{out}/silver_weather",
-             f"{out}/_ck_weather", keys=S.WEATHER_KEY, order=WEATHER_FRESHEST,
-             types=S.WEATHER_TYPES, schema=S.RAW_WEATHER_SCHEMA, max_files=32,
-             rollup=_weather_rollup, rollup_table=f"{out}/daily_weather",
-             buckets=STREAM_BUCKETS)
-    daily = counts_from_partials(spark.read.parquet(f"{out}/daily_arrivals"),
-                                 ["market", "arrival_date_local"])
-    wx = weather_from_partials(spark.read.parquet(f"{out}/daily_weather"),
-                               ["market", "observed_date_local"]) \
-        .withColumnRenamed("observed_date_local", "arrival_date_local")
-    return marts.signals_from_rollups(daily, wx, _calendar(spark), _holidays(spark))
+    incremental.refresh(spark, landing.landed_flights(spark, sf_dir),
+                        landing.landed_weather(spark, sf_dir), out)
+    return incremental.signals(spark, out, _calendar(spark), _holidays(spark)).select(*S.DAILY_COLUMNS)

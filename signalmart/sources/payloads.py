@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType,
+from pyspark.sql.types import (ArrayType, DoubleType, StringType,
                                StructField, StructType)
 
 from signalmart import schemas as S
@@ -20,7 +20,7 @@ from signalmart.functions.columns import clean_code, epoch_to_utc, utc_to_local
 # FIXED VALUES: payload field names, exactly as the source APIs return them
 # ---------------------------------------------------------------------------
 ARRIVAL_RECORD = StructType([
-    StructField("lastSeen", LongType()),
+    StructField("lastSeen", DoubleType()),
     StructField("icao24", StringType()),
     StructField("callsign", StringType()),
     StructField("estDepartureAirport", StringType()),
@@ -37,10 +37,23 @@ WEATHER_PAYLOAD = StructType([
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Documents as text lines, with the file they came from."""
-    return (spark.read.text(path)
+    """Documents as text lines, with the file they came from and its time."""
+    return (spark.read.option("recursiveFileLookup", "true").text(path)
             .select(F.col("value").alias("payload"),
-                    F.col("_metadata.file_path").alias("source_file")))
+                    F.col("_metadata.file_path").alias("source_file"),
+                    F.col("_metadata.file_modification_time").alias("file_time")))
+
+
+def rejects(docs: DataFrame, payload: str, schema) -> DataFrame:
+    """The documents that are no payload of this shape: not JSON, or JSON of
+    another kind. Blank lines are no documents."""
+    parsed = F.from_json(F.col(payload), schema)
+    body = parsed["hourly"]["time"] if schema is WEATHER_PAYLOAD else parsed
+    return docs.filter((F.trim(F.coalesce(F.col(payload), F.lit(""))) != "") & body.isNull())
+
+
+def _kept(docs: DataFrame) -> list[str]:
+    return [c for c in (S.EXTRACTION_COLUMN, S.PULL_COLUMN) if c in docs.columns]
 
 
 def arrival_rows(docs: DataFrame, payload: str | Column, market: str | Column,
@@ -48,16 +61,18 @@ def arrival_rows(docs: DataFrame, payload: str | Column, market: str | Column,
     """Array-of-objects payload -> one raw flights row per arrival.
 
     Records without an arrival time (lastSeen NULL, 0 or missing) are
-    dropped; missing text keys default to ''; the callsign is stripped and
-    loses its commas; local date/hour come from the market's zone.
+    dropped, fractions of a second too; missing text keys default to ''; the
+    callsign is stripped and loses its commas; local date/hour come from the
+    market's zone. Malformed documents give no rows: see `rejects`. Columns
+    of `docs` named `extraction_id` and `pull` are kept.
     """
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     rec = (docs.select(as_col(market).alias("market"),
                        as_col(tz).alias("_tz"),
-                       as_col(extracted_at).alias("extracted_at_utc"),
+                       as_col(extracted_at).alias("extracted_at_utc"), *_kept(docs),
                        F.explode(F.from_json(as_col(payload), ARRIVALS_PAYLOAD)).alias("r"))
            .filter(F.coalesce(F.col("r.lastSeen"), F.lit(0)) != 0))
-    utc = epoch_to_utc(F.col("r.lastSeen"))
+    utc = epoch_to_utc(F.floor(F.col("r.lastSeen")))
     local = utc_to_local(utc, F.col("_tz"))
     return rec.select(
         "market",
@@ -67,7 +82,7 @@ def arrival_rows(docs: DataFrame, payload: str | Column, market: str | Column,
         F.date_format(utc, S.RAW_TS_FORMAT).alias("arrival_ts_utc"),
         F.date_format(local, "yyyy-MM-dd").alias("arrival_date_local"),
         F.hour(local).cast("string").alias("arrival_hour_local"),
-        F.col("extracted_at_utc").cast("string").alias("extracted_at_utc"),
+        F.col("extracted_at_utc").cast("string").alias("extracted_at_utc"), *_kept(docs),
     )
 
 
@@ -86,9 +101,9 @@ def weather_rows(docs: DataFrame, payload: str | Column, market: str | Column,
     across time/temperature/precipitation/wind)."""
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     h = docs.select(as_col(market).alias("market"),
-                    as_col(extracted_at).alias("extracted_at_utc"),
+                    as_col(extracted_at).alias("extracted_at_utc"), *_kept(docs),
                     F.from_json(as_col(payload), WEATHER_PAYLOAD)["hourly"].alias("h"))
-    zipped = h.select("market", "extracted_at_utc", F.inline(F.arrays_zip(
+    zipped = h.select("market", "extracted_at_utc", *_kept(docs), F.inline(F.arrays_zip(
         F.col("h.time").alias("time"),
         F.col("h.temperature_2m").alias("temp_f"),
         F.col("h.precipitation").alias("precip_mm"),
@@ -96,5 +111,5 @@ def weather_rows(docs: DataFrame, payload: str | Column, market: str | Column,
     return zipped.select(
         "market", *iso_parts(F.col("time")),
         *[F.col(c).cast("string").alias(c) for c in ("temp_f", "precip_mm", "wind_kmh")],
-        F.col("extracted_at_utc").cast("string").alias("extracted_at_utc"),
+        F.col("extracted_at_utc").cast("string").alias("extracted_at_utc"), *_kept(docs),
     )

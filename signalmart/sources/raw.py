@@ -7,6 +7,9 @@ and leave column pruning / filter pushdown to the scan.
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -20,25 +23,40 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
+CORRUPT_COLUMN = "_corrupt_record"
+
+
+def with_extraction_id(df: DataFrame) -> DataFrame:
+    """Rows of files landed without an extraction id get their file's path:
+    one pull is one set of files."""
+    if S.EXTRACTION_COLUMN in df.columns:
+        return df
+    return df.withColumn(S.EXTRACTION_COLUMN, F.col("_metadata.file_path"))
+
+
 def read_raw(spark: SparkSession, path: str, schema: StructType,
-             dt_from: str = "path") -> DataFrame:
-    """Headerless delimited files, every column a string, plus `dt`.
+             dt_from: str = "path", corrupt: bool = False) -> DataFrame:
+    """Headerless delimited files, every column a string, plus `dt` and
+    `extraction_id`.
 
-    dt_from="path": `dt` is cut out of each file's path with a regex
-    (string, works for any glob, no partition discovery needed).
+    dt_from="path": everything below `path` (a root; one path, listed in
+    parallel), with `dt` cut out of each file's path by a regex.
     dt_from="discovery": `path` is the table root; Spark discovers the
     `dt=` folders, so filters on `dt` prune whole folders at planning time.
+    corrupt=True adds `_corrupt_record`: the raw line of rows with too few or
+    too many fields, NULL for the others, so a load can count them.
     """
-    reader = (spark.read.schema(schema)
-              .option("header", "false")
+    reader = (spark.read.option("header", "false")
               .option("mode", "PERMISSIVE"))
+    if corrupt:
+        schema = StructType(schema.fields + [StructField(CORRUPT_COLUMN, StringType(), True)])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if dt_from == "discovery":
-        df = (reader.option("recursiveFileLookup", "false")
-              .csv(path))
+        df = with_extraction_id(reader.schema(schema).csv(path))
         # discovery infers `date`; keep the raw zone all-string.
         return df.withColumn(S.PARTITION_COLUMN,
                              F.col(S.PARTITION_COLUMN).cast("string"))
-    df = reader.csv(path)
+    df = with_extraction_id(reader.schema(schema).option("recursiveFileLookup", "true").csv(path))
     return df.withColumn(
         S.PARTITION_COLUMN,
         F.regexp_extract(F.col("_metadata.file_path"), S.PARTITION_PATTERN, 1))
@@ -48,18 +66,27 @@ def read_partitioned(spark: SparkSession, root: str, schema: StructType,
                      dt_from: str | None = None, dt_to: str | None = None) -> DataFrame:
     """Partitioned raw table with an optional inclusive dt range.
 
-    `dt` is declared in the read schema, so Spark takes it from the folder
-    names (as a string) and a range on it prunes whole folders at planning
-    time (PartitionFilters in the plan): only the matching days are listed
-    and read.
-    """
+    With both bounds the days of the range are named in the path, so only
+    folders that exist among them are listed and indexed; an open range reads
+    the root and prunes by `dt` (PartitionFilters in the plan)."""
     full = StructType(schema.fields + [StructField(S.PARTITION_COLUMN, StringType(), True)])
-    df = spark.read.schema(full).option("header", "false").csv(root)
-    if dt_from is not None:
-        df = df.filter(F.col(S.PARTITION_COLUMN) >= F.lit(dt_from))
-    if dt_to is not None:
-        df = df.filter(F.col(S.PARTITION_COLUMN) <= F.lit(dt_to))
-    return df
+    reader = spark.read.schema(full).option("header", "false").option("basePath", root)
+    columns = [f.name for f in full.fields]
+    if dt_from is None or dt_to is None:
+        df = reader.csv(root).select(*columns)
+        if dt_from is not None:
+            df = df.filter(F.col(S.PARTITION_COLUMN) >= F.lit(dt_from))
+        if dt_to is not None:
+            df = df.filter(F.col(S.PARTITION_COLUMN) <= F.lit(dt_to))
+        return df
+    first, last = dt.date.fromisoformat(dt_from), dt.date.fromisoformat(dt_to)
+    days = [str(first + dt.timedelta(days=k)) for k in range((last - first).days + 1)]
+    try:
+        return reader.csv(f"{root.rstrip('/')}/{S.PARTITION_COLUMN}={{{','.join(days)}}}").select(*columns)
+    except AnalysisException as e:  # no day of the range has landed
+        if days and e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], full)
 
 
 def sql_literal(v) -> str:
@@ -97,37 +124,30 @@ def read_seed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
             .option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
-def salted_by_partition(df: DataFrame, partition_col: str, salt_buckets: int) -> DataFrame:
-    """Repartition so each value of `partition_col` is spread over
-    `salt_buckets` tasks (salt = hash of the whole row): a partitioned write
-    then makes at most `salt_buckets` files per value, and a day holding a
-    third of the data still spreads over `salt_buckets` writers instead of
-    landing in one task. Costs one shuffle of the rows being written."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    return df.repartition(F.col(partition_col), salt)
+def rebalanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a partition value together, in tasks of the session's advisory
+    size (`spark.sql.adaptive.advisoryPartitionSizeInBytes`): adaptive
+    execution joins small values into one task and splits a value that holds
+    a third of the data over many, so a partitioned write makes about
+    (bytes of the value / advisory size) files per value."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
 
 
 def land_raw(df: DataFrame, path: str, columns: list[str],
-             partition_col: str = S.PARTITION_COLUMN, mode: str = "overwrite",
-             salt_buckets: int | None = None) -> None:
+             partition_cols: tuple[str, ...] = (S.PARTITION_COLUMN,), mode: str = "overwrite") -> None:
     """Write rows as headerless CSV, one folder per partition value.
 
     The overwrite is a dynamic partition overwrite (set on the writer, not
     left to the session default): it replaces only the partitions present
-    in `df`, so re-landing a day is idempotent and other days are untouched.
-
-    By default every task writes a file for each partition value it holds
-    (fine for time-ordered input, where a task spans a day or two). For
-    unordered input pass `salt_buckets` to bound the files per value.
+    in `df`, so re-landing a day (or, with a pull folder below it, a pull of
+    a day) is idempotent and others are untouched.
     """
     out = df.select(*[F.col(c).cast("string").alias(c) for c in columns],
-                    F.col(partition_col).cast("string").alias(partition_col))
-    if salt_buckets:
-        out = salted_by_partition(out, partition_col, salt_buckets)
-    (out.write.mode(mode)
+                    *[F.col(c).cast("string").alias(c) for c in partition_cols])
+    (rebalanced(out, *partition_cols).write.mode(mode)
      .option("partitionOverwriteMode", "dynamic")
      .option("header", "false")
-     .partitionBy(partition_col)
+     .partitionBy(*partition_cols)
      .csv(path))
 
 

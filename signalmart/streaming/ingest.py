@@ -1,38 +1,57 @@
 """Incremental paths with Structured Streaming.
 
 K1 ingest:   new raw CSV files -> typed rows appended to a parquet table.
-K2 upsert:   new raw files -> freshest-wins merge into a dt-partitioned
-             silver table (foreachBatch + dynamic partition overwrite).
+K2 upsert:   new raw files -> freshest-wins merge into a versioned silver
+             table (foreachBatch; see streaming.versioned).
 K3 tumbling: per-market counts in fixed (daily / hourly) event-time windows.
 
 All three run with `trigger(availableNow=True)`: process every file present
-at start, in micro-batches of `max_files`, then stop. Offsets and state live
-in the checkpoint folder, so a restarted job resumes where it stopped and a
-replayed micro-batch rewrites the same result (the upsert is idempotent).
+at start, in micro-batches of about `max_bytes`, then stop. Offsets and state
+live in the checkpoint folder, so a restarted job resumes where it stopped.
+A replayed micro-batch rewrites its own version of the partitions it touches
+and never the files it reads, so a crash at any point loses nothing.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
-from signalmart.sources.raw import typed_projection
+from signalmart.sources.raw import typed_projection, with_extraction_id
+from signalmart.streaming import versioned
+
+#: Input of one micro-batch, and of one (day, key bucket) of a silver table.
+BATCH_BYTES = 1 << 30
+BUCKET_BYTES = 1 << 30
+BUCKET_COLUMN = "key_bucket"
 
 
 def raw_stream(spark: SparkSession, root: str, schema: StructType,
-               max_files: int | None = None) -> DataFrame:
-    """Streaming read of headerless CSV under `root/dt=*/`, dt from the path."""
-    r = spark.readStream.schema(schema).option("header", "false")
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return (r.csv(f"{root.rstrip('/')}/dt=*/")
+               max_files: int | None = None, max_bytes: int = BATCH_BYTES) -> DataFrame:
+    """Streaming read of headerless CSV below `root`, dt from the path. A
+    micro-batch takes about `max_bytes`, or `max_files` files if given."""
+    r = spark.readStream.schema(schema).option("header", "false").option("recursiveFileLookup", "true")
+    r = r.option("maxFilesPerTrigger", max_files) if max_files else r.option("maxBytesPerTrigger", max_bytes)
+    return (with_extraction_id(r.csv(root))
             .withColumn(S.PARTITION_COLUMN,
                         F.regexp_extract(F.col("_metadata.file_path"), S.PARTITION_PATTERN, 1)))
 
 
+def buckets_for(spark: SparkSession, src: str, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Key buckets a day needs so that the largest day landed so far has
+    about `bucket_bytes` in each. Only file sizes are read."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src)
+             .select(F.regexp_extract("path", S.PARTITION_PATTERN, 1).alias("day"), "length"))
+    most = files.groupBy("day").agg(F.sum("length").alias("bytes")).agg(F.max("bytes")).first()[0]
+    return max(1, math.ceil((most or 0) / bucket_bytes))
+
+
 def _finish(query) -> None:
     query.awaitTermination()
     if query.exception() is not None:  # pragma: no cover - surfaced to caller
@@ -54,92 +73,78 @@ def ingest(spark: SparkSession, src: str, sink: str, checkpoint: str,
     return spark.read.parquet(sink)
 
 
-FLIGHTS_FRESHEST = ["extracted_at_utc", "callsign", "departure_airport", "arrival_hour_local"]
-
-
-BUCKET_COLUMN = "key_bucket"
-
-
 def upsert_batch(table: str, keys: list[str], order: list[str],
                  partition_cols: list[str] = (S.PARTITION_COLUMN,),
                  rollup=None, rollup_table: str | None = None):
     """foreachBatch function: merge a micro-batch into `table`, freshest wins.
 
-    Only the partitions the batch touches (dt, or dt x key bucket) are read
-    and rewritten. Their list is collected to the driver: one row per
-    (day, bucket) present in the batch, bounded by days x buckets, not by
-    rows. The merged rows are checkpointed (reliable, shared folder) before
-    the partitions they came from are overwritten, so the write never reads
-    the files it replaces.
-
-    With `rollup` (a DataFrame -> DataFrame aggregate keeping the partition
-    columns) the same partitions of `rollup_table` are recomputed from the
-    merged rows: late data for an old day rewrites that day's (bucket of
-    the) rollup only.
+    Only the current files of the partitions the batch touches (dt, or dt x
+    key bucket) are listed and read; the merged rows become version
+    `batch_id` of those partitions, and one small append makes that version
+    current. With `rollup` (a DataFrame -> DataFrame aggregate keeping the
+    partition columns) the same partitions of `rollup_table` get that version
+    too: late data for an old day rewrites that day's (bucket of the) rollup
+    only.
     """
     cols = list(partition_cols)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        touched = batch.select(*cols).distinct().collect()
+        touched = batch.select(*cols).distinct().collect()  # at most days x buckets of the batch
         if not touched:
             return
-        cond = None
-        for t in touched:
-            one = None
-            for c in cols:
-                eq = F.col(c) == F.lit(t[c])
-                one = eq if one is None else one & eq
-            cond = one if cond is None else cond | one
-        old = spark.read.schema(batch.schema).parquet(table).filter(cond)
-        merged = latest_per_key(old.unionByName(batch), keys, order).checkpoint(eager=True)
-        (merged.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*cols).parquet(table))
+        old = versioned.read_partitions(spark, table, cols, batch.schema, touched)
+        merged = latest_per_key(old.unionByName(batch), keys, order)
+        versioned.write(merged, table, cols, batch_id)
         if rollup is not None:
-            (rollup(merged).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic")
-             .partitionBy(*cols).parquet(rollup_table))
+            fresh = versioned.read_version(spark, table, cols, batch.schema, touched, batch_id)
+            versioned.write(rollup(fresh), rollup_table, cols, batch_id)
+            versioned.commit(spark, rollup_table, cols, touched, batch_id)
+        versioned.commit(spark, table, cols, touched, batch_id)
     return merge
 
 
 def upsert(spark: SparkSession, src: str, table: str, checkpoint: str,
-           keys: list[str] = S.FLIGHTS_KEY, order: list[str] = FLIGHTS_FRESHEST,
+           keys: list[str] = S.FLIGHTS_KEY, order: list[str] = S.FRESHEST,
            types: dict = S.FLIGHTS_TYPES, schema: StructType = S.RAW_FLIGHTS_SCHEMA,
-           max_files: int | None = 1, rollup=None, rollup_table: str | None = None,
-           buckets: int | None = None) -> DataFrame:
+           max_files: int | None = None, rollup=None, rollup_table: str | None = None,
+           buckets: int | None = None, max_bytes: int = BATCH_BYTES) -> DataFrame:
     """K2: stream raw files into a freshest-wins silver table (and keep an
     optional rollup table current).
 
     buckets=B also partitions the table by a hash bucket of the natural key
     (`key_bucket`), so a batch with a few late rows for an old day rewrites
     only their buckets of that day, not the whole day. The bucket is a
-    function of the key, so freshest-wins inside a bucket is complete.
+    function of the key, so freshest-wins inside a bucket is complete; a
+    table keeps the number it was begun with.
     """
-    s = typed_projection(raw_stream(spark, src, schema, max_files), types,
+    s = typed_projection(raw_stream(spark, src, schema, max_files, max_bytes), types,
                          keep=(S.PARTITION_COLUMN,))
     cols = [S.PARTITION_COLUMN]
     if buckets:
-        s = s.withColumn(BUCKET_COLUMN,
-                         F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)))
+        s = s.withColumn(BUCKET_COLUMN, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)))
         cols.append(BUCKET_COLUMN)
-    # create the (empty) table once; "ignore" leaves an existing table alone
-    (spark.createDataFrame([], s.schema).write.mode("ignore")
-     .partitionBy(*cols).parquet(table))
     q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, cols, rollup=rollup,
                                                  rollup_table=rollup_table))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     _finish(q)
-    return spark.read.schema(s.schema).parquet(table)
+    return versioned.read(spark, table, cols, s.schema)
+
+
+def late_rows(query) -> int:
+    """Rows a finished query dropped because they came after the watermark."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress
+               for op in p["stateOperators"])
 
 
 def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
                     ts_col: str = "arrival_ts_utc", keys: tuple[str, ...] = ("market",),
                     every: str = "1 day", types: dict = S.FLIGHTS_TYPES,
                     schema: StructType = S.RAW_FLIGHTS_SCHEMA,
-                    max_files: int | None = 1, late_tolerance: str | None = None) -> DataFrame:
+                    max_files: int | None = None, late_tolerance: str | None = None,
+                    max_bytes: int = BATCH_BYTES) -> DataFrame:
     """K3: counts per key in tumbling event-time windows.
 
     Default (late_tolerance=None): complete mode. The state is one counter
@@ -150,11 +155,12 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
 
     late_tolerance="4 hours" (a live stream with bounded lateness): event
     time gets a watermark, a window is appended to the sink once the
-    watermark passes its end and its state is dropped; rows later than the
-    tolerance are not counted, and windows still open when the stream stops
-    stay in the checkpointed state until later data closes them.
+    watermark passes its end and its state is dropped. Rows later than the
+    tolerance are not counted; how many is appended to `<sink>_late`, and a
+    warning says so. Windows still open when the stream stops stay in the
+    checkpointed state until later data closes them.
     """
-    s = typed_projection(raw_stream(spark, src, schema, max_files), types)
+    s = typed_projection(raw_stream(spark, src, schema, max_files, max_bytes), types)
     if late_tolerance is None:
         counts = (s.groupBy(F.window(ts_col, every).alias("w"), *keys)
                   .agg(F.count(F.lit(1)).alias("rows"))
@@ -187,4 +193,9 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
              .trigger(availableNow=True)
              .start(sink))
         _finish(q)
+    late = late_rows(q)
+    spark.createDataFrame([(str(q.runId), late)], "run_id string, rows_dropped long") \
+        .write.mode("append").parquet(f"{sink.rstrip('/')}_late")
+    if late:
+        warnings.warn(f"{late} rows came later than {late_tolerance} and were not counted", stacklevel=2)
     return spark.read.parquet(sink)

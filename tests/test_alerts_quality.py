@@ -20,12 +20,13 @@ MART_DDL = ", ".join(
         ("is_weekend", "int"), ("is_holiday", "int"), ("is_major_event", "int"),
         ("event_name", "string"), ("is_extreme_heat", "int"), ("is_pool_weather", "int"),
         ("is_rain", "int"), ("pressure_score", "int"), ("demand_pressure", "string"),
-        ("score_drivers", "string"), ("interpretation", "string")])
+        ("score_drivers", "string"), ("interpretation", "string"), ("driver_points", "array<int>")])
 
 
 def _row(market, day, label="NORMAL", score=0, drivers=S.NO_DRIVERS, pct=None):
     return (f"{market}|{day}", market, day, 100, 90.0, pct, None, None, None, None,
-            0, 0, 0, None, 0, 0, 0, score, label, drivers, S.INTERPRETATIONS.get(label))
+            0, 0, 0, None, 0, 0, 0, score, label, drivers, S.INTERPRETATIONS.get(label),
+            [score] if score else [])
 
 
 def _mart(spark, rows_):
@@ -115,4 +116,20 @@ def test_each_check_reports_its_bad_row(spark, case, check):
 
 
 def test_mart_columns_fixed(spark):
-    assert [c.split(" ")[0] for c in MART_DDL.split(", ")] == marts.DAILY_COLUMNS
+    assert [c.split(" ")[0] for c in MART_DDL.split(", ")][:-1] == S.DAILY_COLUMNS
+
+
+def test_digest_names_high_markets_and_says_what_labels_mean(spark):
+    m = _mart(spark, [_row("LAX", D(2026, 8, 13), "HIGH", 4), _row("LAS", D(2026, 8, 13), "HIGH", 5),
+                      _row("SFO", D(2026, 8, 13)), _row("LAS", D(2026, 8, 12))])
+    by_day = {r.arrival_date_local.day: r for r in A.alert_digest(m).collect()}
+    assert by_day[13].subject == "Demand signals 2026-08-13: HIGH in LAS, LAX"
+    assert by_day[12].subject == "Demand signals 2026-08-12: no HIGH market"
+    lines = by_day[13].digest.split("\n")
+    assert len(lines) == 8 and lines[2] == "  " + S.INTERPRETATIONS["HIGH"] and lines[-1] == S.DIGEST_FOOTER
+
+
+def test_score_check_ignores_marks_in_event_names(spark):
+    m = _mart(spark, [_row("LAS", D(2026, 8, 13), "ELEVATED", 2, "event: Expo (+3) Hall (+2)")])
+    assert Q.reconcile(m).first().passed
+    assert [r.text_points for r in Q.text_points(m).collect()] == [5]

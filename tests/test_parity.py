@@ -4,11 +4,11 @@ names, order-free multiset of values) on the smallest dataset."""
 import pytest
 
 import __spark_entry__ as E
+from signalmart.plans import registry
 from tests.conftest import SF_SMALL
 from tools.parity import compare, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 
 
 @pytest.fixture(scope="module")

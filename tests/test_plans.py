@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from signalmart.plans import registry
 from tests.conftest import SF_SMALL, plan_text
 
 PY_UDF = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
@@ -12,7 +12,7 @@ PY_UDF = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInP
 
 @pytest.fixture(scope="module")
 def q():
-    return E.queries()
+    return registry.QUERIES
 
 
 def test_flagship_plan(spark, q):
@@ -37,8 +37,14 @@ def test_scalar_subquery_and_top_k(spark, q):
 
 
 def test_partition_filters(spark, q):
-    p = plan_text(q["partition_prune"](spark, SF_SMALL))
-    assert "PartitionFilters: [isnotnull(dt" in p
+    from signalmart.plans.registry import PRUNE_FROM, PRUNE_TO
+    files = q["partition_prune"](spark, SF_SMALL).inputFiles()
+    days = {re.search(r"dt=([0-9-]+)", f)[1] for f in files}
+    assert days and all(PRUNE_FROM <= d <= PRUNE_TO for d in days)
+    # both bounds of the pull window and of the backfill week reach the scan
+    for name in ("time_slice", "backfill_windows"):
+        pushed = max(re.findall(r"PushedFilters: \[([^\n]*)\]", plan_text(q[name](spark, SF_SMALL))), key=len)
+        assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed, (name, pushed)
 
 
 def test_partial_aggregation(spark, q):
@@ -69,3 +75,25 @@ def test_hot_key_holding_a_third_of_rows(spark):
     hot = out.filter("k = -1").collect()
     assert len(hot) == 1 and hot[0].extracted == 29997
     assert out.count() == 20001
+
+
+def test_appended_files_are_seen_in_the_same_session(spark, tmp_dir):
+    from signalmart.plans import landing
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.filter("event_id % 2 = 0").write.parquet(f"{tmp_dir}/events.parquet")
+    n = registry.QUERIES["csv_roundtrip"](spark, tmp_dir).count()
+    first = registry.gold(spark, tmp_dir).count()
+    assert landing.landed_flights(spark, tmp_dir) == landing.landed_flights(spark, tmp_dir)
+    events.filter("event_id % 2 = 1").write.mode("append").parquet(f"{tmp_dir}/events.parquet")
+    assert n < registry.QUERIES["csv_roundtrip"](spark, tmp_dir).count() == events.count()
+    assert registry.QUERIES["daily_count"](spark, tmp_dir).count() == registry.gold(spark, tmp_dir).count() >= first
+
+
+def test_unknown_markets_stay_and_are_counted(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    events.withColumn("event_type", F.when(F.col("event_id") == 3, "other").otherwise(F.col("event_type"))) \
+        .write.parquet(f"{tmp_dir}/events.parquet")
+    assert registry.QUERIES["daily_count"](spark, tmp_dir).filter("market = 'other'").first().arrivals == 1
+    bad = registry.QUERIES["dq_known_market"](spark, tmp_dir).first()
+    assert (bad.bad_rows, bad.passed) == (1, False)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from signalmart import schemas as S
+from signalmart.functions.columns import clean_code
 from signalmart.sources import payloads as P
 from signalmart.sources.raw import (land_raw, local_table, read_partitioned, read_raw,
                                     read_seed, reject_counts, typed_projection)
@@ -54,12 +55,14 @@ def test_landing_is_idempotent_and_prunes(spark, tmp_dir):
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="static"):
         # re-land one day; the other days survive whatever the session default
         land_raw(df.filter(F.col("dt") == "2026-08-12"), path, S.FLIGHTS_COLUMNS)
-    full = read_partitioned(spark, path, S.RAW_FLIGHTS_SCHEMA)
+    full = read_partitioned(spark, path, S.PLAIN_FLIGHTS_SCHEMA)
     assert rows(full, "dt") == [("2026-08-11",), ("2026-08-12",), ("2026-08-13",)]
-    pruned = read_partitioned(spark, path, S.RAW_FLIGHTS_SCHEMA, "2026-08-12", "2026-08-12")
-    assert "PartitionFilters: [isnotnull(dt" in plan_text(pruned)
+    pruned = read_partitioned(spark, path, S.PLAIN_FLIGHTS_SCHEMA, "2026-08-12", "2026-08-12")
+    assert all("dt=2026-08-12" in f for f in pruned.inputFiles())
     assert pruned.count() == 1
-    disc = read_raw(spark, path, S.RAW_FLIGHTS_SCHEMA, dt_from="discovery")
+    late = read_partitioned(spark, path, S.PLAIN_FLIGHTS_SCHEMA, "2026-08-12")
+    assert "PartitionFilters: [isnotnull(dt" in plan_text(late) and late.count() == 2
+    disc = read_raw(spark, path, S.PLAIN_FLIGHTS_SCHEMA, dt_from="discovery")
     assert rows(disc, "dt") == rows(full, "dt")
 
 
@@ -106,7 +109,8 @@ def test_weather_payload_parallel_arrays(spark):
                                  "wind_speed_10m": [12.5, 14.0]}})
     docs = spark.createDataFrame([(doc, "LAS", "2026-07-17 21:00:00")],
                                  "payload string, market string, ex string")
-    out = typed_projection(P.weather_rows(docs, "payload", "market", "ex"), S.WEATHER_TYPES)
+    types = {c: t for c, t in S.WEATHER_TYPES.items() if c != "extraction_id"}
+    out = typed_projection(P.weather_rows(docs, "payload", "market", "ex"), types)
     got = rows(out, "observed_date_local", "hour_local", "temp_f", "precip_mm")
     import datetime as dt
     assert got == [(dt.date(2026, 7, 17), 13, 101.2, 0.0), (dt.date(2026, 7, 17), 14, 103.0, None)]
@@ -115,7 +119,7 @@ def test_weather_payload_parallel_arrays(spark):
 def test_payload_files_read_as_json_lines(spark, tmp_dir):
     docs = [json.dumps([{"lastSeen": 1783987500 + i, "icao24": f"a{i}"}]) for i in range(3)]
     _write(f"{tmp_dir}/landing/LAS/pull_1.json", "\n".join(docs) + "\n")
-    lines = P.read_json_lines(spark, f"{tmp_dir}/landing/*/*.json")
+    lines = P.read_json_lines(spark, f"{tmp_dir}/landing")
     lines = lines.withColumn("market", F.regexp_extract("source_file", r"/landing/(\w+)/", 1))
     out = P.arrival_rows(lines, "payload", "market", F.lit("America/Los_Angeles"),
                          F.lit("2026-07-13 06:00:00"))
@@ -130,18 +134,47 @@ def test_work_dirs_share_one_checkpoint_root(spark):
     assert checkpoint_root(spark) == root
 
 
-def test_salted_landing_bounds_files_per_day(spark, tmp_dir):
+def test_landing_bounds_files_per_day(spark, tmp_dir):
+    """Sixteen writing tasks, three quarters of the rows on one day: files per
+    day follow the target size, not the number of tasks."""
     import glob
-    df = spark.range(4000, numPartitions=16).select(
-        *[F.lit("x").alias(c) for c in S.FLIGHTS_COLUMNS[:-1]],
+    from signalmart.session import session_conf
+    df = spark.range(40000, numPartitions=16).select(
+        *[F.sha2(F.concat(F.lit(c), F.col("id")), 256).alias(c) for c in S.FLIGHTS_COLUMNS[:-1]],
         F.col("id").cast("string").alias("extracted_at_utc"),
-        F.when(F.col("id") < 3000, "2026-08-01").otherwise("2026-08-02").alias("dt"))
+        F.when(F.col("id") < 30000, "2026-08-01").otherwise("2026-08-02").alias("dt"))
     land_raw(df, f"{tmp_dir}/plain", S.FLIGHTS_COLUMNS)
-    land_raw(df, f"{tmp_dir}/salted", S.FLIGHTS_COLUMNS, salt_buckets=3)
+    with session_conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="4m"):
+        land_raw(df.repartition(16), f"{tmp_dir}/small", S.FLIGHTS_COLUMNS)
     per_day = lambda p: [len(glob.glob(f"{p}/dt={d}/*.csv")) for d in ("2026-08-01", "2026-08-02")]
-    assert max(per_day(f"{tmp_dir}/salted")) <= 3 < max(per_day(f"{tmp_dir}/plain"))
-    back = read_partitioned(spark, f"{tmp_dir}/salted", S.RAW_FLIGHTS_SCHEMA)
-    assert back.count() == 4000                       # nothing dropped
+    assert per_day(f"{tmp_dir}/plain") == [1, 1]
+    assert 2 <= per_day(f"{tmp_dir}/small")[0] <= 8 and per_day(f"{tmp_dir}/small")[1] <= 4
+    back = read_partitioned(spark, f"{tmp_dir}/small", S.PLAIN_FLIGHTS_SCHEMA)
+    assert back.count() == 40000                       # nothing dropped
+
+
+def test_named_days_alone_are_indexed(spark, tmp_dir):
+    for day in range(1, 10):
+        _write(f"{tmp_dir}/raw/dt=2026-08-0{day}/a.csv", "LAS,x,,,,,,,\n")
+    week = read_partitioned(spark, f"{tmp_dir}/raw", S.RAW_FLIGHTS_SCHEMA, "2026-08-03", "2026-08-05")
+    assert [f.rsplit("/", 2)[1] for f in sorted(week.inputFiles())] == [f"dt=2026-08-0{d}" for d in (3, 4, 5)]
+    assert rows(week, "dt") == [(f"2026-08-0{d}",) for d in (3, 4, 5)]
+    assert read_partitioned(spark, f"{tmp_dir}/raw", S.RAW_FLIGHTS_SCHEMA, "2025-01-01", "2025-01-02").count() == 0
+
+
+def test_malformed_documents_are_set_aside(spark):
+    good = json.dumps([{"lastSeen": 1700000000.5, "icao24": "a"}])
+    docs = spark.createDataFrame([(good,), ("[{\"lastSeen\": 17",), ("nonsense",), ("",), (None,)], "payload string")
+    assert P.rejects(docs, "payload", P.ARRIVALS_PAYLOAD).count() == 2
+    rows_ = P.arrival_rows(docs, "payload", F.lit("LAS"), F.lit("UTC"), F.lit("t"))
+    assert rows(rows_, "icao24", "arrival_ts_utc") == [("a", "2023-11-14 22:13:20")]  # a fraction is kept
+    wx = spark.createDataFrame([("{\"hourly\": {\"time\": []}}",), ("{",), ("{}",)], "payload string")
+    assert P.rejects(wx, "payload", P.WEATHER_PAYLOAD).count() == 2
+
+
+def test_codes_lose_any_white_space(spark):
+    df = spark.createDataFrame([("AB1\t",), ("\n C,D\u00a0",), (None,)], "c string")
+    assert [r[0] for r in df.select(clean_code("c")).collect()] == ["AB1", "CD", ""]
 
 
 def test_local_table_literals_round_trip(spark):

@@ -3,10 +3,15 @@ day (FIXTURES §2, case 30)."""
 
 import os
 
+import pytest
+
 from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
 from signalmart.sources.raw import read_raw, typed_projection
+from pyspark.sql.types import StructType
+
 from signalmart.streaming import ingest as K
+from signalmart.streaming import versioned as V
 from tests.conftest import rows
 
 
@@ -16,8 +21,8 @@ def _land(root, dt, name, lines):
         fh.write("\n".join(lines) + "\n")
 
 
-def _line(icao, ts, date, hour, extracted, callsign="CS"):
-    return f"LAS,{icao},{callsign},KSFO,{ts},{date},{hour},{extracted}"
+def _line(icao, ts, date, hour, extracted, callsign="CS", extraction=""):
+    return f"LAS,{icao},{callsign},KSFO,{ts},{date},{hour},{extracted},{extraction}"
 
 
 def _fixture(root):
@@ -31,7 +36,7 @@ def _fixture(root):
 
 
 def _batch(spark, root):
-    raw = read_raw(spark, f"{root}/dt=*/*.csv", S.RAW_FLIGHTS_SCHEMA)
+    raw = read_raw(spark, root, S.RAW_FLIGHTS_SCHEMA)
     return typed_projection(raw, S.FLIGHTS_TYPES, keep=("dt",))
 
 
@@ -46,7 +51,7 @@ def test_stream_upsert_freshest_wins_and_late_file(spark, tmp_dir):
     root = f"{tmp_dir}/raw"
     _fixture(root)
     out = K.upsert(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/ck", max_files=1)
-    expect = latest_per_key(_batch(spark, root), S.FLIGHTS_KEY, K.FLIGHTS_FRESHEST)
+    expect = latest_per_key(_batch(spark, root), S.FLIGHTS_KEY, S.FRESHEST)
     cols = ["icao24", "callsign", "dt"]
     assert rows(out, *cols) == rows(expect, *cols)
     assert ("a", "NEW", "2026-08-12") in rows(out, *cols)
@@ -76,15 +81,16 @@ def test_rollup_follows_late_data_for_old_day(spark, tmp_dir):
     def run():
         K.upsert(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/ck", max_files=1,
                  rollup=rollup, rollup_table=f"{tmp_dir}/daily")
-        return [(str(d), n) for d, n in rows(spark.read.parquet(f"{tmp_dir}/daily"),
+        kind = StructType.fromDDL("market string, arrival_date_local date, dt string, arrivals long")
+        return [(str(d), n) for d, n in rows(V.read(spark, f"{tmp_dir}/daily", ["dt"], kind),
                                               "dt", "arrivals")]
 
     assert run() == [("2026-08-12", 2), ("2026-08-13", 1)]
-    day13 = sorted(os.listdir(f"{tmp_dir}/daily/dt=2026-08-13"))
+    day13 = sorted(os.listdir(f"{tmp_dir}/daily/data/dt=2026-08-13"))
     _land(root, "2026-08-12", "late", [
         _line("d", "2026-08-12 23:00:00", "2026-08-12", 16, "2026-08-14 09:00:00")])
     assert run() == [("2026-08-12", 3), ("2026-08-13", 1)]
-    assert sorted(os.listdir(f"{tmp_dir}/daily/dt=2026-08-13")) == day13  # untouched day
+    assert sorted(os.listdir(f"{tmp_dir}/daily/data/dt=2026-08-13")) == day13  # untouched day
 
 
 def test_stream_hourly_windows(spark, tmp_dir):
@@ -105,6 +111,8 @@ def test_stream_watermark_finalises_closed_windows(spark, tmp_dir):
         _line("c", "2026-08-13 10:00:00", "2026-08-13", 3, "x")])
     _land(root, "2026-08-14", "f3", [
         _line("d", "2026-08-14 09:00:00", "2026-08-14", 2, "x")])
+    for k, (day, name) in enumerate([(12, "f1"), (13, "f2"), (14, "f3")]):
+        os.utime(f"{root}/dt=2026-08-{day}/{name}.csv", (1786000000 + k, 1786000000 + k))
     out = K.tumbling_counts(spark, root, f"{tmp_dir}/c", f"{tmp_dir}/ck", max_files=1,
                             late_tolerance="2 hours")
     got = sorted((r.window_start.day, r.rows) for r in out.collect())
@@ -121,7 +129,7 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
         for i in range(40)])
     first = K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1, buckets=4)
     assert first.count() == 40
-    before = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/dt=2026-08-12/key_bucket=*")}
+    before = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/data/dt=2026-08-12/key_bucket=*")}
     assert len(before) == 4
     # a fresher copy of one key arrives late
     _land(root, "2026-08-12", "late", [
@@ -129,7 +137,7 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
     out = K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1, buckets=4)
     assert out.count() == 40
     assert rows(out.filter("icao24 = 'k7'"), "callsign") == [("LATE",)]
-    after = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/dt=2026-08-12/key_bucket=*")}
+    after = {p: sorted(os.listdir(p)) for p in glob.glob(f"{table}/data/dt=2026-08-12/key_bucket=*")}
     changed = [p for p in before if before[p] != after[p]]
     assert len(changed) == 1                     # only k7's bucket was rewritten
 
@@ -139,6 +147,61 @@ def test_restart_on_same_checkpoint_changes_nothing(spark, tmp_dir):
     root, table = f"{tmp_dir}/raw", f"{tmp_dir}/silver"
     _fixture(root)
     first = rows(K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1))
-    files = sorted(glob.glob(f"{table}/dt=*/*.parquet"))
+    files = sorted(glob.glob(f"{table}/data/dt=*/*/*.parquet"))
     again = rows(K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1))
-    assert again == first and sorted(glob.glob(f"{table}/dt=*/*.parquet")) == files
+    assert again == first and sorted(glob.glob(f"{table}/data/dt=*/*/*.parquet")) == files
+
+
+@pytest.mark.parametrize("step", ["write", "commit"])
+def test_a_crash_between_write_and_commit_loses_nothing(spark, tmp_dir, monkeypatch, step):
+    """The second batch dies before or after its rows are written; what was
+    committed stays readable, and the replay gives the full result."""
+    root, table = f"{tmp_dir}/raw", f"{tmp_dir}/silver"
+    _land(root, "2026-08-12", "run1", [
+        _line("a", "2026-08-12 20:00:00", "2026-08-12", 13, "2026-08-12 21:00:00"),
+        _line("b", "2026-08-12 21:00:00", "2026-08-12", 14, "2026-08-12 21:00:00")])
+    K.upsert(spark, root, table, f"{tmp_dir}/ck")
+    _land(root, "2026-08-12", "run2", [
+        _line("a", "2026-08-12 20:00:00", "2026-08-12", 13, "2026-08-12 22:00:00", "NEW"),
+        _line("c", "2026-08-12 22:00:00", "2026-08-12", 15, "2026-08-12 22:00:00")])
+
+    def die(*args, **kw):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(V, step, die)
+        with pytest.raises(Exception):
+            K.upsert(spark, root, table, f"{tmp_dir}/ck")
+    schema = StructType.fromDDL("icao24 string, callsign string, dt string")
+    assert rows(V.read(spark, table, ["dt"], schema), "icao24", "callsign") == [("a", "CS"), ("b", "CS")]
+    out = K.upsert(spark, root, table, f"{tmp_dir}/ck")
+    assert rows(out, "icao24", "callsign") == [("a", "NEW"), ("b", "CS"), ("c", "CS")]
+    assert V.vacuum(spark, table, ["dt"], schema) == 1
+    assert rows(V.read(spark, table, ["dt"], schema), "icao24") == [("a",), ("b",), ("c",)]
+
+
+def test_equal_times_fall_to_the_greatest_extraction_id(spark, tmp_dir):
+    root, same = f"{tmp_dir}/raw", "2026-08-12 21:00:00"
+    for name, who in (("one", "1"), ("three", "3"), ("two", "2")):
+        _land(root, "2026-08-12", name, [
+            _line(f"k{i}", "2026-08-12 20:00:00", "2026-08-12", 13, same, f"CS{who}", who) for i in range(5)])
+    out = K.upsert(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/ck", max_files=1)
+    batch = latest_per_key(_batch(spark, root), S.FLIGHTS_KEY, S.FRESHEST)
+    assert rows(out, "icao24", "callsign") == rows(batch, "icao24", "callsign") == [(f"k{i}", "CS3") for i in range(5)]
+
+
+def test_late_rows_are_counted(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    # a batch's rows are held against the watermark of the batch before
+    for k, day in enumerate((14, 15, 12)):
+        _land(root, f"2026-08-{day}", "f", [_line("a", f"2026-08-{day} 09:00:00", f"2026-08-{day}", 2, "x")])
+        os.utime(f"{root}/dt=2026-08-{day}/f.csv", (1786000000 + k, 1786000000 + k))
+    with pytest.warns(UserWarning, match="1 rows came later"):
+        K.tumbling_counts(spark, root, f"{tmp_dir}/c", f"{tmp_dir}/ck", max_files=1, late_tolerance="2 hours")
+    assert rows(spark.read.parquet(f"{tmp_dir}/c_late"), "rows_dropped") == [(1,)]
+
+
+def test_buckets_follow_the_largest_day(spark, tmp_dir):
+    _fixture(f"{tmp_dir}/raw")
+    assert K.buckets_for(spark, f"{tmp_dir}/raw") == 1
+    assert K.buckets_for(spark, f"{tmp_dir}/raw", bucket_bytes=100) == 3
