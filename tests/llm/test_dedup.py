@@ -1,0 +1,178 @@
+"""Exact and near deduplication, and removal of repeated strings, against
+brute force."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from signalmart.llm import exact_dedup, minhash, repeated_spans
+from signalmart.llm.components import components
+from tests.conftest import rows
+from tests.llm.fixtures import docs, families, odd, prose
+
+
+# ---- exact -----------------------------------------------------------------
+@pytest.mark.parametrize("counters", [1, 3, 1024])
+def test_copies_match_a_plain_grouping(spark, counters):
+    texts = ["hot"] * 60 + ["warm"] * 20 + [f"t{i}" for i in range(30)] + ["", None, "pair", "pair"]
+    df = docs(spark, list(enumerate(texts))).repartition(5)
+    got = {(r.id, r.keep_id, r.group_size, r.kept, r.digest) for r in exact_dedup.mark_copies(df, counters=counters).collect()}
+    group = defaultdict(list)
+    for i, t in enumerate(texts):
+        group[t or ""].append(i)
+    assert got == {(i, max(group[t or ""]), len(group[t or ""]), i == max(group[t or ""]),
+                    hashlib.sha256((t or "").encode()).hexdigest()) for i, t in enumerate(texts)}
+
+
+def test_frequent_digests_include_every_heavy_one(spark):
+    df = spark.createDataFrame([("a",)] * 50 + [("b",)] * 30 + [(f"x{i}",) for i in range(40)], "digest string")
+    found = {r.digest for r in exact_dedup.frequent_digests(df.repartition(4), 4).collect()}
+    assert {"a", "b"} <= found and len(found) <= 4
+
+
+@pytest.mark.parametrize("counters", [1, 1024])
+def test_exact_dedup_of_odd_rows(spark, counters):
+    df = odd(spark)
+    kept = exact_dedup.drop_copies(df, counters=counters)
+    assert kept.columns == df.columns
+    got = kept.groupBy(F.coalesce("text", F.lit(""))).count()
+    assert got.filter("count > 1").count() == 0                  # one row of each text, ties too
+    assert got.count() == df.select(F.coalesce("text", F.lit(""))).distinct().count()
+    assert kept.filter("text = 'one two'").first().doc_id == 5   # the largest id
+    assert kept.filter("coalesce(text, '') = ''").first().doc_id == 2
+    assert exact_dedup.drop_copies(df.limit(0)).count() == 0
+
+
+# ---- near copies -----------------------------------------------------------
+def brute_groups(pairs, percent):
+    """{row: least id of its component}, by comparing all pairs."""
+    word = re.compile(rb"[^\x20\x09-\x0D]+")
+    sets = []
+    for _, t in pairs:
+        w = word.findall(bytes(t or "", "utf-8").lower() if (t or "").isascii() else (t or "").encode())
+        sets.append({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    parent = list(range(len(pairs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+    least = defaultdict(list)
+    for i in range(len(pairs)):
+        if pairs[i][0] is not None:
+            least[find(i)].append(pairs[i][0])
+    return [(pairs[i][0], len(sets[i]), min(least[find(i)], default=None) if sets[i] else pairs[i][0]) for i in range(len(pairs))]
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_components_match_all_pairs(spark, percent):
+    pairs = list(enumerate(families(5, 4, 18)))
+    got = sorted((r.id, r.n_shingles, r.component_id) for r in minhash.near_groups(docs(spark, pairs), percent=percent).collect())
+    assert got == sorted(brute_groups(pairs, percent))
+    assert len({c for _, _, c in got}) < len(pairs)
+
+
+def test_prefix_filter_misses_no_pair(spark):
+    """With one useless band per text only the prefix filter finds links."""
+    texts = families(9, 2, 12, length=60, unrelated=5)
+    df = spark.createDataFrame([(bytes([i]), bytes([i]), t) for i, t in enumerate(texts)], "vertex binary, root binary, text string")
+    got = {(r.u[0], r.v[0]) for r in minhash.prefix_pairs(df, 80).collect()}
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j)
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert want and want <= got
+
+
+def test_a_chain_of_near_copies_is_one_component(spark):
+    base = prose(3, 120)
+    texts = [" ".join(["n" + str(j) if j < 2 * k else w for j, w in enumerate(base)]) for k in range(12)]
+    pairs = list(enumerate(texts))
+    got = sorted((r.id, r.n_shingles, r.component_id) for r in minhash.near_groups(docs(spark, pairs), percent=80).collect())
+    assert got == sorted(brute_groups(pairs, 80)) and {c for _, _, c in got} == {0}
+
+
+def test_near_dedup_of_odd_rows(spark):
+    df = odd(spark)
+    marked = {(r.id, r.n_shingles, r.component_id) for r in minhash.near_groups(df, percent=85).collect()}
+    assert (1, 0, 1) in marked and (2, 0, 2) in marked and (3, 0, 3) in marked and (None, 0, None) in marked
+    assert (5, 1, 4) in marked and (7, 997, 6) in marked and (8, 1, 8) in marked and (None, 3, None) in marked
+    kept = minhash.drop_near_copies(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.filter("doc_id IS NOT NULL").collect()) == [1, 2, 3, 4, 6, 8, 9, 9]
+    assert kept.filter("doc_id IS NULL").count() == 2
+    twice = docs(spark, [(4, "one two"), (4, "one two"), (9, "one two")])
+    assert [r.doc_id for r in minhash.drop_near_copies(twice).collect()] == [4]
+    assert minhash.drop_near_copies(df.limit(0)).count() == 0
+
+
+def test_components_of_stars_chains_and_rings(spark):
+    edges = [(1, 2), (2, 3), (3, 4), (4, 5), (10, 11), (11, 12), (12, 10), (20, 21), (20, 22), (20, 23), (30, 30)]
+    got = dict(rows(components(spark.createDataFrame(edges, "u long, v long"))))
+    assert got == {**{k: 1 for k in range(1, 6)}, **{k: 10 for k in (10, 11, 12)}, **{k: 20 for k in range(20, 24)}}
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# ---- repeated strings ------------------------------------------------------
+def brute_spans(texts, size=200):
+    seen = Counter(t[p:p + size] for t in texts for p in range(len(t) - size + 1))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t) + 1, np.int64)
+        for p in range(len(t) - size + 1):
+            if seen[t[p:p + size]] > 1:
+                gone[p] += 1
+                gone[p + size] -= 1
+        gone = np.cumsum(gone)[:-1] > 0
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone])
+        out.append((len(t), int(gone.sum()), int((np.diff(np.concatenate(([0], gone.astype(int)))) == 1).sum()), kept))
+    return out
+
+
+def passages():
+    """Passages of many lengths around 200 bytes in different surroundings,
+    overlapping repeats within a text, runs of one byte, and copies."""
+    long = " ".join(prose(1, 200))
+    out = [" ".join(prose(k + 10, 30)) + long[a:a + n] + " ".join(prose(k + 50, 30))
+           for k, (a, n) in enumerate([(0, 199), (0, 200), (0, 201), (50, 400), (20, 300), (90, 250), (0, 260), (95, 205)])]
+    out += ["=" * 500, "=" * 199, "=" * 200, "ab" * 180, "z" + "ab" * 120, "abc" * 100 + "-" + "abc" * 100,
+            "copy " * 60, "copy " * 60, "short", "", "é" * 150, "漢字" * 80 + "x" + "漢字" * 50]
+    return out
+
+
+@pytest.mark.parametrize("group", [2, 7, repeated_spans.GROUP])
+@pytest.mark.parametrize("bits", [1 << 6, 1 << 28])
+def test_removed_bytes_match_brute_force(spark, group, bits):
+    texts = passages()
+    found = repeated_spans.remove_repeats(docs(spark, list(enumerate(texts))).repartition(3), group=group, filter_bits=bits)
+    got = {r.id: (r.n_bytes, r.n_removed, r.n_spans, texts[r.id].encode() if r.kept is None else bytes(r.kept))
+           for r in found.collect()}
+    assert got == dict(enumerate(brute_spans([t.encode() for t in texts])))
+
+
+def test_repeats_of_odd_rows(spark):
+    df = odd(spark)
+    got = sorted((-1 if r.id is None else r.id, r.n_bytes, r.n_removed) for r in repeated_spans.remove_repeats(df).collect())
+    sizes = {r.doc_id: r.n for r in df.filter("doc_id IN (6, 8)").selectExpr("doc_id", "octet_length(text) AS n").collect()}
+    assert (6, sizes[6], sizes[6]) in got and (8, sizes[8], sizes[8]) in got and (1, 0, 0) in got
+    assert len(got) == df.count()
+    assert repeated_spans.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_multikey_quicksort_orders_and_measures(spark):
+    r = np.random.default_rng(3)
+    data = [bytes(r.integers(97, 99, 24, dtype=np.uint8)) for _ in range(400)]
+    order, shared = repeated_spans._sorted_suffixes(repeated_spans._as_words(data, 24))
+    assert [data[i] for i in order] == sorted(data)
+    for a, b, n in zip(order, order[1:], shared[1:]):
+        same = next((k for k in range(24) if data[a][k] != data[b][k]), 24)
+        assert n == same
