@@ -8,7 +8,6 @@ import pytest
 from signalmart import schemas as S
 from signalmart.operators import alerts as A
 from signalmart.operators import quality as Q
-from signalmart.plans import marts
 
 D = dt.date
 MART_DDL = ", ".join(
