@@ -99,21 +99,13 @@ def op8_toxicity(spark, sf_dir):
                         "s.neighbours", "s.terms")
 
 
-def piece_rows(docs, model, carry):
-    """``carry`` columns, ids and exact of each document."""
-    return docs.select(*carry, sentence_pieces.encoded(text_column(docs, "text"), model).alias("e")).select(
-        *carry, F.col("e.ids").alias("ids"), F.col("e.exact").alias("exact"))
-
-
 @register("op6_sentence_pieces")
 def op6_sentence_pieces(spark, sf_dir):
     """Pieces of every document and the text they decode to."""
-    model = sentence_pieces.read_model(PIECES)
     docs = table(spark, sf_dir, "documents")
-    coded = piece_rows(docs, model, ["doc_id"])
-    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "exact",
-                        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").cast("binary"), 256).alias("ids_sha256"),
-                        F.sha2(sentence_pieces.decoded(F.col("ids"), model).cast("binary"), 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", sentence_pieces.encoded(
+        text_column(docs, "text"), sentence_pieces.read_model(PIECES)).alias("e"))
+    return coded.select("doc_id", F.size("e.ids").cast("long").alias("n_tokens"), "e.ids", "e.exact", "e.decoded_sha256")
 
 
 @register("op2_quality")

@@ -27,27 +27,31 @@ the format prescribes; ``exact`` says whether decoding gave the text back.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from signalmart.llm.common import text_groups, utf8_parts
 
 MARK = "▁"
-_WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_RAW = re.compile("[\udc80-\udcff]")
 _MEMO = 300_000
 #: Bytes of text whose new words are encoded together.
-TOGETHER = 1 << 21
+TOGETHER = 1 << 22
+_SIEVE = _SLOTS = 1 << 20
+U = np.uint64
 #: Words longer than this are cut where no piece can reach across.
-_LONG = 48
+_LONG = 32
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
-ENCODED = "struct<ids: array<int>, exact: boolean>"
+ENCODED = "struct<ids: array<int>, exact: boolean, decoded_sha256: string>"
 
 
 def read_model(path: str) -> dict:
@@ -89,21 +93,49 @@ class Encoder:
         self.runs = {p: i for i, p in self.text.items() if set(p) == {MARK}}
         inner = {i: p for i, p in self.text.items() if set(p) != {MARK} or p == MARK}
         self.rank = {p: -m["scores"][i] for i, p in self.text.items()}
-        self.byte_of = {i: b for b, i in m["bytes"].items()}
+        # raw bytes from 0x80 up are shown as surrogates until decode() joins them
+        self.shown = [self.text.get(i, "") for i in range(len(m["pieces"]))]
+        for b, i in m["bytes"].items():
+            self.shown[i] = chr(b) if b < 128 else chr(0xDC00 + b)
         self.longest = max((len(p) for p in inner.values()), default=1)
         self.touching = {p[k:k + 2] for p in inner.values() for k in range(len(p) - 1)}
+        # a word ends before a sign too, unless a piece reaches from its last letter to a sign
+        letters = {a for a, b in self.touching if re.match(r"\w", a) and not re.match(rf"[\w{MARK}]", b)}
+        stop = f"(?<![{re.escape(''.join(sorted(letters)))}])" if letters else ""
+        self.words = re.compile(f"{MARK}*\\w+{stop}(?=[^\\w{MARK}])|{MARK}*[^{MARK}]+|{MARK}+")
         keys = {}
         for i, p in inner.items():
             keys[self._hash_text(p)] = i
         order = sorted(keys)
         self.keys = np.array(order, np.uint64)
         self.ids = np.array([keys[k] for k in order], np.int64)
+        self.maybe = np.zeros(_SIEVE, bool)  # spares most probes that find nothing
+        self.maybe[self.keys % np.uint64(_SIEVE)] = True
         self.score = np.array(m["scores"], float)
         if m["kind"] == "bpe":
             self._pair_tables(inner)
-        self.memo: dict[str, list[int]] = {}
+        self._forget()
         self.run_memo: dict[int, list[int]] = {}
 
+    def _forget(self) -> None:
+        """Empty the memo: word -> place of its pieces in ``store``."""
+        self.memo: dict[str, int] = {}
+        self.store, self.used = np.zeros(1 << 16, np.int32), 0
+        self.starts, self.counts = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+
+    def _remember(self, words: list[str], flat: np.ndarray, count: np.ndarray) -> None:
+        n, k = len(words), len(self.memo)
+        while self.used + len(flat) > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+        while k + n > len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+        self.store[self.used:self.used + len(flat)] = flat
+        self.starts[k:k + n] = self.used + np.cumsum(count) - count
+        self.counts[k:k + n] = count
+        self.used += len(flat)
+        self.memo.update(zip(words, range(k, k + n)))
+
     @staticmethod
     def _hash_text(p: str) -> int:
         h = 0
@@ -144,8 +176,24 @@ class Encoder:
         self.pair_keys = np.array([k for k, _ in found], np.int64)
         self.pair_level = np.array([c for _, c in found], np.int64)
         self.width = width
+        self.met, self.apart = np.full(_SLOTS, -1, np.int64), np.zeros(_SLOTS, bool)
 
     def _follows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether piece b may follow piece a; pairs met before are looked up
+        in a table of fixed size."""
+        key = a * self.width + b
+        slot = ((key.view(U) * _STEP) >> U(65 - _SLOTS.bit_length())).astype(np.int64)
+        out = self.apart[slot]
+        new = np.flatnonzero(self.met[slot] != key)
+        if len(new):
+            keys, first, back = np.unique(key[new], return_index=True, return_inverse=True)
+            found = self._merges_apart(a[new][first], b[new][first])
+            out[new] = found[back]
+            spot, one = np.unique(slot[new][first], return_index=True)  # one pair a slot
+            self.met[spot], self.apart[spot] = keys[one], found[one]
+        return out
+
+    def _merges_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the texts of pieces a and b (levels) leaves just a
         and b. The merges that built them are undone from the latest on: none
         may be later than a merge across the border would have been."""
@@ -174,7 +222,7 @@ class Encoder:
             b[live] = np.where(in_x, y, self.left[y])
         return out
 
-    def _equal_length(self, words: list[str], size: int) -> list[list[int]]:
+    def _equal_length(self, words: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
         """Encode words of one length together."""
         n = len(words)
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64)
@@ -191,12 +239,14 @@ class Encoder:
                 start = stop - length
                 h = h + (chars[:, start] + np.uint64(1)) * factor
                 factor = factor * _STEP
-                at = np.searchsorted(self.keys, h)
+                hit = np.flatnonzero(self.maybe[h & np.uint64(_SIEVE - 1)])
+                at = np.searchsorted(self.keys, h[hit])
                 at[at == len(self.keys)] = 0
-                hit = np.flatnonzero(self.keys[at] == h)
+                sure = self.keys[at] == h[hit]
+                hit, at = hit[sure], at[sure]
                 if not len(hit):
                     continue
-                ids = self.ids[at[hit]]
+                ids = self.ids[at]
                 if bpe:
                     level = self.level[ids]
                     score = self.whole[level].astype(float)
@@ -218,16 +268,43 @@ class Encoder:
             alone = piece[:, stop] < 0
             back[alone, stop] = stop - 1
             best[:, stop] = 0 if bpe else np.where(alone, best[:, stop - 1] + self.score.min() - 10, top)
-        out = []
-        for row, word in enumerate(words):
-            ids, stop = [], size
-            while stop:
-                start = int(back[row, stop])
-                p = int(piece[row, stop])
-                ids.append([p] if p >= 0 else self._bytes(word[start:stop]))
-                stop = start
-            out.append(list(chain.from_iterable(reversed(ids))))
-        return out
+        return self._trace(words, size, piece, back)
+
+    def _trace(self, words, size, piece, back) -> tuple[np.ndarray, np.ndarray]:
+        """Follow the backpointers of all words at once, last piece first:
+        the words' ids one after the other, and how many each has."""
+        n = len(words)
+        rows, stop = np.arange(n), np.full(n, size)
+        last, count = np.full((n, size), -2, np.int64), np.zeros(n, np.int64)
+        for column in range(size - 1, -1, -1):
+            last[rows, column] = piece[rows, stop]
+            count[rows] += 1
+            stop = back[rows, stop]
+            rows, stop = rows[stop > 0], stop[stop > 0]
+            if not len(rows):
+                break
+        odd = np.flatnonzero((last == -1).any(axis=1))
+        if not len(odd):
+            return last[last > -2], count
+        spelled = {}  # a character without a piece becomes its bytes' pieces
+        for row in odd.tolist():
+            ids, at = [], 0
+            for p in last[row, size - count[row]:].tolist():
+                ids += [p] if p >= 0 else self._bytes(words[row][at])
+                at += len(self.text[p]) if p >= 0 else 1
+            spelled[row] = ids
+        plain = np.ones(n, bool)
+        plain[odd] = False
+        whole = last[plain]
+        whole = whole[whole > -2]
+        own = count[plain]
+        count[odd] = [len(x) for x in spelled.values()]
+        starts = np.cumsum(count) - count
+        flat = np.empty(int(count.sum()), np.int64)
+        flat[np.repeat(starts[plain] - np.cumsum(own) + own, own) + np.arange(len(whole))] = whole
+        for row, ids in spelled.items():
+            flat[starts[row]:starts[row] + len(ids)] = ids
+        return flat, count
 
     def _bytes(self, text: str) -> list[int]:
         return [self.model["bytes"].get(b, self.model["unknown"]) for b in text.encode("utf-8", "replace")]
@@ -265,49 +342,76 @@ class Encoder:
 
     def learn(self, words) -> None:
         """Encode words that are not in the memo yet."""
-        split, sizes = {}, {}
+        plain: dict[int, list[str]] = {}
+        split: dict[str, tuple[int, list[str]]] = {}
         for word in words:
+            if len(word) <= _LONG and word[1:2] != MARK and word != MARK:
+                plain.setdefault(len(word), []).append(word)
+                continue
             bare = word.lstrip(MARK)
             marks = len(word) - len(bare)
-            parts = self._cut((MARK if marks else "") + bare) if bare else []
-            split[word] = marks, parts
-            for part in parts:
-                sizes.setdefault(len(part), set()).add(part)
+            split[word] = marks, self._cut((MARK if marks else "") + bare) if bare else []
         done: dict[str, list[int]] = {}
-        for size, some in sizes.items():
-            group = sorted(some)
-            step = max(1, 200_000 // size)
-            for k in range(0, len(group), step):
-                done.update(zip(group[k:k + step], self._equal_length(group[k:k + step], size)))
-        for word, (marks, parts) in split.items():
-            ids = list(chain.from_iterable(done[p] for p in parts))
-            if marks > 1 or not parts:  # blanks before the word's own
+        parts: dict[int, set[str]] = {}
+        for part in chain.from_iterable(own for _, own in split.values()):
+            parts.setdefault(len(part), set()).add(part)
+        for size, group in parts.items():
+            for some, flat, count in self._batches(sorted(group), size):
+                ends = np.cumsum(count)
+                done.update((w, flat[e - c:e].tolist()) for w, e, c in zip(some, ends, count))
+        for size, group in plain.items():
+            for some, flat, count in self._batches(group, size):
+                self._remember(some, flat, count)
+        for word, (marks, own) in split.items():
+            ids = list(chain.from_iterable(done[p] for p in own))
+            if marks > 1 or not own:  # blanks before the word's own
                 lone = not ids or ids[0] == self.blank
                 ids = self._blanks(marks) + ids[1:] if lone else self._blanks(marks - 1) + ids
-            self.memo[word] = ids
+            self._remember([word], np.array(ids, np.int64), np.array([len(ids)]))
+
+    def _batches(self, group: list[str], size: int):
+        step = max(1, 200_000 // size)
+        for k in range(0, len(group), step):
+            yield group[k:k + step], *self._equal_length(group[k:k + step], size)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; the texts' new words are encoded together."""
+        """Ids of each text; the texts' new words are encoded together. A very
+        long text is taken in parts that begin with a word's blanks."""
+        if any(len(text) > TOGETHER for text in texts):
+            return [np.concatenate([x for part in self._parts(MARK + text.replace(" ", MARK))
+                                    for x in self._encode([part])] or [np.zeros(0, np.int32)]) if text
+                    else np.zeros(0, np.int32) for text in texts]
+        return self._encode([MARK + text.replace(" ", MARK) if text else "" for text in texts])
+
+    @staticmethod
+    def _parts(text: str):
+        at = 0
+        while at < len(text):
+            stop = len(text)
+            if stop - at > TOGETHER:
+                found = re.compile(f"(?<=[^{MARK}]){MARK}").search(text, at + TOGETHER // 2)
+                stop = found.start() if found else stop
+            yield text[at:stop]
+            at = stop
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.memo) > _MEMO:
-            self.memo.clear()
-        split = [_WORDS.findall(MARK + text.replace(" ", MARK)) if text else [] for text in texts]
+            self._forget()
+        split = [self.words.findall(text) for text in texts]
         self.learn({w for words in split for w in words if w not in self.memo})
-        return [np.fromiter(chain.from_iterable(map(self.memo.__getitem__, words)), np.int32) for words in split]
+        out = []
+        for words in split:
+            at = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
+            count = self.counts[at]
+            ends = np.cumsum(count)
+            place = np.repeat(self.starts[at] - ends + count, count)
+            out.append(self.store[place + np.arange(len(place))])
+        return out
 
     def decode(self, ids) -> str:
-        parts, raw = [], bytearray()
-        for i in ids:
-            b = self.byte_of.get(int(i))
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                parts.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            parts.append(self.text.get(int(i), ""))
-        if raw:
-            parts.append(raw.decode("utf-8", "replace"))
-        text = "".join(parts).replace(MARK, " ")
+        text = "".join(map(self.shown.__getitem__, ids)).replace(MARK, " ")
+        if not text.isprintable() and _RAW.search(text):
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -323,21 +427,26 @@ def _encoder(model: dict) -> Encoder:
 
 
 def encoded(text: Column, model: dict) -> Column:
-    """ids and exact (decoding gave the text back) of each text."""
+    """Of each text its ids, the SHA-256 of what they decode to, and exact
+    (that is the text). One pass: a second Python operator over the ids would
+    hold another worker and another copy of them."""
     @F.arrow_udf(ENCODED)
     def run(column: pa.Array) -> pa.Array:
         coder = _encoder(model)
-        lists, exact = [], []
+        lists, exact, digests = [], [], []
         for a, b in text_groups(utf8_parts(column)[1], TOGETHER):
             texts = [column[i].as_py() or "" for i in range(a, b)]
             ids = coder.encode(texts)
             lists += ids
-            exact += [coder.decode(x.tolist()) == text for x, text in zip(ids, texts)]
+            for x, text in zip(ids, texts):
+                back = coder.decode(x.tolist())
+                exact.append(back == text)
+                digests.append(hashlib.sha256(back.encode("utf-8")).hexdigest())
         ends = np.cumsum([0] + [len(x) for x in lists]).astype(np.int32)
         flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
         return pa.StructArray.from_arrays(
-            [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())), pa.array(exact, pa.bool_())],
-            names=["ids", "exact"])
+            [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())), pa.array(exact, pa.bool_()),
+             pa.array(digests, pa.string())], names=["ids", "exact", "decoded_sha256"])
 
     return run(text)
 
@@ -347,6 +456,8 @@ def decoded(ids: Column, model: dict) -> Column:
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         coder = _encoder(model)
-        return pa.array([coder.decode(column[i].as_py() or []) for i in range(len(column))], pa.string())
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())])
+        flat = column.flatten().to_numpy()
+        return pa.array([coder.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
 
     return run(ids)
