@@ -158,6 +158,15 @@ def test_unigram_models_take_the_best_sum():
     assert coder.encode(["a?"])[0].tolist()[-1] == 0
 
 
+def test_very_long_texts_are_taken_in_parts(model, monkeypatch):
+    text = "  ".join(prose(1, 3000)) + " " * 70 + "x\n" * 300
+    want = sentence_pieces.Encoder(model).encode([text])[0].tolist()
+    monkeypatch.setattr(sentence_pieces, "TOGETHER", 500)
+    coder = sentence_pieces.Encoder(model)
+    assert coder.encode([text, "", "short"])[0].tolist() == want
+    assert len(list(coder._parts(text.replace(" ", sentence_pieces.MARK)))) > 10
+
+
 def test_a_small_memo_and_small_batches_change_nothing(model, monkeypatch):
     texts = [" ".join(prose(k, 50)) for k in range(20)]
     want = [x.tolist() for x in sentence_pieces.Encoder(model).encode(texts)]
