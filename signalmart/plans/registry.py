@@ -25,7 +25,7 @@ from signalmart.plans import feeds, incremental, landing, marts, medallion
 from signalmart.plans import oracle as O
 from signalmart.session import work_dir
 from signalmart.sources import payloads as P
-from signalmart.sources.raw import read_partitioned, read_raw, read_table, typed_projection
+from signalmart.sources.raw import read_partitioned, read_raw, read_seed, read_table, typed_projection
 from signalmart.streaming import ingest as K
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,21 +156,26 @@ def partition_prune(spark, sf_dir):
            strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS extracted_at_utc
     FROM events e JOIN markets m ON e.event_type = m.market"""))
 def json_extract(spark, sf_dir):
-    """Arrival payloads (JSON arrays of objects, one document per
-    event, as an API would return them) parsed with from_json + explode,
-    rows without an arrival time dropped, callsigns cleaned."""
+    """Arrival payloads (JSON arrays of objects, as an API would
+    return them) parsed with from_json + explode: records without an arrival
+    time dropped, fractions of a second too, callsigns cleaned. Beside each
+    document stand one that is cut short and an empty one; they give no rows."""
     ev = _events(spark, sf_dir)
     dim = feeds.markets(spark).select("market", "icao", "tz")
     e = ev.join(dim, ev["event_type"] == dim["market"])
     record = F.struct(
         F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                         F.col("ts")).alias("lastSeen"),
+                         F.col("ts")).cast("double").alias("lastSeen"),
         F.col("user_id").cast("string").alias("icao24"),
         F.concat(F.lit(" "), F.upper("market"), F.lit(","),
                  F.get_json_object("props", "$.k"), F.lit(" ")).alias("callsign"),
         F.col("icao").alias("estDepartureAirport"))
+    no_time = record.withField("lastSeen", F.lit(None).cast("double"))
+    record = record.withField("lastSeen", record["lastSeen"] + 0.25)
     docs = e.select("market", "tz", format_ts("ts").alias("extracted_at"),
-                    F.to_json(F.array(record)).alias("payload"))
+                    F.to_json(F.array(record, no_time)).alias("payload"))
+    cut_short = docs.withColumn("payload", F.expr("left(payload, 20)"))
+    docs = docs.unionByName(cut_short).unionByName(docs.withColumn("payload", F.lit("")))
     return P.arrival_rows(docs, "payload", "market", "tz", "extracted_at")
 
 
@@ -799,13 +804,19 @@ def stream_tumbling_watermark(spark, sf_dir):
 
 @register("medallion_gold", O.mart_sql("SELECT * FROM mart"))
 def medallion_gold(spark, sf_dir):
-    """Raw CSV (flights and weather) -> bronze tables -> silver tables ->
-    gold table, in the shared folder; returns the written gold table."""
+    """Raw CSV (flights and weather) and seeds from header CSV -> seed and
+    bronze tables -> silver tables -> gold table, in the shared folder;
+    returns the written gold table."""
     root = work_dir(spark, "warehouse")
     db = "signalmart_" + root.rsplit("-", 1)[-1]
+    seeds = {}
+    for name, seed, ddl in (("events", _calendar(spark), S.CALENDAR_EVENTS_DDL),
+                            ("holidays", _holidays(spark), S.HOLIDAYS_DDL)):
+        seed.write.option("header", "true").csv(f"{root}/seeds/{name}")
+        seeds[name] = read_seed(spark, f"{root}/seeds/{name}", ddl)
     medallion.build(spark, landing.landed_flights(spark, sf_dir),
-                    landing.landed_weather(spark, sf_dir), _calendar(spark),
-                    _holidays(spark), root, database=db)
+                    landing.landed_weather(spark, sf_dir), seeds["events"],
+                    seeds["holidays"], root, database=db)
     return medallion.gold(spark, db).select(*S.DAILY_COLUMNS)
 
 
