@@ -21,7 +21,6 @@ labelled rows every score is 0. Repeated rows score alike.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +40,7 @@ PURITY = 0.8
 NEIGHBOURS, PRIOR_WEIGHT, BLOCK = 15, 0.25, 64
 EDGES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
-_MEMO = 200_000
+_MEMO, _LONG = 200_000, 1 << 20
 
 SCORE = "struct<score: double, neighbours: array<bigint>, terms: array<string>>"
 
@@ -55,10 +54,6 @@ def word_terms(word: str) -> list[str]:
     return out
 
 
-def words_of(text: str) -> Counter:
-    return Counter(_WORD.findall(text.lower()))
-
-
 def _traits(column: pa.Array) -> pa.Array:
     """Two independent minima over the three-word shingles of each text:
     near copies agree in most cases."""
@@ -82,7 +77,7 @@ def _count_terms(batches):
     counts: dict[str, list[int]] = {}
     for batch in batches:
         for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for term in {t for w in words_of(text) for t in word_terms(w)}:
+            for term in {t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)}:
                 counts.setdefault(term, [0, 0])[label] += 1
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
@@ -168,18 +163,37 @@ def build(terms, idf, ids, labels, weights, prior, vectors) -> Model:
                  peak.reshape(len(terms), blocks))
 
 
-def term_counts(text: str, number: dict[str, int], memo: dict) -> dict[int, int]:
+class TermCounter:
     """How often each model term occurs in a text."""
-    out: dict[int, int] = {}
-    for word, n in words_of(text).items():
-        hit = memo.get(word)
-        if hit is None:
-            if len(memo) >= _MEMO:
-                memo.clear()
-            hit = memo[word] = tuple(number[t] for t in word_terms(word) if t in number)
-        for t in hit:
-            out[t] = out.get(t, 0) + n
-    return out
+
+    def __init__(self, terms: list[str]):
+        self.number = {t: i for i, t in enumerate(terms)}
+        # most words have neither a first nor a last part that any term has
+        short = min(EDGES)
+        self.whole = {t for t in terms if "*" not in t}
+        self.heads = {t[:short] for t in terms if t.endswith("*")}
+        self.tails = {t[-short:] for t in terms if t.startswith("*")}
+        self.short = short
+        self.memo: dict[str, tuple[int, ...]] = {}
+
+    def _terms(self, word: str) -> tuple[int, ...]:
+        if len(self.memo) >= _MEMO:
+            self.memo.clear()
+        found = self.memo[word] = tuple(self.number[t] for t in word_terms(word) if t in self.number)
+        return found
+
+    def __call__(self, text: str) -> dict[int, int]:
+        out: dict[int, int] = {}
+        text = text.lower()
+        # a very long text's words are not held together
+        words = _WORD.findall(text) if len(text) <= _LONG else (m.group() for m in _WORD.finditer(text))
+        short, whole, heads, tails = self.short, self.whole, self.heads, self.tails
+        for word in words:
+            if word[:short] in heads or word[-short:] in tails or word in whole:
+                found = self.memo.get(word)
+                for t in self._terms(word) if found is None else found:
+                    out[t] = out.get(t, 0) + 1
+        return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", doc_id: str = "doc_id",
@@ -215,12 +229,11 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
               .orderBy(F.desc("chi"), "term").limit(terms).select("term", df.alias("df")).collect())
     names = [r["term"] for r in picked]
     idf = np.log((1 + total) / (1 + np.array([r["df"] for r in picked], float))) + 1
-    number = {t: i for i, t in enumerate(names)}
+    counter = TermCounter(names)
 
     @F.arrow_udf("struct<term: array<int>, n: array<int>>")
     def tally(column: pa.Array) -> pa.Array:
-        memo: dict = {}
-        found = [term_counts(s or "", number, memo) for s in column.to_pylist()]
+        found = [counter(s or "") for s in column.to_pylist()]
         return pa.StructArray.from_arrays([pa.array([list(f) for f in found], pa.list_(pa.int32())),
                                            pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
                                           names=["term", "n"])
@@ -240,14 +253,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
 
 def scored(text: Column, model: Model) -> Column:
     """score, neighbours' ids and terms found, for each text."""
-    number = {t: i for i, t in enumerate(model.terms)}
-    memo: dict = {}
+    counter = TermCounter(model.terms)
 
     @F.arrow_udf(SCORE)
     def run(column: pa.Array) -> pa.Array:
         score, near, terms, known = [], [], [], {}
         for i in range(len(column)):  # one text at a time as Python text
-            counts = term_counts(column[i].as_py() or "", number, memo)
+            counts = counter(column[i].as_py() or "")
             if not counts:
                 score.append(model.prior)
                 near.append([])
