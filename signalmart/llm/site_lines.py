@@ -6,8 +6,8 @@ boilerplate and are dropped from every page of the host; elsewhere the same
 line stays. A host's ratios sum to its mean number of distinct lines, so it
 has at most that number divided by ``ratio`` boilerplate lines: they travel
 as one short array per host. Counting is aggregated before its shuffle by
-(host, line), never by host alone, and the pages of a hot host meet their
-host's array in a join that adaptive execution splits.
+(host, line), never by host alone, and in the join a host's pages are salted,
+so a hot host is spread over many tasks.
 
 Defined results: null text or html has no lines; a null or odd url belongs to
 the host ''; a line that a page repeats counts once for that page and goes
@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalmart.llm.common import text_column
-
 RATIO, LEAST_PAGES = 0.2, 3
+#: Tasks that a host's pages are dealt to at least.
+SALTS = 32
 #: FIXED VALUES: what holds no text, and the tags that begin a new line.
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template|noscript)\b.*?</(script|style|template|noscript)\s*>"
 BLOCK = (r"(?i)</?(p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|table|tr|td|th|nav|header|footer|article|section|aside|main"
@@ -32,7 +32,8 @@ TAG = r"<[^>]*>"
 
 def host_of(url: Column) -> Column:
     """The host of a url in lower case, without user and port."""
-    return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    place = F.coalesce(url.cast("string"), F.lit(""))
+    return F.lower(F.regexp_extract(place, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
 def html_text(html: Column) -> Column:
@@ -68,7 +69,10 @@ def drop_site_lines(df: DataFrame, text: Column, url: Column, ratio: float = RAT
     pages = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), host_of(url).alias("host"),
                       lines_of(text).alias("lines"))
     common = boilerplate(pages.select("host", "lines"), ratio, least)
-    found = pages.join(common, "host", "left")
+    # a hot host's pages meet its array in SALTS tasks
+    common = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = pages.withColumn("salt", F.pmod(F.xxhash64("lines"), F.lit(SALTS)).cast("int")).join(
+        common, ["host", "salt"], "left")
     kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains("common", _name(x))))
     return found.select("row", "host", "lines", kept.alias("kept")).select(
