@@ -140,7 +140,9 @@ def mark_documents(docs: DataFrame, items: DataFrame, text: str = "text", item_t
                    item_id: str = "item_id", carry: list[str] | None = None) -> DataFrame:
     """One row per document: struct ``row`` of the columns ``carry`` (all),
     ``n_words``, ``n_hit``, ``spans``, ``items`` and ``contaminated``."""
-    found = scan(docs, items, text, item_text, item_id)
+    # written first, so that the join's other side, where one text may hold a
+    # third of the rows, can be split
+    found = stored(scan(docs, items, text, item_text, item_id), "spans")
     whole = text_column(docs, text)
     rows = docs.select(F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"), text_key(whole).alias("key"),
                        F.size(words_of(whole)).cast("long").alias("n_words"))
