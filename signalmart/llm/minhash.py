@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from signalmart.llm.common import stored, text_column, utf8_parts
 from signalmart.llm.components import components
-from signalmart.llm.shingles import mix, overlap_counts, set_key, shingle_set
+from signalmart.llm.shingles import overlap_counts, set_key, shingle_set
 
 BANDS, ROWS = 25, 5
 #: Signature check: standard deviations below the threshold that still pass.
@@ -144,8 +144,8 @@ def prefix_pairs(rest: DataFrame, percent: int) -> DataFrame:
             .select("vertex", "root", "n", "own", F.posexplode(F.slice("s", F.lit(1), (most - own + 1).cast("int"))))
             .select("vertex", "root", "n", (F.col("own") + F.col("pos")).alias("place"), F.col("col.token").alias("token")))
     head = stored(head, "heads")
-    a = head.select("token", F.col("vertex").alias("u"), F.col("root").alias("ru"), F.col("n").alias("nu"), F.col("place").alias("pu"))
-    b = head.select("token", F.col("vertex").alias("v"), F.col("root").alias("rv"), F.col("n").alias("nv"), F.col("place").alias("pv"))
+    a, b = (head.select("token", F.col("vertex").alias(x), F.col("root").alias(f"r{x}"), F.col("n").alias(f"n{x}"),
+                        F.col("place").alias(f"p{x}")) for x in "uv")
     bound = F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv"))
     may = ((F.col("u") < F.col("v")) & (F.col("ru") != F.col("rv"))
            & (F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
@@ -194,30 +194,33 @@ def vertex_roots(drawn: DataFrame, rows_of: DataFrame, percent: int, bands: int
 def near_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80,
                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: ``id``, ``key`` (a hash of its text),
-    ``n_shingles``, ``component_id`` and ``root`` (null for no words)."""
+    ``n_shingles``, ``root`` (null for no words), ``component_id`` and
+    ``stays``, the least key of the component's rows of that id."""
     base = df.select(df[doc_id].alias("id"), text_column(df, text).alias("text")).withColumn(
         "key", F.xxhash64("text"))
     drawn = stored(base.select("id", "key", sketch(F.col("text"), bands * rows).alias("s"))
                    .select("id", "key", "s.*"), "sketches")
     worded = drawn.filter("vertex IS NOT NULL")
     roots = vertex_roots(worded, base.select("key", "text"), percent, bands, rows)
-    named = (worded.groupBy("vertex").agg(F.min("id").alias("least")).join(roots, "vertex", "left")
+    # null ids last
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
+    named = (worded.groupBy("vertex").agg(first.alias("least")).join(roots, "vertex", "left")
              .withColumn("root", F.coalesce("root", "vertex")))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = named.join(least, "root").select("vertex", "root", "component_id")
+    least = named.groupBy("root").agg(F.min("least").alias("least"))
+    label = named.select("vertex", "root").join(least, "root").select(
+        "vertex", "root", F.col("least.id").alias("component_id"), F.col("least.key").alias("stays"))
     return drawn.select("id", "key", "n", "vertex").join(label, "vertex", "left").select(
-        "id", "key", F.col("n").alias("n_shingles"), "root",
+        "id", "key", F.col("n").alias("n_shingles"), "root", "stays",
         F.when(F.col("vertex").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80) -> DataFrame:
     """One row of each group stays, with the input's columns: one of the
     least id. Rows without words all stay."""
-    marked = near_groups(df, text, doc_id, percent)
+    marked = stored(near_groups(df, text, doc_id, percent), "marked")
     # one text of the component's id stands for it; all else goes
-    stays = marked.filter("root IS NOT NULL AND id <=> component_id").groupBy("root", "id").agg(F.min("key").alias("key"))
-    leaves = stored(marked.filter("root IS NOT NULL").join(stays.select("root", F.col("key").alias("stays")), "root")
-                    .filter("NOT (id <=> component_id AND key = stays)").select("id", "key").distinct(), "leaves")
+    leaves = stored(marked.filter("root IS NOT NULL AND NOT (id <=> component_id AND key = stays)")
+                    .select("id", "key").distinct(), "leaves")
     rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[doc_id].alias("id"),
                      F.xxhash64(text_column(df, text)).alias("key"))
     gone = (rows["key"] == leaves["key"]) & rows["id"].eqNullSafe(leaves["id"])
