@@ -244,7 +244,9 @@ def _latest(ev: DataFrame, what) -> Column:
     would be merged into a struct, whose fields no scan takes as a filter; a
     pull window is known before its job starts anyway."""
     row = ev.agg(F.max(what).alias("x"))
-    return F.lit(row.first()[0]).cast(row.schema["x"].dataType)
+    # through its text: a Python datetime would be read in the session's zone
+    value = row.select(F.col("x").cast("string")).first()[0]
+    return F.lit(value).cast(row.schema["x"].dataType)
 
 
 def _between(ev: DataFrame, begin: Column, end: Column) -> DataFrame:
