@@ -17,9 +17,9 @@ it (its context) and the range of windows.
    bytes a step, and the reversed prefixes likewise. The common-prefix lengths
    of sorted neighbours give classes of equal right and left parts of any
    length, and a window is repeated where its pair of classes is.
-4. A token with more than ``GROUP`` different contexts is not held in a task:
-   its windows are cut in bands with longer leading tokens, and if need be in
-   single windows, and partitioned anew.
+4. A token with more than ``GROUP`` rows is not sent to one task: its windows
+   are cut in bands of 16 with longer leading tokens and partitioned anew, and
+   if need be in single windows, which are counted by a grouped sum.
 
 Defined results: null text counts as empty; texts under 200 bytes lose
 nothing; of equal texts of 200 bytes or more every byte goes. Matches never
@@ -43,6 +43,8 @@ SPAN, GRAM = 200, 32
 #: 32 MB at most.
 FILTER_BITS = 1 << 28
 GROUP = 50_000
+#: Contexts that a task sorts together, besides those of the last token.
+TOGETHER = 12_000
 #: Widths of the bands of windows that share a row, level by level.
 BANDS = (SPAN - GRAM + 1, 16, 1)
 _SEGMENT = 1 << 19
@@ -62,7 +64,9 @@ _UP = _powers(_BASE, _SEGMENT + 2 * SPAN)
 _DOWN = _powers(pow(_BASE, -1, 2 ** 64), _SEGMENT + 2 * SPAN)
 
 CONTEXT = "hash binary, key binary, at array<int>, low int, high int, context binary"
-LEVEL = "hash binary, parts array<struct<lo: int, hi: int>>, context binary, low int, high int, n int, base int"
+SETTLED = "hash binary, lo int, hi int"
+#: Tokens of 32 bytes and more, with their counts: a few MB.
+BROADCAST_ROWS = 50_000
 
 
 def tokens(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -250,69 +254,77 @@ def _runs(line: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edge[::2], edge[1::2])]
 
 
-def settle(level: int, group: int):
+def settle(batches):
     """mapInArrow over (token, hash, base, low, high, context, n) in token
-    order: the repeated windows of each context; a token with more than
-    ``group`` contexts goes on to the next level, cut in narrower bands."""
-    def run(batches):
-        held: dict[bytes, dict] = {}   # token -> (hash, base) -> [low, high, context, n]
-        size, large = 0, None          # large: a token that is handed on
-
-        def out(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, (
-                    pa.binary(), pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())])), pa.binary(),
-                    pa.int32(), pa.int32(), pa.int32(), pa.int32()))],
-                names=["hash", "parts", "context", "low", "high", "n", "base"])
-
-        def bands(name, base, low, high, context, n):
-            width = BANDS[level + 1]
-            for lo in range(low // width * width, high + 1, width):
-                a, b = max(lo, low), min(lo + width - 1, high)
-                yield (name, None, context[high - b:high - a + SPAN], a - lo, b - lo, n, base + lo)
-
-        def done():
-            flat = [(*k, *v) for t in held.values() for k, v in t.items()]
-            found = repeated_windows([r[4] for r in flat], np.array([r[2] for r in flat]),
-                                     np.array([r[3] for r in flat]), np.array([r[5] for r in flat]))
-            rows = []
-            for r, line in zip(flat, found):
-                if line.any():
-                    rows.append((r[0], [{"lo": a + r[1], "hi": b + r[1]} for a, b in _runs(line)], None, 0, 0, 0, 0))
-            return out(rows)
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                token, name, base, low, high, context, n = row
-                if token == large:
-                    yield out(list(bands(name, base, low, high, context, n)))
-                    continue
-                if size >= group // 4 and token not in held:
-                    yield done()
-                    held, size = {}, 0
-                mine = held.setdefault(token, {})
-                if (name, base) in mine:
-                    mine[name, base][3] += n
-                    continue
-                mine[name, base] = [low, high, context, n]
-                size += 1
-                if len(mine) > group and level + 1 < len(BANDS):
-                    large = token
-                    yield out([b for (nm, bs), (lo, hi, c, k) in held.pop(token).items() for b in bands(nm, bs, lo, hi, c, k)])
-                    size = sum(map(len, held.values()))
-        if held:
-            yield done()
-    return run
+    order: the repeated windows of each context as ranges of distances."""
+    held: dict[tuple, list] = {}   # (hash, base) -> [low, high, context, n], of whole tokens
+    last = None
+
+    def done():
+        flat = [(*k, *v) for k, v in held.items()]
+        found = repeated_windows([r[4] for r in flat], np.array([r[2] for r in flat]),
+                                 np.array([r[3] for r in flat]), np.array([r[5] for r in flat]))
+        rows = [(r[0], a + r[1], b + r[1]) for r, line in zip(flat, found) if line.any() for a, b in _runs(line)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.binary(), pa.int32(), pa.int32()))],
+            names=["hash", "lo", "hi"])
 
-
-def _token_order(rows: DataFrame, level: int) -> DataFrame:
-    """Contexts range-partitioned by the token of the level, with splitters
-    that Spark samples, and sorted by it within."""
-    length = SPAN - BANDS[level] + 1
-    keyed = rows.select(F.expr(f"substring(context, high + 1, {length})").alias("token"),
-                        "hash", "base", "low", "high", "context", "n")
+    for batch in batches:
+        for token, name, base, low, high, context, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if token != last and len(held) >= TOGETHER:
+                yield done()
+                held.clear()
+            last = token
+            if (name, base) in held:
+                held[name, base][3] += n
+            else:
+                held[name, base] = [low, high, context, n]
+    if held:
+        yield done()
+
+
+def _with_token(rows: DataFrame, width: int) -> DataFrame:
+    """The leading token of rows whose windows span ``width`` at most."""
+    return rows.select(F.expr(f"substring(context, high + 1, {SPAN - width + 1})").alias("token"),
+                       "hash", "base", "low", "high", "context", "n")
+
+
+def _bands(rows: DataFrame, width: int) -> DataFrame:
+    """Rows cut in bands of ``width`` windows; distances count from the
+    band's first, which ``base`` keeps."""
+    first = F.sequence((F.floor(F.col("low") / width) * width).cast("int"), F.col("high"), F.lit(width))
+    cut = rows.select("hash", "base", "low", "high", "context", "n", F.explode(first).alias("first"))
+    cut = cut.withColumn("a", F.greatest("first", "low")).withColumn("b", F.least(F.col("first") + width - 1, "high"))
+    return cut.select("hash", (F.col("base") + F.col("first")).alias("base"), (F.col("a") - F.col("first")).alias("low"),
+                      (F.col("b") - F.col("first")).alias("high"),
+                      F.expr(f"substring(context, high - b + 1, b - a + {SPAN})").alias("context"), "n")
+
+
+def _repeated(rows: DataFrame, group: int) -> DataFrame:
+    """(hash, lo, hi): the repeated windows of each context. ``rows``: hash,
+    base, low, high, context, n."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return keyed.repartitionByRange(parts, "token").sortWithinPartitions("token")
+    settled = []
+    for width, narrower in zip(BANDS, BANDS[1:]):
+        level = _with_token(rows, width)
+        hot = stored(level.groupBy("token").agg(F.count("*").alias("rows")).filter(F.col("rows") > group).select("token"), "hot")
+        many = hot.count()
+        test = F.broadcast(hot) if many <= BROADCAST_ROWS else hot
+        cold = level.join(test, "token", "left_anti") if many else level
+        # splitters are sampled; equal tokens share a partition
+        cold = cold.repartitionByRange(parts, "token").sortWithinPartitions("token")
+        settled.append(stored(cold.mapInArrow(settle, SETTLED), "settled"))
+        if not many:
+            break
+        rows = stored(_bands(level.join(test, "token", "left_semi"), narrower), "bands")
+    else:  # single windows: the token is the window
+        level = _with_token(rows, 1)
+        twice = level.groupBy("token").agg(F.sum("n").alias("seen")).filter("seen > 1").select("token")
+        settled.append(level.join(twice, "token").select("hash", F.col("base").alias("lo"), F.col("base").alias("hi")))
+    out = settled[0]
+    for more in settled[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def repeated_ranges(keyed: DataFrame, group: int = GROUP, filter_bits: int = FILTER_BITS) -> DataFrame:
@@ -325,15 +337,7 @@ def repeated_ranges(keyed: DataFrame, group: int = GROUP, filter_bits: int = FIL
                                                       F.size("at").alias("n"))
     extra = rows.filter("context IS NULL").groupBy("hash").agg(F.sum(F.size("at")).cast("int").alias("more"))
     level = level.join(extra, "hash", "left").withColumn("n", F.col("n") + F.coalesce("more", F.lit(0))).drop("more")
-    results = None
-    for k in range(len(BANDS)):
-        found = stored(_token_order(level, k).mapInArrow(settle(k, group), LEVEL), f"level-{k}")
-        settled = found.filter("parts IS NOT NULL").select("hash", F.explode("parts").alias("p")).select("hash", "p.*")
-        results = settled if results is None else results.unionByName(settled)
-        level = found.filter("parts IS NULL").select("hash", "base", "low", "high", "context", "n")
-        if k + 1 == len(BANDS) or level.isEmpty():
-            break
-    each = rows.select("hash", "key", F.explode("at").alias("a")).join(results, "hash")
+    each = rows.select("hash", "key", F.explode("at").alias("a")).join(_repeated(level, group), "hash")
     return each.groupBy("key").agg(F.collect_set(F.struct(
         (F.col("a") - F.col("hi")).alias("start"), (F.col("a") - F.col("lo") + SPAN).alias("stop"))).alias("ranges"))
 
