@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmart.llm import benchmark_scan, exact_dedup, minhash, queries, sentence_pieces, toxicity
-from signalmart.llm.common import remainder, stored, text_column
+from signalmart.llm.common import remainder, send_package, stored, text_column
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +27,13 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one of the largest doc_id stays."""
+    send_package(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (0.8) stays."""
+    send_package(spark)
     return minhash.drop_near_copies(docs, percent=80)
 
 
@@ -42,6 +44,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def with_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its pieces, and whether they decode to its text."""
+    send_package(spark)
     model = sentence_pieces.read_model(queries.PIECES)
     coded = docs.withColumn("token_ids", sentence_pieces.encoded(text_column(docs, "text"), model))
     return (coded.withColumn("decodes", F.col("token_ids.exact")).withColumn("token_ids", F.col("token_ids.ids"))

@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import signalmart
 from signalmart.session import work_dir
 
+_SENT: set[str] = set()
+
+
+def send_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application, for
+    sessions that were not started with it (``--py-files``, PYTHONPATH). The
+    driver serves the archive to the executors."""
+    sc, root = spark.sparkContext, Path(signalmart.__file__).parent
+    if sc.applicationId in _SENT or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="signalmart-py-"), "signalmart.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _SENT.add(sc.applicationId)
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: cuts lineage

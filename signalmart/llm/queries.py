@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from signalmart.llm import (
     benchmark_scan, exact_dedup, license_scan, minhash, quality, repeated_spans, sentence_pieces, site_lines, toxicity, warc)
-from signalmart.llm.common import remainder, stored, text_column
+from signalmart.llm.common import remainder, send_package, stored, text_column
 
 #: A public SentencePiece model; the environment names another.
 PIECES = os.environ.get("SIGNALMART_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -28,10 +28,27 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark, sf_dir: str, name: str):
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@register("op1_minhash_near_dedup")
+@register("op1_minhash_near_dedup", """
+    WITH RECURSIVE w AS (
+        SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS words
+        FROM documents),
+    s AS (
+        SELECT DISTINCT r, unnest(CASE WHEN len(words) < 5 THEN [array_to_string(words, ' ')] ELSE
+            list_transform(range(1, len(words) - 3), lambda i: array_to_string(list_slice(words, i, i + 4), ' ')) END) AS shingle
+        FROM w WHERE len(words) > 0),
+    n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+    shared AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b USING (shingle) WHERE a.r < b.r GROUP BY 1, 2),
+    links AS (SELECT x, y FROM shared JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reach AS (SELECT r, r AS m FROM w UNION SELECT reach.r, y FROM reach JOIN edges ON x = m),
+    least AS (SELECT reach.r, min(doc_id) AS component_id FROM reach JOIN w ON w.r = m GROUP BY reach.r)
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+    FROM w JOIN least USING (r) LEFT JOIN n USING (r)""")
 def op1_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate components of whole texts at a similarity of 0.85."""
     marked = minhash.near_groups(table(spark, sf_dir, "documents"), percent=85)
@@ -118,7 +135,22 @@ def op2_quality(spark, sf_dir):
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-@register("op7_suffix_array_dedup")
+@register("op7_suffix_array_dedup", """
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+    b AS (
+        SELECT r, p, hex(t[p:p]) AS byte, CASE WHEN p + 199 <= octet_length(t) THEN md5(t[p:p + 199]) END AS win
+        FROM (SELECT r, t, unnest(range(1, octet_length(t) + 1)) AS p FROM d)),
+    twice AS (SELECT win FROM b WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1),
+    g AS (
+        SELECT r, p, byte, max(CAST(twice.win IS NOT NULL AS INTEGER))
+               OVER (PARTITION BY r ORDER BY p ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) = 1 AS gone
+        FROM b LEFT JOIN twice USING (win)),
+    e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY p), false) AS begins FROM g),
+    c AS (SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE begins) AS n_spans,
+                 string_agg(byte, '' ORDER BY p) FILTER (WHERE NOT gone) AS kept FROM e GROUP BY r)
+    SELECT doc_id, octet_length(t) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+    FROM d LEFT JOIN c USING (r)""")
 def op7_suffix_array_dedup(spark, sf_dir):
     """Bytes of each document covered by a 200-byte string that repeats."""
     found = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
