@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
     draw = F.pmod(F.xxhash64("id", F.lit("draw")), F.lit(1_000_000)) / 1e6
     rate = {k: min(1.0, examples / max(1, size.get(k, 0))) for k in (0, 1)}
     drawn = known.filter(draw < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
-    sample = stored(texts.join(F.broadcast(drawn), "id").dropDuplicates(["id"])
+    sample = stored(texts.join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
                     .withColumn("turn", F.xxhash64("id", F.lit("turn"))), "sample")
 
     @F.arrow_udf("array<float>")

@@ -209,11 +209,13 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
     draw = F.pmod(F.xxhash64("id", F.lit("draw")), F.lit(1_000_000)) / 1e6
     drawn = known.filter(draw < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
     texts = docs.select(docs[doc_id].alias("id"), text_column(docs, text).alias("text"))
-    sample = (texts.join(F.broadcast(drawn), "id").withColumn("trait", F.arrow_udf(_traits, "struct<a: bigint, b: bigint>")("text"))
-              .dropDuplicates(["id"]))
+    sample = (texts.join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+              .withColumn("trait", F.arrow_udf(_traits, "struct<a: bigint, b: bigint>")("text")))
     sample = sample.select("id", "label", "text", "trait.*")
-    distinct = stored(sample.dropDuplicates(["label", "a"]).dropDuplicates(["label", "b"])
-                      .select("id", "label", "text"), "examples")
+    # of equal traits the least id stands for all, so a model is the same each time
+    once = sample.groupBy("label", "a").agg(F.min(F.struct("id", "b", "text")).alias("x")).select("label", "x.*")
+    distinct = stored(once.groupBy("label", "b").agg(F.min(F.struct("id", "text")).alias("x"))
+                      .select("x.id", "label", "x.text"), "examples")
     n = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)
     total = clean + toxic
