@@ -4,7 +4,11 @@ A text is brought to a canonical form (lower case, equivalent spellings as
 one, punctuation as blanks, copyright lines left out) and its SHA-256 is
 joined with the digests of known licence texts. This is done for the whole
 document and for each of its lines, since a notice is often a line of its
-own. Only digests are joined, and the known ones are broadcast up to
+own. A line that begins with "copyright" is left out when a sign or a year
+follows, so the form does not depend on where a text is wrapped; a notice
+without either ("Copyright Some Body") is known by its place at the head of a
+paragraph, and a document that has one is compared a second time without it.
+Only digests are joined, and the known ones are broadcast up to
 ``BROADCAST_ROWS``; a larger table of known texts joins by shuffle.
 
 Built-in functions only, no Python runs on the executors.
@@ -82,26 +86,63 @@ PERFORMANCE OF THIS SOFTWARE."""),
 
 #: FIXED VALUE: what a copyright line begins with in canonical form.
 COPYRIGHT_LINE = r"^(copyright|c copyright|c [0-9]{4}|all rights reserved$)"
+#: What such a line goes on with if it is a notice wherever it stands. Others
+#: ("copyright notice and this permission ...") may be a wrapped text's words.
+NOTICE = r"^(copyright c( |$)|(c )?copyright [0-9]{4}|c [0-9]{4}|all rights reserved$)"
+#: Copyright lines at the head of a paragraph.
+HEAD = r"^(?:(?:copyright|c copyright|c [0-9]{4})[^\n]*(?:\n|$)|all rights reserved(?:\n|$))+"
 
 
-def canonical_lines(text: Column) -> Column:
-    """The lines of a text in canonical form, without empty ones and
-    copyright lines."""
+def _plain_lines(text: Column) -> Column:
     out = F.lower(text)
     for spelling, same in SPELLINGS:
         out = F.replace(out, F.lit(spelling), F.lit(same))
     out = F.regexp_replace(out, r"[^\p{L}\p{N}\n]+", " ")
-    lines = F.transform(F.split(out, "\n"), lambda x: F.trim(x))
-    return F.filter(lines, lambda x: (x != "") & ~x.rlike(COPYRIGHT_LINE))
+    return F.transform(F.split(out, "\n"), lambda x: F.trim(x))
+
+
+def _body(lines: Column) -> Column:
+    return F.filter(lines, lambda x: (x != "") & ~(x.rlike(COPYRIGHT_LINE) & x.rlike(NOTICE)))
+
+
+def canonical_lines(text: Column) -> Column:
+    """The lines of a text in canonical form, without empty ones and
+    copyright lines."""
+    return _body(_plain_lines(text))
+
+
+def headless_lines(text: Column) -> Column:
+    """The same, also without the lines at the head of a paragraph that begin
+    like a copyright line; null if the text has none but plain notices."""
+    lines = _plain_lines(text)
+    parts = F.transform(F.split(F.array_join(lines, "\n"), "\n\n+"),
+                        lambda x: F.regexp_replace(F.ltrim(x, F.lit("\n")), HEAD, ""))
+    return F.when(F.exists(lines, lambda x: x.rlike(COPYRIGHT_LINE) & ~x.rlike(NOTICE)),
+                  _body(F.split(F.array_join(parts, "\n"), "\n")))
 
 
 def _digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def known_digests(known: DataFrame, text: str = "text", license_id: str = "license_id") -> DataFrame:
+def _joined(lines: Column) -> Column:
+    """The lines as one text; spellings of two words are brought to one form
+    here too, since a line may have ended within one."""
+    out = F.array_join(lines, " ")
+    for spelling, same in SPELLINGS:
+        words = spelling.replace("-", " ")
+        if " " in words:
+            out = F.replace(out, F.lit(words), F.lit(same))
+    return out
+
+
+def known_digests(known: DataFrame, text: str = "text", license_id: str = "license_id",
+                  headless: bool = False) -> DataFrame:
     """(digest, license) of a table of known texts."""
-    whole = F.array_join(canonical_lines(text_column(known, text)), " ")
+    lines = canonical_lines(text_column(known, text))
+    if headless:
+        lines = F.coalesce(headless_lines(text_column(known, text)), lines)
+    whole = _joined(lines)
     return (known.select(whole.alias("canonical"), known[license_id].cast("string").alias("license"))
             .filter("canonical <> ''").groupBy(_digest(F.col("canonical")).alias("digest"))
             .agg(F.min("license").alias("license")))
@@ -118,14 +159,18 @@ def scan(df: DataFrame, known: DataFrame, text: str = "text", carry: list[str] |
     each once)."""
     names = known_digests(known)
     small = names.count() <= BROADCAST_ROWS
-    test = F.broadcast(names) if small else names
+    bare = known_digests(known, headless=True).select(F.col("digest").alias("bare"), F.col("license").alias("bare_license"))
+    test, bare = (F.broadcast(names), F.broadcast(bare)) if small else (names, bare)
     whole = text_column(df, text)
     rows = df.select(F.struct(*[df[c] for c in carry or df.columns]).alias("row"),
-                     F.unhex(_digest(whole)).alias("key"), canonical_lines(whole).alias("lines"))
+                     F.unhex(_digest(whole)).alias("key"), canonical_lines(whole).alias("lines"),
+                     headless_lines(whole).alias("headless"))
     each = rows.select("key", F.explode(F.array_distinct("lines")).alias("line"))
     found = (each.select("key", _digest(F.col("line")).alias("digest")).join(test, "digest")
              .groupBy("key").agg(F.array_sort(F.collect_set("license")).alias("notices")))
-    docs = rows.select("row", "key", _digest(F.array_join("lines", " ")).alias("digest"))
-    return (docs.join(test, "digest", "left").join(found, "key", "left")
-            .select("row", "digest", "license",
+    docs = (rows.select("row", "key", _digest(_joined(F.col("lines"))).alias("digest"),
+                        _digest(_joined(F.col("headless"))).alias("bare"))
+            .withColumn("bare", F.coalesce("bare", "digest")))
+    return (docs.join(test, "digest", "left").join(bare, "bare", "left").join(found, "key", "left")
+            .select("row", "digest", F.coalesce("license", "bare_license").alias("license"),
                     F.coalesce("notices", F.array().cast("array<string>")).alias("notices")))

@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import os
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,29 @@ def test_canonical_forms(spark):
     assert got[5].digest == got[7].digest == hashlib.sha256(b"").hexdigest()
 
 
+def test_known_texts_in_any_wrapping(spark):
+    texts = [(name, t) for name, t in license_scan.KNOWN if len(t) > 300]
+    layouts = [lambda t, w=w: "\n".join(textwrap.wrap(" ".join(t.split()), w))
+               for w in (40, 60, 72, 76, 78, 79, 80, 100, 10_000)]
+    heads = ["", "Copyright (c) 2020 A. Person\n\n", "Copyright 2020 B\n(c) 2021 C\nAll rights reserved.\n", "Copyright Jane Doe\n\n",
+             "(c) Copyright Jane Doe\nCopyright Some Body\nAll rights reserved.\n\n"]
+    want = [(name, head + layout(t)) for name, t in texts for layout in layouts for head in heads]
+    other = [layout(" ".join(texts[0][1].split()).replace("copyright notice and this", "copyright notice or this"))
+             for layout in layouts]
+    df = docs(spark, list(enumerate([t for _, t in want] + other)))
+    got = {r.row.doc_id: r.license for r in license_scan.scan(df, license_scan.default_known(spark)).collect()}
+    assert [got[k] for k in range(len(want) + len(other))] == [name for name, _ in want] + [None] * len(other)
+
+
+def test_known_texts_with_a_notice_to_fill_in(spark):
+    known = spark.createDataFrame([("X", "Copyright <YEAR> <COPYRIGHT HOLDER>\n\nDo as you like with this.")],
+                                  "license_id string, text string")
+    df = docs(spark, [(1, "Copyright 2020 Foo\n\nDo as you like\nwith this."), (2, "Copyright Foo\nDo as you like with this."),
+                      (3, "Do as you like with this."), (4, "Do as you\ncopyright like with this.")])
+    got = rows(license_scan.scan(df, known), "row.doc_id", "license")
+    assert got == [(1, "X"), (2, "X"), (3, "X"), (4, None)]
+
+
 def test_license_scan_of_odd_rows(spark, monkeypatch):
     df, known = odd(spark), spark.createDataFrame([("B", "ONE, two"), ("A", "one two"), ("C", None), ("D", "")],
                                                   "license_id string, text string")
