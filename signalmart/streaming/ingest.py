@@ -6,7 +6,8 @@ K2 upsert:   new raw files -> freshest-wins merge into a versioned silver
 K3 tumbling: per-market counts in fixed (daily / hourly) event-time windows.
 
 All three run with `trigger(availableNow=True)`: process every file present
-at start, in micro-batches of about `max_bytes`, then stop. Offsets and state
+at start, in micro-batches of about `max_bytes` (with a watermark: in one), then
+stop. Offsets and state
 live in the checkpoint folder, so a restarted job resumes where it stopped.
 A replayed micro-batch rewrites its own version of the partitions it touches
 and never the files it reads, so a crash at any point loses nothing.
@@ -33,11 +34,15 @@ BUCKET_COLUMN = "key_bucket"
 
 
 def raw_stream(spark: SparkSession, root: str, schema: StructType,
-               max_files: int | None = None, max_bytes: int = BATCH_BYTES) -> DataFrame:
+               max_files: int | None = None, max_bytes: int | None = BATCH_BYTES) -> DataFrame:
     """Streaming read of headerless CSV below `root`, dt from the path. A
-    micro-batch takes about `max_bytes`, or `max_files` files if given."""
+    micro-batch takes about `max_bytes`, or `max_files` files if given, or
+    with neither all there is."""
     r = spark.readStream.schema(schema).option("header", "false").option("recursiveFileLookup", "true")
-    r = r.option("maxFilesPerTrigger", max_files) if max_files else r.option("maxBytesPerTrigger", max_bytes)
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    elif max_bytes:
+        r = r.option("maxBytesPerTrigger", max_bytes)
     return (with_extraction_id(r.csv(root))
             .withColumn(S.PARTITION_COLUMN,
                         F.regexp_extract(F.col("_metadata.file_path"), S.PARTITION_PATTERN, 1)))
@@ -133,10 +138,17 @@ def upsert(spark: SparkSession, src: str, table: str, checkpoint: str,
     return versioned.read(spark, table, cols, s.schema)
 
 
-def late_rows(query) -> int:
-    """Rows a finished query dropped because they came after the watermark."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress
-               for op in p["stateOperators"])
+def late_rows(query, every_s: float = 0.5) -> int:
+    """Wait for a query to end; the rows it dropped because they came after
+    the watermark. Only the last progress reports are kept, so they are
+    gathered while it runs."""
+    late: dict[tuple, int] = {}
+    ended = False
+    while not ended:
+        ended = query.awaitTermination(every_s)
+        for p in query.recentProgress:
+            late[p["batchId"], p["timestamp"]] = sum(int(op["numRowsDroppedByWatermark"]) for op in p["stateOperators"])
+    return sum(late.values())
 
 
 def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
@@ -144,22 +156,27 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
                     every: str = "1 day", types: dict = S.FLIGHTS_TYPES,
                     schema: StructType = S.RAW_FLIGHTS_SCHEMA,
                     max_files: int | None = None, late_tolerance: str | None = None,
-                    max_bytes: int = BATCH_BYTES) -> DataFrame:
+                    max_bytes: int | None = None) -> DataFrame:
     """K3: counts per key in tumbling event-time windows.
 
     Default (late_tolerance=None): complete mode. The state is one counter
     per (window, key), i.e. markets x days, so keeping all of it is cheap and
     no late file is ever dropped, whatever order the files arrive in. Each
     micro-batch overwrites the sink with the full current result (idempotent
-    on replay).
+    on replay). A micro-batch takes about `max_bytes` (BATCH_BYTES).
 
     late_tolerance="4 hours" (a live stream with bounded lateness): event
     time gets a watermark, a window is appended to the sink once the
     watermark passes its end and its state is dropped. Rows later than the
     tolerance are not counted; how many is appended to `<sink>_late`, and a
     warning says so. Windows still open when the stream stops stay in the
-    checkpointed state until later data closes them.
+    checkpointed state until later data closes them. Files come in order of
+    their write time, not of their days, so all that is present at a start
+    is one micro-batch: within a backlog nothing is late, whatever its size.
+    `max_files` or `max_bytes` cut it, for files that come in order of time.
     """
+    if late_tolerance is None:
+        max_bytes = max_bytes or BATCH_BYTES
     s = typed_projection(raw_stream(spark, src, schema, max_files, max_bytes), types)
     if late_tolerance is None:
         counts = (s.groupBy(F.window(ts_col, every).alias("w"), *keys)
@@ -192,8 +209,8 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start(sink))
+        late = late_rows(q)
         _finish(q)
-    late = late_rows(q)
     spark.createDataFrame([(str(q.runId), late)], "run_id string, rows_dropped long") \
         .write.mode("append").parquet(f"{sink.rstrip('/')}_late")
     if late:

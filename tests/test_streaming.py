@@ -7,6 +7,7 @@ import pytest
 
 from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
+from signalmart.session import session_conf
 from signalmart.sources.raw import read_raw, typed_projection
 from pyspark.sql.types import StructType
 
@@ -201,6 +202,36 @@ def test_late_rows_are_counted(spark, tmp_dir):
     assert rows(spark.read.parquet(f"{tmp_dir}/c_late"), "rows_dropped") == [(1,)]
 
 
+def test_a_backlog_beyond_a_batch_of_bytes_loses_no_rows(spark, tmp_dir, monkeypatch):
+    root, days = f"{tmp_dir}/raw", (20, 12, 18, 14, 16, 13, 19, 11, 17, 15)
+    for k, day in enumerate(days):  # written in an order that is not that of the days
+        _land(root, f"2026-08-{day}", "f", [_line(f"a{i}", f"2026-08-{day} {9 + i:02}:00:00", f"2026-08-{day}", 2, "x")
+                                            for i in range(day - 10)])
+        os.utime(f"{root}/dt=2026-08-{day}/f.csv", (1786000000 + k, 1786000000 + k))
+    whole = K.raw_stream
+    # an input many times the bytes of a batch: whatever limit is asked for, it is a byte
+    monkeypatch.setattr(K, "raw_stream", lambda spark, root, schema, max_files=None, max_bytes=K.BATCH_BYTES:
+                        whole(spark, root, schema, max_files, max_bytes and 1))
+    closed = (_batch(spark, root).selectExpr("date_trunc('day', arrival_ts_utc) AS d", "arrival_ts_utc AS t", "market")
+              .selectExpr("d", "market", "max(t) OVER () AS last").groupBy("d", "market", "last").count()
+              .filter("d + INTERVAL 1 DAY <= last - INTERVAL 36 HOURS").selectExpr("day(d)", "market", "count"))
+    out = K.tumbling_counts(spark, root, f"{tmp_dir}/c", f"{tmp_dir}/ck", late_tolerance="36 hours")
+    assert rows(out.selectExpr("day(window_start)", "market", "rows")) == rows(closed)
+    assert rows(spark.read.parquet(f"{tmp_dir}/c_late"), "rows_dropped") == [(0,)]
+    every = K.tumbling_counts(spark, root, f"{tmp_dir}/all", f"{tmp_dir}/ck-all")
+    assert rows(every.selectExpr("day(window_start)", "rows")) == [(d, d - 10) for d in sorted(days)]
+
+
+def test_late_rows_of_old_batches_are_counted(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    for k, day in enumerate((14, 15, 12, 16, 17, 18, 19, 20, 21)):
+        _land(root, f"2026-08-{day}", "f", [_line("a", f"2026-08-{day} 09:00:00", f"2026-08-{day}", 2, "x")])
+        os.utime(f"{root}/dt=2026-08-{day}/f.csv", (1786000000 + k, 1786000000 + k))
+    with session_conf(spark, spark__sql__streaming__numRecentProgressUpdates="3"), \
+            pytest.warns(UserWarning, match="1 rows came later"):
+        K.tumbling_counts(spark, root, f"{tmp_dir}/c", f"{tmp_dir}/ck", max_files=1, late_tolerance="2 hours")
+
+
 def test_buckets_follow_the_largest_day(spark, tmp_dir):
     _fixture(f"{tmp_dir}/raw")
     assert K.buckets_for(spark, f"{tmp_dir}/raw") == 1
