@@ -22,6 +22,8 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import re
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +33,9 @@ from signalmart.llm.common import stored
 
 RANGE, FANOUT = 1 << 16, 16
 ARCHIVE_BYTES = 1 << 30
+#: What a record begins with.
+_START = re.compile(rb"WARC/\d+\.\d+\r\n|\x1f\x8b\x08")
+_CHUNK = 1 << 16
 DATE = "1970-01-01T00:00:00Z"
 RECORDS = "archive string, offset long, record_id string, record binary"
 
@@ -44,46 +49,82 @@ def record_bytes(record_id: str, url: str, body: bytes, date: str = DATE) -> byt
     return head.encode("utf-8", "replace") + body + b"\r\n\r\n"
 
 
-def parse_records(data: bytes):
+def _inflated(data: bytes, at: int):
+    """(bytes, stored length) of the gzip member at ``at``; None if it is
+    damaged or does not hold a record."""
+    inflater, parts, end = zlib.decompressobj(wbits=31), [], at
+    try:
+        while not inflater.eof:
+            if end >= len(data):
+                return None
+            parts.append(inflater.decompress(data[end:end + _CHUNK]))
+            end += _CHUNK
+            if len(parts) == 1 and not b"WARC/".startswith(parts[0][:5]):
+                return None
+    except zlib.error:
+        return None
+    return b"".join(parts), min(end, len(data)) - len(inflater.unused_data) - at
+
+
+def _record(data: bytes, at: int):
+    """(length, headers, block) of the record at ``at``; None if it is damaged."""
+    raw, begin, used = data, at, None
+    if data.startswith(b"\x1f\x8b", at):
+        member = _inflated(data, at)
+        if member is None:
+            return None
+        raw, begin, used = member[0], 0, member[1]
+    if not raw.startswith(b"WARC/", begin):
+        return None
+    gap = raw.find(b"\r\n\r\n", begin)
+    if gap < 0:
+        return None
+    lines = raw[begin:gap].decode("utf-8", "replace").split("\r\n")[1:]
+    headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
+    size = headers.get("content-length", "0")
+    if not (size.isascii() and size.isdigit() and len(size) < 19):
+        return None
+    end = gap + 4 + int(size)
+    if end > len(raw) or not b"\r\n\r\n".startswith(raw[end:end + 4]):
+        return None
+    return used if used is not None else end + 4 - begin, headers, raw[gap + 4:end]
+
+
+def pieces(data: bytes):
     """(offset, length, headers, block) of each record of a WARC file, plain
-    or with one gzip member a record; offsets are those in the file. A record
-    that is cut short ends the file."""
+    or with one gzip member a record; offsets are those in the file. What is
+    damaged, up to the next whole record, has None for headers and block."""
     at = 0
     while at < len(data):
-        if data[at:at + 2] == b"\x1f\x8b":
-            import zlib
-            inflater = zlib.decompressobj(wbits=31)
-            raw = inflater.decompress(data[at:])
-            used = len(data) - at - len(inflater.unused_data)
-            if not inflater.eof:
-                return
-        else:
-            raw, used = data[at:], None
-        head, gap, rest = raw.partition(b"\r\n\r\n")
-        if not gap or not head.startswith(b"WARC/"):
-            return
-        lines = head.decode("utf-8", "replace").split("\r\n")[1:]
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
-        size = int(headers.get("content-length", "0"))
-        if size > len(rest):
-            return
-        length = used if used is not None else len(head) + 4 + size + 4
-        yield at, length, headers, rest[:size]
-        at += length
+        found = _record(data, at)
+        if found is not None:
+            yield at, *found
+            at += found[0]
+            continue
+        start = next((m.start() for m in _START.finditer(data, at + 1) if _record(data, m.start()) is not None), len(data))
+        yield at, start - at, None, None
+        at = start
+
+
+def parse_records(data: bytes):
+    """The whole records among the pieces."""
+    return (p for p in pieces(data) if p[2] is not None)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """Records of WARC files: archive (the file), offset, record_id and
-    record (the bytes as stored). A file is read as a whole (2 GB at most)."""
+    record (the bytes as stored). Damaged bytes up to the next whole record are
+    a row of their own with an empty id. A file is read as a whole (2 GB at
+    most)."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches):
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = list(parse_records(data))
+                found = list(pieces(data))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(found)), pa.array([f[0] for f in found], pa.int64()),
-                     pa.array([f[2].get("warc-record-id", "") for f in found], pa.string()),
+                     pa.array([(f[2] or {}).get("warc-record-id", "") for f in found], pa.string()),
                      pa.array([data[f[0]:f[0] + f[1]] for f in found], pa.binary())],
                     names=["archive", "offset", "record_id", "record"])
 

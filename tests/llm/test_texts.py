@@ -229,6 +229,32 @@ def test_audit_finds_what_a_direct_comparison_finds(spark, archive_bytes):
     assert warc.audit(first, first).count() == 0
 
 
+@pytest.mark.parametrize("compress", [False, True])
+def test_damage_in_a_file_costs_no_other_record(spark, tmp_dir, compress):
+    df = pages(spark, [(k, f"http://h/{k}", f"<p>{k}</p>" * (200 + k)) for k in range(12)])
+    laid = warc.archived(df.coalesce(1), compress=compress).orderBy("offset").collect()
+    data, at = bytearray(b"".join(r.record for r in laid)), [r.offset for r in laid]
+    if compress:
+        hit = [2, 5, 9]
+        data[at[2]] = 0                                        # magic
+        data[at[5] + len(laid[5].record) // 2] ^= 0xFF         # inside the member
+        data[at[9] + len(laid[9].record) - 6] ^= 0xFF          # checksum
+    else:
+        hit = [0, 3, 5, 7, 9]
+        data[0] = data[at[3] + 1] = 0                          # the version line
+        for k, length in ((5, b"9"), (7, b"x"), (9, b"0")):    # too large, no number, too small
+            where = data.index(b"Content-Length: ", at[k]) + 16
+            data[where] = length[0]
+    for name, content in (("good", b"".join(r.record for r in laid)), ("bad", bytes(data))):
+        with open(f"{tmp_dir}/{name}.warc", "wb") as fh:
+            fh.write(content)
+    good, bad = (stored(warc.read_warc(spark, f"{tmp_dir}/{n}.warc").withColumn("archive", F.lit("a")), n) for n in ("good", "bad"))
+    assert [r.offset for r in bad.orderBy("offset").collect()] == at
+    assert b"".join(r.record for r in bad.orderBy("offset").collect()) == bytes(data)
+    found = sorted((r.offset, r.kind) for r in warc.audit(good, bad).collect())
+    assert found == [(at[k], "altered") for k in hit]
+
+
 def test_archives_read_back_as_warc_files(spark, tmp_dir):
     df = pages(spark, [(1, "https://h/1", "<p>é</p>"), (2, None, None), (None, "https://h/3", "x" * 100_000)]).coalesce(1)
     for compress in (False, True):
