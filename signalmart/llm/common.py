@@ -67,12 +67,13 @@ def utf8_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, ends
 
 
-def text_groups(ends: np.ndarray, most: int):
-    """Row ranges [a, b) whose bytes sum to about ``most`` at most; a longer
-    row stands alone. Bounds the arrays a task holds at a time."""
+def text_groups(ends: np.ndarray, most: int, rows: int | None = None):
+    """Row ranges [a, b) whose bytes sum to about ``most`` at most, and that
+    hold at most ``rows`` rows; a longer row stands alone. Bounds the arrays a
+    task holds at a time."""
     a, n = 0, len(ends) - 1
     while a < n:
         b = int(np.searchsorted(ends, ends[a] + most, side="right")) - 1
-        b = min(max(b, a + 1), n)
+        b = min(max(b, a + 1), n, a + (rows or n))
         yield a, b
         a = b

@@ -4,15 +4,22 @@ DataFrame, and DuckDB SQL where SQL can express the result."""
 from __future__ import annotations
 
 import os
+import re
 
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from signalmart.llm import (
-    benchmark_scan, exact_dedup, license_scan, minhash, quality, repeated_spans, sentence_pieces, site_lines, toxicity, warc)
+    benchmark_scan, exact_dedup, fill_middle, license_scan, minhash, periodic_runs, quality, repeated_spans,
+    sentence_pieces, site_lines, token_files, toxicity, warc)
 from signalmart.llm.common import remainder, send_package, stored, text_column
+from signalmart.session import work_dir
 
 #: A public SentencePiece model; the environment names another.
 PIECES = os.environ.get("SIGNALMART_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+#: A public tokenizer of the ``tokenizers`` library, and the id that ends a document.
+TOKENS, END_ID = os.environ.get("SIGNALMART_TOKENS", "/opt/tokenizers/word_bpe_49k.json"), 1
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -224,3 +231,109 @@ def op5_warc_fixity(spark, sf_dir):
     first = stored(warc.archived(table(spark, sf_dir, "pages")), "replica")
     second = stored(warc.damaged(first), "replica")
     return warc.audit(first, second)
+
+
+def with_loops(text: Column, doc_id: Column) -> Column:
+    """The words of a text; in a tenth of the documents, from some word on,
+    they go round in a loop (as the query's contract says)."""
+    @F.arrow_udf("string")
+    def run(texts: pa.Array, h: pa.Array) -> pa.Array:
+        out = texts.to_pylist()
+        for i, x in enumerate(h.to_pylist()):
+            words = re.split(r"[\x20\x09-\x0D]+", out[i]) if x % 10 == 0 else []
+            words = [w for w in words if w]
+            if words:
+                n, g = len(words), x // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                tail = words[a:a + p]
+                out[i] = " ".join(words[:a] + (tail * -(-(n - a) // len(tail)))[:n - a])
+        return pa.array(out, texts.type)
+
+    return run(text, F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")))
+
+
+# crc32 of a text of ASCII characters: byte by byte, eight shifts each
+_CRC32_SQL = """xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+        string_split({0}, ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+@register("op11_periodic_runs", f"""
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, {_CRC32_SQL.format("coalesce(CAST(doc_id AS VARCHAR), '')")} AS h,
+               list_filter(string_split_regex(coalesce(text, ''), '[\\x09-\\x0D\\x20]+'), lambda x: x <> '') AS w
+        FROM documents),
+    e AS (SELECT r, w, CAST(len(w) AS BIGINT) AS n, h % 10 = 0 AS looped, (h // 10) % len(w) AS a,
+                 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS p FROM d WHERE len(w) > 0),
+    words AS (
+        SELECT r, n, i, CASE WHEN looped AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+        FROM (SELECT *, unnest(range(n)) AS i FROM e)),
+    pairs AS (SELECT y.r, y.i, y.i - x.i AS q FROM words x JOIN words y ON x.r = y.r AND x.word = y.word
+              WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    islands AS (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM pairs),
+    stretches AS (SELECT r, q, min(i) - q AS start, count(*) + q AS length FROM islands GROUP BY r, q, island),
+    runs AS (SELECT r, start, length, min(q) AS period FROM stretches
+             WHERE length >= 6 AND length >= 4 * q GROUP BY r, start, length),
+    best AS (SELECT r, start, length, period FROM (
+                 SELECT *, row_number() OVER (PARTITION BY r ORDER BY length / period DESC, start, period) AS turn FROM runs)
+             WHERE turn = 1),
+    listed AS (SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), ''
+                      ORDER BY start, period) AS text FROM runs GROUP BY r),
+    kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM words WHERE NOT EXISTS (
+                 SELECT 1 FROM runs WHERE runs.r = words.r AND i >= start + period AND i < start + length) GROUP BY r)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+           sha256(coalesce(listed.text, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+    FROM d LEFT JOIN best USING (r) LEFT JOIN listed USING (r) LEFT JOIN kept USING (r)""")
+def op11_periodic_runs(spark, sf_dir):
+    """Runs of repeated words of each document, and its text without them."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select("doc_id", periodic_runs.runs_of(with_loops(text_column(docs, "text"), docs["doc_id"])).alias("f"))
+    best = found.select("doc_id", "f.runs", "f.collapsed", periodic_runs.strongest(F.col("f.runs")).alias("best"))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@register("op12_fill_in_middle", """
+    WITH d AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+               sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    e AS (
+        SELECT r, doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units,
+               [CAST('0x' || substr(h, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS h FROM d),
+    c AS (
+        SELECT *, CAST(len(units) AS BIGINT) AS n,
+               least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+               greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 100
+                    THEN 'plain' WHEN h[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM e),
+    p AS (
+        SELECT doc_id, t, n, form, array_to_string(units[1:a], '') AS prefix,
+               array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:n], '') AS suffix FROM c)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                  ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p""")
+def op12_fill_in_middle(spark, sf_dir):
+    """Every document cut at lines, with its middle moved behind."""
+    docs = table(spark, sf_dir, "documents")
+    cut = docs.select("doc_id", fill_middle.rearranged(text_column(docs, "text"), docs["doc_id"], seed=7).alias("c"))
+    return cut.select("doc_id", "c.n", "c.form", "c.prefix_chars", "c.middle_chars",
+                      F.sha2(F.col("c.output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(fill_middle.restored(F.col("c.output"), F.col("c.form")).cast("binary"), 256)
+                      .alias("restored_sha256"))
+
+
+@register("op13_token_files")
+def op13_token_files(spark, sf_dir):
+    """Ids of every document, written to token files and read from them."""
+    path = work_dir(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, TOKENS, END_ID)
+    found = token_files.with_starts(stored(token_files.documents(spark, path), "documents"))
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
