@@ -5,16 +5,20 @@
   python -m signalmart update --flights RAW --weather RAW --events CSV --holidays CSV --out DIR
   python -m signalmart check  --out DIR       # quality suite, exit 1 on any failure
   python -m signalmart alert  --out DIR       # latest-day digest; lists HIGH markets
+  python -m signalmart tidy   --out DIR       # between runs: old versions and commit files go
 
 `normalize` turns landed API payloads (JSON lines in <dir>/<market>/<pull>)
 into headerless raw CSV under dt= and pull= folders. A payload's pull time is
 the UTC stamp in its file's name (yyyyMMddTHHmmss) or else the file's time, and
-its file names the pull, so a repeated run replaces what it landed before.
-Documents it can't use (malformed, unknown market) go to <out>_rejects and are
-counted. `build` rebuilds bronze, silver and gold tables under --out (a shared
+its file names the pull, so a repeated run replaces what it landed before, by
+the manifest of the raw zone. Documents and records it can't use (malformed,
+unknown market, a value of the wrong kind) go to <out>_rejects with a reason,
+by pull, and are counted: records = rows + records without a time + rejects. `build` rebuilds bronze, silver and gold tables under --out (a shared
 folder on a cluster) and prints the layer row counts. `update` takes in only
-the raw files that are new since its last run and rescores the gold table.
-`check` and `alert` read the written tables.
+the raw files that are new since its last run and rewrites the days of the gold
+tables that they reach. `check` and `alert` read the written tables. With
+--markets, `build` and `update` keep the markets' seed for the check of unknown
+ones.
 """
 
 from __future__ import annotations
@@ -23,18 +27,20 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmart import schemas as S
 from signalmart.operators import alerts as A
 from signalmart.operators import quality as Q
-from signalmart.plans import incremental, marts, medallion
-from signalmart.session import session_conf
+from signalmart.plans import incremental, medallion
+from signalmart.session import session_conf, work_dir
 from signalmart.sources import payloads as P
-from signalmart.sources.raw import land_raw, read_seed
+from signalmart.sources.pulls import land_pulls
+from signalmart.sources.raw import read_seed
 
 DB = "signalmart"
+UNKNOWN_MARKET = "unknown market"
 
 
 def _session(spark: SparkSession | None) -> SparkSession:
@@ -64,25 +70,54 @@ def _documents(spark: SparkSession, payloads: str):
         F.concat_ws("-", market, F.regexp_replace(name, r"[^A-Za-z0-9]+", "_")).alias(S.PULL_COLUMN))
 
 
+def _keep_rejects(bad: DataFrame, pulls: DataFrame, path: str) -> None:
+    """Rejects by pull: those of the pulls of this run replace theirs, others
+    stay."""
+    spark = bad.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at):  # pulls that had rejects and have none now
+        had = spark.read.schema("pull string").parquet(path).select("pull").distinct()
+        clean = had.join(pulls, "pull", "left_semi").join(bad.select("pull"), "pull", "left_anti").collect()
+        for r in clean:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/pull={r['pull']}"), True)
+    (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(S.PULL_COLUMN).parquet(path))
+
+
 def normalize(spark: SparkSession, kind: str, payloads: str, markets_csv: str, out: str) -> int:
+    out = out.rstrip("/")
     docs = _documents(spark, payloads)
-    bad = P.rejects(docs, "payload", P.ARRIVALS_PAYLOAD if kind == "arrivals" else P.WEATHER_PAYLOAD)
-    bad = bad.withColumn("reason", F.lit("malformed document"))
     if kind == "arrivals":
         dim = read_seed(spark, markets_csv, S.MARKETS_DDL).select(F.col("market").alias("_m"), "tz")
         docs = docs.join(dim, docs["market"] == dim["_m"], "left").drop("_m")
-        bad = bad.unionByName(docs.filter("tz IS NULL").drop("tz").withColumn("reason", F.lit("unknown market")))
-        rows = P.arrival_rows(docs.filter("tz IS NOT NULL"), "payload", "market", "tz", "extracted_at")
+        known = docs.filter("tz IS NOT NULL")
+        records = P.arrival_records(known, "payload", "market", "tz", "extracted_at")
+        strange = docs.filter("tz IS NULL").select(
+            *[F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c)
+              for c in records.columns if c not in ("extracted_at_utc", "record", "reason")],
+            F.col("extracted_at").alias("extracted_at_utc"), F.col("payload").alias("record"),
+            F.lit(UNKNOWN_MARKET).alias("reason"))
+        records = records.unionByName(strange)
         cols, dt_col = S.FLIGHTS_COLUMNS, "arrival_date_local"
     else:
-        rows = P.weather_rows(docs, "payload", "market", "extracted_at")
+        records = P.weather_records(docs, "payload", "market", "extracted_at")
         cols, dt_col = S.WEATHER_COLUMNS, "observed_date_local"
-    land_raw(rows.withColumn(S.PARTITION_COLUMN, F.col(dt_col)), out, [*cols, S.EXTRACTION_COLUMN],
-             (S.PARTITION_COLUMN, S.PULL_COLUMN))
-    bad.write.mode("overwrite").parquet(f"{out.rstrip('/')}_rejects")
-    counts = spark.read.schema(bad.schema).parquet(f"{out.rstrip('/')}_rejects").groupBy("reason").count().collect()
-    for r in counts:  # a row per reason
-        print(f"{r['count']} documents left out: {r['reason']}")
+    # the documents are parsed once: rows, rejects and counts come from here
+    staged = work_dir(spark, "records")
+    records.write.parquet(staged)
+    records = spark.read.schema(records.schema).parquet(staged)
+    pulls = docs.select(S.PULL_COLUMN).distinct()
+    rows = records.filter("reason IS NULL").withColumn(S.PARTITION_COLUMN, F.col(dt_col))
+    land_pulls(rows, out, [*cols, S.EXTRACTION_COLUMN], pulls)
+    bad = records.filter(F.col("reason").isNotNull() & (F.col("reason") != P.NO_TIME)).select(
+        "market", S.EXTRACTION_COLUMN, "extracted_at_utc", "record", "reason", S.PULL_COLUMN)
+    _keep_rejects(bad, pulls, f"{out}_rejects")
+    counts = {r["reason"]: r["count"] for r in records.groupBy("reason").count().collect()}  # a row per reason
+    landed, timeless = counts.pop(None, 0), counts.pop(P.NO_TIME, 0)
+    for reason, n in sorted(counts.items()):
+        what = "documents" if reason.startswith(("malformed document", UNKNOWN_MARKET)) else "records"
+        print(f"{n} {what} left out: {reason}")
+    print(f"{landed} rows landed, {timeless} records have no time, {sum(counts.values())} left out")
     return 0
 
 
@@ -103,31 +138,20 @@ def build(spark: SparkSession, flights: str, weather: str, events: str, holidays
 
 def update(spark: SparkSession, flights: str, weather: str, events: str, holidays: str,
            out: str, plain: bool = False) -> dict:
-    """New raw files only: silver and rollups by upsert, then the gold table
-    from the rollups."""
+    """New raw files only: silver and rollups by upsert, then the rows of the
+    gold tables that they reach. Returns the days written in each."""
     out = out.rstrip("/")
     incremental.refresh(spark, flights, weather, out, **_schemas(plain))
-    gold = incremental.signals(spark, out, *_seeds(spark, events, holidays))
-    gold.write.mode("overwrite").parquet(f"{out}/gold_daily_signals")
-    marts.hourly_curve(incremental.silver(spark, out, "flights")).write.mode("overwrite").parquet(
-        f"{out}/gold_hourly_arrival_curve")
-    return {"gold_daily": spark.read.parquet(f"{out}/gold_daily_signals").count()}
-
-
-def _attach(spark: SparkSession, out: str) -> None:
-    """Register the written gold tables of --out in this session's catalog
-    (a new session has an empty catalog; the files are the tables)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DB} LOCATION '{out.rstrip('/')}/_db'")
-    for t in ("gold_daily_signals", "gold_hourly_arrival_curve"):
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {DB}.{t} USING parquet "
-                  f"LOCATION '{out.rstrip('/')}/{t}'")
-
-
-def check(spark: SparkSession, out: str) -> list:
-    _attach(spark, out)
-    fl, wx = (incremental.silver(spark, out.rstrip("/"), k) for k in ("flights", "weather"))
-    gold = spark.table(f"{DB}.gold_daily_signals")
-    curve = spark.table(f"{DB}.gold_hourly_arrival_curve")
+    days = incremental.refresh_gold(spark, out, *_seeds(spark, events, holidays))
+    return {f"{name}_days": len(d) for name, d in days.items()}
+
+
+def check(spark: SparkSession, out: str, markets: str | None = None) -> list:
+    """The quality suite over the written tables. The markets' seed is the one
+    named here, or the one that `build` or `update` was given."""
+    out = out.rstrip("/")
+    fl, wx = (incremental.silver(spark, out, k) for k in ("flights", "weather"))
+    gold, curve = incremental.gold(spark, out), incremental.gold(spark, out, incremental.CURVE)
     checks = [Q.unique(fl, S.FLIGHTS_KEY, "silver_flights"),
               Q.unique(wx, S.WEATHER_KEY, "silver_weather"),
               Q.unique(gold, ["daily_key"], "gold", ignore_nulls=True),
@@ -138,12 +162,16 @@ def check(spark: SparkSession, out: str) -> list:
               Q.not_null(curve, ["market"], "hourly_curve"),
               Q.accepted_values(gold, "demand_pressure", S.ACCEPTED_LABELS, "gold"),
               Q.warmup_window(gold), Q.reconcile(gold)]
+    dim = read_seed(spark, markets, S.MARKETS_DDL) if markets else incremental.markets(spark, out)
+    if dim is None:
+        print("known_market is not checked: no markets were named")
+    else:
+        checks.append(Q.known_markets(fl, dim, "silver_flights"))
     return Q.assert_passed(Q.suite(checks))
 
 
 def alert(spark: SparkSession, out: str) -> dict:
-    _attach(spark, out)
-    snap = A.latest_snapshot(spark.table(f"{DB}.gold_daily_signals"))
+    snap = A.latest_snapshot(incremental.gold(spark, out.rstrip("/")))
     digest = A.alert_digest(snap).collect()          # one row per day: one row
     high = [r.market for r in A.alert_rows(snap).select("market").collect()]  # <= markets
     if not digest:
@@ -167,10 +195,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         b = sub.add_parser(name)
         for a in ("--flights", "--weather", "--events", "--holidays", "--out"):
             b.add_argument(a, required=True)
+        b.add_argument("--markets", help="seed of the known markets, kept for `check`")
         b.add_argument("--plain-raw", action="store_true", help="raw files without an extraction id")
         b.add_argument("--file-bytes", help="target size of table files, e.g. 256m")
-    for name in ("check", "alert"):
+    for name in ("check", "alert", "tidy"):
         sub.add_parser(name).add_argument("--out", required=True)
+    sub.choices["check"].add_argument("--markets")
     args = ap.parse_args(argv)
     spark = _session(spark)
     if args.cmd == "normalize":
@@ -181,12 +211,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         run = build if args.cmd == "build" else update
         size = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": args.file_bytes} if args.file_bytes else {}
         with session_conf(spark, **size):
+            if args.markets:
+                incremental.keep_markets(read_seed(spark, args.markets, S.MARKETS_DDL), args.out.rstrip("/"))
             print(json.dumps(run(spark, args.flights, args.weather, args.events, args.holidays,
                                  args.out, args.plain_raw)))
         return 0
+    if args.cmd == "tidy":
+        print(json.dumps(incremental.tidy(spark, args.out.rstrip("/"))))
+        return 0
     if args.cmd == "check":
         try:
-            check(spark, args.out)
+            check(spark, args.out, args.markets)
         except AssertionError as e:
             print(str(e))
             return 1

@@ -1,5 +1,5 @@
 """Tables derived once from a dataset: the raw-zone landing of the feeds
-(headerless CSV under dt= and pull= folders) and the gold mart.
+(headerless CSV under dt=, pull= and landing= folders) and the gold mart.
 
 A derived table is written to the shared checkpoint folder and read by every
 query that needs it. It belongs to the listing of the files it came from
@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.plans import feeds
 from signalmart.session import work_dir
-from signalmart.sources.raw import land_raw, rebalanced
+from signalmart.sources.pulls import land_pulls
+from signalmart.sources.raw import rebalanced
 
 EXTRACTED_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _WRITTEN: dict[tuple, str] = {}
@@ -56,8 +57,7 @@ def _raw_text(feed: DataFrame, columns: list[str], date_column: str) -> DataFram
 
 
 def _land(feed: DataFrame, columns: list[str], date_column: str, path: str) -> None:
-    land_raw(_raw_text(feed, columns, date_column), path, [*columns, S.EXTRACTION_COLUMN],
-             (S.PARTITION_COLUMN, S.PULL_COLUMN))
+    land_pulls(_raw_text(feed, columns, date_column), path, [*columns, S.EXTRACTION_COLUMN])
 
 
 def landed_flights(spark: SparkSession, sf_dir: str) -> str:

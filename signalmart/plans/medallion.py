@@ -5,7 +5,8 @@
 * bronze: the raw text, partitioned by dt, written as a table (A7/A8)
 * silver: typed + freshest-wins, written once as dt-partitioned tables
           (or, with silver_as="view", views inlined into each mart, A11)
-* gold:   daily signals and hourly curve written as tables (mart = table)
+* gold:   daily signals and hourly curve written as tables (mart = table),
+          each as a new version that the table is pointed to when it is whole
 
 Every table lives under `root` in the shared folder and is registered in
 the session catalog (CREATE DATABASE IF NOT EXISTS ..., A10), so later
@@ -24,6 +25,7 @@ from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
 from signalmart.plans import marts
 from signalmart.sources.raw import CORRUPT_COLUMN, read_raw, rebalanced, typed_projection
+from signalmart.streaming import versioned
 
 GOLD_COLUMNS = [*S.DAILY_COLUMNS, "driver_points"]
 
@@ -37,6 +39,20 @@ def _write_table(df: DataFrame, name: str, path: str, partition_by: list[str] =
     w.saveAsTable(name)
 
 
+def _swap_table(df: DataFrame, name: str, path: str) -> None:
+    """Write rows as a new version below `path`, commit it and point the
+    table there: until then readers have the old rows, and a run that dies
+    leaves them."""
+    spark = df.sparkSession
+    at = versioned.replace(df, path)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{at}'")
+        spark.catalog.refreshTable(name)
+    else:
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet LOCATION '{at}'")
+
+
 def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
     obs = Observation(label)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
@@ -95,10 +111,9 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
         sw, obs_sw = _observed(sw, "silver_weather")
     gold, obs_g = _observed(marts.daily_signals(sf, sw, calendar, holidays,
                                                 points_name="driver_points"), "gold_daily")
-    _write_table(gold, f"{database}.gold_daily_signals", f"{root}/gold_daily_signals")
+    _swap_table(gold, f"{database}.gold_daily_signals", f"{root}/gold_daily_signals")
     curve, obs_h = _observed(marts.hourly_curve(silver["flights"]), "gold_hourly")
-    _write_table(curve, f"{database}.gold_hourly_arrival_curve",
-                 f"{root}/gold_hourly_arrival_curve")
+    _swap_table(curve, f"{database}.gold_hourly_arrival_curve", f"{root}/gold_hourly_arrival_curve")
     counts["gold_daily"] = obs_g.get["rows"]
     counts["gold_hourly"] = obs_h.get["rows"]
     if silver_as != "table":

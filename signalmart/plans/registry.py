@@ -25,6 +25,7 @@ from signalmart.plans import feeds, incremental, landing, marts, medallion
 from signalmart.plans import oracle as O
 from signalmart.session import work_dir
 from signalmart.sources import payloads as P
+from signalmart.sources import pulls
 from signalmart.sources.raw import read_partitioned, read_raw, read_seed, read_table, typed_projection
 from signalmart.streaming import ingest as K
 
@@ -143,26 +144,48 @@ def partition_prune(spark, sf_dir):
     return df.groupBy("dt", "market").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@register("catalog_prune", O.with_ctes(f"""
+    SELECT CAST(arrival_date_local AS VARCHAR) AS dt, market, count(*) AS rows
+    FROM arrivals_feed
+    WHERE CAST(arrival_date_local AS VARCHAR) BETWEEN '{PRUNE_FROM}' AND '{PRUNE_TO}'
+    GROUP BY ALL""", O.FEEDS))
+def catalog_prune(spark, sf_dir):
+    """A3/A5: the raw zone as a catalog table; the week's partitions come from
+    the catalog, which takes them from the manifest of the pulls."""
+    root = landing.landed_flights(spark, sf_dir)
+    name = "raw_flights_" + root.rsplit("-", 1)[-1]
+    df = pulls.catalog_table(spark, name, root, S.RAW_FLIGHTS_SCHEMA)
+    return df.filter(F.col("dt").between(PRUNE_FROM, PRUNE_TO)).groupBy("dt", "market").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 # ---------------------------------------------------------------------------
 # 2.2 payload normalisation
 # ---------------------------------------------------------------------------
 @register("json_extract", O.with_ctes(f"""
     SELECT e.event_type AS market, CAST(e.user_id AS VARCHAR) AS icao24,
            upper(e.event_type) || json_extract_string(e.props, '$.k') AS callsign,
-           m.icao AS departure_airport,
+           coalesce(m.icao, '') AS departure_airport,
            strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS arrival_ts_utc,
-           strftime({O.local('e.ts')}, '%Y-%m-%d') AS arrival_date_local,
-           CAST(hour({O.local('e.ts')}) AS VARCHAR) AS arrival_hour_local,
+           strftime({O.local('e.ts', O.TZ)}, '%Y-%m-%d') AS arrival_date_local,
+           CAST(hour({O.local('e.ts', O.TZ)}) AS VARCHAR) AS arrival_hour_local,
            strftime(e.ts, '%Y-%m-%d %H:%M:%S') AS extracted_at_utc
-    FROM events e JOIN markets m ON e.event_type = m.market"""))
+    FROM events e LEFT JOIN markets m ON e.event_type = m.market"""))
 def json_extract(spark, sf_dir):
     """Arrival payloads (JSON arrays of objects, as an API would
-    return them) parsed with from_json + explode: records without an arrival
-    time dropped, fractions of a second too, callsigns cleaned. Beside each
-    document stand one that is cut short and an empty one; they give no rows."""
+    return them) parsed into variants and exploded: records without an arrival
+    time dropped, fractions of a second too, callsigns cleaned."""
+    return P.arrival_rows(_arrival_documents(spark, sf_dir), "payload", "market", "tz", "extracted_at")
+
+
+def _arrival_documents(spark, sf_dir):
+    """A document per event with its arrival, a record without a time and one
+    whose time is no number; beside each one that is cut short and an empty one.
+    A market that the dimension lacks has UTC as its zone."""
     ev = _events(spark, sf_dir)
     dim = feeds.markets(spark).select("market", "icao", "tz")
-    e = ev.join(dim, ev["event_type"] == dim["market"])
+    e = ev.join(dim, ev["event_type"] == dim["market"], "left").withColumns({
+        "market": F.col("event_type"), "tz": F.coalesce("tz", F.lit("UTC"))})
     record = F.struct(
         F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                          F.col("ts")).cast("double").alias("lastSeen"),
@@ -172,11 +195,24 @@ def json_extract(spark, sf_dir):
         F.col("icao").alias("estDepartureAirport"))
     no_time = record.withField("lastSeen", F.lit(None).cast("double"))
     record = record.withField("lastSeen", record["lastSeen"] + 0.25)
+    wrong = F.to_json(record.withField("lastSeen", F.lit("17x")))
     docs = e.select("market", "tz", format_ts("ts").alias("extracted_at"),
-                    F.to_json(F.array(record, no_time)).alias("payload"))
+                    F.concat(F.lit("["), F.to_json(record), F.lit(","), F.to_json(no_time), F.lit(","), wrong,
+                             F.lit("]")).alias("payload"))
     cut_short = docs.withColumn("payload", F.expr("left(payload, 20)"))
-    docs = docs.unionByName(cut_short).unionByName(docs.withColumn("payload", F.lit("")))
-    return P.arrival_rows(docs, "payload", "market", "tz", "extracted_at")
+    return docs.unionByName(cut_short).unionByName(docs.withColumn("payload", F.lit("")))
+
+
+@register("payload_rejects", """
+    SELECT event_type AS market, unnest(['row', 'no time', 'lastSeen is no number', 'malformed document']) AS outcome,
+           count(*) AS records
+    FROM events GROUP BY ALL""")
+def payload_rejects(spark, sf_dir):
+    """What became of every record of the arrival payloads, by market:
+    rows, records without a time, and rejects with their reason."""
+    records = P.arrival_records(_arrival_documents(spark, sf_dir), "payload", "market", "tz", "extracted_at")
+    return records.groupBy("market", F.coalesce("reason", F.lit("row")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("records"))
 
 
 @register("array_zip", """
@@ -219,16 +255,18 @@ def iso_slice(spark, sf_dir):
 @register("local_time", O.with_ctes(f"""
     SELECT e.event_id, e.event_type AS market,
            date_trunc('second', e.ts) AS arrival_ts_utc,
-           strftime({O.local('e.ts')}, '%Y-%m-%d %H:%M:%S') AS local_time,
-           CAST({O.local('e.ts')} AS DATE) AS arrival_date_local,
-           CAST(hour({O.local('e.ts')}) AS INTEGER) AS arrival_hour_local
-    FROM events e JOIN markets m ON e.event_type = m.market"""))
+           strftime({O.local('e.ts', O.TZ)}, '%Y-%m-%d %H:%M:%S') AS local_time,
+           CAST({O.local('e.ts', O.TZ)} AS DATE) AS arrival_date_local,
+           CAST(hour({O.local('e.ts', O.TZ)}) AS INTEGER) AS arrival_hour_local
+    FROM events e LEFT JOIN markets m ON e.event_type = m.market"""))
 def local_time(spark, sf_dir):
     """Epoch seconds -> UTC timestamp -> market-local date,
-    hour and text, with the zone taken per row from the market dimension."""
+    hour and text, with the zone taken per row from the market dimension (UTC
+    for a market that it lacks)."""
     ev = _events(spark, sf_dir)
     dim = feeds.markets(spark).select("market", "tz")
-    e = ev.join(dim, ev["event_type"] == dim["market"])
+    e = ev.join(dim, ev["event_type"] == dim["market"], "left").withColumns({
+        "market": F.col("event_type"), "tz": F.coalesce("tz", F.lit("UTC"))})
     secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
                             F.col("ts"))
     utc = epoch_to_utc(secs)

@@ -9,8 +9,9 @@ All three run with `trigger(availableNow=True)`: process every file present
 at start, in micro-batches of about `max_bytes` (with a watermark: in one), then
 stop. Offsets and state
 live in the checkpoint folder, so a restarted job resumes where it stopped.
-A replayed micro-batch rewrites its own version of the partitions it touches
-and never the files it reads, so a crash at any point loses nothing.
+A micro-batch writes new versions of the partitions it touches and never the
+files it reads, so a crash at any point loses nothing, and a new checkpoint on
+an old table takes the files in again without losing what the table holds.
 """
 
 from __future__ import annotations
@@ -78,34 +79,47 @@ def ingest(spark: SparkSession, src: str, sink: str, checkpoint: str,
     return spark.read.parquet(sink)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps as long as its checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def upsert_batch(table: str, keys: list[str], order: list[str],
                  partition_cols: list[str] = (S.PARTITION_COLUMN,),
-                 rollup=None, rollup_table: str | None = None):
+                 rollups: list[tuple] = (), checkpoint: str | None = None):
     """foreachBatch function: merge a micro-batch into `table`, freshest wins.
 
     Only the current files of the partitions the batch touches (dt, or dt x
-    key bucket) are listed and read; the merged rows become version
-    `batch_id` of those partitions, and one small append makes that version
-    current. With `rollup` (a DataFrame -> DataFrame aggregate keeping the
-    partition columns) the same partitions of `rollup_table` get that version
-    too: late data for an old day rewrites that day's (bucket of the) rollup
-    only.
+    key bucket) are listed and read; the merged rows become a new version of
+    those partitions, and one small append makes it current. For each of
+    `rollups` (an aggregate DataFrame -> DataFrame that keeps the partition
+    columns, and its table) the same partitions get a new version too: late
+    data for an old day rewrites that day's (bucket of the) rollup only.
+
+    The table's own commit comes last and names the stream and the batch. A
+    batch that died before it is merged again, from the rows that are still
+    current; one that died after it is left alone.
     """
     cols = list(partition_cols)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stream = stream_id(spark, checkpoint) if checkpoint else None
+        if stream and versioned.applied(spark, table, stream, batch_id):
+            return
         touched = batch.select(*cols).distinct().collect()  # at most days x buckets of the batch
         if not touched:
             return
         old = versioned.read_partitions(spark, table, cols, batch.schema, touched)
         merged = latest_per_key(old.unionByName(batch), keys, order)
-        versioned.write(merged, table, cols, batch_id)
-        if rollup is not None:
-            fresh = versioned.read_version(spark, table, cols, batch.schema, touched, batch_id)
-            versioned.write(rollup(fresh), rollup_table, cols, batch_id)
-            versioned.commit(spark, rollup_table, cols, touched, batch_id)
-        versioned.commit(spark, table, cols, touched, batch_id)
+        version = versioned.last_version(spark, table) + 1
+        versioned.write(merged, table, cols, version)
+        for rollup, to in rollups:
+            fresh = versioned.read_version(spark, table, cols, batch.schema, touched, version)
+            next_one = versioned.last_version(spark, to) + 1
+            versioned.write(rollup(fresh), to, cols, next_one)
+            versioned.commit(spark, to, cols, touched, next_one, stream, batch_id)
+        versioned.commit(spark, table, cols, touched, version, stream, batch_id)
     return merge
 
 
@@ -113,24 +127,31 @@ def upsert(spark: SparkSession, src: str, table: str, checkpoint: str,
            keys: list[str] = S.FLIGHTS_KEY, order: list[str] = S.FRESHEST,
            types: dict = S.FLIGHTS_TYPES, schema: StructType = S.RAW_FLIGHTS_SCHEMA,
            max_files: int | None = None, rollup=None, rollup_table: str | None = None,
-           buckets: int | None = None, max_bytes: int = BATCH_BYTES) -> DataFrame:
-    """K2: stream raw files into a freshest-wins silver table (and keep an
-    optional rollup table current).
+           buckets: int | None = None, max_bytes: int = BATCH_BYTES, rollups: list[tuple] = (),
+           day: str | None = None) -> DataFrame:
+    """K2: stream raw files into a freshest-wins silver table (and keep
+    rollup tables current: `rollup` and its table, or several `rollups`).
 
     buckets=B also partitions the table by a hash bucket of the natural key
     (`key_bucket`), so a batch with a few late rows for an old day rewrites
     only their buckets of that day, not the whole day. The bucket is a
     function of the key, so freshest-wins inside a bucket is complete; a
     table keeps the number it was begun with.
+
+    day="..." names the date column that rows are partitioned by (NULL as
+    NO_DAY) instead of the folder they were landed in: extractions of one key
+    that were landed under two days then meet, as in a batch.
     """
     s = typed_projection(raw_stream(spark, src, schema, max_files, max_bytes), types,
                          keep=(S.PARTITION_COLUMN,))
+    if day:
+        s = s.withColumn(S.PARTITION_COLUMN, F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit(S.NO_DAY)))
     cols = [S.PARTITION_COLUMN]
     if buckets:
         s = s.withColumn(BUCKET_COLUMN, F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)))
         cols.append(BUCKET_COLUMN)
-    q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, cols, rollup=rollup,
-                                                 rollup_table=rollup_table))
+    every = [*rollups, (rollup, rollup_table)] if rollup is not None else list(rollups)
+    q = (s.writeStream.foreachBatch(upsert_batch(table, keys, order, cols, every, checkpoint))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())

@@ -6,6 +6,7 @@ import os
 from signalmart import schemas as S
 from signalmart.__main__ import main
 from signalmart.operators.dedupe import latest_per_key
+from signalmart.plans import incremental
 from signalmart.sources.raw import read_raw, typed_projection
 from tests.conftest import rows
 
@@ -110,6 +111,6 @@ def test_update_takes_new_files_only_and_equals_a_rebuild(spark, tmp_dir, capsys
     new = set(glob.glob(f"{tmp_dir}/inc/silver_flights/data/dt=*/*/*")) - before
     assert len(new) == 1 and "dt=2026-08-09" in new.pop()      # one partition got a new version
     assert main(["build", *args, "--out", f"{tmp_dir}/full"], spark) == 0
-    inc, full = (spark.read.parquet(f"{tmp_dir}/{o}/gold_daily_signals") for o in ("inc", "full"))
+    inc, full = (incremental.gold(spark, f"{tmp_dir}/{o}") for o in ("inc", "full"))
     assert rows(inc, *S.DAILY_COLUMNS) == rows(full, *S.DAILY_COLUMNS) and inc.count() == 9
     assert main(["check", "--out", f"{tmp_dir}/inc"], spark) == 0

@@ -9,7 +9,7 @@ from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
 from signalmart.session import session_conf
 from signalmart.sources.raw import read_raw, typed_projection
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from signalmart.streaming import ingest as K
 from signalmart.streaming import versioned as V
@@ -236,3 +236,119 @@ def test_buckets_follow_the_largest_day(spark, tmp_dir):
     _fixture(f"{tmp_dir}/raw")
     assert K.buckets_for(spark, f"{tmp_dir}/raw") == 1
     assert K.buckets_for(spark, f"{tmp_dir}/raw", bucket_bytes=100) == 3
+
+
+# ---- versions that only grow ------------------------------------------------
+_NAMES = StructType([StructField(c, StringType()) for c in ("icao24", "callsign", "dt")])
+
+
+def _pull(root, name, who, ts="2026-08-12 20:00:00", extracted="2026-08-12 21:00:00", callsign="CS"):
+    _land(root, "2026-08-12", name, [_line(w, ts, "2026-08-12", 13, extracted, callsign) for w in who])
+
+
+def test_a_new_checkpoint_on_an_old_table_keeps_every_row(spark, tmp_dir):
+    """The lost checkpoint's stream began at batch 0 too; its batches are not
+    mistaken for the new one's, whatever the table's version."""
+    root, table = f"{tmp_dir}/raw", f"{tmp_dir}/silver"
+    for k, who in enumerate("ab"):
+        _pull(root, f"run{k}", [who])
+        K.upsert(spark, root, table, f"{tmp_dir}/ck", max_files=1)
+    _pull(root, "run2", ["c"])
+    out = K.upsert(spark, root, table, f"{tmp_dir}/ck-new")           # one batch with all three files
+    assert rows(out, "icao24") == [("a",), ("b",), ("c",)]
+    # a third stream that sees nothing but one new file
+    _pull(f"{tmp_dir}/other", "run3", ["d"])
+    out = K.upsert(spark, f"{tmp_dir}/other", table, f"{tmp_dir}/ck-other")
+    assert rows(out, "icao24") == [("a",), ("b",), ("c",), ("d",)]
+    assert V.last_version(spark, table) == 3
+
+
+def test_a_new_checkpoint_on_a_table_of_version_0(spark, tmp_dir):
+    root, table = f"{tmp_dir}/raw", f"{tmp_dir}/silver"
+    _pull(root, "run0", ["a"])
+    K.upsert(spark, root, table, f"{tmp_dir}/ck")
+    assert V.last_version(spark, table) == 0
+    _pull(f"{tmp_dir}/next", "run1", ["b"])
+    out = K.upsert(spark, f"{tmp_dir}/next", table, f"{tmp_dir}/ck-new")
+    assert rows(out, "icao24") == [("a",), ("b",)] and V.last_version(spark, table) == 1
+
+
+def test_a_replayed_batch_changes_nothing(spark, tmp_dir):
+    """The batch is committed, but the stream dies before it notes that; on
+    the restart it hands the same batch in again."""
+    import glob
+    import shutil
+    root, table, ck = f"{tmp_dir}/raw", f"{tmp_dir}/silver", f"{tmp_dir}/ck"
+    _pull(root, "run0", ["a"])
+    K.upsert(spark, root, table, ck)
+    _pull(root, "run1", ["b"])
+    K.upsert(spark, root, table, ck)
+    shutil.rmtree(f"{ck}/commits")        # what the stream knows of finished batches
+    os.makedirs(f"{ck}/commits")
+    files = sorted(glob.glob(f"{table}/**/*.parquet", recursive=True))
+    out = K.upsert(spark, root, table, ck)
+    assert rows(out, "icao24") == [("a",), ("b",)]
+    assert sorted(glob.glob(f"{table}/**/*.parquet", recursive=True)) == files
+
+
+def test_a_kill_between_the_rollup_and_the_table_commit(spark, tmp_dir, monkeypatch):
+    from signalmart.operators.rollups import rollup_counts
+    root, table, daily = f"{tmp_dir}/raw", f"{tmp_dir}/silver", f"{tmp_dir}/daily"
+    kind = StructType.fromDDL("market string, arrival_date_local date, dt string, arrivals long")
+    whole, args = V.commit, dict(rollup=lambda m: rollup_counts(m, ["market", "arrival_date_local", "dt"], "arrivals"),
+                                 rollup_table=daily)
+    _pull(root, "run0", ["a"])
+    K.upsert(spark, root, table, f"{tmp_dir}/ck", **args)
+    _pull(root, "run1", ["b", "c"])
+
+    def die(spark, at, *rest, **kw):
+        if at == table:
+            raise RuntimeError("killed")
+        whole(spark, at, *rest, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(V, "commit", die)
+        with pytest.raises(Exception):
+            K.upsert(spark, root, table, f"{tmp_dir}/ck", **args)
+    assert rows(V.read(spark, table, ["dt"], _NAMES), "icao24") == [("a",)]
+    K.upsert(spark, root, table, f"{tmp_dir}/ck", **args)
+    assert rows(V.read(spark, table, ["dt"], _NAMES), "icao24") == [("a",), ("b",), ("c",)]
+    assert rows(V.read(spark, daily, ["dt"], kind), "arrivals") == [(3,)]
+
+
+def test_compaction_keeps_the_rows_and_the_replays(spark, tmp_dir):
+    import glob
+    root, table, ck = f"{tmp_dir}/raw", f"{tmp_dir}/silver", f"{tmp_dir}/ck"
+    for k, who in enumerate("abc"):
+        _pull(root, f"run{k}", [who])
+        out = K.upsert(spark, root, table, ck)
+    before, stream = rows(out, "icao24"), K.stream_id(spark, ck)
+    commits = lambda: len(glob.glob(f"{table}/commits/*.parquet"))
+    assert commits() == 3 and V.compact(spark, table, ["dt"], _NAMES) == 3 and commits() == 1
+    assert V.applied(spark, table, stream, 2) and not V.applied(spark, table, stream, 3)
+    assert V.last_version(spark, table) == 2
+    assert rows(V.read(spark, table, ["dt"], _NAMES), "icao24") == before
+    assert V.vacuum(spark, table, ["dt"], _NAMES) == 2
+    _pull(root, "run3", ["d"])
+    assert rows(K.upsert(spark, root, table, ck), "icao24") == [*before, ("d",)]
+    assert V.compact(spark, f"{tmp_dir}/nothing", ["dt"], _NAMES) == V.vacuum(spark, f"{tmp_dir}/nothing", ["dt"], _NAMES) == 0
+
+
+def test_a_replaced_table_keeps_its_rows_until_the_commit(spark, tmp_dir, monkeypatch):
+    kind = StructType.fromDDL("x long")
+    V.replace(spark.range(3).toDF("x"), f"{tmp_dir}/t")
+    with monkeypatch.context() as m:
+        m.setattr(V, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            V.replace(spark.range(5).toDF("x"), f"{tmp_dir}/t")
+    assert V.read(spark, f"{tmp_dir}/t", [], kind).count() == 3
+    V.replace(spark.range(7).toDF("x"), f"{tmp_dir}/t")
+    assert V.read(spark, f"{tmp_dir}/t", [], kind).count() == 7
+
+
+def test_one_key_landed_under_two_days_is_one_row(spark, tmp_dir):
+    root = f"{tmp_dir}/raw"
+    _land(root, "2026-08-12", "a", [_line("a", "2026-08-12 20:00:00", "2026-08-12", 13, "2026-08-12 21:00:00", "OLD")])
+    _land(root, "2026-08-13", "b", [_line("a", "2026-08-12 20:00:00", "2026-08-12", 13, "2026-08-13 21:00:00", "NEW")])
+    out = K.upsert(spark, root, f"{tmp_dir}/silver", f"{tmp_dir}/ck", max_files=1, day="arrival_date_local")
+    assert rows(out, "icao24", "callsign", "dt") == [("a", "NEW", "2026-08-12")]
