@@ -54,11 +54,12 @@ SAMPLE = 256
 #: A segment's ids and documents at most (a document is never split).
 SEGMENT_IDS, SEGMENT_DOCS = 16 << 20, 1 << 20
 #: Text encoded at a time.
-GROUP_BYTES, GROUP_ROWS = 16 << 20, 20_000
+GROUP_BYTES, GROUP_ROWS = 8 << 20, 20_000
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_LETTER = np.array([chr(c).isalnum() and c < 128 for c in range(256)])
+_LETTER = np.array([c < 128 and chr(c).isalnum() for c in range(256)])
+_MARKS = np.array([32 < c < 127 and not chr(c).isalnum() for c in range(256)])
 
 
 # ---- Elias-Fano ------------------------------------------------------------
@@ -142,14 +143,16 @@ class EliasFano:
 
 
 # ---- segments --------------------------------------------------------------
-def segment(part: int, place: int, ids: np.ndarray, sizes: np.ndarray, names: np.ndarray, nulls: int) -> bytes:
-    """A file's bytes without its end. ``sizes``: ids of each document;
-    ``names``: ascending document ids of those behind the ``nulls`` first."""
+def segment(part: int, place: int, ids: list[np.ndarray], sizes: np.ndarray, names: np.ndarray, nulls: int) -> bytes:
+    """A file's bytes without its end. ``ids``: in parts, one behind another;
+    ``sizes``: ids of each document; ``names``: ascending document ids of those
+    behind the ``nulls`` first."""
     least = int(names[0]) if len(names) else 0
-    head = HEADER.pack(MAGIC, part, place, len(sizes), nulls, len(ids), ids.dtype.itemsize, least)
+    head = HEADER.pack(MAGIC, part, place, len(sizes), nulls, sum(map(len, ids)), ids[0].dtype.itemsize, least)
     # differences of 64-bit ids, modulo 2^64
     apart = names.astype(np.int64).view(np.uint64) - np.int64(least).view(np.uint64)
-    return b"".join((head, ids.tobytes(), elias_fano(np.concatenate(([0], np.cumsum(sizes)))), elias_fano(apart)))
+    bounds = elias_fano(np.concatenate(([0], np.cumsum(sizes))))
+    return b"".join((head, *(memoryview(np.ascontiguousarray(x)).cast("B") for x in ids), bounds, elias_fano(apart)))
 
 
 class Segment:
@@ -188,7 +191,26 @@ class Segment:
 _MARK = "|"
 
 
-def word_encoder(path: str, white_space_dropped: bool = True) -> Callable[[np.ndarray, np.ndarray], tuple]:
+def _ends_in_marks(text: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Where the ASCII marks at the end of a word begin, if a letter or digit
+    stands before them that is ASCII or of Latin-1 (two bytes, C3 first).
+    ``last``: which bytes end a word."""
+    marks = _MARKS[text]
+    behind = np.append(marks[1:], False) & ~last  # a mark of the same word follows
+    tail = marks & ~behind & last                 # a word's last byte, if a mark
+    start = marks.copy()
+    start[1:] &= ~marks[:-1] | last[:-1]          # first mark of a series
+    first = np.flatnonzero(start)
+    # a series ends its word if its last mark does
+    stop = np.flatnonzero(marks & ~behind)
+    first = first[tail[stop]]
+    first = first[first > 0]
+    before = text[first - 1]
+    latin = (before >= 0x80) & (text[np.maximum(first - 2, 0)] == 0xC3) & (before != 0x97) & (before != 0xB7)
+    return first[(_LETTER[before] | latin) & ~last[first - 1]]
+
+
+def word_encoder(path: str, white_space_dropped: bool = True, kind: str = "<u4") -> Callable[[np.ndarray, np.ndarray], tuple]:
     """A function from texts (bytes, row offsets) to all their ids and the
     number of ids of each row, by the ``tokenizers`` library.
 
@@ -197,45 +219,56 @@ def word_encoder(path: str, white_space_dropped: bool = True) -> Callable[[np.nd
     are put together from their words' ids. Where a word ends in such a call is
     told by the ids that carry the end-of-word suffix, if it is letters only,
     and else by a marked word put between; words that hold the mark are encoded
-    one by one. Words are cut further where an ASCII letter or digit meets a
-    trailing dot or comma, which such a tokenizer separates too. Other
-    tokenizers get whole texts."""
+    one by one. Words are cut further where a letter or digit meets the marks
+    at the end of its word (``_ends_in_marks``), which such a tokenizer
+    separates too. Other tokenizers get whole texts."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     coder = Tokenizer.from_file(path)
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in coder.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(texts: list[str], by: Tokenizer = coder) -> Iterator[np.ndarray]:
+        for k in range(0, len(texts), 256):  # few results are held at a time
+            for e in by.encode_batch_fast(texts[k:k + 256], add_special_tokens=False):
+                yield np.array(e.ids, np.uint32)
 
-    def joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = list(encode(texts))
         sizes = np.array([len(p) for p in parts], np.int64)
-        return (np.concatenate(parts) if len(parts) else np.zeros(0, np.uint32)), sizes
+        return (np.concatenate(parts) if len(parts) else np.zeros(0)).astype(kind), sizes
 
     def whole(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         data = raw.tobytes()
-        return joined(encode([data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]))
+        return joined([data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])])
 
     if not white_space_dropped:
         return whole
-    mark = encode([_MARK])[0]
+    mark = next(encode([_MARK]))
     if len(mark) != 1:
         raise ValueError("the mark is more than one id")
 
-    suffix = json.loads(coder.to_str())["model"].get("end_of_word_suffix")
+    form = json.loads(coder.to_str())
+    steps = (form.get("normalizer") or {}).get("normalizers", [{"type": "other"}])
+    if {x["type"] for x in steps} <= {"NFC", "Replace", "Lowercase"}:
+        # none of these changes ASCII letters in lower case with single blanks
+        ascii_coder = Tokenizer(coder.model)  # the vocabulary is held once
+        ascii_coder.pre_tokenizer = coder.pre_tokenizer
+    else:
+        ascii_coder = coder
+    suffix = form["model"].get("end_of_word_suffix")
     closing = np.zeros(coder.get_vocab_size(with_added_tokens=True), bool)  # ids that end a piece
     if suffix:
         closing[[i for token, i in coder.get_vocab().items() if token.endswith(suffix)]] = True
 
-    def parted(words: list[str], between: str, ends: Callable[[np.ndarray], np.ndarray]) -> tuple:
+    def parted(words: list[str], between: str, ends: Callable[[np.ndarray], tuple], by: Tokenizer = coder) -> tuple:
         """The words' ids in runs, and behind which of them a word ends; runs
         in which it can't be told are encoded word by word."""
         runs = [words[i:i + 64] for i in range(0, len(words), 64)]
         flat, size = [], []
-        for ids, run in zip(encode([between.join(r) for r in runs]), runs):
+        for ids, run in zip(encode([between.join(r) for r in runs], by), runs):
             ids, cut = ends(ids)
             if len(cut) != len(run):
-                ids, sizes = joined(encode(run))
+                ids, sizes = joined(run)
             else:
                 sizes = np.diff(cut, prepend=0)
             flat.append(ids)
@@ -249,41 +282,63 @@ def word_encoder(path: str, white_space_dropped: bool = True) -> Callable[[np.nd
         here = np.flatnonzero(ids == mark[0])
         return np.delete(ids, here), np.append(here - np.arange(len(here)), len(ids) - len(here))
 
+    added = [t.content.lower().encode() for t in coder.get_added_tokens_decoder().values() if t.content]
+
+    def added_places(text: np.ndarray) -> np.ndarray:
+        """Bytes that an added token takes, in whatever case: such words are
+        left as they are."""
+        out, data, lower = np.zeros(len(text), bool), text.tobytes(), False
+        for token in added:
+            sign = token[:next((k for k, c in enumerate(token) if chr(c).isalpha()), len(token))]
+            if sign and sign not in data:
+                continue
+            data, lower = (data if lower else data.lower()), True
+            at = data.find(token)
+            while at >= 0:
+                out[at:at + len(token)] = True
+                at = data.find(token, at + 1)
+        return out
+
     def run(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, text = ends[0], raw[ends[0]:ends[-1]]
         inside = ~_BLANK[text]
         begin = np.zeros(len(text) + 1, bool)
         begin[ends - at] = True
         begin[1:-1] |= ~inside[:-1]
-        # a dot or comma behind a letter or digit, at the end of its word
-        stop = np.flatnonzero((text == 46) | (text == 44))
-        stop = stop[begin[stop + 1] | ~inside[np.minimum(stop + 1, len(text) - 1)]]
-        stop = stop[_LETTER[text[stop - 1]] & (stop > 0)]
-        begin[stop] = True
+        own_token = added_places(text)
+        cut = _ends_in_marks(text, np.append(begin[1:-1] | ~inside[1:], True))
+        begin[cut[~(own_token[cut] & own_token[cut - 1])]] = True
         begin = begin[:-1] & inside
         starts, body = np.flatnonzero(begin), text[inside]
         places = np.append(np.flatnonzero(begin[inside]), len(body))
         # ASCII words in lower case, as the tokenizer sees them
         if len(starts):
             narrow = np.bitwise_or.reduceat(body, places[:-1]) < 128
+            if own_token.any():
+                narrow &= ~np.logical_or.reduceat(own_token[inside], places[:-1])
             body[(body - 65 < 26) & np.repeat(narrow, np.diff(places))] |= 32
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [
             None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(body)]).dictionary_encode()
         words = [w.decode("utf-8", "replace") for w in coded.dictionary.to_pylist()]
-        kinds: tuple[list, list, list] = ([], [], [])
+        kinds: tuple[list, ...] = ([], [], [], [])
         for i, w in enumerate(words):
-            kinds[2 if _MARK in w else 0 if suffix and w.isalpha() else 1].append(i)
-        alpha, mixed, marked = ([words[i] for i in k] for k in kinds)
-        flat, size = (a + b for a, b in zip(parted(alpha, " ", by_closing), parted(mixed, f" {_MARK} ", by_mark)))
-        own, own_sizes = joined(encode(marked))
-        ids, sizes = np.concatenate([*flat, own]), np.concatenate([*size, own_sizes])
-        slot = np.empty(len(words), np.int64)
-        slot[kinds[0] + kinds[1] + kinds[2]] = np.arange(len(words))
+            kinds[3 if _MARK in w else (0 if w.isascii() else 1) if suffix and w.isalpha() else 2].append(i)
+        plain, alpha, mixed, marked = ([words[i] for i in k] for k in kinds)
+        parts = (parted(plain, " ", by_closing, ascii_coder), parted(alpha, " ", by_closing),
+                 parted(mixed, f" {_MARK} ", by_mark))
+        own, own_sizes = joined(marked)
+        ids = np.concatenate([x for p in parts for x in p[0]] + [own]).astype(kind)
+        sizes = np.concatenate([x for p in parts for x in p[1]] + [own_sizes]).astype(np.int32)
+        slot = np.empty(len(words), np.int32)
+        slot[[i for k in kinds for i in k]] = np.arange(len(words))
         word = slot[coded.indices.to_numpy()]
+        del words, kinds, plain, alpha, mixed, marked, parts
         per_word = sizes[word]
         before = np.concatenate(([0], np.cumsum(per_word)))
-        offset = np.concatenate(([0], np.cumsum(sizes)))[word] - before[:-1]
-        take = np.arange(before[-1]) + np.repeat(offset, per_word)
+        # places fit 32 bits unless a single text is longer than that
+        small = np.int32 if before[-1] + len(ids) < 1 << 31 else np.int64
+        take = np.repeat((np.concatenate(([0], np.cumsum(sizes)))[word] - before[:-1]).astype(small), per_word)
+        take += np.arange(before[-1], dtype=small)
         return ids[take], np.diff(before[np.searchsorted(starts, ends - at)])
 
     return run
@@ -298,29 +353,33 @@ def _with_end(ids: np.ndarray, sizes: np.ndarray, end_id: int | None) -> tuple[n
     return np.insert(ids, stops, end_id), sizes + 1
 
 
-def _packer(path: str, end_id: int | None, white_space_dropped: bool, most_ids: int, most_docs: int):
+def id_kind(path: str, end_id: int | None) -> str:
+    """The numpy type that holds the ids of a tokenizer: 2 or 4 bytes."""
+    from tokenizers import Tokenizer
+    vocabulary = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
+    return "<u2" if max(vocabulary, (end_id or 0) + 1) <= 1 << 16 else "<u4"
+
+
+def _packer(path: str, kind: str, end_id: int | None, white_space_dropped: bool, most_ids: int, most_docs: int):
     """mapInArrow function: sorted (doc_id, text) rows to segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        vocabulary = Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
-        kind = "<u2" if max(vocabulary, (end_id or 0) + 1) <= 1 << 16 else "<u4"
-        encode = word_encoder(path, white_space_dropped)
+        encode = word_encoder(path, white_space_dropped, kind)
         part, place = TaskContext.get().partitionId(), 0
         held: list[tuple] = []  # (ids, sizes, doc ids, nulls)
 
         def flush() -> pa.RecordBatch:
             nonlocal held, place
-            ids, sizes, names = (np.concatenate([h[k] for h in held]) for k in range(3))
-            body = segment(part, place, ids, sizes, names, sum(h[3] for h in held))
+            sizes, names = (np.concatenate([h[k] for h in held]) for k in (1, 2))
+            body = segment(part, place, [h[0] for h in held], sizes, names, sum(h[3] for h in held))
             held, place = [], place + 1
-            return pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], names=["body"])
+            one = pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, len(body)], np.int32)), pa.py_buffer(body)])
+            return pa.RecordBatch.from_arrays([one], names=["body"])
 
         for batch in batches:
             raw, ends = utf8_parts(batch.column(1))
             names = batch.column(0)
             for a, b in text_groups(ends, GROUP_BYTES, GROUP_ROWS):
                 ids, sizes = _with_end(*encode(raw, ends[a:b + 1]), end_id)
-                ids = ids.astype(kind)
                 starts = np.concatenate(([0], np.cumsum(sizes)))
                 row = 0
                 while row < len(sizes):
@@ -351,8 +410,9 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int | No
     dealt = (rows.withColumn("tie", F.xxhash64("text"))
              .withColumn("turn", F.pmod(F.monotonically_increasing_id(), F.lit(997)))
              .repartitionByRange("doc_id", "tie", "turn").sortWithinPartitions("doc_id", "tie", "text"))
+    place = str(Path(tokenizer).resolve())
     packed = dealt.select("doc_id", "text").mapInArrow(
-        _packer(str(Path(tokenizer).resolve()), end_id, white_space_dropped, segment_ids, segment_docs), "body binary")
+        _packer(place, id_kind(place, end_id), end_id, white_space_dropped, segment_ids, segment_docs), "body binary")
     (packed.select(F.col("body").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
      .option("compression", "none").option("lineSep", "\n").text(path))
 

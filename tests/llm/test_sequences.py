@@ -197,9 +197,9 @@ def test_elias_fano_lists():
 
 def test_words_encoded_once_give_the_ids_of_whole_texts():
     r = random.Random(3)
-    letters = "aAbB'sSdDtTlLrRvVeEmM.,|!?09 \t\n\r\x0b\x0c\x85\xa0 éÉ́̊WİKΣσß漢　🎉…»"
+    letters = "aAbB'sSdDtTlLrRvVeEmM.,|!?%*()09 \t\n\r\x0b\x0c\x85\xa0 éÉñ×÷́̊WİKΣσß漢　🎉…»"
     texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 60))) for _ in range(3000)]
-    texts += ["a|b", "|", " | ", "x<|endoftext|>y", "<|startoftext|>", "don't.", "it's, they're. we'll", "", "W̊ ẘ"]
+    texts += ["a|b", "|", " | ", "x<|endoftext|>y", "<|startoftext|>", "A<|startoftext|>...", "<|StartOfText|>", "don't.", "it's, they're. we'll", "", "W̊ ẘ"]
     raw, ends = utf8_parts(pa.array(texts))
     for a, b in ((0, len(texts)), (17, 40)):
         got, want = (token_files.word_encoder(queries.TOKENS, fast)(raw, ends[a:b + 1]) for fast in (True, False))
