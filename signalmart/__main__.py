@@ -4,7 +4,7 @@
   python -m signalmart build  --flights RAW --weather RAW --events CSV --holidays CSV --out DIR
   python -m signalmart update --flights RAW --weather RAW --events CSV --holidays CSV --out DIR
   python -m signalmart check  --out DIR       # quality suite, exit 1 on any failure
-  python -m signalmart alert  --out DIR       # latest-day digest; lists HIGH markets
+  python -m signalmart alert  --out DIR       # latest-day digest, once; lists HIGH markets
   python -m signalmart tidy   --out DIR       # between runs: old versions and commit files go
 
 `normalize` turns landed API payloads (JSON lines in <dir>/<market>/<pull>)
@@ -170,15 +170,24 @@ def check(spark: SparkSession, out: str, markets: str | None = None) -> list:
     return Q.assert_passed(Q.suite(checks))
 
 
-def alert(spark: SparkSession, out: str) -> dict:
-    snap = A.latest_snapshot(incremental.gold(spark, out.rstrip("/")))
-    digest = A.alert_digest(snap).collect()          # one row per day: one row
+def alert(spark: SparkSession, out: str, again: bool = False) -> dict:
+    """Say the latest day's digest, once: what was said is kept beside the
+    tables, and a repeated run is silent unless something changed."""
+    out = out.rstrip("/")
+    snap = A.latest_snapshot(incremental.gold(spark, out))
+    digests = A.alert_digest(snap)
+    digest = digests.collect()          # one row per day: one row
     high = [r.market for r in A.alert_rows(snap).select("market").collect()]  # <= markets
     if not digest:
         print("No mart rows found.")
         return {"high": [], "digest": None}
+    fresh = incremental.unsent(spark, out, digests)
+    if not again and not fresh.take(1):
+        print(f"Nothing new for {digest[0].arrival_date_local}: its digest was sent before.")
+        return {"high": high, "digest": None}
     print(digest[0].subject)
     print(digest[0].digest)
+    incremental.note_sent(digests, out)
     print(("HIGH: " + ", ".join(high)) if high else "No HIGH market today.")
     return {"high": high, "digest": digest[0].digest}
 
@@ -201,6 +210,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     for name in ("check", "alert", "tidy"):
         sub.add_parser(name).add_argument("--out", required=True)
     sub.choices["check"].add_argument("--markets")
+    sub.choices["alert"].add_argument("--again", action="store_true", help="even if the digest was sent before")
     args = ap.parse_args(argv)
     spark = _session(spark)
     if args.cmd == "normalize":
@@ -226,7 +236,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(str(e))
             return 1
         return 0
-    alert(spark, args.out)
+    alert(spark, args.out, args.again)
     return 0
 
 

@@ -61,6 +61,28 @@ def alert_digest(rows: DataFrame, date_col: str = "arrival_date_local") -> DataF
                     subject.alias("subject"), text.alias("digest"))
 
 
+#: What is kept of a digest that was sent: its day and a hash of its content.
+OUTBOX = "arrival_date_local date, content string, sent_at timestamp"
+
+
+def _content():
+    return F.sha2(F.concat_ws("\n", "subject", "digest").cast("binary"), 256)
+
+
+def sent_rows(digests: DataFrame) -> DataFrame:
+    return digests.select("arrival_date_local", _content().alias("content"), F.current_timestamp().alias("sent_at"))
+
+
+def unsent(digests: DataFrame, sent: DataFrame) -> DataFrame:
+    """The digests that the outbox does not hold with the same content: a day
+    is told again only if what is said about it has changed. (Day, content) is
+    one row per day, so both sides are small."""
+    known = sent.select(F.col("arrival_date_local").alias("_day"), F.col("content").alias("_content"))
+    own = digests.withColumn("_own", _content())
+    same = own["arrival_date_local"].eqNullSafe(known["_day"]) & (own["_own"] == known["_content"])
+    return own.join(known, same, "left_anti").drop("_own")
+
+
 def top_recent(mart: DataFrame, n: int = 10) -> DataFrame:
     """Most recent market-days first (top-n: TakeOrderedAndProject, one
     partial top-n per task, no full sort)."""

@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from signalmart import schemas as S
+from signalmart.operators import alerts as A
 from signalmart.operators.rollups import (
     counts_from_partials, rollup_counts, weather_from_partials, weather_partials)
 from signalmart.plans import marts
+from signalmart.sources import bucketed
 from signalmart.streaming import ingest as K
 from signalmart.streaming import versioned
 
@@ -40,8 +42,7 @@ def _weather_rollup(merged: DataFrame) -> DataFrame:
 def _buckets(spark: SparkSession, src: str, out: str, kind: str) -> int:
     """A table keeps the number of key buckets it was begun with."""
     path = f"{out}/buckets_{kind}"
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+    if not _folder_exists(spark, path):
         spark.createDataFrame([(K.buckets_for(spark, src),)], "buckets int").write.parquet(path)
     return spark.read.schema("buckets int").parquet(path).first()[0]
 
@@ -52,7 +53,7 @@ _ROLLUPS = {
     "daily_weather": "market string, observed_date_local date, dt string, key_bucket long, "
                      "temp_max_f double, temp_min_f double, precip_sum decimal(28,6), wind_max double",
 }
-DAILY, CURVE = "gold_daily_signals", "gold_hourly_arrival_curve"
+DAILY, CURVE, OUTBOX = "gold_daily_signals", "gold_hourly_arrival_curve", "sent_digests"
 _GOLD = {
     DAILY: "daily_key string, market string, arrival_date_local date, arrivals long, trailing_7day_avg double, "
            "arrivals_vs_7day_avg_pct double, temp_max_f double, temp_min_f double, precip_total_mm double, "
@@ -256,9 +257,13 @@ def gold(spark: SparkSession, out: str, name: str = DAILY) -> DataFrame:
 
 
 def silver(spark: SparkSession, out: str, kind: str) -> DataFrame:
-    """A silver table of `update` (versioned) or of `build` (plain)."""
+    """A silver table of `update` (versioned) or of `build` (bucketed)."""
     path = f"{out}/silver_{kind}"
     if not versioned.exists(spark, path):
+        keys = S.FLIGHTS_KEY if kind == "flights" else S.WEATHER_KEY
+        if bucketed.is_bucketed(spark, path):
+            name = f"silver_{kind}_{abs(hash(path)):x}"  # one name per folder in this session's catalog
+            return bucketed.attach(spark, name, path, keys)
         return spark.read.parquet(path)
     types = S.FLIGHTS_TYPES if kind == "flights" else S.WEATHER_TYPES
     ddl = ", ".join(f"{c} {'string' if t is None or t.startswith('text') else t}" for c, t in types.items())
@@ -277,6 +282,23 @@ def markets(spark: SparkSession, out: str) -> DataFrame | None:
     return versioned.read(spark, table, [], StructType.fromDDL(S.MARKETS_DDL))
 
 
+def unsent(spark: SparkSession, out: str, digests: DataFrame) -> DataFrame:
+    """The digests that were not sent yet, or not with this content."""
+    return A.unsent(digests, spark.read.schema(A.OUTBOX).parquet(f"{out}/{OUTBOX}")
+                    if _folder_exists(spark, f"{out}/{OUTBOX}") else spark.createDataFrame([], A.OUTBOX))
+
+
+def note_sent(digests: DataFrame, out: str) -> None:
+    """Note digests as sent: a run that dies before this sends them again, one
+    that ran through does not."""
+    A.sent_rows(digests).coalesce(1).write.mode("append").parquet(f"{out}/{OUTBOX}")
+
+
+def _folder_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def tidy(spark: SparkSession, out: str) -> dict:
     """Maintenance between runs: folders of replaced versions go, and each
     table's commit files become one. No reader or run may be under way.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.plans import feeds
 from signalmart.session import work_dir
+from signalmart.sources import bucketed
 from signalmart.sources.pulls import land_pulls
 from signalmart.sources.raw import rebalanced
 
@@ -78,3 +79,18 @@ def stored_gold(spark: SparkSession, sf_dir: str, build) -> DataFrame:
     """The daily mart as a written table (what alerts and checks read)."""
     path = written_once(spark, sf_dir, "gold", lambda to: rebalanced(build()).write.parquet(to))
     return spark.read.parquet(path)
+
+
+def bucketed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deduplicated arrivals as a table bucketed by their natural key."""
+    def write(path: str) -> None:
+        flights = feeds.silver_flights(spark, feeds.load_events(spark, sf_dir))
+        n = bucketed.buckets_for(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+        bucketed.write(flights, _table_name(path), path, S.FLIGHTS_KEY, n)
+
+    path = written_once(spark, sf_dir, "silver-flights", write)
+    return bucketed.attach(spark, _table_name(path), path, S.FLIGHTS_KEY)
+
+
+def _table_name(path: str) -> str:
+    return "silver_flights_" + path.rsplit("-", 1)[-1]

@@ -3,7 +3,8 @@
     build(spark, raw_flights, raw_weather, calendar, holidays, root)
 
 * bronze: the raw text, partitioned by dt, written as a table (A7/A8)
-* silver: typed + freshest-wins, written once as dt-partitioned tables
+* silver: typed + freshest-wins, written once as tables bucketed and sorted
+          by the natural key, so that later work on the key needs no exchange
           (or, with silver_as="view", views inlined into each mart, A11)
 * gold:   daily signals and hourly curve written as tables (mart = table),
           each as a new version that the table is pointed to when it is whole
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from signalmart import schemas as S
 from signalmart.operators.dedupe import latest_per_key
 from signalmart.plans import marts
+from signalmart.sources import bucketed
 from signalmart.sources.raw import CORRUPT_COLUMN, read_raw, rebalanced, typed_projection
 from signalmart.streaming import versioned
 
@@ -39,7 +41,7 @@ def _write_table(df: DataFrame, name: str, path: str, partition_by: list[str] =
     w.saveAsTable(name)
 
 
-def _swap_table(df: DataFrame, name: str, path: str) -> None:
+def swap_table(df: DataFrame, name: str, path: str) -> None:
     """Write rows as a new version below `path`, commit it and point the
     table there: until then readers have the old rows, and a run that dies
     leaves them."""
@@ -61,7 +63,7 @@ def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
 def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: DataFrame,
           holidays: DataFrame, root: str, database: str = "signalmart",
           silver_as: str = "table", flights_schema=S.RAW_FLIGHTS_SCHEMA,
-          weather_schema=S.RAW_WEATHER_SCHEMA) -> dict:
+          weather_schema=S.RAW_WEATHER_SCHEMA, buckets: int | None = None) -> dict:
     """Rebuild every layer; returns row counts per layer, and per raw feed
     the number of lines with too few or too many fields (they stay in bronze,
     cut or filled with NULLs). The seeds are written as tables too."""
@@ -97,10 +99,10 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
     for kind, df in silver.items():
         if silver_as == "table":
             counted, obs = _observed(df, f"silver_{kind}")
-            _write_table(counted, f"{database}.silver_{kind}", f"{root}/silver_{kind}",
-                         [S.PARTITION_COLUMN])
+            keys = S.FLIGHTS_KEY if kind == "flights" else S.WEATHER_KEY
+            n = buckets or bucketed.buckets_for(spark, raw_flights if kind == "flights" else raw_weather)
+            silver[kind] = bucketed.write(counted, f"{database}.silver_{kind}", f"{root}/silver_{kind}", keys, n)
             counts[f"silver_{kind}"] = obs.get["rows"]
-            silver[kind] = spark.table(f"{database}.silver_{kind}")
         silver[kind] = silver[kind].drop(S.PARTITION_COLUMN)
         silver[kind].createOrReplaceTempView(f"silver_{kind}")
 
@@ -111,9 +113,9 @@ def build(spark: SparkSession, raw_flights: str, raw_weather: str, calendar: Dat
         sw, obs_sw = _observed(sw, "silver_weather")
     gold, obs_g = _observed(marts.daily_signals(sf, sw, calendar, holidays,
                                                 points_name="driver_points"), "gold_daily")
-    _swap_table(gold, f"{database}.gold_daily_signals", f"{root}/gold_daily_signals")
+    swap_table(gold, f"{database}.gold_daily_signals", f"{root}/gold_daily_signals")
     curve, obs_h = _observed(marts.hourly_curve(silver["flights"]), "gold_hourly")
-    _swap_table(curve, f"{database}.gold_hourly_arrival_curve", f"{root}/gold_hourly_arrival_curve")
+    swap_table(curve, f"{database}.gold_hourly_arrival_curve", f"{root}/gold_hourly_arrival_curve")
     counts["gold_daily"] = obs_g.get["rows"]
     counts["gold_hourly"] = obs_h.get["rows"]
     if silver_as != "table":

@@ -20,8 +20,9 @@ from signalmart.operators import quality as Q
 from signalmart.operators import rules as R
 from signalmart.operators.baseline import pct_vs_baseline, trailing_baseline
 from signalmart.operators.dedupe import key_copy_counts
+from signalmart.operators.dedupe import latest_per_key as dedupe_latest
 from signalmart.operators.rollups import daily_weather
-from signalmart.plans import feeds, incremental, landing, marts, medallion
+from signalmart.plans import feeds, incremental, landing, marts, medallion, models
 from signalmart.plans import oracle as O
 from signalmart.session import work_dir
 from signalmart.sources import payloads as P
@@ -204,9 +205,10 @@ def _arrival_documents(spark, sf_dir):
 
 
 @register("payload_rejects", """
-    SELECT event_type AS market, unnest(['row', 'no time', 'lastSeen is no number', 'malformed document']) AS outcome,
-           count(*) AS records
-    FROM events GROUP BY ALL""")
+    SELECT market, outcome, count(*) AS records
+    FROM (SELECT event_type AS market,
+                 unnest(['row', 'no time', 'lastSeen is no number', 'malformed document']) AS outcome FROM events)
+    GROUP BY ALL""")
 def payload_rejects(spark, sf_dir):
     """What became of every record of the arrival payloads, by market:
     rows, records without a time, and rejects with their reason."""
@@ -629,6 +631,22 @@ def digest_history(spark, sf_dir):
     return A.alert_digest(gold(spark, sf_dir))
 
 
+@register("digest_outbox", _M(_digest_sql("SELECT * FROM mart WHERE demand_pressure IS DISTINCT FROM 'WARMUP'")
+                              .replace("GROUP BY arrival_date_local", "GROUP BY arrival_date_local HAVING "
+                                       "arrival_date_local > (SELECT min(arrival_date_local) + 14 FROM mart)")))
+def digest_outbox(spark, sf_dir):
+    """I14 with its outbox: of every day's digest (rated markets), those of the
+    first fortnight and of the first day behind it were sent; the latter with
+    another content, so it is told again."""
+    rated = gold(spark, sf_dir).filter(~F.col("demand_pressure").eqNullSafe(S.WARMUP_LABEL))
+    digests = A.alert_digest(rated)
+    begin = gold(spark, sf_dir).select(F.min("arrival_date_local")).scalar()
+    sent = A.sent_rows(digests.filter(F.col("arrival_date_local") <= F.date_add(begin, 14)))
+    stale = A.sent_rows(digests.filter(F.col("arrival_date_local") == F.date_add(begin, 15))
+                        .withColumn("digest", F.concat("digest", F.lit("!"))))
+    return A.unsent(digests, sent.unionByName(stale))
+
+
 @register("top_recent", _M("""
     SELECT market, arrival_date_local, arrivals, pressure_score, demand_pressure, score_drivers
     FROM mart ORDER BY arrival_date_local DESC, market LIMIT 10"""))
@@ -671,6 +689,28 @@ def dq_unique(spark, sf_dir):
     return Q.suite(_unique_checks(spark, sf_dir))
 
 
+@register("bucketed_unique", _M(_UNIQUE_SQL[0]))
+def bucketed_unique(spark, sf_dir):
+    """J2/J3 on silver that is bucketed by its natural key: the grouping takes
+    the table's own distribution, without an exchange below it."""
+    return Q.unique(landing.bucketed_flights(spark, sf_dir), S.FLIGHTS_KEY, "silver_flights")
+
+
+@register("bucketed_merge", O.with_ctes("""
+    SELECT market, count(*) AS arrivals, count(*) FILTER (WHERE arrival_hour_local % 2 = 0) AS renewed
+    FROM flights GROUP BY market""", O.FEEDS))
+def bucketed_merge(spark, sf_dir):
+    """F1 on bucketed silver: a second extraction of some of its keys, in as
+    many buckets, is merged into it, freshest first, without an exchange of
+    either."""
+    silver = landing.bucketed_flights(spark, sf_dir)
+    new = silver.filter(F.col("arrival_hour_local") % 2 == 0)
+    both = silver.withColumn("pull", F.lit(1)).unionByName(new.withColumn("pull", F.lit(2)))
+    merged = dedupe_latest(both, S.FLIGHTS_KEY, ["pull"])
+    return merged.groupBy("market").agg(F.count(F.lit(1)).alias("arrivals"),
+                                        F.count_if(F.col("pull") == 2).alias("renewed"))
+
+
 _NOT_NULL = {
     "gold": ("mart", ["daily_key", "arrivals", "demand_pressure", "score_drivers",
                       "interpretation"]),
@@ -860,6 +900,19 @@ def medallion_gold(spark, sf_dir):
     return medallion.gold(spark, db).select(*S.DAILY_COLUMNS)
 
 
+@register("model_graph", O.mart_sql("SELECT market, arrival_date_local, arrival_hour_local, count(*) AS arrivals "
+                                    "FROM flights GROUP BY ALL"))
+def model_graph(spark, sf_dir):
+    """One mart of the model graph: its staging view (a persistent
+    catalog view over the raw zone's table) and itself, nothing else."""
+    root = landing.landed_flights(spark, sf_dir)
+    db = "models_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    pulls.catalog_table(spark, f"{db}.raw_flights", root, S.RAW_FLIGHTS_SCHEMA)
+    models.build(spark, ["mart_hourly_curve"], db, work_dir(spark, "models"))
+    return spark.table(f"{db}.mart_hourly_curve")
+
+
 # ---------------------------------------------------------------------------
 # K2 + I10: incremental path - streams keep daily rollups current, the mart
 # is scored from the rollups (daily grain only)

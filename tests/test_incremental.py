@@ -159,6 +159,19 @@ def test_a_run_that_dies_in_gold_leaves_the_old_rows(feed, spark, monkeypatch, c
     feed.matches_a_rebuild()
 
 
+def test_an_alert_is_said_once(feed, spark, capsys):
+    feed.update()
+    run = ["alert", "--out", f"{feed.root}/out"]
+    capsys.readouterr()
+    assert main(run, spark) == 0 and "LAS:" in capsys.readouterr().out
+    assert main(run, spark) == 0 and capsys.readouterr().out.startswith("Nothing new for")
+    assert main([*run, "--again"], spark) == 0 and "LAS:" in capsys.readouterr().out
+    feed.flights("LAS", _day(30), 20, "late", "23:00:00")
+    feed.update()
+    capsys.readouterr()
+    assert main(run, spark) == 0 and "LAS:" in capsys.readouterr().out     # the day's numbers have changed
+
+
 def test_tidy_removes_what_no_reader_needs(feed, spark, capsys):
     feed.update()
     feed.flights("LAS", _day(30), 8, "late", "23:00:00")
