@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from signalmart import schemas as S
+from signalmart.operators.dedupe import latest_per_key
 from signalmart.plans import feeds
 from signalmart.session import work_dir
 from signalmart.sources import bucketed
@@ -82,9 +83,11 @@ def stored_gold(spark: SparkSession, sf_dir: str, build) -> DataFrame:
 
 
 def bucketed_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The deduplicated arrivals as a table bucketed by their natural key."""
+    """The deduplicated arrivals, with what tells a fresher extraction, as a
+    table bucketed by their natural key."""
     def write(path: str) -> None:
-        flights = feeds.silver_flights(spark, feeds.load_events(spark, sf_dir))
+        feed = feeds.arrivals_feed(spark, feeds.load_events(spark, sf_dir))
+        flights = latest_per_key(feed, S.FLIGHTS_KEY, S.FRESHEST)
         n = bucketed.buckets_for(spark, f"{sf_dir.rstrip('/')}/events.parquet")
         bucketed.write(flights, _table_name(path), path, S.FLIGHTS_KEY, n)
 

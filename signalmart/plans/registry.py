@@ -704,11 +704,11 @@ def bucketed_merge(spark, sf_dir):
     many buckets, is merged into it, freshest first, without an exchange of
     either."""
     silver = landing.bucketed_flights(spark, sf_dir)
-    new = silver.filter(F.col("arrival_hour_local") % 2 == 0)
-    both = silver.withColumn("pull", F.lit(1)).unionByName(new.withColumn("pull", F.lit(2)))
-    merged = dedupe_latest(both, S.FLIGHTS_KEY, ["pull"])
-    return merged.groupBy("market").agg(F.count(F.lit(1)).alias("arrivals"),
-                                        F.count_if(F.col("pull") == 2).alias("renewed"))
+    later = F.timestamp_add("DAY", F.lit(36_500), F.col("extracted_at_utc"))
+    new = silver.filter(F.col("arrival_hour_local") % 2 == 0).withColumn("extracted_at_utc", later)
+    merged = dedupe_latest(silver.unionByName(new), S.FLIGHTS_KEY, S.FRESHEST)
+    renewed = F.col("extracted_at_utc") > F.lit("2100-01-01 00:00:00").cast("timestamp_ntz")
+    return merged.groupBy("market").agg(F.count(F.lit(1)).alias("arrivals"), F.count_if(renewed).alias("renewed"))
 
 
 _NOT_NULL = {
