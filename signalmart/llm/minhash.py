@@ -160,29 +160,29 @@ def vertex_roots(drawn: DataFrame, rows_of: DataFrame, percent: int, bands: int
     size = bands * rows
     keys = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(
         b, F.slice("signature", b * rows + 1, rows)))
-    entries = drawn.select("vertex", F.explode(keys).alias("bucket"))
-    short = F.xxhash64("vertex")
-    shared = (entries.groupBy("bucket").agg(F.count("*").alias("size"), F.min(short).alias("lo"), F.max(short).alias("hi"))
-              .filter("lo <> hi").select("bucket", "size"))
-    members = stored(entries.join(shared, "bucket").distinct(), "members")
+    # of each vertex one text and its signature: copies are one row from here on
+    one = stored(drawn.groupBy("vertex").agg(F.min("key").alias("key"), F.first("n").alias("n"),
+                                             F.first("signature").alias("signature")), "vertices")
+    entries = one.select("vertex", F.explode(keys).alias("bucket"))
+    # what is summed up of a bucket or component is written before it meets the
+    # rows, so that the join can split a large one (see components)
+    shared = stored(entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
+    members = stored(entries.join(shared, "bucket"), "members")
     fame = members.groupBy("vertex").agg(F.sum("size").alias("fame"))
-    # of each vertex in a bucket, one text and its signature
-    one = drawn.groupBy("vertex").agg(F.min("key").alias("key"), F.first("n").alias("n"),
-                                      F.first("signature").alias("signature"))
     signatures = stored(one.join(fame, "vertex"), "signatures")
     texts = stored(rows_of.join(signatures.select("key", "vertex"), "key")
                    .groupBy("vertex").agg(F.first("text").alias("text")), "texts")
 
-    hubs = (members.join(fame, "vertex").groupBy("bucket")
-            .agg(F.max(F.struct("fame", "vertex"))["vertex"].alias("v")))
+    hubs = stored(members.join(fame, "vertex").groupBy("bucket")
+                  .agg(F.max(F.struct("fame", "vertex"))["vertex"].alias("v")), "hubs")
     tried = stored(members.select("bucket", F.col("vertex").alias("u")).join(hubs, "bucket")
                    .filter("u <> v").select("u", "v").distinct(), "tried")
     roots = stored(components(_confirmed(tried, signatures, texts, percent, size)), "roots")
 
-    placed = members.join(roots, "vertex", "left").select(
-        "bucket", "vertex", F.coalesce("root", "vertex").alias("root"))
-    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .filter("lo <> hi").select("bucket"))
+    placed = stored(members.join(roots, "vertex", "left").select(
+        "bucket", "vertex", F.coalesce("root", "vertex").alias("root")), "placed")
+    mixed = stored(placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                   .filter("lo <> hi").select("bucket"), "mixed")
     left_open = placed.join(mixed, "bucket").select("vertex", "root").distinct()
     cross = prefix_pairs(left_open.join(texts, "vertex"), percent)
     done = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
@@ -191,22 +191,27 @@ def vertex_roots(drawn: DataFrame, rows_of: DataFrame, percent: int, bands: int
     return components(known.unionByName(more))
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text: no two among 10^12 are likely to agree."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def near_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80,
                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per input row: ``id``, ``key`` (a hash of its text),
+    """One row per input row: ``id``, ``key`` (128 bits of its text),
     ``n_shingles``, ``root`` (null for no words), ``component_id`` and
     ``stays``, the least key of the component's rows of that id."""
     base = df.select(df[doc_id].alias("id"), text_column(df, text).alias("text")).withColumn(
-        "key", F.xxhash64("text"))
+        "key", text_key(F.col("text")))
     drawn = stored(base.select("id", "key", sketch(F.col("text"), bands * rows).alias("s"))
                    .select("id", "key", "s.*"), "sketches")
     worded = drawn.filter("vertex IS NOT NULL")
     roots = vertex_roots(worded, base.select("key", "text"), percent, bands, rows)
     # null ids last
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
-    named = (worded.groupBy("vertex").agg(first.alias("least")).join(roots, "vertex", "left")
-             .withColumn("root", F.coalesce("root", "vertex")))
-    least = named.groupBy("root").agg(F.min("least").alias("least"))
+    named = stored(worded.groupBy("vertex").agg(first.alias("least")).join(roots, "vertex", "left")
+                   .withColumn("root", F.coalesce("root", "vertex")), "named")
+    least = stored(named.groupBy("root").agg(F.min("least").alias("least")), "root-least")
     label = named.select("vertex", "root").join(least, "root").select(
         "vertex", "root", F.col("least.id").alias("component_id"), F.col("least.key").alias("stays"))
     return drawn.select("id", "key", "n", "vertex").join(label, "vertex", "left").select(
@@ -222,7 +227,7 @@ def drop_near_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
     leaves = stored(marked.filter("root IS NOT NULL AND NOT (id <=> component_id AND key = stays)")
                     .select("id", "key").distinct(), "leaves")
     rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[doc_id].alias("id"),
-                     F.xxhash64(text_column(df, text)).alias("key"))
+                     text_key(text_column(df, text)).alias("key"))
     gone = (rows["key"] == leaves["key"]) & rows["id"].eqNullSafe(leaves["id"])
     kept = rows.join(leaves, gone, "left_anti")
     # rows that repeat both id and text
