@@ -9,7 +9,8 @@ be frequent, so no reducer receives a hot group.
 
 Defined results: null text counts as the empty text. Of equal texts the row
 with the largest id stays; a null id loses to any other. Of rows equal in
-text and id exactly one stays. An empty table gives an empty result. Columns
+text and id exactly one stays (of a frequent text: one of the greatest hash
+of its columns). An empty table gives an empty result. Columns
 of the input are carried as one struct, so no name in it can clash.
 """
 
@@ -60,17 +61,21 @@ def mark_copies(df: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 counters: int = COUNTERS) -> DataFrame:
     """One row per input row: struct ``row`` (all input columns), ``digest``
     (SHA-256 hex of the text), ``id``, ``keep_id``, ``group_size``, ``kept``."""
-    keyed = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"),
+    plain = [df[f.name] for f in df.schema.fields if "map<" not in f.dataType.simpleString()]  # maps have no hash
+    keyed = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), F.xxhash64(*plain).alias("content"),
                       df[doc_id].alias("id"), F.sha2(text_column(df, text).cast("binary"), 256).alias("digest"))
     frequent = frequent_digests(keyed.select("digest"), counters)
     winners = (keyed.join(F.broadcast(frequent), "digest", "left_semi")
-               .groupBy("digest").agg(F.max("id").alias("winner"), F.count("*").alias("copies"))
+               .groupBy("digest").agg(F.max(F.struct("id", "content")).alias("winner"), F.count("*").alias("copies"))
                .filter("copies > 1"))
     # bounded by `counters` rows, whatever the input
     seen = keyed.join(F.broadcast(winners), "digest", "left")
-    loses = F.col("copies").isNotNull() & ~F.col("id").eqNullSafe(F.col("winner"))
+    # of rows that repeat the winner's id, or have none as it has, only those
+    # that equal it in every column go on
+    same = F.col("id").eqNullSafe(F.col("winner.id")) & (F.col("content") == F.col("winner.content"))
+    loses = F.col("copies").isNotNull() & ~same
     settled = seen.filter(loses).select(
-        "row", "digest", "id", F.col("winner").alias("keep_id"), F.col("copies").alias("group_size"),
+        "row", "digest", "id", F.col("winner.id").alias("keep_id"), F.col("copies").alias("group_size"),
         F.lit(False).alias("kept"))
     group = Window.partitionBy("digest")
     rest = seen.filter(~loses).select(
