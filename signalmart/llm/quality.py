@@ -34,7 +34,8 @@ _BLOCKS = (slice(0, WORDS), slice(WORDS, WORDS + BYTES), slice(WORDS + BYTES, BU
 #: Bounds of the model: labelled rows per class, rows the space is fitted on.
 EXAMPLES, FITTED = 4_000, 2_000
 DIMENSIONS, NEIGHBOURS, SHARPNESS = 48, 15, 6
-_GROUP = 1 << 19
+#: Bytes and rows of the texts handled at a time.
+_GROUP, _ROWS = 1 << 19, 1_000
 _KIND = np.zeros(256, np.int64)  # 1 small letter, 2 capital, 3 white space, 4 other ASCII but digits
 _KIND[97:123], _KIND[65:91], _KIND[[9, 10, 11, 12, 13, 32]] = 1, 2, 3
 _KIND[[b for b in range(33, 127) if not chr(b).isalnum()]] = 4
@@ -75,7 +76,7 @@ def _document_frequencies(batches):
     df, n = np.zeros(BUCKETS, np.int64), 0
     for batch in batches:
         raw, ends = utf8_parts(batch.column(0))
-        for a, b in text_groups(ends, _GROUP):
+        for a, b in text_groups(ends, _GROUP, _ROWS):
             df += (term_matrix(raw, ends[a:b + 1]) > 0).sum(axis=0)
         n += len(ends) - 1
     yield pa.RecordBatch.from_arrays(
@@ -165,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
     @F.arrow_udf("array<float>")
     def fold(column: pa.Array) -> pa.Array:
         raw, ends = utf8_parts(column)
-        found = [folded(term_matrix(raw, ends[a:b + 1]), idf, space) for a, b in text_groups(ends, _GROUP)]
+        found = [folded(term_matrix(raw, ends[a:b + 1]), idf, space) for a, b in text_groups(ends, _GROUP, _ROWS)]
         flat = np.concatenate(found) if found else np.zeros((0, space.shape[1]), np.float32)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * space.shape[1]),
                                         pa.array(flat.ravel(), pa.float32()))
@@ -186,7 +187,7 @@ def scored(text: Column, model: Model) -> Column:
     def run(column: pa.Array) -> pa.Array:
         raw, ends = utf8_parts(column)
         out = [np.zeros(0)]
-        for a, b in text_groups(ends, _GROUP):
+        for a, b in text_groups(ends, _GROUP, _ROWS):
             out.append(vote(folded(term_matrix(raw, ends[a:b + 1]), model.idf, model.space), model))
         return pa.array(np.concatenate(out), pa.float64())
 
