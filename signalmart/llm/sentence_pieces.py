@@ -49,6 +49,8 @@ _SIEVE = _SLOTS = 1 << 20
 U = np.uint64
 #: Words longer than this are cut where no piece can reach across.
 _LONG = 32
+#: Words of more characters are encoded by themselves, their candidates in blocks.
+_ALONE, _LONG_BLOCK = 1_000, 1 << 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 ENCODED = "struct<ids: array<int>, exact: boolean, decoded_sha256: string>"
@@ -116,6 +118,8 @@ class Encoder:
             self._pair_tables(inner)
         self._forget()
         self.run_memo: dict[int, list[int]] = {}
+        self.pair_memo: dict[int, bool] = {}
+        self.lists = None
 
     def _forget(self) -> None:
         """Empty the memo: word -> place of its pieces in ``store``."""
@@ -270,6 +274,84 @@ class Encoder:
             best[:, stop] = 0 if bpe else np.where(alone, best[:, stop - 1] + self.score.min() - 10, top)
         return self._trace(words, size, piece, back)
 
+    def _candidates(self, chars: np.ndarray, first: int, last: int):
+        """(stop, length, id) of the pieces that end behind characters ``first``
+        to ``last`` of a word, by stop, then length."""
+        stops = np.arange(first + 1, last + 1)
+        h, factor, found = np.zeros(len(stops), np.uint64), np.ones(1, np.uint64), []
+        for length in range(1, min(last, self.longest) + 1):
+            inside = stops >= length
+            h[inside] += (chars[stops[inside] - length] + np.uint64(1)) * factor
+            factor = factor * _STEP
+            hit = np.flatnonzero(inside & self.maybe[h & np.uint64(_SIEVE - 1)])
+            at = np.searchsorted(self.keys, h[hit])
+            at[at == len(self.keys)] = 0
+            sure = self.keys[at] == h[hit]
+            hit, at = hit[sure], at[sure]
+            found.append(np.stack([stops[hit], np.full(len(hit), length), self.ids[at]]))
+        every = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        return every[:, np.lexsort((every[1], every[0]))]
+
+    def _apart(self, a: int, b: int) -> bool:
+        """``_merges_apart`` of one pair, with what was found kept."""
+        key = a * self.width + b
+        known = self.pair_memo.get(key)
+        if known is None:
+            if len(self.pair_memo) >= _MEMO:
+                self.pair_memo.clear()
+            limit, known = np.iinfo(np.int64).max, True
+            left, right, pairs, width = self.lists
+            while True:
+                joint = pairs.get(a * width + b)
+                if joint is not None and joint < limit:
+                    known = False
+                    break
+                x, y = (a if left[a] != a else -1), (b if left[b] != b else -1)
+                if x < 0 and y < 0:
+                    break
+                if x > y:
+                    limit, a = x, right[a]
+                else:
+                    limit, b = y + 1, left[b]
+            self.pair_memo[key] = known
+        return known
+
+    def _long(self, word: str) -> tuple[np.ndarray, np.ndarray]:
+        """Encode one long word: the pieces that may stand in it are looked up
+        for all its characters together, and only these are gone through in
+        order, by the rules of ``_equal_length``."""
+        size = len(word)
+        chars = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        bpe = self.model["kind"] == "bpe"
+        if bpe and self.lists is None:
+            self.lists = (self.left.tolist(), self.right.tolist(),
+                          dict(zip(self.pair_keys.tolist(), self.pair_level.tolist())), self.width)
+        level, whole = (self.level.tolist(), self.whole) if bpe else (None, None)
+        score, unknown = self.score, float(self.score.min()) - 10
+        piece, back, best = [-1] * (size + 1), [0] * (size + 1), [0.0] * (size + 1)
+        for first in range(0, size, _LONG_BLOCK):
+            last = min(first + _LONG_BLOCK, size)
+            done = first
+            for stop, length, i in self._candidates(chars, first, last).T.tolist():
+                while done < stop:  # the characters before that end no piece
+                    done += 1
+                    back[done], best[done] = done - 1, 0.0 if bpe else best[done - 1] + unknown
+                    top = -1.0 if bpe else -np.inf
+                start = stop - length
+                if bpe:
+                    value = float(whole[level[i]])
+                    if value and start and piece[start] >= 0:
+                        value = float(self._apart(level[piece[start]], level[i]))
+                else:
+                    value = best[start] + score[i]
+                if value > top:
+                    top, piece[stop], back[stop] = value, i, start
+                    best[stop] = 0.0 if bpe else value
+            while done < last:
+                done += 1
+                back[done], best[done] = done - 1, 0.0 if bpe else best[done - 1] + unknown
+        return self._trace([word], size, np.array([piece], np.int64), np.array([back], np.int64))
+
     def _trace(self, words, size, piece, back) -> tuple[np.ndarray, np.ndarray]:
         """Follow the backpointers of all words at once, last piece first:
         the words' ids one after the other, and how many each has."""
@@ -370,6 +452,10 @@ class Encoder:
             self._remember([word], np.array(ids, np.int64), np.array([len(ids)]))
 
     def _batches(self, group: list[str], size: int):
+        if size > _ALONE:
+            for word in group:
+                yield [word], *self._long(word)
+            return
         step = max(1, 200_000 // size)
         for k in range(0, len(group), step):
             yield group[k:k + step], *self._equal_length(group[k:k + step], size)
