@@ -108,19 +108,15 @@ def op10_benchmark_decontamination(spark, sf_dir):
                          F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
-def toxicity_model(spark, sf_dir):
-    labels = table(spark, sf_dir, "labels")
-    return toxicity.fit(table(spark, sf_dir, "documents"), labels, remainder(labels["doc_id"], 5) != 0)
-
-
 @register("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     """Toxicity score of every document; a fifth of the ids is held out."""
-    docs = table(spark, sf_dir, "documents")
-    found = docs.select("doc_id", (remainder(docs["doc_id"], 5) == 0).alias("held_out"),
-                        toxicity.scored(text_column(docs, "text"), toxicity_model(spark, sf_dir)).alias("s"))
-    return found.select("doc_id", "held_out", "s.score", (F.col("s.score") >= 0.5).cast("int").alias("predicted"),
-                        "s.neighbours", "s.terms")
+    labels = table(spark, sf_dir, "labels")
+    model, counted = toxicity.fit(table(spark, sf_dir, "documents"), labels, remainder(labels["doc_id"], 5) != 0,
+                                  carry=["doc_id"])
+    found = counted.select("row.doc_id", toxicity.scored_tally(F.col("tally"), model).alias("s"))
+    return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "s.score",
+                        (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.neighbours", "s.terms")
 
 
 @register("op6_sentence_pieces")
@@ -189,31 +185,58 @@ _LINES_SQL = f"""
 @register("op3_site_lines", _LINES_SQL)
 def op3_site_lines(spark, sf_dir):
     """Pages without the lines that are boilerplate on their host."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    found = site_lines.drop_site_lines(pages, site_lines.html_text(pages["html"]), pages["url"])
+    pages = table(spark, sf_dir, "pages")
+    found = site_lines.drop_site_lines(pages, site_lines.html_text(pages["html"]), pages["url"], carry=["page_id"])
     return found.select("row.page_id", "host", "n_lines", "n_dropped",
                         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-def _canonical_sql(text: str) -> str:
+def _plain_sql(text: str) -> str:
     out = f"lower({text})"
     for spelling, same in license_scan.SPELLINGS:
         out = f"replace({out}, '{spelling}', '{same}')"
-    return (f"list_filter(list_transform(string_split(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)), "
-            f"lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(x, '{license_scan.COPYRIGHT_LINE}'))")
+    return (f"list_transform(string_split(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g'), chr(10)), "
+            f"lambda x: trim(x))")
+
+
+def _body_sql(lines: str) -> str:
+    return (f"list_filter({lines}, lambda x: x <> '' AND NOT (regexp_matches(x, '{license_scan.COPYRIGHT_LINE}') "
+            f"AND regexp_matches(x, '{license_scan.NOTICE}')))")
+
+
+def _headless_sql(lines: str) -> str:
+    """Without titles at the head and copyright lines at the head of paragraphs."""
+    whole = f"array_to_string({lines}, chr(10))"
+    parts = (f"list_transform(string_split_regex(regexp_replace({whole}, '{license_scan.TITLES}', ''), '\\n\\n+'), "
+             f"lambda x: regexp_replace(ltrim(x, chr(10)), '{license_scan.HEAD}', ''))")
+    return _body_sql(f"string_split(array_to_string({parts}, chr(10)), chr(10))")
+
+
+def _joined_sql(lines: str) -> str:
+    out = f"array_to_string({lines}, ' ')"
+    for spelling, same in license_scan.SPELLINGS:
+        words = spelling.replace("-", " ")
+        if " " in words:
+            out = f"replace({out}, '{words}', '{same}')"
+    return out
 
 
-def _license_sql() -> str:
+def _license_sql(documents: str = "documents") -> str:
     known = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in license_scan.KNOWN)
     return f"""
     WITH known(license, text) AS (VALUES {known}),
-    k AS (SELECT array_to_string({_canonical_sql("text")}, ' ') AS canonical, min(license) AS license FROM known GROUP BY 1),
-    d AS (SELECT row_number() OVER () AS r, doc_id, {_canonical_sql("coalesce(text, '')")} AS lines FROM documents),
+    p AS (SELECT license, {_plain_sql("text")} AS plain FROM known),
+    k AS (SELECT {_joined_sql(_body_sql("plain"))} AS canonical, min(license) AS license FROM p GROUP BY 1),
+    h AS (SELECT {_joined_sql(_headless_sql("plain"))} AS canonical, min(license) AS license FROM p GROUP BY 1),
+    t AS (SELECT row_number() OVER () AS r, doc_id, {_plain_sql("coalesce(text, '')")} AS plain FROM {documents}),
+    d AS (SELECT r, doc_id, {_body_sql("plain")} AS lines, {_joined_sql(_body_sql("plain"))} AS canonical,
+                 {_joined_sql(_headless_sql("plain"))} AS headless FROM t),
     n AS (SELECT r, count(DISTINCT license) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS ids
-          FROM (SELECT r, unnest(list_distinct(lines)) AS line FROM d) JOIN k ON line = canonical GROUP BY r)
-    SELECT doc_id, sha256(array_to_string(lines, ' ')) AS digest, license, CAST(coalesce(n, 0) AS BIGINT) AS n_notices,
-           coalesce(ids, '') AS notices
-    FROM d LEFT JOIN k ON canonical = array_to_string(lines, ' ') LEFT JOIN n USING (r)"""
+          FROM (SELECT r, unnest(list_distinct(lines)) AS line FROM d) JOIN k ON line = canonical WHERE line <> '' GROUP BY r)
+    SELECT doc_id, sha256(d.canonical) AS digest, coalesce(k.license, h.license) AS license,
+           CAST(coalesce(n, 0) AS BIGINT) AS n_notices, coalesce(ids, '') AS notices
+    FROM d LEFT JOIN k ON k.canonical = d.canonical AND d.canonical <> ''
+           LEFT JOIN h ON h.canonical = d.headless AND d.headless <> '' LEFT JOIN n USING (r)"""
 
 
 @register("op9_license_scan", _license_sql())

@@ -5,9 +5,11 @@ ratio. Lines over ``ratio`` that stand on ``least`` pages or more are
 boilerplate and are dropped from every page of the host; elsewhere the same
 line stays. A host's ratios sum to its mean number of distinct lines, so it
 has at most that number divided by ``ratio`` boilerplate lines: they travel
-as one short array per host. Counting is aggregated before its shuffle by
-(host, line), never by host alone, and in the join a host's pages are salted,
-so a hot host is spread over many tasks.
+as one short array per host, written before it meets the pages. Counting is
+aggregated before its shuffle by (host, line), never by host alone, and the join
+carries a page's lines and the columns asked for, nothing else of the page; its
+sides share no exchange with an aggregate, so adaptive execution splits a hot
+host's pages by their size, whatever it is.
 
 Defined results: null text or html has no lines; a null or odd url belongs to
 the host ''; a line that a page repeats counts once for that page and goes
@@ -20,9 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalmart.llm.common import stored
+
 RATIO, LEAST_PAGES = 0.2, 3
-#: Tasks that a host's pages are dealt to at least.
-SALTS = 32
 #: FIXED VALUES: what holds no text, and the tags that begin a new line.
 HIDDEN = r"(?is)<!--.*?-->|<(script|style|template|noscript)\b.*?</(script|style|template|noscript)\s*>"
 BLOCK = (r"(?i)</?(p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|table|tr|td|th|nav|header|footer|article|section|aside|main"
@@ -63,16 +65,13 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST_PAGES
 
 
 def drop_site_lines(df: DataFrame, text: Column, url: Column, ratio: float = RATIO,
-                    least: int = LEAST_PAGES) -> DataFrame:
-    """One row per input row: struct ``row`` (all input columns), ``host``,
-    ``n_lines``, ``n_dropped`` and ``text`` (the lines that stay)."""
-    pages = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), host_of(url).alias("host"),
+                    least: int = LEAST_PAGES, carry: list[str] | None = None) -> DataFrame:
+    """One row per input row: struct ``row`` of the columns ``carry`` (all),
+    ``host``, ``n_lines``, ``n_dropped`` and ``text`` (the lines that stay)."""
+    pages = df.select(F.struct(*[df[c] for c in carry or df.columns]).alias("row"), host_of(url).alias("host"),
                       lines_of(text).alias("lines"))
-    common = boilerplate(pages.select("host", "lines"), ratio, least)
-    # a hot host's pages meet its array in SALTS tasks
-    common = common.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    found = pages.withColumn("salt", F.pmod(F.xxhash64("lines"), F.lit(SALTS)).cast("int")).join(
-        common, ["host", "salt"], "left")
+    common = stored(boilerplate(pages.select("host", "lines"), ratio, least), "boilerplate")
+    found = pages.join(common, "host", "left")
     kept = F.when(F.col("common").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains("common", _name(x))))
     return found.select("row", "host", "lines", kept.alias("kept")).select(

@@ -2,8 +2,13 @@
 
 The model is a bounded set of labelled examples. Its terms are words and
 word edges (beginnings and ends of four to eight letters) that the examples'
-labels depend on (chi-square); near copies among the examples count once, so
-a term cannot come from one copied text. Examples lie in an inverted index
+labels depend on (chi-square, over class shares as they are among all labelled
+rows). Near copies among the examples (five-word shingles, 0.8, found by MinHash
+bands and confirmed on the full sets) share one vote, so a term cannot come from
+one copied text, and stand in the index once; texts that only have a passage in
+common are examples of their own. Inverse document frequencies are counted over
+all documents, whose terms are written once and read for the scores. Examples
+lie in an inverted index
 whose postings are cut into blocks of examples, each with its greatest
 weight: for a query, blocks are visited by their score bound and the search
 ends when no bound reaches the k-th best score, so the k nearest are exact.
@@ -28,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalmart.llm.common import stored, text_column, utf8_parts
-from signalmart.llm.shingles import mix, word_hashes
+from signalmart.llm import minhash
+from signalmart.llm.common import stored, text_column
 
 #: Bounds of the model: labelled rows per class, terms.
 EXAMPLES, TERMS = 12_000, 3_000
@@ -38,6 +43,8 @@ CHI_SQUARE, LEAST_DF = 30.0, 4
 #: Of the examples with a term, at least this share has one label.
 PURITY = 0.8
 NEIGHBOURS, PRIOR_WEIGHT, BLOCK = 15, 0.25, 64
+#: Similarity from which examples are copies of each other.
+COPY_PERCENT = 80
 EDGES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
 _MEMO, _LONG = 200_000, 1 << 20
@@ -54,34 +61,43 @@ def word_terms(word: str) -> list[str]:
     return out
 
 
-def _traits(column: pa.Array) -> pa.Array:
-    """Two independent minima over the three-word shingles of each text:
-    near copies agree in most cases."""
-    raw, ends = utf8_parts(column)
-    a, b = [], []
-    for i in range(len(ends) - 1):
-        w = word_hashes(raw[ends[i]:ends[i + 1]])
-        if len(w) == 0:
-            a.append(0)
-            b.append(0)
-            continue
-        s = mix(w[:-2] * np.uint64(3) + w[1:-1] * np.uint64(5) + w[2:]) if len(w) > 2 else mix(w.sum(keepdims=True))
-        a.append(int(s.min().view(np.int64)))
-        b.append(int(mix(s ^ np.uint64(0xABCDEF)).min().view(np.int64)))
-    return pa.StructArray.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def copy_groups(signatures: np.ndarray, labels: np.ndarray, confirm, bands: int = minhash.BANDS,
+                rows: int = minhash.ROWS) -> np.ndarray:
+    """A group number for each example: near copies of one label share it.
+    Each bucket of a band links its examples to its first one; ``confirm`` says
+    which of the links (arrays u, v) hold on the full sets."""
+    links = set()
+    for b in range(bands):
+        part = np.concatenate([labels[:, None], signatures[:, b * rows:(b + 1) * rows]], axis=1)
+        _, first, name = np.unique(part, axis=0, return_index=True, return_inverse=True)
+        hub = first[name.ravel()]
+        who = np.flatnonzero(hub != np.arange(len(hub)))
+        links.update(zip(hub[who].tolist(), who.tolist()))
+    group = list(range(len(labels)))
+
+    def root(x: int) -> int:
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    for u, v in confirm(sorted(links)):
+        a, b = sorted((root(u), root(v)))
+        group[b] = a
+    return np.array([root(x) for x in range(len(labels))], np.int64)
 
 
 def _count_terms(batches):
-    """mapInArrow: number of examples of each class that hold each term,
-    within the partition."""
-    counts: dict[str, list[int]] = {}
+    """mapInArrow: how much of each class holds each term, within the
+    partition; near copies share a weight of one."""
+    counts: dict[str, list[float]] = {}
     for batch in batches:
-        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, label, weight in zip(*(c.to_pylist() for c in batch.columns)):
             for term in {t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)}:
-                counts.setdefault(term, [0, 0])[label] += 1
+                counts.setdefault(term, [0.0, 0.0])[label] += weight
     yield pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.int64()),
-         pa.array([c[1] for c in counts.values()], pa.int64())], names=["term", "clean", "toxic"])
+        [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.float64()),
+         pa.array([c[1] for c in counts.values()], pa.float64())], names=["term", "clean", "toxic"])
 
 
 @dataclass
@@ -196,92 +212,163 @@ class TermCounter:
         return out
 
 
+TALLY = "struct<term: array<int>, n: array<int>>"
+
+
+def tallied(text: Column, terms: list[str]) -> Column:
+    """The model terms of each text (their numbers) and how often they occur."""
+    counter = TermCounter(terms)
+
+    @F.arrow_udf(TALLY)
+    def run(column: pa.Array) -> pa.Array:
+        found = [counter(column[i].as_py() or "") for i in range(len(column))]  # one text at a time as Python text
+        return pa.StructArray.from_arrays([pa.array([list(f) for f in found], pa.list_(pa.int32())),
+                                           pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                                          names=["term", "n"])
+
+    return run(text)
+
+
+def _confirmer(sample: DataFrame, ids: list, percent: int):
+    """Which links between examples hold on the full shingle sets."""
+    def confirm(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        if not links:
+            return []
+        spark = sample.sparkSession
+        place = spark.createDataFrame([(k, i) for k, i in enumerate(ids)], "k long, id long")
+        texts = stored(sample.join(F.broadcast(place), "id").select("k", "text"), "examples-by-place")
+        pairs = spark.createDataFrame(links, "u long, v long")
+        both = (pairs.join(texts.select(F.col("k").alias("u"), F.col("text").alias("tu")), "u")
+                .join(texts.select(F.col("k").alias("v"), F.col("text").alias("tv")), "v"))
+        held = both.filter(minhash.exact_link(F.col("tu"), F.col("tv"), percent)).select("u", "v").collect()
+        return [(r["u"], r["v"]) for r in held]
+    return confirm
+
+
 def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", doc_id: str = "doc_id",
-        label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS) -> Model:
+        label: str = "toxic", examples: int = EXAMPLES, terms: int = TERMS,
+        carry: list[str] | None = None) -> tuple[Model, DataFrame]:
     """Learn from the rows of ``labels`` where ``train`` holds (a condition on
     the id column of ``labels``): at most about ``examples`` rows of each
-    class, drawn by a hash of the id."""
+    class, drawn by a hash of the id. Returns the model and the documents that
+    it counted its terms in: struct ``row`` of the columns ``carry`` (all) and
+    ``tally``, for ``scored_tally``."""
     known = (labels.filter(train & labels[label].isNotNull() & labels[doc_id].isNotNull())
-             .groupBy(labels[doc_id].alias("id")).agg(F.max((labels[label] > 0).cast("int")).alias("label")))
+             .groupBy(labels[doc_id].cast("long").alias("id")).agg(F.max((labels[label] > 0).cast("int")).alias("label")))
     known = stored(known, "labels")
     size = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     rate = {k: min(1.0, examples / max(1, size.get(k, 0))) for k in (0, 1)}
     draw = F.pmod(F.xxhash64("id", F.lit("draw")), F.lit(1_000_000)) / 1e6
     drawn = known.filter(draw < F.when(F.col("label") == 1, rate[1]).otherwise(rate[0]))
-    texts = docs.select(docs[doc_id].alias("id"), text_column(docs, text).alias("text"))
-    sample = (texts.join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-              .withColumn("trait", F.arrow_udf(_traits, "struct<a: bigint, b: bigint>")("text")))
-    sample = sample.select("id", "label", "text", "trait.*")
-    # of equal traits the least id stands for all, so a model is the same each time
-    once = sample.groupBy("label", "a").agg(F.min(F.struct("id", "b", "text")).alias("x")).select("label", "x.*")
-    distinct = stored(once.groupBy("label", "b").agg(F.min(F.struct("id", "text")).alias("x"))
-                      .select("x.id", "label", "x.text"), "examples")
-    n = {r["label"]: r["count"] for r in distinct.groupBy("label").count().collect()}
-    clean, toxic = n.get(0, 0), n.get(1, 0)
-    total = clean + toxic
-    counts = distinct.select("text", "label").repartition("text").mapInArrow(
-        _count_terms, "term string, clean long, toxic long").groupBy("term").agg(
-        F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
+    texts = docs.select(docs[doc_id].cast("long").alias("id"), text_column(docs, text).alias("text"))
+    sample = stored(texts.join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "examples")
+
+    # bounded: at most about 2 * examples signatures of half a kilobyte
+    drawn_rows = (sample.select("id", "label", minhash.sketch(F.col("text"), minhash.BANDS * minhash.ROWS)["signature"]
+                                .alias("s")).orderBy("id").collect())
+    ids, kinds = [r["id"] for r in drawn_rows], np.array([r["label"] for r in drawn_rows], np.int64)
+    blank = [0] * (minhash.BANDS * minhash.ROWS)  # texts without words are one group
+    signs = np.array([r["s"] or blank for r in drawn_rows], np.int64).reshape(len(ids), len(blank))
+    group = copy_groups(signs, kinds, _confirmer(sample, ids, COPY_PERCENT)) if ids else np.zeros(0, np.int64)
+    members = np.bincount(group, minlength=len(ids))
+    stand = group == np.arange(len(ids))
+    weight = 1.0 / np.maximum(members[group], 1)
+    placed = sample.sparkSession.createDataFrame(
+        list(zip(ids, weight.tolist(), stand.tolist())), "id long, weight double, stands boolean")
+    weighted = stored(sample.join(F.broadcast(placed), "id"), "weighted")
+
+    # class shares as among all labelled rows, the sum as in the sample
+    n = {k: float(weight[kinds == k].sum()) for k in (0, 1)}
+    total = n[0] + n[1]
+    share = {k: size.get(k, 0) / n[k] if n[k] else 0.0 for k in (0, 1)}
+    scale = total / max(1, sum(size.values()))
+    clean, toxic = (n[k] * share[k] * scale for k in (0, 1))
+    counts = weighted.select("text", "label", "weight").repartition("text").mapInArrow(
+        _count_terms, "term string, clean double, toxic double").groupBy("term").agg(
+        F.sum("clean").alias("c0"), F.sum("toxic").alias("t0")).select(
+        "term", (F.col("c0") + F.col("t0")).alias("seen"),
+        (F.col("c0") * (share[0] * scale)).alias("c"), (F.col("t0") * (share[1] * scale)).alias("t"))
     cross = F.col("t") * (clean - F.col("c")) - F.col("c") * (toxic - F.col("t"))
     df = F.col("t") + F.col("c")
-    chi = total * F.pow(cross.cast("double"), 2) / (df * (total - df) * float(max(1, clean) * max(1, toxic)))
+    chi = total * F.pow(cross, 2) / (df * (total - df) * float(max(1.0, clean) * max(1.0, toxic)))
     pure = (F.col("t") >= PURITY * df) | (F.col("c") >= PURITY * df) & (F.col("c") * toxic > F.col("t") * clean)
-    picked = (counts.filter((df >= LEAST_DF) & (df < total) & pure).withColumn("chi", chi)
-              .filter(F.col("chi") >= CHI_SQUARE)
-              .orderBy(F.desc("chi"), "term").limit(terms).select("term", df.alias("df")).collect())
+    # sums of parts of one, in whatever order: compared with some room, ordered by a rounded value
+    picked = (counts.filter((F.col("seen") >= LEAST_DF - 1e-6) & (df < total - 1e-6) & pure)
+              .withColumn("chi", F.round(chi, 6)).filter(F.col("chi") >= CHI_SQUARE)
+              .orderBy(F.desc("chi"), "term").limit(terms).select("term").collect())
     names = [r["term"] for r in picked]
-    idf = np.log((1 + total) / (1 + np.array([r["df"] for r in picked], float))) + 1
-    counter = TermCounter(names)
 
-    @F.arrow_udf("struct<term: array<int>, n: array<int>>")
-    def tally(column: pa.Array) -> pa.Array:
-        found = [counter(s or "") for s in column.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([list(f) for f in found], pa.list_(pa.int32())),
-                                           pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
-                                          names=["term", "n"])
+    # the terms of every document, written once: for the frequencies and the scores
+    rows_of = docs.select(F.struct(*[docs[c] for c in carry or docs.columns]).alias("row"),
+                          tallied(text_column(docs, text), names).alias("tally"))
+    counted = stored(rows_of, "tallies")
+    seen = {r["term"]: r["df"] for r in counted.select(F.explode("tally.term").alias("term")).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("df")).collect()}  # at most `terms` rows
+    idf = np.log((1 + counted.count()) / (1 + np.array([seen.get(k, 0) for k in range(len(names))], float))) + 1
 
     # bounded: at most 2 * examples rows of a few numbers each
-    rows = distinct.select("id", "label", tally("text").alias("v")).collect()
-    share = {k: size.get(k, 0) / max(1, n.get(k, 0)) for k in (0, 1)}
+    rows = weighted.filter("stands").select("id", "label", tallied(F.col("text"), names).alias("v")).orderBy("id").collect()
     unit = share[1] or 1.0
     empty = [r["label"] for r in rows if not r["v"]["term"]]
     bare = {k: empty.count(k) * share[k] for k in (0, 1)}
     prior = bare[1] / (bare[0] + bare[1] + 1)
     rows = [r for r in rows if r["v"]["term"]]
     vectors = [unit_vector(dict(zip(r["v"]["term"], r["v"]["n"])), idf) for r in rows]
-    return build(names, idf, [r["id"] for r in rows], [r["label"] for r in rows],
-                 [share[r["label"]] / unit for r in rows], prior, vectors)
+    model = build(names, idf, [r["id"] for r in rows], [r["label"] for r in rows],
+                  [share[r["label"]] / unit for r in rows], prior, vectors)
+    return model, counted
+
+
+def _scorer(model: Model):
+    """A function from a text's counts to score, neighbours' ids and terms."""
+    known: dict[tuple, tuple] = {}
+
+    def run(counts: dict[int, int]) -> tuple[float, list, list]:
+        if not counts:
+            return model.prior, [], []
+        key = tuple(sorted(counts.items()))
+        if key not in known:
+            if len(known) >= _MEMO:
+                known.clear()
+            who, cosine = model.nearest(*unit_vector(counts, model.idf))
+            known[key] = model.score(who, cosine), model.ids[who].tolist()
+        return *known[key], [model.terms[t] for t in sorted(counts)]
+
+    return run
+
+
+def _scores(found: list[tuple]) -> pa.StructArray:
+    score, near, terms = ([f[k] for f in found] for k in range(3))
+    return pa.StructArray.from_arrays(
+        [pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())),
+         pa.array(terms, pa.list_(pa.string()))], names=["score", "neighbours", "terms"])
+
+
+def scored_tally(tally: Column, model: Model) -> Column:
+    """score, neighbours' ids and terms found, from the terms of each text."""
+    @F.arrow_udf(SCORE)
+    def run(terms: pa.Array, counts: pa.Array) -> pa.Array:
+        score = _scorer(model)
+        return _scores([score(dict(zip(t or [], n or []))) for t, n in zip(terms.to_pylist(), counts.to_pylist())])
+
+    return run(tally["term"], tally["n"])
 
 
 def scored(text: Column, model: Model) -> Column:
-    """score, neighbours' ids and terms found, for each text."""
+    """score, neighbours' ids and terms found, for each text (of documents the
+    model did not count)."""
     counter = TermCounter(model.terms)
 
     @F.arrow_udf(SCORE)
     def run(column: pa.Array) -> pa.Array:
-        score, near, terms, known = [], [], [], {}
-        for i in range(len(column)):  # one text at a time as Python text
-            counts = counter(column[i].as_py() or "")
-            if not counts:
-                score.append(model.prior)
-                near.append([])
-                terms.append([])
-                continue
-            key = tuple(sorted(counts.items()))
-            if key not in known:
-                who, cosine = model.nearest(*unit_vector(counts, model.idf))
-                known[key] = model.score(who, cosine), model.ids[who].tolist()
-            score.append(known[key][0])
-            near.append(known[key][1])
-            terms.append([model.terms[t] for t in sorted(counts)])
-        return pa.StructArray.from_arrays(
-            [pa.array(score, pa.float64()), pa.array(near, pa.list_(pa.int64())),
-             pa.array(terms, pa.list_(pa.string()))], names=["score", "neighbours", "terms"])
+        score = _scorer(model)
+        return _scores([score(counter(column[i].as_py() or "")) for i in range(len(column))])
 
     return run(text)
 
 
-def drop_toxic(docs: DataFrame, model: Model, text: str = "text", limit: float = 0.5) -> DataFrame:
-    """The documents that score below ``limit``, with the input's columns."""
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_column(docs, text).alias("text"))
-    return rows.filter(scored(F.col("text"), model)["score"] < limit).select("row.*")
+def drop_toxic(docs: DataFrame, labels: DataFrame, train: Column, limit: float = 0.5, **columns) -> DataFrame:
+    """The documents that score below ``limit``, with the input's columns, by a
+    model that is fitted on them (see ``fit``)."""
+    model, counted = fit(docs, labels, train, **columns)
+    return counted.filter(scored_tally(F.col("tally"), model)["score"] < limit).select("row.*")

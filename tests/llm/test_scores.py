@@ -48,7 +48,7 @@ def test_toxic_words_count_and_copies_do_not(spark):
     df = docs(spark, list(enumerate(rows_)))
     labels = spark.createDataFrame([(i, 0 if i < 60 else 1) for i in range(len(rows_))] + [(3, None), (None, 1), (0, 0)],
                                    "doc_id long, toxic int")
-    model = toxicity.fit(df, labels, F.lit(True))
+    model, _ = toxicity.fit(df, labels, F.lit(True))
     assert {"scumbucket", "scumb*"} <= set(model.terms)
     assert not set(copied.split()) & set(model.terms)
     new = docs(spark, [(1, "such a SCUMBUCKET he is"), (2, " ".join(prose(77, 50))), (3, None), (4, "")])
@@ -63,14 +63,19 @@ def test_scores_of_odd_rows_and_empty_tables(spark, module, label):
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 10)] + [(None, 1), (2, None)], f"doc_id long, {label} int")
     for known in (labels, labels.limit(0)):
         model = module.fit(df, known, remainder(known["doc_id"], 5) != 0)
+        if module is toxicity:
+            model, counted = model
+            own = counted.select(toxicity.scored_tally(F.col("tally"), model)["score"].alias("s"))
+            assert counted.count() == df.count() and own.filter("s < 0 OR s > 1 OR s IS NULL").count() == 0
         score = module.scored(text_column(df, "text"), model)
         value = score["score"] if module is toxicity else score
         got = df.select("doc_id", value.alias("s")).collect()
         assert len(got) == df.count() and all(0 <= r.s <= 1 for r in got)
     empty = module.fit(df.limit(0), labels, F.lit(True))
+    empty = empty[0] if module is toxicity else empty
     assert df.limit(0).select(module.scored(text_column(df, "text"), empty)).count() == 0
     if module is toxicity:
-        kept = toxicity.drop_toxic(df, empty)
+        kept = toxicity.drop_toxic(df, labels.limit(0), F.lit(True))
         assert kept.columns == df.columns and kept.count() == df.count()
 
 
@@ -82,3 +87,115 @@ def test_fit_is_bounded_and_uses_only_the_rows_it_may(spark):
     assert 4 <= len(model.vectors) <= 40 and model.space.shape[1] <= 8
     full = quality.fit(df, labels, labels["doc_id"] < 60)
     assert len(full.vectors) == 60
+
+
+def toxic_corpus():
+    """Clean and toxic texts, near copies among them, a passage that many have
+    in common, and rows without a label."""
+    insults = ["scumbucket", "dirtface", "wormbrain", "slimehead"]
+    passage = " ".join(prose(4242, 45))
+    texts = [" ".join(prose(k, 30 + k % 40)) for k in range(90)]
+    texts += [" ".join(prose(900 + k, 20 + k % 30) + [insults[k % 4], insults[(k + 1) % 4]] * (1 + k % 3)) for k in range(40)]
+    texts += [passage + " " + " ".join(prose(2000 + k, 60)) + (" dirtface wormbrain" if k % 2 else "") for k in range(16)]
+    near = " ".join(prose(5000, 80) + ["wormbrain"])
+    texts += [near + f" tail{k}" for k in range(12)]
+    labels = [0] * 90 + [1] * 40 + [k % 2 for k in range(16)] + [1] * 12
+    return texts, labels
+
+
+def test_examples_with_a_common_passage_all_stay():
+    texts, labels = toxic_corpus()
+    import pyarrow as pa
+    from signalmart.llm import minhash
+    from signalmart.llm.common import utf8_parts
+    from signalmart.llm.shingles import overlap_counts, shingle_set
+    raw, ends = utf8_parts(pa.array(texts))
+    sets = [shingle_set(raw[ends[k]:ends[k + 1]]) for k in range(len(texts))]
+    mult, add = minhash.hash_family(125)
+    signs = np.array([minhash.minima(s, mult, add) for s in sets], np.int64)
+
+    def confirm(links):
+        return [(u, v) for u, v in links if 100 * overlap_counts(sets[u], sets[v])[0] >= 80 * overlap_counts(sets[u], sets[v])[1]]
+
+    group = toxicity.copy_groups(signs, np.array(labels), confirm)
+    assert (group[:146] == np.arange(146)).all()            # half a text in common: an example of its own
+    assert len(set(group[146:])) == 1                       # one word apart: copies
+
+
+def test_a_scored_document_by_brute_force(spark):
+    """Selection of terms, corpus frequencies, vectors, all cosines and the
+    vote, in plain Python from the definitions."""
+    texts, labels = toxic_corpus()
+    more = ["no such word", "you DIRTFACE and slimehead", "wormbrain " * 5 + "scumbucket", "", None]
+    df = docs(spark, list(enumerate(texts + more)))
+    known = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
+    model, counted = toxicity.fit(df, known, F.lit(True))
+    group = [k if k < 146 else 146 for k in range(len(texts))]
+    weight = [1 / group.count(g) for g in group]
+    terms_of = [{t for w in set(toxicity._WORD.findall((t_ or "").lower())) for t in toxicity.word_terms(w)}
+                for t_ in texts + more]
+    size = {c: labels.count(c) for c in (0, 1)}
+    n = {c: sum(w for w, l in zip(weight, labels) if l == c) for c in (0, 1)}
+    share = {c: size[c] / n[c] for c in (0, 1)}
+    total = n[0] + n[1]
+    scale = total / len(labels)
+    whole = {c: n[c] * share[c] * scale for c in (0, 1)}
+    chosen = []
+    for term in set().union(*terms_of[:len(texts)]):
+        part = [sum(w for w, l, t in zip(weight, labels, terms_of) if l == c and term in t) for c in (0, 1)]
+        c, t = (part[k] * share[k] * scale for k in (0, 1))
+        if sum(part) < 4 - 1e-6 or c + t >= total - 1e-6:
+            continue
+        if not (t >= 0.8 * (c + t) or (c >= 0.8 * (c + t) and c * whole[1] > t * whole[0])):
+            continue
+        chi = total * (t * (whole[0] - c) - c * (whole[1] - t)) ** 2 / ((c + t) * (total - c - t) * whole[0] * whole[1])
+        if round(chi, 6) >= 30:
+            chosen.append((-round(chi, 6), term))
+    names = [t for _, t in sorted(chosen)]
+    assert sorted(names) == sorted(model.terms) and len(names) > 5
+    names = model.terms
+
+    def count(text):
+        found = {}
+        for w in toxicity._WORD.findall((text or "").lower()):
+            for t in toxicity.word_terms(w):
+                if t in names:
+                    found[t] = found.get(t, 0) + 1
+        return found
+
+    every = [count(t) for t in texts + more]
+    idf = {t: np.log((1 + len(every)) / (1 + sum(t in e for e in every))) + 1 for t in names}
+
+    def unit(found):
+        v = np.array([(1 + np.log(found[t])) * idf[t] if t in found else 0.0 for t in names])
+        return v / (np.sqrt(v @ v) or 1)
+
+    stands = [k for k in range(len(texts)) if group[k] == k]
+    empty = [labels[k] for k in stands if not every[k]]
+    bare = {c: empty.count(c) * share[c] for c in (0, 1)}
+    prior = bare[1] / (bare[0] + bare[1] + 1)
+    examples = [k for k in stands if every[k]]
+    vectors = np.array([unit(every[k]) for k in examples])
+    got = {r.id: r.s for r in counted.select("row.doc_id", toxicity.scored_tally(F.col("tally"), model).alias("s")).toDF("id", "s").collect()}
+    for k, found in enumerate(every):
+        if not found:
+            assert got[k].score == pytest.approx(prior) and got[k].neighbours == []
+            continue
+        cosine = vectors @ unit(found)
+        kth = np.sort(cosine)[::-1][:15][-1]
+        near = [cosine[examples.index(i)] for i in got[k].neighbours]
+        assert len(near) == min(15, (cosine > 0).sum()) and min(near) >= kth - 1e-9
+        w = [c ** 2 * share[labels[i]] / share[1] for c, i in zip(near, got[k].neighbours)]
+        toxic = sum(x for x, i in zip(w, got[k].neighbours) if labels[i])
+        assert got[k].score == pytest.approx((toxic + 0.25 * prior) / (sum(w) + 0.25))
+    assert got[len(texts) + 1].score > 0.5 and got[len(texts)].score < 0.5
+
+
+def test_scores_are_calibrated(spark):
+    """Held-out bins of the score follow their share of toxic rows."""
+    labels = queries.table(spark, SF_ORACLE, "labels")
+    rows_ = (queries.QUERIES["op8_toxicity"](spark, SF_ORACLE).filter("held_out").join(labels, "doc_id")
+             .select("score", "toxic").collect())
+    for low, high in ((0.0, 0.2), (0.8, 1.0)):
+        inside = [r for r in rows_ if low <= r.score <= high]
+        assert inside and abs(np.mean([r.score for r in inside]) - np.mean([r.toxic for r in inside])) < 0.12
