@@ -21,8 +21,7 @@ from signalmart.llm.common import remainder, send_package, stored, text_column
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half stay."""
     labels = queries.table(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels, remainder(labels["doc_id"], 5) != 0)
-    return toxicity.drop_toxic(docs, model)
+    return toxicity.drop_toxic(docs, labels, remainder(labels["doc_id"], 5) != 0)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
