@@ -122,6 +122,44 @@ def test_components_of_stars_chains_and_rings(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def _final_plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("step", ["_large_star", "_small_star"])
+def test_the_edges_of_a_hub_are_split(spark, step):
+    """One vertex has a third of all edges: the join with the minima is split
+    there, for it shares no exchange with their aggregate."""
+    from signalmart.llm import components as C
+    from signalmart.session import session_conf
+    n = 120_000
+    ends = ("id + 10", "5") if step == "_large_star" else ("9000000", "id")
+    hub = spark.range(n).selectExpr(f"{ends[0]} AS u", f"{ends[1]} AS v") if step == "_large_star" else \
+        spark.range(n).selectExpr("9000000L AS u", "id AS v")
+    rest = spark.range(2 * n).selectExpr("id * 2 + 10000001 AS u", "id * 2 + 10000000 AS v")
+    with session_conf(spark, spark__sql__shuffle__partitions=16, spark__sql__autoBroadcastJoinThreshold=-1,
+                      spark__sql__adaptive__advisoryPartitionSizeInBytes="100k",
+                      spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="200k",
+                      spark__sql__adaptive__skewJoin__skewedPartitionFactor=2):
+        edges = C.stored(hub.selectExpr("CAST(u AS BIGINT) AS u", "CAST(v AS BIGINT) AS v").unionByName(rest).repartition(12), "edges")
+        plan = _final_plan(getattr(C, step)(edges))
+    assert "skew=true" in plan
+
+
+def test_repeated_ids_of_a_frequent_text(spark):
+    """Rows that all have the winner's id, or none, differ in another column:
+    one of them stays."""
+    df = spark.createDataFrame([(None, "hot", f"s{k}") for k in range(40)] + [(7, "warm", f"s{k % 3}") for k in range(30)]
+                               + [(3, "warm", "x"), (1, "cold", "y")], "doc_id long, text string, source string").repartition(4)
+    for counters in (1, 1024):
+        marked = exact_dedup.mark_copies(df, counters=counters)
+        assert marked.count() == 72
+        kept = marked.filter("kept").select("row.text", "id", "keep_id", "group_size").collect()
+        assert sorted(map(tuple, kept), key=str) == sorted([("hot", None, None, 40), ("warm", 7, 7, 31), ("cold", 1, 1, 1)], key=str)
+
+
 # ---- repeated strings ------------------------------------------------------
 def brute_spans(texts, size=200):
     seen = Counter(t[p:p + size] for t in texts for p in range(len(t) - size + 1))

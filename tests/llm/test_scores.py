@@ -199,3 +199,71 @@ def test_scores_are_calibrated(spark):
     for low, high in ((0.0, 0.2), (0.8, 1.0)):
         inside = [r for r in rows_ if low <= r.score <= high]
         assert inside and abs(np.mean([r.score for r in inside]) - np.mean([r.toxic for r in inside])) < 0.12
+
+
+def test_quality_by_brute_force(spark):
+    """Document frequencies, TF-IDF, the latent space, all cosines and the
+    vote, in plain numpy over dense matrices."""
+    texts = [" ".join(prose(k, 30 + k % 25)) + (" fine words." if k % 2 else " BAD!! BAD!! $$ $$ $$") for k in range(90)]
+    more = ["", None, "x", "BAD!! $$ $$", "calm words and fine words"]
+    df = docs(spark, list(enumerate(texts + more)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id long, quality int")
+    model = quality.fit(df, labels, labels["doc_id"] < 60)
+
+    def counts(text):
+        """Counts of a text's terms, by their definitions."""
+        from signalmart.llm.shingles import word_hashes
+        raw = (text or "").encode()
+        out = np.zeros(quality.BUCKETS)
+        if not raw:
+            return out
+        words = word_hashes(np.frombuffer(raw, np.uint8))
+        for w in words.tolist():
+            out[(w >> 40) % quality.WORDS] += 1
+        for k in range(len(raw) - 2):
+            code = ((raw[k] * 65_599 + raw[k + 1]) * 65_599 + raw[k + 2]) % 2 ** 32 * 2_654_435_761 % 2 ** 32 >> 16
+            out[quality.WORDS + code % quality.BYTES] += 1
+        n = max(1, len(words))
+        letters = [sum(97 <= c <= 122 for c in raw), sum(65 <= c <= 90 for c in raw)]
+        white, signs = sum(c in b" \t\n\x0b\x0c\r" for c in raw), sum(33 <= c < 127 and not chr(c).isalnum() for c in raw)
+        repeats = sum(a == b for a, b in zip(words.tolist(), words.tolist()[1:]))
+        shares = [repeats / n, len(set(words.tolist())) / n, letters[1] / max(1, sum(letters)), white / len(raw), signs / len(raw)]
+        for k, x in enumerate(shares):
+            out[quality.WORDS + quality.BYTES + 11 * k + int(10 * np.sqrt(x))] = 1
+        return out
+
+    every = np.array([counts(t) for t in texts + more])
+    idf = np.log((1 + len(every)) / (1 + (every > 0).sum(axis=0))) + 1e-3
+    assert np.allclose(model.idf, idf, atol=1e-5)
+
+    def vectors(rows_):
+        w = np.where(rows_ > 0, 1 + np.log(np.maximum(rows_, 1)), 0) * idf
+        for block in quality._BLOCKS:
+            w[:, block] /= np.maximum(np.linalg.norm(w[:, block], axis=1, keepdims=True), 1e-9)
+        return w
+
+    # the space holds what a full decomposition of the fitted rows holds
+    fitted = vectors(every[:60])
+    top = np.linalg.svd(fitted, full_matrices=False)[2][:model.space.shape[1]]
+    strong = np.linalg.svd(top[:10] @ model.space)[1]
+    assert model.space.shape[1] == min(quality.DIMENSIONS, 60) and (strong > 0.98).all()
+    latent = vectors(every) @ model.space
+    latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
+    known = latent[:60]
+    got = {r.doc_id: r.s for r in df.select("doc_id", quality.scored(text_column(df, "text"), model).alias("s")).collect()}
+    prior = 0.5
+    for k, v in enumerate(latent):
+        cosine = known @ v
+        near = np.argsort(-cosine)[:quality.NEIGHBOURS]
+        w = np.maximum(cosine[near], 0) ** quality.SHARPNESS
+        want = (w * (near % 2)).sum() / w.sum() if w.sum() > 1e-12 else prior
+        assert got[k] == pytest.approx(want, abs=2e-3), k
+    assert got[93] < 0.5 < got[94] and got[90] == got[91] == prior
+
+
+def test_many_short_texts_are_taken_in_groups_of_rows():
+    import pyarrow as pa
+    from signalmart.llm.common import text_groups, utf8_parts
+    _, ends = utf8_parts(pa.array(["a few short words here"] * 10_000))
+    groups = list(text_groups(ends, quality._GROUP, quality._ROWS))
+    assert max(b - a for a, b in groups) == quality._ROWS and groups[-1][1] == 10_000

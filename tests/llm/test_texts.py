@@ -97,6 +97,38 @@ def test_known_texts_in_any_wrapping(spark):
     assert [got[k] for k in range(len(want) + len(other))] == [name for name, _ in want] + [None] * len(other)
 
 
+def test_license_files_with_titles(spark):
+    full = {name: t for name, t in license_scan.KNOWN if len(t) > 300}
+    titles = {"MIT": ["MIT License", "The MIT License (MIT)", "(The MIT License)"], "ISC": ["ISC License", "The ISC License"],
+              "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License"], "BSD-2-Clause": ["BSD 2-Clause License"],
+              "Zlib": ["zlib License"], "BSL-1.0": ["Boost Software License - Version 1.0 - August 17th, 2003"],
+              "Unlicense": ["The Unlicense"], "0BSD": ["Zero-Clause BSD License"]}
+    notices = ["", "Copyright (c) 2020 A\n\n", "Copyright Jane Doe\n\n", "Copyright (c) 2020, A\nAll rights reserved.\n\n"]
+    wrap = [lambda t: t, lambda t: "\n".join(textwrap.wrap(" ".join(t.split()), 78))]
+    want = [(name, f"{title}\n\n{notice}{w(full[name])}\n") for name, heads in titles.items() for title in heads
+            for notice in notices for w in wrap]
+    other = ["MIT License", "MIT License\n\nCopyright (c) 2020 A", "A license story\n\nOnce upon a time.",
+             "MIT License\n\n" + full["MIT"].replace("free of charge", "for a charge")]
+    df = docs(spark, list(enumerate([t for _, t in want] + other)))
+    found = rows(license_scan.scan(df, license_scan.default_known(spark)), "row.doc_id", "license", "digest", "notices")
+    assert [r[1] for r in found] == [name for name, _ in want] + [None] * len(other)
+    # the SQL has the same rules
+    con = duck(SF_SMALL)
+    con.execute("CREATE OR REPLACE TABLE texts(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO texts VALUES (?, ?)", list(enumerate([t for _, t in want] + other)))
+    sql = con.execute(queries._license_sql("texts")).fetchall()
+    assert sorted((r[0], r[2], r[1], r[4]) for r in sql) == [(i, n, d, ",".join(x)) for i, n, d, x in found]
+
+
+def test_known_texts_can_be_files(spark, tmp_dir):
+    for name, t in (("X-1.0.txt", "Do as you like\nwith this."), ("Y", "Do nothing with it.")):
+        with open(f"{tmp_dir}/{name}", "w") as fh:
+            fh.write(t)
+    known = license_scan.read_known(spark, tmp_dir)
+    df = docs(spark, [(1, "X License\n\n(c) 2020 A\n\nDO AS YOU LIKE with this"), (2, "Do nothing with it!"), (3, "else")])
+    assert rows(license_scan.scan(df, known), "row.doc_id", "license") == [(1, "X-1.0"), (2, "Y"), (3, None)]
+
+
 def test_known_texts_with_a_notice_to_fill_in(spark):
     known = spark.createDataFrame([("X", "Copyright <YEAR> <COPYRIGHT HOLDER>\n\nDo as you like with this.")],
                                   "license_id string, text string")
@@ -135,6 +167,16 @@ def test_lines_are_judged_per_host(spark):
     assert got[20] == ("c.example.com", 1, 0, "once") and got[21][3] == "c21"
 
 
+def test_the_join_carries_no_page(spark):
+    """Only the lines and the asked columns of a page meet its host's lines."""
+    import re
+    plan = plan_text(queries.QUERIES["op3_site_lines"](spark, SF_SMALL))
+    moved = re.findall(r"(?:Exchange|Join)[^\n]*\n(?:Input|Left keys)[^\n]*", plan)
+    assert moved and not any("html" in m or "url" in m for m in moved)
+    row = re.search(r"struct\(([^)]*)\) AS row", plan)
+    assert row.group(1).replace(" ", "").startswith("page_id") and "html" not in row.group(1)
+
+
 def test_lines_of_odd_pages(spark):
     df = pages(spark, [(1, None, None), (2, "no url", ""), (None, "https://h/x", "<p>a</p>" * 20_000), (3, "https://h/y", "<p>a"),
                        (3, "https://h/y", "<p>a"), (4, "HTTPS://u:p@H:8/z", "<!-- x --><style>q</style>a<b>b</b>")])
@@ -191,6 +233,35 @@ def test_very_long_texts_are_taken_in_parts(model, monkeypatch):
     assert len(list(coder._parts(text.replace(" ", sentence_pieces.MARK)))) > 10
 
 
+def test_long_unbroken_words_equal_the_models_own(model):
+    import base64
+    import random
+    import time
+    import sentencepiece
+    own, coder = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES), sentence_pieces.Encoder(model)
+    r = random.Random(3)
+    texts = ["x" * 100_000, "ab" * 50_000, base64.b64encode(r.randbytes(75_000)).decode(),
+             "".join(r.choice("ACGT") for _ in range(100_000)), "é漢x" * 3000, "a" * 999 + "é" * 2, "q" * 1001,
+             "".join(r.choice("abcdefghijklmnopqrstuvwxyz漢🎉é\x01") for _ in range(70_000))]
+    began = time.time()
+    for text, ids in zip(texts, coder.encode(texts)):
+        assert ids.tolist() == own.encode(text), text[:30]
+    assert time.time() - began < 60
+
+
+def test_long_words_of_unigram_models_take_the_best_sum(monkeypatch):
+    import random
+    r = random.Random(1)
+    pieces = {"▁": -5.0, "a": -3.0, "b": -3.0, "c": -3.0, "▁a": -2.5, "ab": -4.0, "bc": -2.0, "abc": -9.0, "cabca": -6.5}
+    model = {"pieces": ["<unk>", *pieces], "scores": [0.0, *pieces.values()], "bytes": {}, "special": [0],
+             "kind": "unigram", "unknown": 0}
+    texts = ["".join(r.choice("abc?") for _ in range(300)) for _ in range(8)]
+    want = [x.tolist() for x in sentence_pieces.Encoder(model).encode(texts)]
+    monkeypatch.setattr(sentence_pieces, "_ALONE", 40)
+    monkeypatch.setattr(sentence_pieces, "_LONG_BLOCK", 7)
+    assert [x.tolist() for x in sentence_pieces.Encoder(model).encode(texts)] == want
+
+
 def test_a_small_memo_and_small_batches_change_nothing(model, monkeypatch):
     texts = [" ".join(prose(k, 50)) for k in range(20)]
     want = [x.tolist() for x in sentence_pieces.Encoder(model).encode(texts)]
