@@ -62,6 +62,11 @@ def _land(feed: DataFrame, columns: list[str], date_column: str, path: str) -> N
     land_pulls(_raw_text(feed, columns, date_column), path, [*columns, S.EXTRACTION_COLUMN])
 
 
+def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrivals feed as raw text, with dt and pull."""
+    return _raw_text(feeds.arrivals_feed(spark, feeds.load_events(spark, sf_dir)), S.FLIGHTS_COLUMNS, "arrival_date_local")
+
+
 def landed_flights(spark: SparkSession, sf_dir: str) -> str:
     """Path of the landed raw flights table of `sf_dir`."""
     return written_once(spark, sf_dir, "raw-flights", lambda path: _land(

@@ -183,8 +183,9 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
     Default (late_tolerance=None): complete mode. The state is one counter
     per (window, key), i.e. markets x days, so keeping all of it is cheap and
     no late file is ever dropped, whatever order the files arrive in. Each
-    micro-batch overwrites the sink with the full current result (idempotent
-    on replay). A micro-batch takes about `max_bytes` (BATCH_BYTES).
+    micro-batch replaces the versioned sink with the full current result: a
+    reader has the last whole one at any time. A micro-batch takes about
+    `max_bytes` (BATCH_BYTES).
 
     late_tolerance="4 hours" (a live stream with bounded lateness): event
     time gets a watermark, a window is appended to the sink once the
@@ -206,14 +207,14 @@ def tumbling_counts(spark: SparkSession, src: str, sink: str, checkpoint: str,
                           F.col("w.end").alias("window_end"), *keys, "rows"))
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(sink)
+            versioned.replace(batch, sink)
 
         q = (counts.writeStream.outputMode("complete").foreachBatch(write)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
         _finish(q)
-        return spark.read.parquet(sink)
+        return versioned.read(spark, sink, [], counts.schema)
 
     # Watermarks need an instant type: read the UTC wall clock as a UTC
     # instant (session zone pinned to UTC for this query only).
