@@ -81,19 +81,25 @@ def feed(spark, tmp_dir):
     return f
 
 
-def test_a_late_day_reaches_seven_observed_days(feed):
+def test_a_late_day_reaches_seven_observed_days(feed, monkeypatch):
     daily, curve = feed.update()
     assert len(daily) == len(curve) == 20
     feed.matches_a_rebuild()
-    assert feed.update() == [[], []]                                     # nothing new, nothing written
+    feed.flights("LAS", _day(20), 9, "late", "23:00:00")
+    opened = []
+    load = V._load
+    with monkeypatch.context() as m:
+        m.setattr(V, "_load", lambda spark, table, schema, folders: (
+            opened.extend(folders), load(spark, table, schema, folders))[1])
+        assert feed.update() == [[_day(20)], [_day(20)]]
+    days = lambda name: {f.split("/dt=")[1][:10] for f in opened if f"/{name}/" in f}
+    assert days("hourly_arrivals") == {_day(k) for k in range(13, 21)}   # the baseline's days
+    assert days(incremental.DAILY) == {_day(20)}
+    # late rows for an old day, of a market seen every day and of one whose next days lie far behind
     feed.flights("LAS", _day(5), 9, "late", "23:00:00")
-    daily, curve = feed.update()
-    assert curve == [_day(5)] and daily == [_day(k) for k in range(5, 13)]
-    feed.matches_a_rebuild()
-    # the sparse market's next observed days lie far behind
     feed.flights("SPA", _day(1), 4, "late", "23:00:00")
-    daily, _ = feed.update()
-    assert daily == [_day(k) for k in (*range(1, 9), 13, 19)]
+    daily, curve = feed.update()
+    assert curve == [_day(1), _day(5)] and daily == [_day(k) for k in (*range(1, 14), 19)]
     feed.matches_a_rebuild()
 
 
@@ -108,30 +114,17 @@ def test_weather_and_calendars_reach_their_own_days(feed):
     feed.matches_a_rebuild()
 
 
-def test_many_random_updates_equal_a_rebuild(feed):
+def test_random_updates_and_rows_without_a_date_equal_a_rebuild(feed, spark):
     r = random.Random(5)
-    for step in range(2):
-        for _ in range(3):
-            feed.flights(r.choice(["LAS", "SPA", "NEW"]), _day(r.randint(1, 24)), r.randint(1, 5), f"s{step}", "23:00:00")
-        feed.weather("LAS", _day(r.randint(1, 20)), 60.0 + step)
-        feed.update()
-        feed.matches_a_rebuild()
-
-
-def test_an_update_opens_the_touched_partitions_only(feed, monkeypatch):
+    _write(f"{feed.root}/raw/flights/dt={_day(3)}/odd.csv", f"LAS,zz,CS,KSFO,{_day(3)} 20:00:00,,,{_day(3)} 21:00:00,\n")
     feed.update()
-    feed.flights("LAS", _day(20), 8, "late", "23:00:00")
-    opened = []
-    load = V._load
-    monkeypatch.setattr(V, "_load", lambda spark, table, schema, folders: (
-        opened.extend(folders), load(spark, table, schema, folders))[1])
+    assert incremental.gold(spark, f"{feed.root}/out").filter("arrival_date_local IS NULL").count() == 1
+    for _ in range(4):
+        feed.flights(r.choice(["LAS", "SPA", "NEW"]), _day(r.randint(1, 24)), r.randint(1, 5), "s", "23:00:00")
+    feed.weather("LAS", _day(r.randint(1, 20)), 60.0)
     feed.update()
-    silver = {f for f in opened if "/silver_flights/" in f}
-    # the merge's two versions, and the whole table that `upsert` hands back without reading it
-    read = {f.split("/dt=")[1][:10] for f in opened if "/hourly_arrivals/" in f}
-    assert read == {_day(k) for k in range(13, 21)} and silver
-    gold = {f.split("/dt=")[1][:10] for f in opened if f"/{incremental.DAILY}/" in f}
-    assert gold == {_day(20)}
+    feed.matches_a_rebuild()
+    assert feed.update() == [[], []]                                     # nothing new, nothing written
 
 
 def test_a_run_that_dies_in_gold_leaves_the_old_rows(feed, spark, monkeypatch, capsys):
@@ -156,19 +149,6 @@ def test_a_run_that_dies_in_gold_leaves_the_old_rows(feed, spark, monkeypatch, c
     feed.matches_a_rebuild()
 
 
-def test_an_alert_is_said_once(feed, spark, capsys):
-    feed.update()
-    run = ["alert", "--out", f"{feed.root}/out"]
-    capsys.readouterr()
-    assert main(run, spark) == 0 and "LAS:" in capsys.readouterr().out
-    assert main(run, spark) == 0 and capsys.readouterr().out.startswith("Nothing new for")
-    assert main([*run, "--again"], spark) == 0 and "LAS:" in capsys.readouterr().out
-    feed.flights("LAS", _day(20), 20, "late", "23:00:00")
-    feed.update()
-    capsys.readouterr()
-    assert main(run, spark) == 0 and "LAS:" in capsys.readouterr().out     # the day's numbers have changed
-
-
 def test_tidy_removes_what_no_reader_needs(feed, spark, capsys):
     feed.update()
     feed.flights("LAS", _day(20), 8, "late", "23:00:00")
@@ -177,30 +157,27 @@ def test_tidy_removes_what_no_reader_needs(feed, spark, capsys):
     import json
     went = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert went["silver_flights"] == {"folders": 1, "commits": 2} and went[incremental.DAILY] == {"folders": 1, "commits": 2}
-    feed.matches_a_rebuild()
-    assert feed.update() == [[], []]
     feed.flights("LAS", _day(20), 9, "later", "23:30:00")
     assert feed.update() == [[_day(20)], [_day(20)]]
     feed.matches_a_rebuild()
 
 
-def test_rows_without_a_date_are_one_group(feed, spark):
-    feed.n += 1
-    _write(f"{feed.root}/raw/flights/dt={_day(3)}/odd.csv", f"LAS,zz,CS,KSFO,{_day(3)} 20:00:00,,,{_day(3)} 21:00:00,\n")
-    feed.update()
-    feed.matches_a_rebuild()
-    assert incremental.gold(spark, f"{feed.root}/out").filter("arrival_date_local IS NULL").count() == 1
-
-
-def test_unknown_markets_fail_the_check(feed, spark, capsys):
+def test_alerts_are_said_once_and_unknown_markets_fail_the_check(feed, spark, capsys):
     feed.update()
     out = f"{feed.root}/out"
+    run = ["alert", "--out", out]
+    capsys.readouterr()
+    assert main(run, spark) == 0 and "LAS:" in capsys.readouterr().out
+    assert main(run, spark) == 0 and capsys.readouterr().out.startswith("Nothing new for")
+    assert main([*run, "--again"], spark) == 0 and "LAS:" in capsys.readouterr().out
     assert main(["check", "--out", out], spark) == 0 and "known_market is not checked" in capsys.readouterr().out
     _write(f"{feed.root}/markets.csv", "market,icao,name,lat,lon,tz\nLAS,KLAS,Las Vegas,36.08,-115.15,America/Los_Angeles\n")
-    assert main(["check", "--out", out, "--markets", f"{feed.root}/markets.csv"], spark) == 1
-    assert "known_market" in capsys.readouterr().out
+    feed.flights("LAS", _day(20), 20, "late", "23:00:00")
     assert main(["update", *feed.args, "--markets", f"{feed.root}/markets.csv"], spark) == 0
-    assert main(["check", "--out", out], spark) == 1                     # the seed was kept
+    capsys.readouterr()
+    assert main(run, spark) == 0 and "LAS:" in capsys.readouterr().out     # the day's numbers have changed
+    assert main(["check", "--out", out], spark) == 1                       # the seed was kept
+    assert "known_market" in capsys.readouterr().out
     with open(f"{feed.root}/markets.csv", "a") as fh:
         fh.write("SPA,KSPA,Spa,0,0,UTC\n")
     assert main(["check", "--out", out, "--markets", f"{feed.root}/markets.csv"], spark) == 0
