@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from signalmart.llm.common import stored, text_column, utf8_parts
-from signalmart.llm.components import components
+from signalmart.llm.components import components, meet
 from signalmart.llm.shingles import overlap_counts, set_key, shingle_set
 
 BANDS, ROWS = 25, 5
@@ -164,26 +164,25 @@ def vertex_roots(drawn: DataFrame, rows_of: DataFrame, percent: int, bands: int
     one = stored(drawn.groupBy("vertex").agg(F.min("key").alias("key"), F.first("n").alias("n"),
                                              F.first("signature").alias("signature")), "vertices")
     entries = one.select("vertex", F.explode(keys).alias("bucket"))
-    # what is summed up of a bucket or component is written before it meets the
-    # rows, so that the join can split a large one (see components)
-    shared = stored(entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
-    members = stored(entries.join(shared, "bucket"), "members")
+    # large buckets and components are split where they meet what was summed up of them
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stored(meet(entries, shared, "bucket"), "members")
     fame = members.groupBy("vertex").agg(F.sum("size").alias("fame"))
     signatures = stored(one.join(fame, "vertex"), "signatures")
     texts = stored(rows_of.join(signatures.select("key", "vertex"), "key")
                    .groupBy("vertex").agg(F.first("text").alias("text")), "texts")
 
-    hubs = stored(members.join(fame, "vertex").groupBy("bucket")
-                  .agg(F.max(F.struct("fame", "vertex"))["vertex"].alias("v")), "hubs")
-    tried = stored(members.select("bucket", F.col("vertex").alias("u")).join(hubs, "bucket")
+    hubs = (members.join(fame, "vertex").groupBy("bucket")
+            .agg(F.max(F.struct("fame", "vertex"))["vertex"].alias("v")))
+    tried = stored(meet(members.select("bucket", F.col("vertex").alias("u")), hubs, "bucket")
                    .filter("u <> v").select("u", "v").distinct(), "tried")
     roots = stored(components(_confirmed(tried, signatures, texts, percent, size)), "roots")
 
     placed = stored(members.join(roots, "vertex", "left").select(
         "bucket", "vertex", F.coalesce("root", "vertex").alias("root")), "placed")
-    mixed = stored(placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-                   .filter("lo <> hi").select("bucket"), "mixed")
-    left_open = placed.join(mixed, "bucket").select("vertex", "root").distinct()
+    mixed = (placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .filter("lo <> hi").select("bucket"))
+    left_open = meet(placed, mixed, "bucket").select("vertex", "root").distinct()
     cross = prefix_pairs(left_open.join(texts, "vertex"), percent)
     done = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
     more = _confirmed(cross.join(done, ["u", "v"], "left_anti"), signatures, texts, percent, size)
@@ -211,8 +210,8 @@ def near_groups(df: DataFrame, text: str = "text", doc_id: str = "doc_id", perce
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))
     named = stored(worded.groupBy("vertex").agg(first.alias("least")).join(roots, "vertex", "left")
                    .withColumn("root", F.coalesce("root", "vertex")), "named")
-    least = stored(named.groupBy("root").agg(F.min("least").alias("least")), "root-least")
-    label = named.select("vertex", "root").join(least, "root").select(
+    least = named.groupBy("root").agg(F.min("least").alias("least"))
+    label = meet(named.select("vertex", "root"), least, "root").select(
         "vertex", "root", F.col("least.id").alias("component_id"), F.col("least.key").alias("stays"))
     return drawn.select("id", "key", "n", "vertex").join(label, "vertex", "left").select(
         "id", "key", F.col("n").alias("n_shingles"), "root", "stays",
