@@ -131,17 +131,17 @@ def _seeds(spark: SparkSession, events: str, holidays: str):
 
 
 def build(spark: SparkSession, flights: str, weather: str, events: str, holidays: str,
-          out: str, plain: bool = False) -> dict:
+          out: str, plain: bool = False, buckets: int | None = None) -> dict:
     return medallion.build(spark, flights, weather, *_seeds(spark, events, holidays), out, database=DB,
-                           **_schemas(plain))
+                           buckets=buckets, **_schemas(plain))
 
 
 def update(spark: SparkSession, flights: str, weather: str, events: str, holidays: str,
-           out: str, plain: bool = False) -> dict:
+           out: str, plain: bool = False, buckets: int | None = None) -> dict:
     """New raw files only: silver and rollups by upsert, then the rows of the
     gold tables that they reach. Returns the days written in each."""
     out = out.rstrip("/")
-    incremental.refresh(spark, flights, weather, out, **_schemas(plain))
+    incremental.refresh(spark, flights, weather, out, buckets=buckets, **_schemas(plain))
     days = incremental.refresh_gold(spark, out, *_seeds(spark, events, holidays))
     return {f"{name}_days": len(d) for name, d in days.items()}
 
@@ -207,6 +207,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         b.add_argument("--markets", help="seed of the known markets, kept for `check`")
         b.add_argument("--plain-raw", action="store_true", help="raw files without an extraction id")
         b.add_argument("--file-bytes", help="target size of table files, e.g. 256m")
+        b.add_argument("--buckets", type=int, help="key buckets of a day of silver (update, first run) or of the "
+                                                   "whole table (build); by default from the bytes landed")
     for name in ("check", "alert", "tidy"):
         sub.add_parser(name).add_argument("--out", required=True)
     sub.choices["check"].add_argument("--markets")
@@ -224,7 +226,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             if args.markets:
                 incremental.keep_markets(read_seed(spark, args.markets, S.MARKETS_DDL), args.out.rstrip("/"))
             print(json.dumps(run(spark, args.flights, args.weather, args.events, args.holidays,
-                                 args.out, args.plain_raw)))
+                                 args.out, args.plain_raw, args.buckets)))
         return 0
     if args.cmd == "tidy":
         print(json.dumps(incremental.tidy(spark, args.out.rstrip("/"))))

@@ -39,11 +39,12 @@ def _weather_rollup(merged: DataFrame) -> DataFrame:
     return weather_partials(merged, ["market", "observed_date_local", *_PART])
 
 
-def _buckets(spark: SparkSession, src: str, out: str, kind: str) -> int:
-    """A table keeps the number of key buckets it was begun with."""
+def _buckets(spark: SparkSession, src: str, out: str, kind: str, wanted: int | None = None) -> int:
+    """A table keeps the number of key buckets it was begun with: the one
+    wanted, or what the largest day landed so far needs."""
     path = f"{out}/buckets_{kind}"
     if not _folder_exists(spark, path):
-        spark.createDataFrame([(K.buckets_for(spark, src),)], "buckets int").write.parquet(path)
+        spark.createDataFrame([(wanted or K.buckets_for(spark, src),)], "buckets int").write.parquet(path)
     return spark.read.schema("buckets int").parquet(path).first()[0]
 
 
@@ -70,15 +71,16 @@ def rollup_kind(name: str) -> StructType:
 
 def refresh(spark: SparkSession, flights: str, weather: str, out: str,
             flights_schema: StructType = S.RAW_FLIGHTS_SCHEMA,
-            weather_schema: StructType = S.RAW_WEATHER_SCHEMA, **stream) -> None:
-    """Take in the raw files that are new since the last call."""
+            weather_schema: StructType = S.RAW_WEATHER_SCHEMA, buckets: int | None = None, **stream) -> None:
+    """Take in the raw files that are new since the last call. `buckets`: key
+    buckets of a day, for tables that are begun with a small part of one."""
     K.upsert(spark, flights, f"{out}/silver_flights", f"{out}/_ck_flights", day="arrival_date_local",
              schema=flights_schema, rollups=[(_arrivals_rollup, f"{out}/hourly_arrivals")],
-             buckets=_buckets(spark, flights, out, "flights"), **stream)
+             buckets=_buckets(spark, flights, out, "flights", buckets), **stream)
     K.upsert(spark, weather, f"{out}/silver_weather", f"{out}/_ck_weather", keys=S.WEATHER_KEY,
              types=S.WEATHER_TYPES, schema=weather_schema, day="observed_date_local",
              rollups=[(_weather_rollup, f"{out}/daily_weather")],
-             buckets=_buckets(spark, weather, out, "weather"), **stream)
+             buckets=_buckets(spark, weather, out, "weather", buckets), **stream)
 
 
 def _daily(partials: DataFrame, *more: str) -> DataFrame:

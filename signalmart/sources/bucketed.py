@@ -54,7 +54,8 @@ def attach(spark: SparkSession, name: str, path: str, keys: list[str]) -> DataFr
     buckets = versioned.read(spark, _note(path), [], StructType.fromDDL("buckets int")).first()[0]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
     by = ", ".join(keys)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # of an earlier build, maybe; the files stay
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
               f"INTO {buckets} BUCKETS LOCATION '{path}'")
     return spark.table(name)
 

@@ -33,6 +33,8 @@ PARTS = (S.PARTITION_COLUMN, S.PULL_COLUMN, LANDING)
 _ROW = "pull string, landing string, dt string, rows long"
 #: Partitions in one catalog statement.
 _AT_ONCE = 500
+#: Manifest files from which they are made one.
+MANIFEST_FILES = 64
 
 
 def _manifest_path(root: str) -> str:
@@ -71,9 +73,26 @@ def land_pulls(df: DataFrame, root: str, columns: list[str], pulls: DataFrame |
     (found.select("pull", F.lit(landing).alias(LANDING), "dt", F.coalesce("rows", F.lit(0)).alias("rows"))
      .coalesce(1).write.mode("append").parquet(_manifest_path(root)))
     sweep(spark, root, landing)
+    if len(landings(spark, root).inputFiles()) > MANIFEST_FILES:
+        compact(spark, root)
     return landing
 
 
+def compact(spark: SparkSession, root: str) -> int:
+    """Manifest files into one that holds the newest landing of each pull. The
+    new file comes first, so a crash leaves rows twice, which reads the same.
+    Returns how many files went."""
+    every = landings(spark, root)
+    old = every.inputFiles()
+    newest = every.groupBy("pull").agg(F.max(LANDING).alias(LANDING))
+    kept = every.join(newest, ["pull", LANDING], "left_semi").distinct()
+    kept.coalesce(1).write.mode("append").parquet(_manifest_path(root))
+    for f in old:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, False)
+    return len(old)
+
+
 def sweep(spark: SparkSession, root: str, landing: str) -> int:
     """Delete the folders that this landing replaced. Returns their number."""
     every = landings(spark, root)

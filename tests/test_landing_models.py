@@ -140,6 +140,17 @@ def test_a_landing_that_dies_leaves_the_earlier_one(spark, tmp_dir, monkeypatch)
     assert pulls.read_pulls(spark, f"{tmp_dir}/none", S.PLAIN_FLIGHTS_SCHEMA).count() == 0
 
 
+def test_the_manifest_is_compacted(spark, tmp_dir, monkeypatch):
+    cols = S.FLIGHTS_COLUMNS
+    monkeypatch.setattr(pulls, "MANIFEST_FILES", 3)
+    for k in range(6):
+        df = spark.createDataFrame([("LAS", f"a{k}", "", "", "", "d", "1", "t", f"2026-08-0{1 + k % 2}", f"p{k % 3}")],
+                                   [*cols, "dt", "pull"])
+        pulls.land_pulls(df, f"{tmp_dir}/raw", cols)
+    assert len(glob.glob(f"{tmp_dir}/raw/_manifest/*.parquet")) <= 3
+    assert rows(pulls.read_pulls(spark, f"{tmp_dir}/raw", S.PLAIN_FLIGHTS_SCHEMA), "icao24") == [("a3",), ("a4",), ("a5",)]
+
+
 # ---- catalog table ---------------------------------------------------------
 def test_partitions_come_from_the_catalog(spark, tmp_dir):
     cols = S.FLIGHTS_COLUMNS
