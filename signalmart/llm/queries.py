@@ -114,6 +114,8 @@ def op8_toxicity(spark, sf_dir):
     labels = table(spark, sf_dir, "labels")
     model, counted = toxicity.fit(table(spark, sf_dir, "documents"), labels, remainder(labels["doc_id"], 5) != 0,
                                   carry=["doc_id"])
+    # rows of a few numbers each, but a search for each: over as many tasks as a shuffle has
+    counted = counted.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = counted.select("row.doc_id", toxicity.scored_tally(F.col("tally"), model).alias("s"))
     return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "s.score",
                         (F.col("s.score") >= 0.5).cast("int").alias("predicted"), "s.neighbours", "s.terms")

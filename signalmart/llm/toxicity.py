@@ -3,10 +3,10 @@
 The model is a bounded set of labelled examples. Its terms are words and
 word edges (beginnings and ends of four to eight letters) that the examples'
 labels depend on (chi-square, over class shares as they are among all labelled
-rows). Near copies among the examples (five-word shingles, 0.8, found by MinHash
-bands and confirmed on the full sets) share one vote, so a term cannot come from
-one copied text, and stand in the index once; texts that only have a passage in
-common are examples of their own. Inverse document frequencies are counted over
+rows). An example counts for them by how much of it is its own (``own_shares``),
+so a term cannot come from one copied text or passage. Near copies (five-word
+shingles, 0.8, found by MinHash bands and confirmed on the full sets) stand in the
+index once; texts that only have a passage in common are examples of their own. Inverse document frequencies are counted over
 all documents, whose terms are written once and read for the scores. Examples
 lie in an inverted index
 whose postings are cut into blocks of examples, each with its greatest
@@ -47,7 +47,9 @@ NEIGHBOURS, PRIOR_WEIGHT, BLOCK = 15, 0.25, 64
 COPY_PERCENT = 80
 EDGES = (4, 5, 6, 7, 8)
 _WORD = re.compile(r"[^\W\d_]+")
-_MEMO, _LONG = 200_000, 1 << 20
+_MEMO, _LONG = 100_000, 1 << 20
+#: Different terms that a task counts at a time.
+_TERMS = 100_000
 
 SCORE = "struct<score: double, neighbours: array<bigint>, terms: array<string>>"
 
@@ -87,17 +89,36 @@ def copy_groups(signatures: np.ndarray, labels: np.ndarray, confirm, bands: int
     return np.array([root(x) for x in range(len(labels))], np.int64)
 
 
+def own_shares(signatures: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """How much of each example is its own among those of its label: a minimum
+    that it shares with n others counts 1 / (n + 1), on average over all. Copies
+    share a weight of one; a text that has a passage in common with others loses
+    that part of its weight and no more."""
+    out = np.zeros(len(labels))
+    for column in signatures.T:
+        _, name, count = np.unique(np.stack([labels, column]), axis=1, return_inverse=True, return_counts=True)
+        out += 1 / count[name.ravel()]
+    return out / max(1, signatures.shape[1])
+
+
 def _count_terms(batches):
     """mapInArrow: how much of each class holds each term, within the
-    partition; near copies share a weight of one."""
+    partition, by the examples' weights."""
     counts: dict[str, list[float]] = {}
+
+    def found() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.float64()),
+             pa.array([c[1] for c in counts.values()], pa.float64())], names=["term", "clean", "toxic"])
+
     for batch in batches:
         for text, label, weight in zip(*(c.to_pylist() for c in batch.columns)):
             for term in {t for w in set(_WORD.findall(text.lower())) for t in word_terms(w)}:
                 counts.setdefault(term, [0.0, 0.0])[label] += weight
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array([c[0] for c in counts.values()], pa.float64()),
-         pa.array([c[1] for c in counts.values()], pa.float64())], names=["term", "clean", "toxic"])
+            if len(counts) > _TERMS:  # the rest of the sum is made behind the shuffle
+                yield found()
+                counts.clear()
+    yield found()
 
 
 @dataclass
@@ -124,14 +145,18 @@ class Model:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         who, score, least = np.zeros(0, np.int64), np.zeros(0), -1.0
-        at, step = 0, 2
+        at, step = 0, 4
         while at < len(order) and bound[order[at]] >= least - 1e-9:
-            found = np.zeros((min(step, len(order) - at), BLOCK))
             blocks = order[at:at + step]
-            for row, b in enumerate(blocks):
-                for t, w in zip(term, weight):
-                    lo, hi = self.start[t, b], self.start[t, b + 1]
-                    found[row, self.posting[lo:hi] - b * BLOCK] += w * self.value[lo:hi]
+            # the postings of all terms in these blocks, one range after another
+            first = self.start[term][:, blocks]
+            size = self.start[term][:, blocks + 1] - first
+            ends = np.cumsum(size.ravel())
+            place = np.arange(ends[-1]) + np.repeat(first.ravel() - (ends - size.ravel()), size.ravel())
+            by_term = np.repeat(weight, size.sum(axis=1))
+            column = np.repeat(np.tile(np.arange(len(blocks)), len(term)), size.ravel())
+            slot = column * BLOCK + self.posting[place] % BLOCK
+            found = np.bincount(slot, by_term * self.value[place], len(blocks) * BLOCK).reshape(-1, BLOCK)
             row, col = np.nonzero(found)
             who = np.concatenate([who, blocks[row] * BLOCK + col])
             score = np.concatenate([score, found[row, col]])
@@ -270,9 +295,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
     blank = [0] * (minhash.BANDS * minhash.ROWS)  # texts without words are one group
     signs = np.array([r["s"] or blank for r in drawn_rows], np.int64).reshape(len(ids), len(blank))
     group = copy_groups(signs, kinds, _confirmer(sample, ids, COPY_PERCENT)) if ids else np.zeros(0, np.int64)
-    members = np.bincount(group, minlength=len(ids))
     stand = group == np.arange(len(ids))
-    weight = 1.0 / np.maximum(members[group], 1)
+    weight = own_shares(signs, kinds)
     placed = sample.sparkSession.createDataFrame(
         list(zip(ids, weight.tolist(), stand.tolist())), "id long, weight double, stands boolean")
     weighted = stored(sample.join(F.broadcast(placed), "id"), "weighted")
@@ -283,7 +307,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
     share = {k: size.get(k, 0) / n[k] if n[k] else 0.0 for k in (0, 1)}
     scale = total / max(1, sum(size.values()))
     clean, toxic = (n[k] * share[k] * scale for k in (0, 1))
-    counts = weighted.select("text", "label", "weight").repartition("text").mapInArrow(
+    counts = weighted.select("id", "text", "label", "weight").repartition("id").drop("id").mapInArrow(
         _count_terms, "term string, clean double, toxic double").groupBy("term").agg(
         F.sum("clean").alias("c0"), F.sum("toxic").alias("t0")).select(
         "term", (F.col("c0") + F.col("t0")).alias("seen"),
@@ -367,8 +391,11 @@ def scored(text: Column, model: Model) -> Column:
     return run(text)
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, train: Column, limit: float = 0.5, **columns) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, train: Column, limit: float = 0.5, text: str = "text",
+               doc_id: str = "doc_id", **columns) -> DataFrame:
     """The documents that score below ``limit``, with the input's columns, by a
-    model that is fitted on them (see ``fit``)."""
-    model, counted = fit(docs, labels, train, **columns)
-    return counted.filter(scored_tally(F.col("tally"), model)["score"] < limit).select("row.*")
+    model that is fitted on them (see ``fit``). Texts are gone through a second
+    time for it: whole rows beside their terms would take more memory."""
+    model, _ = fit(docs, labels, train, text=text, doc_id=doc_id, carry=[doc_id], **columns)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_column(docs, text).alias("text"))
+    return rows.filter(scored(F.col("text"), model)["score"] < limit).select("row.*")

@@ -130,8 +130,17 @@ def test_a_scored_document_by_brute_force(spark):
     df = docs(spark, list(enumerate(texts + more)))
     known = spark.createDataFrame(list(enumerate(labels)), "doc_id long, toxic int")
     model, counted = toxicity.fit(df, known, F.lit(True))
+    import pyarrow as pa
+    from signalmart.llm import minhash
+    from signalmart.llm.common import utf8_parts
+    from signalmart.llm.shingles import shingle_set
     group = [k if k < 146 else 146 for k in range(len(texts))]
-    weight = [1 / group.count(g) for g in group]
+    raw, ends = utf8_parts(pa.array(texts))
+    mult, add = minhash.hash_family(125)
+    signs = [minhash.minima(shingle_set(raw[ends[k]:ends[k + 1]]), mult, add).tolist() for k in range(len(texts))]
+    weight = [np.mean([1 / sum(labels[j] == labels[k] and signs[j][b] == signs[k][b] for j in range(len(texts)))
+                       for b in range(125)]) for k in range(len(texts))]
+    assert weight[0] == 1 and weight[150] < 0.15 and 0.5 < weight[135] < 0.9
     terms_of = [{t for w in set(toxicity._WORD.findall((t_ or "").lower())) for t in toxicity.word_terms(w)}
                 for t_ in texts + more]
     size = {c: labels.count(c) for c in (0, 1)}
@@ -149,7 +158,7 @@ def test_a_scored_document_by_brute_force(spark):
         if not (t >= 0.8 * (c + t) or (c >= 0.8 * (c + t) and c * whole[1] > t * whole[0])):
             continue
         chi = total * (t * (whole[0] - c) - c * (whole[1] - t)) ** 2 / ((c + t) * (total - c - t) * whole[0] * whole[1])
-        if round(chi, 6) >= 30:
+        if chi >= 30:
             chosen.append((-round(chi, 6), term))
     names = [t for _, t in sorted(chosen)]
     assert sorted(names) == sorted(model.terms) and len(names) > 5
