@@ -87,7 +87,7 @@ def build(spark: SparkSession, targets: list[str], database: str, root: str,
           models: dict[str, Model] = MODELS) -> list[str]:
     """Build the targets and what they need in `database` (tables below
     `root`); the sources must be there. Returns what was built, in order."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root.rstrip('/')}/_db'")
     built, table = [], {name: f"{database}.{name}" for name in models}
     for name in order(targets, models):
         model = models[name]

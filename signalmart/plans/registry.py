@@ -906,10 +906,10 @@ def model_graph(spark, sf_dir):
     """One mart of the model graph: its staging view (a persistent
     catalog view over the raw zone's table) and itself, nothing else."""
     root = landing.landed_flights(spark, sf_dir)
-    db = "models_" + root.rsplit("-", 1)[-1]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    db, out = "models_" + root.rsplit("-", 1)[-1], work_dir(spark, "models")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{out}/_db'")
     pulls.catalog_table(spark, f"{db}.raw_flights", root, S.RAW_FLIGHTS_SCHEMA)
-    models.build(spark, ["mart_hourly_curve"], db, work_dir(spark, "models"))
+    models.build(spark, ["mart_hourly_curve"], db, out)
     return spark.table(f"{db}.mart_hourly_curve")
 
 

@@ -231,7 +231,7 @@ def test_models_stand_behind_their_inputs():
 
 def test_one_mart_builds_what_it_needs_and_nothing_else(spark, tmp_dir):
     root, db = landing.landed_flights(spark, SF_SMALL), "models_test"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
     with pytest.raises(ValueError, match="source models_test.raw_flights is not there"):
         models.build(spark, ["mart_hourly_curve"], db, f"{tmp_dir}/m")
     pulls.catalog_table(spark, f"{db}.raw_flights", root, S.RAW_FLIGHTS_SCHEMA)
