@@ -110,9 +110,10 @@ def _confirmed(pairs: DataFrame, signatures: DataFrame, texts: DataFrame, percen
     sides = [signatures.select(F.col("vertex").alias(c), F.col("signature").alias(f"s{c}"),
                                F.col("n").alias(f"n{c}")) for c in "uv"]
     agree = F.aggregate(F.zip_with("su", "sv", lambda a, b: (a == b).cast("int")), F.lit(0), lambda x, y: x + y)
-    likely = (pairs.join(sides[0], "u").join(sides[1], "v")
-              .filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-              .filter(agree >= floor * size).select("u", "v"))
+    # written, so that its true size decides how the texts are joined
+    likely = stored(pairs.join(sides[0], "u").join(sides[1], "v")
+                    .filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
+                    .filter(agree >= floor * size).select("u", "v"), "likely")
     paired = (likely.join(texts.select(F.col("vertex").alias("u"), F.col("text").alias("tu")), "u")
               .join(texts.select(F.col("vertex").alias("v"), F.col("text").alias("tv")), "v"))
     return stored(paired.filter(exact_link(F.col("tu"), F.col("tv"), percent)).select("u", "v"), "links")
@@ -185,7 +186,9 @@ def vertex_roots(drawn: DataFrame, rows_of: DataFrame, percent: int, bands: int
     left_open = meet(placed, mixed, "bucket").select("vertex", "root").distinct()
     cross = prefix_pairs(left_open.join(texts, "vertex"), percent)
     done = tried.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-    more = _confirmed(cross.join(done, ["u", "v"], "left_anti"), signatures, texts, percent, size)
+    # written first, or all signatures would be shuffled beside this search, however few pairs it finds
+    untried = stored(cross.join(done, ["u", "v"], "left_anti"), "untried")
+    more = _confirmed(untried, signatures, texts, percent, size)
     known = roots.select(F.col("vertex").alias("u"), F.col("root").alias("v"))
     return components(known.unionByName(more))
 

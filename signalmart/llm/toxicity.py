@@ -67,14 +67,14 @@ def copy_groups(signatures: np.ndarray, labels: np.ndarray, confirm, bands: int
                 rows: int = minhash.ROWS) -> np.ndarray:
     """A group number for each example: near copies of one label share it.
     Each bucket of a band links its examples to its first one; ``confirm`` says
-    which of the links (arrays u, v) hold on the full sets."""
-    links = set()
+    which of the links (rows of u and v) hold on the full sets."""
+    links = [np.zeros((0, 2), np.int64)]
     for b in range(bands):
         part = np.concatenate([labels[:, None], signatures[:, b * rows:(b + 1) * rows]], axis=1)
         _, first, name = np.unique(part, axis=0, return_index=True, return_inverse=True)
         hub = first[name.ravel()]
         who = np.flatnonzero(hub != np.arange(len(hub)))
-        links.update(zip(hub[who].tolist(), who.tolist()))
+        links.append(np.stack([hub[who], who], axis=1))
     group = list(range(len(labels)))
 
     def root(x: int) -> int:
@@ -83,7 +83,8 @@ def copy_groups(signatures: np.ndarray, labels: np.ndarray, confirm, bands: int
             x = group[x]
         return x
 
-    for u, v in confirm(sorted(links)):
+    held = np.array(confirm(np.unique(np.concatenate(links), axis=0)), np.int64)
+    for u, v in held.reshape(-1, 2).tolist():
         a, b = sorted((root(u), root(v)))
         group[b] = a
     return np.array([root(x) for x in range(len(labels))], np.int64)
@@ -254,19 +255,26 @@ def tallied(text: Column, terms: list[str]) -> Column:
     return run(text)
 
 
-def _confirmer(sample: DataFrame, ids: list, percent: int):
+def _columns(df: DataFrame) -> list[pa.Array]:
+    """The columns of a bounded result as Arrow arrays: no object for each
+    number on the driver."""
+    table = df.toArrow()
+    return [pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in table.columns]
+
+
+def _confirmer(sample: DataFrame, ids: np.ndarray, percent: int):
     """Which links between examples hold on the full shingle sets."""
-    def confirm(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
-        if not links:
-            return []
+    def confirm(links: np.ndarray) -> np.ndarray:
+        if not len(links):
+            return links
         spark = sample.sparkSession
-        place = spark.createDataFrame([(k, i) for k, i in enumerate(ids)], "k long, id long")
+        place = spark.createDataFrame(pa.table({"k": np.arange(len(ids)), "id": ids}), "k long, id long")
         texts = stored(sample.join(F.broadcast(place), "id").select("k", "text"), "examples-by-place")
-        pairs = spark.createDataFrame(links, "u long, v long")
+        pairs = spark.createDataFrame(pa.table({"u": links[:, 0], "v": links[:, 1]}), "u long, v long")
         both = (pairs.join(texts.select(F.col("k").alias("u"), F.col("text").alias("tu")), "u")
                 .join(texts.select(F.col("k").alias("v"), F.col("text").alias("tv")), "v"))
-        held = both.filter(minhash.exact_link(F.col("tu"), F.col("tv"), percent)).select("u", "v").collect()
-        return [(r["u"], r["v"]) for r in held]
+        held = both.filter(minhash.exact_link(F.col("tu"), F.col("tv"), percent)).select("u", "v")
+        return np.stack([c.to_numpy() for c in _columns(held)], axis=1)
     return confirm
 
 
@@ -289,16 +297,17 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, text: str = "text", d
     sample = stored(texts.join(F.broadcast(drawn), "id").groupBy("id", "label").agg(F.min("text").alias("text")), "examples")
 
     # bounded: at most about 2 * examples signatures of half a kilobyte
-    drawn_rows = (sample.select("id", "label", minhash.sketch(F.col("text"), minhash.BANDS * minhash.ROWS)["signature"]
-                                .alias("s")).orderBy("id").collect())
-    ids, kinds = [r["id"] for r in drawn_rows], np.array([r["label"] for r in drawn_rows], np.int64)
-    blank = [0] * (minhash.BANDS * minhash.ROWS)  # texts without words are one group
-    signs = np.array([r["s"] or blank for r in drawn_rows], np.int64).reshape(len(ids), len(blank))
-    group = copy_groups(signs, kinds, _confirmer(sample, ids, COPY_PERCENT)) if ids else np.zeros(0, np.int64)
+    width = minhash.BANDS * minhash.ROWS
+    ids, kinds, found = _columns(sample.select("id", "label", minhash.sketch(F.col("text"), width)["signature"].alias("s"))
+                                 .orderBy("id"))
+    ids, kinds = ids.to_numpy(), kinds.to_numpy().astype(np.int64)
+    signs = np.zeros((len(ids), width), np.int32)  # texts without words (no signature) are one group
+    signs[found.value_lengths().fill_null(0).to_numpy() > 0] = found.flatten().to_numpy().reshape(-1, width)
+    group = copy_groups(signs, kinds, _confirmer(sample, ids, COPY_PERCENT)) if len(ids) else np.zeros(0, np.int64)
     stand = group == np.arange(len(ids))
     weight = own_shares(signs, kinds)
     placed = sample.sparkSession.createDataFrame(
-        list(zip(ids, weight.tolist(), stand.tolist())), "id long, weight double, stands boolean")
+        pa.table({"id": ids, "weight": weight, "stands": stand}), "id long, weight double, stands boolean")
     weighted = stored(sample.join(F.broadcast(placed), "id"), "weighted")
 
     # class shares as among all labelled rows, the sum as in the sample

@@ -128,6 +128,43 @@ def _final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_no_round_is_run_on_stars(spark, monkeypatch):
+    from signalmart.llm import components as module
+    ran, step = [], module._large_star
+    monkeypatch.setattr(module, "_large_star", lambda edges: ran.append(1) or step(edges))
+
+    def found(edges):
+        ran.clear()
+        return dict(rows(module.components(spark.createDataFrame(edges, "u long, v long")))), len(ran)
+
+    star = [(k, 1) for k in range(2, 9)] + [(12, 11), (12, 11), (4, 4)]
+    assert found(star) == ({k: 1 for k in range(1, 9)} | {11: 11, 12: 11}, 0)
+    assert found([(k, 9) for k in range(1, 9)]) == ({k: 1 for k in range(1, 10)}, 1)  # the hub is not the least
+    assert found([(2, 1), (3, 2)])[0] == found([(3, 1), (3, 2)])[0] == {1: 1, 2: 1, 3: 1}
+    assert found([]) == ({}, 0)
+
+
+def test_pairs_are_written_before_they_meet_signatures_and_texts(spark, monkeypatch):
+    """So few pairs move a table once for a pair's two ends, not twice."""
+    from signalmart.session import session_conf
+    from tests.conftest import plan_text
+    plans, write = [], minhash.stored
+
+    def stored(df, name):
+        if name in ("likely", "links"):
+            plans.append((name, plan_text(df, "simple").count("SortMergeJoin")))
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "stored", stored)
+    texts = [" ".join(f"w{i}x{k}" for k in range(300)) for i in range(40) for _ in range(2)]
+    texts = [t + f" end{i}" for i, t in enumerate(texts)]
+    with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="8k"):
+        got = minhash.near_groups(docs(spark, list(enumerate(texts)))).select("id", "component_id").collect()
+    assert {(r.id, r.component_id) for r in got} == {(i, i - i % 2) for i in range(80)}
+    assert [n for n, _ in plans] == ["likely", "links"] * 2 and max(k for _, k in plans) <= 2
+    assert plans[2:] == [("likely", 1), ("links", 1)]
+
+
 @pytest.mark.parametrize("step", ["_large_star", "_small_star"])
 def test_the_edges_of_a_hub_are_split(spark, step):
     """One vertex has a third of all edges: the join with the minima is split

@@ -122,6 +122,17 @@ def test_examples_with_a_common_passage_all_stay():
     assert len(set(group[146:])) == 1                       # one word apart: copies
 
 
+def test_signatures_reach_the_driver_as_arrays(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    texts, labels = toxic_corpus()
+    df = docs(spark, list(enumerate(texts + ["", None])))
+    known = spark.createDataFrame(list(enumerate([*labels, 0, 1])), "doc_id long, toxic int")
+    collected, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(self.dtypes) or collect(self))
+    toxicity.fit(df, known, F.lit(True))
+    assert collected and not [d for d in collected if "array<int>" in dict(d).values()]
+
+
 def test_a_scored_document_by_brute_force(spark):
     """Selection of terms, corpus frequencies, vectors, all cosines and the
     vote, in plain Python from the definitions."""
